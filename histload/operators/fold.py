@@ -43,7 +43,7 @@ def fold_batches(
     rows = with_chain(batches, seq, key)
     if hot is None:
         hot = find_hot_keys(group_sizes(rows, [key, CHAIN]), rows_per_slice)
-    ordered = ordered_rows(rows, [key, CHAIN], [seq, START, *tiebreak], hot)
+    ordered = ordered_rows(rows, [key, CHAIN], [seq, START, *tiebreak], hot, [seq, CHAIN])
     kept = (
         ordered.with_lowest("__first", seq)
         .with_previous("__hash_before", HASH_DATA)

@@ -122,14 +122,20 @@ class OrderedRows:
 
 
 def ordered_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotKeys
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    hot: HotKeys,
+    helpers: Sequence[str] = (),
 ) -> OrderedRows:
     """Bring ``df`` into order per key, cutting the ``hot`` keys into slices.
 
-    A hash of the whole row ends the order, so that a task that runs again, or a second pass
-    over the rows, gives tied rows the same neighbours.
+    A hash of the whole row (but for ``helpers``, columns that are not part of it) ends the
+    order, so that a task that runs again, or a second pass over the rows, gives tied rows the
+    same neighbours.
     """
-    rows = df.withColumn(ROW, F.xxhash64(*[quoted(name) for name in df.columns]))
+    content = [quoted(name) for name in df.columns if name not in helpers]
+    rows = df.withColumn(ROW, F.xxhash64(*content))
     order = (*order, ROW)
     if not hot.rows:
         return OrderedRows(rows, tuple(keys), order)

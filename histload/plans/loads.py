@@ -75,12 +75,17 @@ class Feed:
 
 @dataclass(frozen=True)
 class LoadOptions:
+    """``tiebreak`` may name columns of several feeds; each feed uses those it has."""
+
     load_date: str | dt.date | None = None
     tiebreak: tuple[str, ...] = ()
     null_token: str | None = None
     check_header: bool = False
     rows_per_slice: int = ROWS_PER_SLICE
 
+    def tiebreak_of(self, df: DataFrame) -> list[str]:
+        return [name for name in self.tiebreak if name in df.columns]
+
 
 class AmbiguousBatch(ValueError):
     """A batch has several rows for a key that already has an open row."""
@@ -100,12 +105,13 @@ def merge_load(
     load_id: str,
     prior_loads: Sequence[str],
     partition_col: str = DEFAULT_PARTITION,
+    checked: bool = False,
 ) -> None:
-    """Merge an audited batch into a history table."""
+    """Merge an audited batch into a history table. ``checked``: it is known not to be ambiguous."""
     open_rows = read_open(df.sparkSession, path, prior_loads[-1], partition_col)
     batch = df.persist()  # read by each side of the merge
     try:
-        clash = ambiguous_keys(batch, open_rows, key).first()
+        clash = None if checked else ambiguous_keys(batch, open_rows, key).first()
         if clash is not None:
             raise AmbiguousBatch(_ambiguous(key, clash[key], clash["n"]))
         write_load(merge_open(open_rows, batch, key), path, load_id, partition_col)
@@ -131,11 +137,12 @@ def load_batch(
     ``prior_loads`` are the table's loads so far, oldest first; none means a first load.
     """
     rows = read_delimited(spark, paths, feed.schema_ddl, options.check_header)
-    return _load_rows(rows, feed, target, load_id, prior_loads, options)
+    hot = find_hot_keys(group_sizes(rows, [feed.key_col]), options.rows_per_slice)
+    _load_rows(rows, feed, target, load_id, prior_loads, options, hot)
+    return hot.total
 
 
-def _load_rows(rows, feed, target, load_id, prior_loads, options) -> int:
-    hot = find_hot_keys(group_sizes(rows, [feed.key_col]), options.rows_per_slice)
+def _load_rows(rows, feed, target, load_id, prior_loads, options, hot, checked=False) -> None:
     batch = with_audit_columns(
         rows,
         feed.key_col,
@@ -143,15 +150,14 @@ def _load_rows(rows, feed, target, load_id, prior_loads, options) -> int:
         feed.defining_col,
         feed.partition_col,
         options.load_date,
-        options.tiebreak,
+        options.tiebreak_of(rows),
         options.null_token,
         hot=hot,
     )
     if prior_loads:
-        merge_load(batch, target, feed.key_col, load_id, prior_loads, feed.partition_col)
+        merge_load(batch, target, feed.key_col, load_id, prior_loads, feed.partition_col, checked)
     else:
         first_load(batch, target, load_id, feed.partition_col)
-    return hot.total
 
 
 @dataclass
@@ -203,9 +209,21 @@ def load_files(
     if open_rows is not None:
         open_census = group_sizes(_touched(open_rows, census, key), [key]).persist()
     try:
-        for row in census.groupBy(SEQ).agg(F.sum("n").alias("n")).collect():
+        repeated = F.max(F.when(F.col(quoted(key)).isNotNull(), F.col("n"))) > 1
+        totals = (
+            census.groupBy(SEQ)
+            .agg(
+                F.sum("n").alias("n"),
+                F.sum("n_undated").alias("n_undated"),
+                repeated.alias("repeated"),
+            )
+            .collect()
+        )
+        for row in totals:
             outcomes[files[row[SEQ]]["file_process_id"]].count = row["n"]
-        rejected = _ambiguous_files(census, key, open_census)
+        rejected = {}
+        if any(row["repeated"] for row in totals):
+            rejected = _ambiguous_files(census, key, open_census)
         for seq, message in rejected.items():
             outcome = outcomes[files[seq]["file_process_id"]]
             outcome.message, outcome.count = message, 0
@@ -213,24 +231,28 @@ def load_files(
         if not kept:
             return outcomes
 
-        undated = census.where(F.col("n_undated") > 0).limit(1).count() > 0
-        doubled = open_census is not None and open_census.where("n > 1").limit(1).count() > 0
-        if len(kept) == 1 or undated or doubled:
-            _load_singly(spark, kept, target, load_id, prior_loads, options, outcomes)
+        one_by_one = len(kept) == 1 or any(
+            row["n_undated"] for row in totals if row[SEQ] not in rejected
+        )
+        if not one_by_one and open_census is not None:
+            one_by_one = open_census.where(F.col("n") > 1).first() is not None
+        if one_by_one:
+            _load_singly(spark, kept, census, target, load_id, prior_loads, options, outcomes)
             return outcomes
 
         rows = _numbered_rows(spark, kept, options)
         sizes = with_chain(census, SEQ, key).groupBy(quoted(key), CHAIN).agg(F.sum("n").alias("n"))
         hot = find_hot_keys(sizes, options.rows_per_slice)
+        tiebreak = options.tiebreak_of(rows)
         if open_rows is None:
-            folded = fold_batches(rows, SEQ, key, options.tiebreak, hot=hot).drop(SEQ)
+            folded = fold_batches(rows, SEQ, key, tiebreak, hot=hot).drop(SEQ)
         else:
             folded = fold_open(
                 open_rows,
                 rows,
                 SEQ,
                 key,
-                options.tiebreak,
+                tiebreak,
                 hot=hot,
                 batch_keys=census.select(quoted(key)),
             )
@@ -320,15 +342,19 @@ def _ambiguous_files(census, key, open_census) -> dict[int, str]:
     return rejected
 
 
-def _load_singly(spark, kept, target, load_id, prior_loads, options, outcomes) -> None:
+def _load_singly(spark, kept, census, target, load_id, prior_loads, options, outcomes) -> None:
     loads = list(prior_loads)
-    for place, (_, file) in enumerate(kept):
+    for seq, file in kept:
         outcome = outcomes[file["file_process_id"]]
-        this_load = f"{load_id}-{place:06d}"
+        this_load = f"{load_id}-{seq:06d}"
+        feed = Feed.of(file)
         try:
-            load_batch(
-                spark, file["source_path"], Feed.of(file), target, this_load, loads, options
+            rows = read_delimited(
+                spark, file["source_path"], feed.schema_ddl, options.check_header
             )
+            sizes = census.where(F.col(SEQ) == seq).select(quoted(feed.key_col), "n")
+            hot = find_hot_keys(sizes, options.rows_per_slice)
+            _load_rows(rows, feed, target, this_load, loads, options, hot, checked=True)
         except Exception as error:
             outcome.message, outcome.count = str(error), 0
         else:

@@ -67,8 +67,9 @@ def build_contracts(columns: DataFrame, feeds: DataFrame) -> DataFrame:
     unknown = F.transform(F.filter("cols", lambda c: c["ddl"].isNull()), lambda c: c["name"])
     roles = per_feed.select(
         "fp_id",
-        F.array_join(
-            F.transform("cols", lambda c: F.concat(quoted_name(c), c["ddl"])), ", "
+        F.when(
+            F.size(unknown) == 0,
+            F.array_join(F.transform("cols", lambda c: F.concat(quoted_name(c), c["ddl"])), ", "),
         ).alias("schema_ddl"),
         names("is_key").alias("key_cols"),
         names("is_defining").alias("defining_cols"),
@@ -81,7 +82,7 @@ def build_contracts(columns: DataFrame, feeds: DataFrame) -> DataFrame:
             F.col("file_format").isNull() | (F.col("file_format") != DELIMITED),
             F.concat(F.lit("file format is not "), F.lit(DELIMITED)),
         )
-        .when(F.col("schema_ddl").isNull(), F.lit("no columns in the contract"))
+        .when(F.col("unknown_types").isNull(), F.lit("no columns in the contract"))
         .when(
             F.col("unknown_types") != "", F.concat(F.lit("unknown type for "), "unknown_types")
         )

@@ -85,7 +85,8 @@ def read_history(
 ) -> DataFrame:
     """Open and closed rows after ``loads``, given oldest first."""
     current = read_open(spark, path, loads[-1], partition_col)
-    schema = current.schema.add(STATE, StringType()).add(LOAD, StringType())
+    places = [StructField(STATE, StringType()), StructField(LOAD, StringType())]
+    schema = StructType([*current.schema.fields, *places])
     rows = (
         spark.read.schema(schema)
         .option("basePath", path)
