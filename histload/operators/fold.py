@@ -45,7 +45,7 @@ def fold_batches(
         hot = find_hot_keys(group_sizes(rows, [key, CHAIN]), rows_per_slice)
     ordered = ordered_rows(rows, [key, CHAIN], [seq, START, *tiebreak], hot, [seq, CHAIN])
     kept = (
-        ordered.with_lowest("__first", seq)
+        ordered.with_first("__first", seq)
         .with_previous("__hash_before", HASH_DATA)
         .where(
             F.col(quoted(key)).isNull()

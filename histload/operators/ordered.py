@@ -67,47 +67,48 @@ class OrderedRows:
 
     def with_next(self, out: str, value: str) -> OrderedRows:
         """``out`` = ``value`` of the key's next row, NULL on its last row."""
-        return self._shifted(out, value, F.lead, F.lead, F.min_by)
+        return self._looked_up(out, value, F.lead, F.min_by)
 
     def with_previous(self, out: str, value: str) -> OrderedRows:
         """``out`` = ``value`` of the key's previous row, NULL on its first row."""
-        return self._shifted(out, value, F.lag, F.lag, F.max_by)
-
-    def with_lowest(self, out: str, value: str) -> OrderedRows:
-        """``out`` = the smallest ``value`` of the key."""
-        window = Window.partitionBy(*self._window_keys())
-        df = self.df.withColumn(out, F.min(quoted(value)).over(window))
-        if self.sliced:
-            lowest = self._hot_rows().groupBy(*map(quoted, self.keys)).agg(
-                F.min(quoted(value)).alias("__lowest")
-            )
-            df = self._from_small(df, lowest, self.keys)
-            df = df.withColumn(out, F.coalesce("__lowest", out)).drop("__lowest")
-        return replace(self, df=df)
+        return self._looked_up(out, value, F.lag, F.max_by)
+
+    def with_first(self, out: str, value: str) -> OrderedRows:
+        """``out`` = ``value`` of the key's first row."""
+        return self._looked_up(out, value, F.first, F.min_by)
 
     def result(self) -> DataFrame:
         return self.df.drop(SLICE, COPY, ROW)
 
-    def _window_keys(self) -> list[str]:
-        return [quoted(key) for key in self.keys] + ([SLICE] if self.sliced else [])
+    def _looked_up(self, out, value, function, edge) -> OrderedRows:
+        """``function`` along the order of each key; for cut keys first along each slice, then
+        along the slices, over the value at the ``edge`` of every slice."""
+        keys = [quoted(key) for key in self.keys]
+        parts = [*keys, SLICE] if self.sliced else keys
 
-    def _hot_rows(self) -> DataFrame:
-        return self.df.where(F.col(SLICE) != NOT_SLICED)
+        def along(column: Column | str, partition: list[str], order: Sequence[str]) -> Column:
+            window = Window.partitionBy(*partition).orderBy(*map(quoted, order))
+            if function is F.first:
+                window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            return function(column).over(window)
 
-    def _shifted(self, out, value, inside, across, edge) -> OrderedRows:
-        window = Window.partitionBy(*self._window_keys()).orderBy(*map(quoted, self.order))
         if not self.sliced:
-            return replace(self, df=self.df.withColumn(out, inside(quoted(value)).over(window)))
+            df = self.df.withColumn(out, along(quoted(value), parts, self.order))
+            return replace(self, df=df)
         # Boxed, so that "no such row" and "that row's value is NULL" stay apart.
         boxed = F.struct(F.col(quoted(value)).alias("value"))
-        slices = self._hot_rows().groupBy(*self._window_keys()).agg(
-            edge(boxed, F.struct(*map(quoted, self.order))).alias("__edge")
+        slices = (
+            self.df.where(F.col(SLICE) != NOT_SLICED)
+            .groupBy(*parts)
+            .agg(edge(boxed, F.struct(*map(quoted, self.order))).alias("__edge"))
         )
-        between = Window.partitionBy(*map(quoted, self.keys)).orderBy(SLICE)
-        edges = slices.withColumn("__edge", across("__edge").over(between))
-        df = self.df.withColumn(out, inside(boxed).over(window))
+        edges = slices.withColumn("__edge", along("__edge", keys, [SLICE]))
+        df = self.df.withColumn(out, along(boxed, parts, self.order))
         df = self._from_small(df, edges, (*self.keys, SLICE))
-        df = df.withColumn(out, F.coalesce(out, "__edge")["value"]).drop("__edge")
+        # The next or previous row is in the slice itself if it can be; the first row never is,
+        # unless the slice is the key's first.
+        found = ["__edge", out] if function is F.first else [out, "__edge"]
+        df = df.withColumn(out, F.coalesce(*found)["value"]).drop("__edge")
         return replace(self, df=df)
 
     @staticmethod

@@ -222,7 +222,8 @@ def load_files(
         for row in totals:
             outcomes[files[row[SEQ]]["file_process_id"]].count = row["n"]
         rejected = {}
-        if any(row["repeated"] for row in totals):
+        seen_before = open_census is not None or len(files) > 1
+        if seen_before and any(row["repeated"] for row in totals):
             rejected = _ambiguous_files(census, key, open_census)
         for seq, message in rejected.items():
             outcome = outcomes[files[seq]["file_process_id"]]

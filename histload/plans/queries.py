@@ -51,6 +51,13 @@ def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a written table, for inputs that a merge reads several times."""
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     df.write.option("header", True).option("timestampNTZFormat", NTZ_TEXT).csv(path)
     return path
@@ -95,12 +102,20 @@ def events_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _audited_events(events)
 
 
+def history_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(events_before(spark, sf_dir))
+
+
 def events_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Increment: each user's last event from the cut-over on."""
     events = table(spark, sf_dir, "events").where(F.col("ts") >= ntz(CUT_OVER))
     return _audited_events(_last_per(events, "user_id"), "2024-02-02")
 
 
+def batch_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(events_after(spark, sf_dir))
+
+
 def _daily(events: DataFrame) -> DataFrame:
     """Each user's last event of the day; the day numbers the batches."""
     day = F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
@@ -140,18 +155,18 @@ def current_rows(spark, sf_dir):
 
 def changed_rows(spark, sf_dir):
     return scd2.changed_rows(
-        events_after(spark, sf_dir), events_before(spark, sf_dir), "user_id"
+        batch_after(spark, sf_dir), history_before(spark, sf_dir), "user_id"
     )
 
 
 def staged_updates(spark, sf_dir):
     return scd2.stage_updates(
-        events_after(spark, sf_dir), events_before(spark, sf_dir), "user_id"
+        batch_after(spark, sf_dir), history_before(spark, sf_dir), "user_id"
     )
 
 
 def scd2_merge(spark, sf_dir):
-    return scd2.merge_next(events_before(spark, sf_dir), events_after(spark, sf_dir), "user_id")
+    return scd2.merge_next(history_before(spark, sf_dir), batch_after(spark, sf_dir), "user_id")
 
 
 def scd2_merge_new_keys(spark, sf_dir):
@@ -169,19 +184,19 @@ def scd2_merge_new_keys(spark, sf_dir):
         )
 
     known = customers.where(F.col("c_mktsegment") != "MACHINERY")
-    return scd2.merge_next(audited(known), audited(later), "c_custkey")
+    return scd2.merge_next(stored(audited(known)), stored(audited(later)), "c_custkey")
 
 
 def scd2_merge_evolving(spark, sf_dir):
     """The batch has a column the table lacks so far."""
-    batch = events_after(spark, sf_dir).withColumn("value_band", F.floor(F.col("value") / 10))
-    return scd2.merge_next(events_before(spark, sf_dir), batch, "user_id")
+    batch = batch_after(spark, sf_dir).withColumn("value_band", F.floor(F.col("value") / 10))
+    return scd2.merge_next(history_before(spark, sf_dir), batch, "user_id")
 
 
 def ambiguous_keys(spark, sf_dir):
     events = table(spark, sf_dir, "events").where(F.col("ts") >= ntz(CUT_OVER))
     batch = with_hashes(events, "user_id", ["event_type"], "ts", load_date=LOAD_DATE)
-    return scd2.ambiguous_keys(batch, events_before(spark, sf_dir), "user_id")
+    return scd2.ambiguous_keys(batch, history_before(spark, sf_dir), "user_id")
 
 
 def ambiguous_batches_daily(spark, sf_dir):
@@ -202,8 +217,8 @@ def scd2_fold_daily(spark, sf_dir):
 
 
 def scd2_fold_onto_history(spark, sf_dir):
-    daily = _daily(table(spark, sf_dir, "events").where(F.col("ts") >= ntz(CUT_OVER)))
-    return fold_next(events_before(spark, sf_dir), daily, "day_no", "user_id").drop("day_no")
+    daily = stored(_daily(table(spark, sf_dir, "events").where(F.col("ts") >= ntz(CUT_OVER))))
+    return fold_next(history_before(spark, sf_dir), daily, "day_no", "user_id").drop("day_no")
 
 
 # --- sources and tables ----------------------------------------------------------------------

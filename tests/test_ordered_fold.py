@@ -39,15 +39,13 @@ def test_slices_agree_with_plain_windows(skewed):
     rows = ordered_rows(skewed, ["id"], ["d", "v"], hot)
     sizes = rows.df.where("__slice >= 0").groupBy("__slice").count().agg(F.max("count")).first()[0]
     assert sizes < 250  # the copies are spread as well
-    got = (
-        rows.with_next("n", "d").with_previous("p", "v").with_lowest("low", "d").result()
-    )
+    got = rows.with_next("n", "d").with_previous("p", "v").with_first("low", "d").result()
     w = Window.partitionBy("id").orderBy("d", "v")
     wanted = skewed.withColumns(
         {
             "n": F.lead("d").over(w),
             "p": F.lag("v").over(w),
-            "low": F.min("d").over(Window.partitionBy("id")),
+            "low": F.first("d").over(w),
         }
     )
     assert plain(got) == plain(wanted)
