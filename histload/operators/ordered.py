@@ -39,6 +39,9 @@ class HotKeys:
         return sum(ceil(row["n"] / self.limit) for row in self.rows)
 
 
+UNIQUE_KEYS = HotKeys([], ROWS_PER_SLICE)  # for rows known to be unique by key: nothing to count
+
+
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("n"))
 

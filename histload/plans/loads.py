@@ -46,7 +46,7 @@ from histload.sources.history import read_history, read_open, write_load
 SEQ = "__seq"
 
 REPORT_SCHEMA = (
-    "file_process_id bigint, status string, message string, count bigint, "
+    "file_process_id bigint, status string, message string, count bigint, undated bigint, "
     "start timestamp, end timestamp"
 )
 RESULT_SCHEMA = REPORT_SCHEMA + ", step_id string, target_path string, load_id string"
@@ -167,6 +167,7 @@ class Outcome:
     status: str = FAILED
     message: str = ""
     count: int = 0
+    undated: int = 0  # rows whose defining value is NULL
     load_id: str | None = None
 
 
@@ -198,7 +199,31 @@ def load_files(
     files = _readable(spark, files, outcomes)
     if not files:
         return outcomes
+    try:
+        _load_group(spark, files, target, load_id, prior_loads, options, outcomes)
+    except Exception:
+        sound = [file for file in files if _reads(spark, file, options, outcomes)]
+        if len(sound) == len(files):
+            raise
+        if sound:
+            retry = f"{load_id}-retry"
+            _load_group(spark, sound, target, retry, prior_loads, options, outcomes)
+    return outcomes
+
+
+def _reads(spark, file, options, outcomes) -> bool:
+    """Whether a file can be read to its end; asked for each file after a group has failed."""
+    rows = read_delimited(spark, file["source_path"], file["schema_ddl"], options.check_header)
+    try:
+        rows.write.format("noop").mode("overwrite").save()
+        return True
+    except Exception as error:
+        outcomes[file["file_process_id"]] = Outcome(message=str(error))
+        return False
+
 
+def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -> None:
+    """Load files known to exist, with one key and one partition column."""
     key = files[0]["key_col"]
     partition_col = files[0]["partition_col"]
     numbered = list(enumerate(files))
@@ -220,7 +245,8 @@ def load_files(
             .collect()
         )
         for row in totals:
-            outcomes[files[row[SEQ]]["file_process_id"]].count = row["n"]
+            outcome = outcomes[files[row[SEQ]]["file_process_id"]]
+            outcome.count, outcome.undated = row["n"], row["n_undated"]
         rejected = {}
         seen_before = open_census is not None or len(files) > 1
         if seen_before and any(row["repeated"] for row in totals):
@@ -228,9 +254,13 @@ def load_files(
         for seq, message in rejected.items():
             outcome = outcomes[files[seq]["file_process_id"]]
             outcome.message, outcome.count = message, 0
-        kept = [(seq, file) for seq, file in numbered if seq not in rejected]
+        with_rows = {row[SEQ] for row in totals}
+        for seq, file in numbered:
+            if seq not in with_rows:  # nothing to load, and so no load folder
+                outcomes[file["file_process_id"]].status = SUCCESS
+        kept = [(s, file) for s, file in numbered if s in with_rows and s not in rejected]
         if not kept:
-            return outcomes
+            return
 
         one_by_one = len(kept) == 1 or any(
             row["n_undated"] for row in totals if row[SEQ] not in rejected
@@ -239,7 +269,7 @@ def load_files(
             one_by_one = open_census.where(F.col("n") > 1).first() is not None
         if one_by_one:
             _load_singly(spark, kept, census, target, load_id, prior_loads, options, outcomes)
-            return outcomes
+            return
 
         rows = _numbered_rows(spark, kept, options)
         sizes = with_chain(census, SEQ, key).groupBy(quoted(key), CHAIN).agg(F.sum("n").alias("n"))
@@ -261,7 +291,6 @@ def load_files(
         for _, file in kept:
             outcome = outcomes[file["file_process_id"]]
             outcome.status, outcome.load_id = SUCCESS, load_id
-        return outcomes
     finally:
         census.unpersist()
         if open_census is not None:
@@ -371,7 +400,8 @@ def run_pending(
     mode: str = "per_file",
     parallel: int = 2,
 ) -> DataFrame:
-    """Load every pending file; returns the run report, one row per file.
+    """Load every pending file; returns the run report, one row per file: ``status`` and
+    ``message``, rows read (``count``), rows without a defining value (``undated``), times.
 
     Files are grouped by table and loaded in the order of their registration, ``parallel`` tables
     at a time. Only file lists and contracts pass through the driver. Nothing is raised for a
@@ -389,8 +419,10 @@ def run_pending(
     if not files:
         return spark.createDataFrame([], REPORT_SCHEMA)
     targets = with_paths(pending, scheme).select("target_path")
-    prior = done_loads(steps).join(targets, "target_path", "left_semi").collect()
-    loads = {row["target_path"]: row["loads"] for row in prior}
+    loads = defaultdict(list)
+    prior = done_loads(steps).join(targets, "target_path", "left_semi")
+    for row in prior.orderBy("load_id").collect():
+        loads[row["target_path"]].append(row["load_id"])
     run_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
     by_target = defaultdict(list)
@@ -401,7 +433,7 @@ def run_pending(
         target, group = item
         start = dt.datetime.now()
         try:
-            outcomes = load_files(spark, group, target, run_id, loads.get(target, ()), options)
+            outcomes = load_files(spark, group, target, run_id, loads[target], options)
         except Exception as error:
             failed = Outcome(message=str(error))
             outcomes = {file["file_process_id"]: failed for file in group}
@@ -412,6 +444,7 @@ def run_pending(
                 outcome.status,
                 outcome.message,
                 outcome.count,
+                outcome.undated,
                 start,
                 end,
                 f"{run_id}-{file_id}",
@@ -441,11 +474,8 @@ def table_history(
     partition_col: str = DEFAULT_PARTITION,
 ) -> DataFrame:
     """A history table as the step log's successful loads left it."""
-    row = (
-        done_loads(current_steps(store.table(STEP_LOG)))
-        .where(F.col("target_path") == target)
-        .first()
-    )
-    if row is None:
+    steps = current_steps(store.table(STEP_LOG))
+    rows = done_loads(steps).where(F.col("target_path") == target).orderBy("load_id").collect()
+    if not rows:
         raise ValueError(f"no successful load of {target}")
-    return read_history(spark, target, row["loads"], partition_col)
+    return read_history(spark, target, [row["load_id"] for row in rows], partition_col)

@@ -288,10 +288,9 @@ ORACLE_SQL = {
                case when o_orderstatus = 'F' then 'load-1' end as load_id
         from orders""",
     "done_loads": """
-        select 'raw/' || o_custkey as target_path,
-               string_agg(lpad(cast(o_orderkey as varchar), 12, '0'), ',' order by o_orderkey)
-                   as loads
-        from orders where o_orderstatus = 'F' group by o_custkey""",
+        select distinct 'raw/' || o_custkey as target_path,
+               lpad(cast(o_orderkey as varchar), 12, '0') as load_id
+        from orders where o_orderstatus = 'F'""",
     "run_pending": f"""
         select 'events' as table_name, user_id as key, "hashKey", "hashData", "startDate",
                "endDate", date_loaded

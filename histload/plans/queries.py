@@ -13,6 +13,7 @@ from histload.names import DONE, ERROR, FAILED, STEP_LOAD, STEP_REGISTRATION, SU
 from histload.operators import scd2
 from histload.operators.audit import with_audit_columns, with_hashes
 from histload.operators.fold import ambiguous_batches, batch_census, fold_batches, fold_next
+from histload.operators.ordered import UNIQUE_KEYS, HotKeys
 from histload.plans.loads import (
     Feed,
     LoadOptions,
@@ -79,7 +80,9 @@ def audited_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _audited_events(events: DataFrame, load_date: str = LOAD_DATE) -> DataFrame:
+def _audited_events(
+    events: DataFrame, load_date: str = LOAD_DATE, hot: HotKeys | None = None
+) -> DataFrame:
     return with_audit_columns(
         events,
         key="user_id",
@@ -87,6 +90,7 @@ def _audited_events(events: DataFrame, load_date: str = LOAD_DATE) -> DataFrame:
         defining="ts",
         load_date=load_date,
         tiebreak=["event_id"],
+        hot=hot,
     )
 
 
@@ -109,7 +113,7 @@ def history_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Increment: each user's last event from the cut-over on."""
     events = table(spark, sf_dir, "events").where(F.col("ts") >= ntz(CUT_OVER))
-    return _audited_events(_last_per(events, "user_id"), "2024-02-02")
+    return _audited_events(_last_per(events, "user_id"), "2024-02-02", hot=UNIQUE_KEYS)
 
 
 def batch_after(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +184,12 @@ def scd2_merge_new_keys(spark, sf_dir):
 
     def audited(df):
         return with_audit_columns(
-            df, "c_custkey", ["c_acctbal", "c_mktsegment"], "asOf", load_date=LOAD_DATE
+            df,
+            "c_custkey",
+            ["c_acctbal", "c_mktsegment"],
+            "asOf",
+            load_date=LOAD_DATE,
+            hot=UNIQUE_KEYS,
         )
 
     known = customers.where(F.col("c_mktsegment") != "MACHINERY")
@@ -426,8 +435,7 @@ def done_loads(spark, sf_dir):
         F.when(F.col("o_orderstatus") == "F", DONE).otherwise(ERROR).alias("step_status"),
         F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("load_id"),
     )
-    loads = control.done_loads(steps)
-    return loads.withColumn("loads", F.array_join("loads", ","))
+    return control.done_loads(steps)
 
 
 # --- whole runs ------------------------------------------------------------------------------

@@ -7,8 +7,9 @@ target_table_partition``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from histload.names import DELIMITED
 
@@ -105,6 +106,13 @@ def build_contracts(columns: DataFrame, feeds: DataFrame) -> DataFrame:
     )
 
 
+def schema_for(contract: Row) -> StructType:
+    """The schema of one feed, all columns nullable; an unusable contract raises its problem."""
+    if contract["problem"] is not None:
+        raise ValueError(contract["problem"])
+    return StructType.fromDDL(contract["schema_ddl"])
+
+
 def with_contract(files: DataFrame, contracts: DataFrame) -> DataFrame:
     """File-log rows with their feed's contract; files of an unknown feed get a ``problem``."""
     known = contracts.withColumn("__known", F.lit(True))

@@ -114,16 +114,19 @@ def pending_files(
     registered = steps.where(_ended(STEP_REGISTRATION))
     if mode == "high_watermark":
         registered = registered.where(F.col("step_end_ts") > high_watermark(steps).scalar())
-        return file_log.join(registered.select("file_process_id"), "file_process_id", "left_semi")
+        return file_log.join(_file_ids(registered), "file_process_id", "left_semi")
     if mode == "per_file":
-        loaded = steps.where(_ended(STEP_LOAD)).select("file_process_id")
-        waiting = file_log.join(
-            registered.select("file_process_id"), "file_process_id", "left_semi"
-        )
+        waiting = file_log.join(_file_ids(registered), "file_process_id", "left_semi")
+        loaded = _file_ids(steps.where(_ended(STEP_LOAD)))
         return waiting.join(loaded, "file_process_id", "left_anti")
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def _file_ids(steps: DataFrame) -> DataFrame:
+    """The files of some steps, once each: a file may have very many steps."""
+    return steps.select("file_process_id").distinct()
+
+
 def registered_at(steps: DataFrame) -> DataFrame:
     """(``file_process_id``, ``registered_ts``): the end of each file's last registration."""
     return (
@@ -179,9 +182,6 @@ def _step_rows(df: DataFrame, **values: Column) -> DataFrame:
 
 
 def done_loads(steps: DataFrame) -> DataFrame:
-    """(``target_path``, ``loads``): each table's successful loads, oldest first."""
-    return (
-        steps.where(_ended(STEP_LOAD) & F.col("load_id").isNotNull())
-        .groupBy("target_path")
-        .agg(F.sort_array(F.collect_set("load_id")).alias("loads"))
-    )
+    """(``target_path``, ``load_id``): the tables' successful loads. Ids sort by age."""
+    loads = steps.where(_ended(STEP_LOAD) & F.col("load_id").isNotNull())
+    return loads.select("target_path", "load_id").distinct()

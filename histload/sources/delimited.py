@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from histload.names import quoted
+
 
 def read_delimited(
     spark: SparkSession,
@@ -26,16 +30,6 @@ def read_delimited(
     )
 
 
-def plain_path(path: Column) -> Column:
-    """A path without percent-encoding (a plus sign stays one) and without the local scheme."""
-    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return _without_local_scheme(decoded)
-
-
-def _without_local_scheme(path: Column) -> Column:
-    return F.regexp_replace(path, "^file:/+", "/")
-
-
 def read_numbered(
     spark: SparkSession,
     files: Sequence[tuple[str, int]],
@@ -45,23 +39,36 @@ def read_numbered(
 ) -> DataFrame:
     """One scan over (path, number) files; every row carries its file's number.
 
-    A path may be a folder, as Spark writes one per data set. A row that belongs to none of the
-    paths fails the job rather than being dropped.
+    A path may be a folder, as Spark writes one per data set. The numbers are looked up by the
+    file name Spark gives each row, in a table with one row per file of the scan.
     """
     rows = read_delimited(spark, [path for path, _ in files], schema, check_header)
-    names = rows.columns
-    numbers = spark.createDataFrame(list(files), "path string, number int").select(
-        _without_local_scheme(F.regexp_replace("path", "/+$", "")).alias("__path"), "number"
-    )
-    located = rows.withColumn("__file", plain_path(F.col("_metadata.file_path"))).withColumn(
-        "__folder", F.regexp_replace("__file", "/[^/]*$", "")
-    )
-    by_file = numbers.withColumnsRenamed({"__path": "__file", "number": "__by_file"})
-    by_folder = numbers.withColumnsRenamed({"__path": "__folder", "number": "__by_folder"})
-    unregistered = F.raise_error(F.concat(F.lit("row of an unregistered file: "), "__file"))
+    numbers = {_plain(path): place for path, place in files}
+    # Rows name a local file with one slash after the scheme, the list of files with three.
+    located = [
+        (re.sub("^file:/+", "file:/", file), _number_of(file, numbers))
+        for file in rows.inputFiles()
+    ]
+    lookup = spark.createDataFrame(located, f"__file string, {number} int")
+    unknown = F.raise_error(F.concat(F.lit("row of an unregistered file: "), "__file"))
+    names = [quoted(name) for name in rows.columns]
     return (
-        located.join(by_file, "__file", "left")
-        .join(by_folder, "__folder", "left")
-        .withColumn(number, F.coalesce("__by_file", "__by_folder", unregistered.cast("int")))
-        .select(*[F.col(f"`{name}`") for name in names], number)
+        rows.withColumn("__file", F.col("_metadata.file_path"))
+        .join(lookup, "__file", "left")
+        .select(*names, F.coalesce(number, unknown.cast("int")).alias(number))
     )
+
+
+def _plain(path: str) -> str:
+    """A path without the local scheme and without a slash at the end."""
+    return re.sub("^file:/+", "/", path).rstrip("/")
+
+
+def _number_of(file: str, numbers: dict[str, int]) -> int:
+    """The number of the registered path that is ``file`` or a folder above it."""
+    path = _plain(unquote(file))
+    while path:
+        if path in numbers:
+            return numbers[path]
+        path = path.rpartition("/")[0]
+    raise ValueError(f"no registered path for {file}")
