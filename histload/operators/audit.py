@@ -10,13 +10,8 @@ from pyspark.sql import functions as F
 
 from histload.functions.hashing import row_hash
 from histload.names import DEFAULT_PARTITION, END, HASH_DATA, HASH_KEY, START, quoted
-from histload.operators.ordered import (
-    ROWS_PER_SLICE,
-    HotKeys,
-    find_hot_keys,
-    group_sizes,
-    ordered_rows,
-)
+from histload.operators.ordered import ordered_rows
+from histload.operators.skew import ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 
 
 def load_date_column(load_date: str | dt.date | None) -> Column:

@@ -8,14 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histload.names import END, HASH_DATA, START, quoted
-from histload.operators.ordered import (
-    ROWS_PER_SLICE,
-    HotKeys,
-    find_hot_keys,
-    group_sizes,
-    ordered_rows,
-)
+from histload.operators.ordered import ordered_rows
 from histload.operators.scd2 import closed_rows, current_rows
+from histload.operators.skew import ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 
 CHAIN = "__chain"
 PRIOR = -1  # the place of a table's open rows, before every batch

@@ -10,52 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from math import ceil
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from histload.names import quoted
+from histload.operators.skew import HotKeys, split_hot
 from histload.session import shared_folder
 
-ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 10_000
-
 SLICE, COPY, ROW = "__slice", "__copy", "__row"
 NOT_SLICED = -1
 
 
-@dataclass(frozen=True)
-class HotKeys:
-    """Keys with more than ``limit`` rows; at most MAX_SLICES of them, by choice of the limit."""
-
-    rows: list[Row]
-    limit: int
-    total: int = 0  # rows of all keys
-
-    @property
-    def slices(self) -> int:
-        return sum(ceil(row["n"] / self.limit) for row in self.rows)
-
-
-UNIQUE_KEYS = HotKeys([], ROWS_PER_SLICE)  # for rows known to be unique by key: nothing to count
-
-
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("n"))
-
-
-def find_hot_keys(sizes: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> HotKeys:
-    """Hot keys from a table of (key columns, ``n``). One small job, a second one if there are any."""
-    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
-    if largest is None or largest <= rows_per_slice:
-        return HotKeys([], rows_per_slice, total or 0)
-    # Fewer than MAX_SLICES keys can each hold more than total / MAX_SLICES rows.
-    limit = max(rows_per_slice, total // MAX_SLICES)
-    return HotKeys(sizes.where(F.col("n") > limit).collect(), limit, total)
-
-
 @dataclass(frozen=True)
 class OrderedRows:
     """Rows with a total order inside each key (up to rows that are equal in every column)."""
@@ -144,29 +110,16 @@ def ordered_rows(
     if not hot.rows:
         return OrderedRows(rows, tuple(keys), order)
 
-    shared_folder(df.sparkSession)
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType) for key in keys])
-    hot_keys = df.sparkSession.createDataFrame(
-        [tuple(row[key] for key in keys) for row in hot.rows], schema
-    ).withColumnsRenamed({key: f"__hot_{key}" for key in keys})
-    same_key = F.lit(True)
-    for key in keys:
-        same_key &= F.col(quoted(key)).eqNullSafe(F.col(quoted(f"__hot_{key}")))
-    hot_keys = F.broadcast(hot_keys)  # at most MAX_SLICES rows
-
     # The copy number lets even equal rows fall into different slices. The checkpoint fixes it
     # and the slice borders for everything that reads the rows afterwards.
+    shared_folder(df.sparkSession)
+    others, hot_rows = split_hot(rows, keys, hot)
     order = (*order, COPY)
     slices = (
-        rows.join(hot_keys, same_key, "left_semi")
-        .withColumn(COPY, F.monotonically_increasing_id())
+        hot_rows.withColumn(COPY, F.monotonically_increasing_id())
         .repartitionByRange(hot.slices, *map(quoted, (*keys, *order)))
         .withColumn(SLICE, F.spark_partition_id())
         .checkpoint()
     )
-    others = (
-        rows.join(hot_keys, same_key, "left_anti")
-        .withColumn(COPY, F.lit(0).cast("long"))
-        .withColumn(SLICE, F.lit(NOT_SLICED))
-    )
+    others = others.withColumn(COPY, F.lit(0).cast("long")).withColumn(SLICE, F.lit(NOT_SLICED))
     return OrderedRows(others.unionByName(slices), tuple(keys), order, sliced=True)

@@ -3,6 +3,10 @@
 ``batch`` and ``history`` carry the audit columns. A history row is open while its ``endDate``
 is NULL. The batch that arrives last wins, whatever its defining values: it closes the open row
 with its own start date even if that lies earlier.
+
+The operators read ``batch`` and ``history`` several times, so both should be tables or persisted
+rather than long computations. Where batch rows are joined, ``hot`` names the batch's hot keys;
+if it is not given, they are found by counting, in a job of its own.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histload.names import END, HASH_DATA, MERGE_KEY, START, quoted
+from histload.operators.skew import HotKeys, find_hot_keys, group_sizes, join_on_key
 
 
 def current_rows(history: DataFrame) -> DataFrame:
@@ -34,17 +39,28 @@ def _open_hashes(history: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return hashes.join(keys, F.col("__key") == F.col("__batch_key"), "left_semi")
 
 
-def changed_rows(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
+def _with_open_hash(
+    batch: DataFrame, history: DataFrame, key: str, how: str, hot: HotKeys | None
+) -> DataFrame:
+    if hot is None:
+        hot = find_hot_keys(group_sizes(batch, [key]))
+    return join_on_key(batch, _open_hashes(history, batch, key), key, "__key", how, hot)
+
+
+def changed_rows(
+    batch: DataFrame, history: DataFrame, key: str, hot: HotKeys | None = None
+) -> DataFrame:
     """Batch rows whose key has an open row with another data hash."""
-    hashes = _open_hashes(history, batch, key)
     return (
-        batch.join(hashes, F.col(quoted(key)) == F.col("__key"), "inner")
+        _with_open_hash(batch, history, key, "inner", hot)
         .where(F.col(HASH_DATA) != F.col("__hash"))
         .select(*map(quoted, batch.columns))
     )
 
 
-def stage_updates(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
+def stage_updates(
+    batch: DataFrame, history: DataFrame, key: str, hot: HotKeys | None = None
+) -> DataFrame:
     """The merge input: every batch row under its key, changed rows once more under NULL.
 
     The keyed copy meets the open row and closes it (or is inserted, for a new key); the NULL
@@ -52,7 +68,8 @@ def stage_updates(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
     without the second copy; this form is for catalogs with a MERGE of their own.
     """
     key_type = batch.schema[key].dataType
-    inserts = changed_rows(batch, history, key).withColumn(MERGE_KEY, F.lit(None).cast(key_type))
+    changed = changed_rows(batch, history, key, hot)
+    inserts = changed.withColumn(MERGE_KEY, F.lit(None).cast(key_type))
     keyed = batch.withColumn(MERGE_KEY, F.col(quoted(key)))
     columns = [MERGE_KEY, *map(quoted, batch.columns)]
     return inserts.select(*columns).unionByName(keyed.select(*columns), allowMissingColumns=True)
@@ -105,28 +122,34 @@ def closed_by_batch(open_rows: DataFrame, batch: DataFrame, key: str) -> DataFra
     return keyed.unionByName(open_rows.where(F.col(quoted(key)).isNull()))
 
 
-def rows_to_insert(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
+def rows_to_insert(
+    batch: DataFrame, history: DataFrame, key: str, hot: HotKeys | None = None
+) -> DataFrame:
     """Batch rows that become history rows: new keys, NULL keys and changed data."""
-    hashes = _open_hashes(history, batch, key)
+    has_key = F.col(quoted(key)).isNotNull()
     keyed = (
-        batch.where(F.col(quoted(key)).isNotNull())
-        .join(hashes, F.col(quoted(key)) == F.col("__key"), "left")
+        _with_open_hash(batch.where(has_key), history, key, "left", hot)
         .where(F.col("__key").isNull() | (F.col("__hash") != F.col(HASH_DATA)))
         .select(*map(quoted, batch.columns))
     )
-    return keyed.unionByName(batch.where(F.col(quoted(key)).isNull()))
+    return keyed.unionByName(batch.where(~has_key))
 
 
-def merge_open(open_rows: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def merge_open(
+    open_rows: DataFrame, batch: DataFrame, key: str, hot: HotKeys | None = None
+) -> DataFrame:
     """What one load writes: the former open rows (now open or closed) and the new rows.
 
     Columns only one side has are NULL on the other.
     """
     updated = closed_by_batch(open_rows, batch, key)
-    return updated.unionByName(rows_to_insert(batch, open_rows, key), allowMissingColumns=True)
+    inserted = rows_to_insert(batch, open_rows, key, hot)
+    return updated.unionByName(inserted, allowMissingColumns=True)
 
 
-def merge_next(history: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def merge_next(
+    history: DataFrame, batch: DataFrame, key: str, hot: HotKeys | None = None
+) -> DataFrame:
     """The whole history after merging one batch. Merging the same batch again changes nothing."""
-    merged = merge_open(current_rows(history), batch, key)
+    merged = merge_open(current_rows(history), batch, key, hot)
     return closed_rows(history).unionByName(merged, allowMissingColumns=True)

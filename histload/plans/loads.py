@@ -24,8 +24,8 @@ from histload.operators.fold import (
     fold_open,
     with_chain,
 )
-from histload.operators.ordered import ROWS_PER_SLICE, find_hot_keys, group_sizes
 from histload.operators.scd2 import ambiguous_keys, merge_open
+from histload.operators.skew import ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 from histload.sources.contracts import build_contracts, with_contract
 from histload.sources.control import (
     FEEDS,
@@ -105,6 +105,7 @@ def merge_load(
     load_id: str,
     prior_loads: Sequence[str],
     partition_col: str = DEFAULT_PARTITION,
+    hot: HotKeys | None = None,
     checked: bool = False,
 ) -> None:
     """Merge an audited batch into a history table. ``checked``: it is known not to be ambiguous."""
@@ -114,7 +115,7 @@ def merge_load(
         clash = None if checked else ambiguous_keys(batch, open_rows, key).first()
         if clash is not None:
             raise AmbiguousBatch(_ambiguous(key, clash[key], clash["n"]))
-        write_load(merge_open(open_rows, batch, key), path, load_id, partition_col)
+        write_load(merge_open(open_rows, batch, key, hot), path, load_id, partition_col)
     finally:
         batch.unpersist()
 
@@ -155,7 +156,9 @@ def _load_rows(rows, feed, target, load_id, prior_loads, options, hot, checked=F
         hot=hot,
     )
     if prior_loads:
-        merge_load(batch, target, feed.key_col, load_id, prior_loads, feed.partition_col, checked)
+        merge_load(
+            batch, target, feed.key_col, load_id, prior_loads, feed.partition_col, hot, checked
+        )
     else:
         first_load(batch, target, load_id, feed.partition_col)
 

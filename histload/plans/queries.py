@@ -13,7 +13,7 @@ from histload.names import DONE, ERROR, FAILED, STEP_LOAD, STEP_REGISTRATION, SU
 from histload.operators import scd2
 from histload.operators.audit import with_audit_columns, with_hashes
 from histload.operators.fold import ambiguous_batches, batch_census, fold_batches, fold_next
-from histload.operators.ordered import UNIQUE_KEYS, HotKeys
+from histload.operators.skew import UNIQUE_KEYS, HotKeys
 from histload.plans.loads import (
     Feed,
     LoadOptions,
@@ -159,18 +159,19 @@ def current_rows(spark, sf_dir):
 
 def changed_rows(spark, sf_dir):
     return scd2.changed_rows(
-        batch_after(spark, sf_dir), history_before(spark, sf_dir), "user_id"
+        batch_after(spark, sf_dir), history_before(spark, sf_dir), "user_id", UNIQUE_KEYS
     )
 
 
 def staged_updates(spark, sf_dir):
     return scd2.stage_updates(
-        batch_after(spark, sf_dir), history_before(spark, sf_dir), "user_id"
+        batch_after(spark, sf_dir), history_before(spark, sf_dir), "user_id", UNIQUE_KEYS
     )
 
 
 def scd2_merge(spark, sf_dir):
-    return scd2.merge_next(history_before(spark, sf_dir), batch_after(spark, sf_dir), "user_id")
+    history, batch = history_before(spark, sf_dir), batch_after(spark, sf_dir)
+    return scd2.merge_next(history, batch, "user_id", UNIQUE_KEYS)
 
 
 def scd2_merge_new_keys(spark, sf_dir):
@@ -193,13 +194,13 @@ def scd2_merge_new_keys(spark, sf_dir):
         )
 
     known = customers.where(F.col("c_mktsegment") != "MACHINERY")
-    return scd2.merge_next(stored(audited(known)), stored(audited(later)), "c_custkey")
+    return scd2.merge_next(stored(audited(known)), stored(audited(later)), "c_custkey", UNIQUE_KEYS)
 
 
 def scd2_merge_evolving(spark, sf_dir):
     """The batch has a column the table lacks so far."""
     batch = batch_after(spark, sf_dir).withColumn("value_band", F.floor(F.col("value") / 10))
-    return scd2.merge_next(history_before(spark, sf_dir), batch, "user_id")
+    return scd2.merge_next(history_before(spark, sf_dir), batch, "user_id", UNIQUE_KEYS)
 
 
 def ambiguous_keys(spark, sf_dir):
@@ -265,7 +266,7 @@ def first_load_roundtrip(spark, sf_dir):
 def merge_load_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "events_history")
     first_load(events_before(spark, sf_dir), path, "load-1")
-    merge_load(events_after(spark, sf_dir), path, "user_id", "load-2", ["load-1"])
+    merge_load(events_after(spark, sf_dir), path, "user_id", "load-2", ["load-1"], hot=UNIQUE_KEYS)
     return read_history(spark, path, ["load-1", "load-2"])
 
 
@@ -273,7 +274,7 @@ def open_rows_after_merge(spark, sf_dir):
     """The open part of the table alone, as the next load reads it."""
     path = scratch_path(spark, "events_history")
     first_load(events_before(spark, sf_dir), path, "load-1")
-    merge_load(events_after(spark, sf_dir), path, "user_id", "load-2", ["load-1"])
+    merge_load(events_after(spark, sf_dir), path, "user_id", "load-2", ["load-1"], hot=UNIQUE_KEYS)
     return read_open(spark, path, "load-2")
 
 

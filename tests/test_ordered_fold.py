@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from histload.operators.audit import with_audit_columns, with_hashes
 from histload.operators.fold import ambiguous_batches, batch_census, fold_batches, fold_next
-from histload.operators.ordered import find_hot_keys, group_sizes, ordered_rows
-from histload.operators.scd2 import merge_next
+from histload.operators.ordered import ordered_rows
+from histload.operators.scd2 import changed_rows, merge_next, rows_to_insert
+from histload.operators.skew import find_hot_keys, group_sizes
 
 SCHEMA = "id int, v string, d int"
 
@@ -130,3 +131,18 @@ def test_ambiguous_batches(spark):
     assert plain(ambiguous_batches(census, "seq", "id")) == [(1, 1, 2)]
     open_keys = spark.createDataFrame([(9,)], "id int")
     assert plain(ambiguous_batches(census, "seq", "id", open_keys)) == [(2, 9, 2)]
+
+
+def test_merge_joins_with_hot_keys(spark, skewed):
+    """A hot key the table knows and one it does not, against the joins without a split."""
+    batch = with_audit_columns(skewed, "id", ["v"], "d", load_date="2024-01-01", tiebreak=["v"])
+    known = spark.createDataFrame([(7, "a", 1), (3, "b", 1), (99, "a", 1)], SCHEMA)
+    history = with_audit_columns(known, "id", ["v"], "d", load_date="2024-01-01")
+    hot = find_hot_keys(group_sizes(batch, ["id"]), rows_per_slice=50)
+    assert hot.rows
+    for operator in (changed_rows, rows_to_insert):
+        assert plain(operator(batch, history, "id", hot)) == plain(operator(batch, history, "id"))
+    unknown = history.where("id <> 7")
+    assert plain(rows_to_insert(batch, unknown, "id", hot)) == plain(
+        rows_to_insert(batch, unknown, "id")
+    )
