@@ -21,6 +21,13 @@ def load_date_column(load_date: str | dt.date | None) -> Column:
     return F.lit(str(load_date))
 
 
+def _check_names(df: DataFrame, partition_col: str) -> None:
+    added = [HASH_KEY, HASH_DATA, START, END, partition_col]
+    taken = {name.lower() for name in df.columns} & {name.lower() for name in added}
+    if taken:
+        raise ValueError(f"batch columns clash with audit columns: {sorted(taken)}")
+
+
 def with_hashes(
     df: DataFrame,
     key: str,
@@ -31,10 +38,7 @@ def with_hashes(
     null_token: str | None = None,
 ) -> DataFrame:
     """Every audit column but the end of validity, which depends on the key's other rows."""
-    added = [HASH_KEY, HASH_DATA, START, END, partition_col]
-    taken = {name.lower() for name in df.columns} & {name.lower() for name in added}
-    if taken:
-        raise ValueError(f"batch columns clash with audit columns: {sorted(taken)}")
+    _check_names(df, partition_col)
     return df.withColumns(
         {
             HASH_KEY: row_hash([key], null_token),
@@ -64,11 +68,15 @@ def with_audit_columns(
     ``tiebreak``, then by a hash of the row. Rows with a NULL key form one chain.
 
     Counting rows per key (to find hot keys) is a job of its own over the key column, run here
-    unless the caller passes ``hot``.
+    unless the caller passes ``hot``. The hashes are made after the shuffle by key, which would
+    otherwise carry their 128 characters per row.
     """
-    hashed = with_hashes(df, key, data_cols, defining, partition_col, load_date, null_token)
+    _check_names(df, partition_col)
     if hot is None:
         hot = find_hot_keys(group_sizes(df, [key]), rows_per_slice)
-    rows = ordered_rows(hashed, [key], [START, *tiebreak], hot).with_next(END, START).result()
+    rows = ordered_rows(df, [key], [defining, *tiebreak], hot)
+    ended = "__end"
+    rows = rows.with_next(ended, defining).result()
+    rows = with_hashes(rows, key, data_cols, defining, partition_col, load_date, null_token)
     columns = [*df.columns, HASH_KEY, HASH_DATA, START, END, partition_col]
-    return rows.select(*map(quoted, columns))
+    return rows.withColumnRenamed(ended, END).select(*map(quoted, columns))

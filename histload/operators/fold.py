@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histload.names import END, HASH_DATA, START, quoted
+from histload.names import DEFAULT_PARTITION, END, HASH_DATA, HASH_KEY, START, quoted
 from histload.operators.ordered import ordered_rows
 from histload.operators.scd2 import closed_rows, current_rows
 from histload.operators.skew import ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
@@ -28,6 +28,7 @@ def fold_batches(
     tiebreak: Sequence[str] = (),
     rows_per_slice: int = ROWS_PER_SLICE,
     hot: HotKeys | None = None,
+    partition_col: str = DEFAULT_PARTITION,
 ) -> DataFrame:
     """History made by merging the batches in the order of ``seq`` (integer) into an empty table.
 
@@ -38,7 +39,8 @@ def fold_batches(
     rows = with_chain(batches, seq, key)
     if hot is None:
         hot = find_hot_keys(group_sizes(rows, [key, CHAIN]), rows_per_slice)
-    ordered = ordered_rows(rows, [key, CHAIN], [seq, START, *tiebreak], hot, [seq, CHAIN])
+    added = [seq, CHAIN, HASH_KEY, HASH_DATA, START, partition_col]
+    ordered = ordered_rows(rows, [key, CHAIN], [seq, START, *tiebreak], hot, added)
     kept = (
         ordered.with_first("__first", seq)
         .with_previous("__hash_before", HASH_DATA)
@@ -51,7 +53,7 @@ def fold_batches(
     return kept.with_next(END, START).result().drop(CHAIN, "__first", "__hash_before")
 
 
-def fold_open(
+def fold_parts(
     open_rows: DataFrame,
     batches: DataFrame,
     seq: str,
@@ -60,22 +62,28 @@ def fold_open(
     rows_per_slice: int = ROWS_PER_SLICE,
     hot: HotKeys | None = None,
     batch_keys: DataFrame | None = None,
-) -> DataFrame:
-    """What folding the batches onto a table's open rows writes: open and closed rows.
-
-    Only open rows whose key occurs in a batch enter the fold; the others pass by, without a
-    shuffle where the batches' keys are few enough to broadcast. ``batch_keys`` (one column, the
-    batches' keys, repeats allowed) spares a pass over the batches to find them.
+    partition_col: str = DEFAULT_PARTITION,
+) -> tuple[DataFrame, DataFrame]:
+    """What folding the batches onto a table's open rows writes, as (open rows whose key is in no
+    batch, all rows of the batches' keys).
+
+    Only the second part enters the fold; for small batches the first is passed on without a
+    shuffle. ``batch_keys`` (one column, the batches' keys, repeats allowed) spares a pass over
+    the batches to find them.
     """
+    if hot is None:
+        sizes = group_sizes(with_chain(batches, seq, key), [key, CHAIN])
+        hot = find_hot_keys(sizes, rows_per_slice)
     if batch_keys is None:
         batch_keys = batches.select(quoted(key))
     keys = batch_keys.toDF("__key").where(F.col("__key").isNotNull()).distinct()
+    keys = F.broadcast(keys) if hot.small else keys
     same_key = F.col(quoted(key)) == F.col("__key")
     touched = open_rows.join(keys, same_key, "left_semi").drop(END)
     untouched = open_rows.join(keys, same_key, "left_anti")
     rows = touched.withColumn(seq, F.lit(PRIOR)).unionByName(batches, allowMissingColumns=True)
-    folded = fold_batches(rows, seq, key, tiebreak, rows_per_slice, hot)
-    return untouched.unionByName(folded.drop(seq), allowMissingColumns=True)
+    folded = fold_batches(rows, seq, key, tiebreak, rows_per_slice, hot, partition_col)
+    return untouched, folded.drop(seq)
 
 
 def fold_next(
@@ -85,10 +93,22 @@ def fold_next(
     key: str,
     tiebreak: Sequence[str] = (),
     rows_per_slice: int = ROWS_PER_SLICE,
+    hot: HotKeys | None = None,
+    partition_col: str = DEFAULT_PARTITION,
 ) -> DataFrame:
     """The whole history after folding the batches onto it."""
-    folded = fold_open(current_rows(history), batches, seq, key, tiebreak, rows_per_slice)
-    return closed_rows(history).unionByName(folded, allowMissingColumns=True)
+    untouched, folded = fold_parts(
+        current_rows(history),
+        batches,
+        seq,
+        key,
+        tiebreak,
+        rows_per_slice,
+        hot,
+        partition_col=partition_col,
+    )
+    prior = closed_rows(history).unionByName(untouched)
+    return prior.unionByName(folded, allowMissingColumns=True)
 
 
 def batch_census(batches: DataFrame, seq: str, key: str) -> DataFrame:

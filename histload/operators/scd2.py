@@ -26,16 +26,19 @@ def closed_rows(history: DataFrame) -> DataFrame:
     return history.where(F.col(END).isNotNull())
 
 
-def _open_hashes(history: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def _open_hashes(
+    history: DataFrame, batch: DataFrame, key: str, small: bool = False
+) -> DataFrame:
     """(``__key``, ``__hash``) of the open rows whose key occurs in the batch.
 
-    The semi join keeps this no larger than the batch needs: with a batch small enough to
-    broadcast, the open rows are filtered where they are read and never shuffled.
+    The semi join keeps this no larger than the batch needs: with a ``small`` batch, the open
+    rows are filtered where they are read and never shuffled.
     """
     hashes = current_rows(history).select(
         F.col(quoted(key)).alias("__key"), F.col(HASH_DATA).alias("__hash")
     )
     keys = batch.select(F.col(quoted(key)).alias("__batch_key")).distinct()
+    keys = F.broadcast(keys) if small else keys
     return hashes.join(keys, F.col("__key") == F.col("__batch_key"), "left_semi")
 
 
@@ -44,7 +47,8 @@ def _with_open_hash(
 ) -> DataFrame:
     if hot is None:
         hot = find_hot_keys(group_sizes(batch, [key]))
-    return join_on_key(batch, _open_hashes(history, batch, key), key, "__key", how, hot)
+    hashes = _open_hashes(history, batch, key, hot.small)
+    return join_on_key(batch, hashes, key, "__key", how, hot)
 
 
 def changed_rows(
@@ -88,11 +92,13 @@ def ambiguous_keys(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
     return several.join(open_keys, F.col(quoted(key)) == F.col("__key"), "left_semi")
 
 
-def closed_by_batch(open_rows: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def closed_by_batch(
+    open_rows: DataFrame, batch: DataFrame, key: str, small: bool = False
+) -> DataFrame:
     """The open rows, with ``endDate`` set where the batch brings another version of the key.
 
-    The batch is reduced to one narrow row per key before the join. Several batch rows for an
-    open key fail the job.
+    The batch is reduced to one narrow row per key before the join, and broadcast if it is
+    ``small``. Several batch rows for an open key fail the job.
     """
     per_key = (
         batch.where(F.col(quoted(key)).isNotNull())
@@ -103,6 +109,7 @@ def closed_by_batch(open_rows: DataFrame, batch: DataFrame, key: str) -> DataFra
             F.max(START).alias("__start"),
         )
     )
+    per_key = F.broadcast(per_key) if small else per_key
     message = F.concat(
         F.lit(f"several batch rows for one open key, {key} = "),
         F.col(quoted(key)).cast("string"),
@@ -135,15 +142,34 @@ def rows_to_insert(
     return keyed.unionByName(batch.where(~has_key))
 
 
+def _merge(open_rows, batch, key, hot) -> tuple[DataFrame, DataFrame]:
+    if hot is None:
+        hot = find_hot_keys(group_sizes(batch, [key]))
+    updated = closed_by_batch(open_rows, batch, key, hot.small)
+    return updated, rows_to_insert(batch, open_rows, key, hot)
+
+
+def merge_parts(
+    open_rows: DataFrame, batch: DataFrame, key: str, hot: HotKeys | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """What one load writes, as (rows that stay open, rows closed or brought by the batch).
+
+    The second part is no larger than the batch needs. For a small batch the first part is read,
+    joined and passed on without a shuffle.
+    """
+    updated, inserted = _merge(open_rows, batch, key, hot)
+    moved = closed_rows(updated).unionByName(inserted, allowMissingColumns=True)
+    return current_rows(updated), moved
+
+
 def merge_open(
     open_rows: DataFrame, batch: DataFrame, key: str, hot: HotKeys | None = None
 ) -> DataFrame:
-    """What one load writes: the former open rows (now open or closed) and the new rows.
+    """Both parts in one: the former open rows (now open or closed) and the new rows.
 
     Columns only one side has are NULL on the other.
     """
-    updated = closed_by_batch(open_rows, batch, key)
-    inserted = rows_to_insert(batch, open_rows, key, hot)
+    updated, inserted = _merge(open_rows, batch, key, hot)
     return updated.unionByName(inserted, allowMissingColumns=True)
 
 

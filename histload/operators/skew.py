@@ -14,6 +14,8 @@ from histload.names import quoted
 
 ROWS_PER_SLICE = 2_000_000
 MAX_SLICES = 10_000
+# Up to this many batch rows, a batch's keys (with one hash and one date each) are broadcast.
+BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -22,12 +24,16 @@ class HotKeys:
 
     rows: list[Row]
     limit: int
-    total: int = 0  # rows of all keys
+    total: int | None = None  # rows of all keys, if they were counted
 
     @property
     def slices(self) -> int:
         return sum(ceil(row["n"] / self.limit) for row in self.rows)
 
+    @property
+    def small(self) -> bool:
+        return self.total is not None and self.total <= BROADCAST_ROWS
+
 
 UNIQUE_KEYS = HotKeys([], ROWS_PER_SLICE)  # for rows known to be unique by key: nothing to count
 

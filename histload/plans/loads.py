@@ -21,10 +21,10 @@ from histload.operators.fold import (
     ambiguous_batches,
     batch_census,
     fold_batches,
-    fold_open,
+    fold_parts,
     with_chain,
 )
-from histload.operators.scd2 import ambiguous_keys, merge_open
+from histload.operators.scd2 import ambiguous_keys, merge_parts
 from histload.operators.skew import ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 from histload.sources.contracts import build_contracts, with_contract
 from histload.sources.control import (
@@ -41,7 +41,7 @@ from histload.sources.control import (
     registered_at,
 )
 from histload.sources.delimited import read_delimited, read_numbered
-from histload.sources.history import read_history, read_open, write_load
+from histload.sources.history import read_history, read_open, write_load, write_parts
 
 SEQ = "__seq"
 
@@ -95,7 +95,7 @@ def first_load(
     df: DataFrame, path: str, load_id: str, partition_col: str = DEFAULT_PARTITION
 ) -> None:
     """Start a history table with an audited batch; all versions in it are kept."""
-    write_load(df, path, load_id, partition_col, many_dates=False)
+    write_load(df, path, load_id, partition_col)
 
 
 def merge_load(
@@ -115,7 +115,10 @@ def merge_load(
         clash = None if checked else ambiguous_keys(batch, open_rows, key).first()
         if clash is not None:
             raise AmbiguousBatch(_ambiguous(key, clash[key], clash["n"]))
-        write_load(merge_open(open_rows, batch, key, hot), path, load_id, partition_col)
+        if hot is None:
+            hot = find_hot_keys(group_sizes(batch, [key]))
+        kept, moved = merge_parts(open_rows, batch, key, hot)
+        write_parts(kept, moved, path, load_id, partition_col, kept_in_place=hot.small)
     finally:
         batch.unpersist()
 
@@ -279,9 +282,12 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
         hot = find_hot_keys(sizes, options.rows_per_slice)
         tiebreak = options.tiebreak_of(rows)
         if open_rows is None:
-            folded = fold_batches(rows, SEQ, key, tiebreak, hot=hot).drop(SEQ)
+            folded = fold_batches(
+                rows, SEQ, key, tiebreak, hot=hot, partition_col=partition_col
+            )
+            write_load(folded.drop(SEQ), target, load_id, partition_col)
         else:
-            folded = fold_open(
+            untouched, folded = fold_parts(
                 open_rows,
                 rows,
                 SEQ,
@@ -289,8 +295,9 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
                 tiebreak,
                 hot=hot,
                 batch_keys=census.select(quoted(key)),
+                partition_col=partition_col,
             )
-        write_load(folded, target, load_id, partition_col, many_dates=open_rows is not None)
+            write_parts(untouched, folded, target, load_id, partition_col, hot.small)
         for _, file in kept:
             outcome = outcomes[file["file_process_id"]]
             outcome.status, outcome.load_id = SUCCESS, load_id

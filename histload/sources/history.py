@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from histload.names import DEFAULT_PARTITION, END
+from histload.names import DEFAULT_PARTITION, END, quoted
 
 LOAD, STATE, OPEN, CLOSED = "load_id", "state", "open", "closed"
 
@@ -48,21 +48,41 @@ def write_load(
     path: str,
     load_id: str,
     partition_col: str = DEFAULT_PARTITION,
-    many_dates: bool = True,
 ) -> None:
-    """Write what a load leaves: ``rows`` of ``merge_open``, ``fold_open`` or a first load.
+    """Write what a load leaves, open and closed rows in one job."""
+    _with_state(rows).write.partitionBy(STATE, partition_col).parquet(_load_path(path, load_id))
 
-    Former open rows keep the date they arrived on. With ``many_dates`` they are gathered per
-    date before the write - AQE splits large dates and joins small ones - so that the number of
-    files does not grow with tasks times dates. A first load has one date and needs no gathering.
+
+def write_parts(
+    kept: DataFrame,
+    moved: DataFrame,
+    path: str,
+    load_id: str,
+    partition_col: str = DEFAULT_PARTITION,
+    kept_in_place: bool = False,
+) -> None:
+    """Write the two parts of ``merge_parts`` or ``fold_parts``.
+
+    Former open rows keep the date they arrived on, so a load may write many dates. Rows are
+    gathered per date before the write - AQE splits large dates and joins small ones - so that
+    the number of files does not grow with tasks times dates. With ``kept_in_place`` the kept
+    rows come straight from the files of the last load, where they lie together by date already.
     """
-    state = F.when(F.col(END).isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
-    rows = rows.withColumn(STATE, state)
-    if many_dates:
-        rows = rows.hint("rebalance", F.col(STATE), F.col(f"`{partition_col}`"))
+    kept, moved = _with_state(kept), _with_state(moved)
+    by_date = [F.col(STATE), F.col(quoted(partition_col))]
+    if kept_in_place:
+        moved = moved.hint("rebalance", *by_date)
+        rows = kept.unionByName(moved, allowMissingColumns=True)
+    else:
+        rows = kept.unionByName(moved, allowMissingColumns=True).hint("rebalance", *by_date)
     rows.write.partitionBy(STATE, partition_col).parquet(_load_path(path, load_id))
 
 
+def _with_state(rows: DataFrame) -> DataFrame:
+    state = F.when(F.col(END).isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
+    return rows.withColumn(STATE, state)
+
+
 def _load_path(path: str, load_id: str) -> str:
     return f"{path.rstrip('/')}/{LOAD}={load_id}"
 
@@ -93,4 +113,4 @@ def read_history(
         .parquet(*[_load_path(path, load_id) for load_id in loads])
     )
     wanted = (F.col(STATE) == CLOSED) | (F.col(LOAD) == loads[-1])
-    return rows.where(wanted).select(*[f"`{name}`" for name in current.columns])
+    return rows.where(wanted).select(*map(quoted, current.columns))

@@ -127,7 +127,9 @@ def test_two_files_in_one_run(landing):
     assert landing.run() == {}  # nothing waits any more
 
 
-def test_one_file_per_run(landing):
+@pytest.mark.parametrize("broadcast_rows", [0, 500_000])
+def test_one_file_per_run(landing, monkeypatch, broadcast_rows):
+    monkeypatch.setattr("histload.operators.skew.BROADCAST_ROWS", broadcast_rows)
     landing.add(1, "customer_20210720.csv", FULL_LOAD)
     landing.run()
     assert summary(landing.history()) == timed(AFTER_FULL_LOAD)
@@ -143,7 +145,9 @@ def test_one_file_per_run(landing):
     assert summary(landing.history()) == timed(AFTER_INCREMENT)
 
 
-def test_files_folded_onto_a_table(landing):
+@pytest.mark.parametrize("broadcast_rows", [0, 500_000])
+def test_files_folded_onto_a_table(landing, monkeypatch, broadcast_rows):
+    monkeypatch.setattr("histload.operators.skew.BROADCAST_ROWS", broadcast_rows)
     landing.add(1, "customer_1.csv", FULL_LOAD)
     landing.run()
     landing.add(2, "customer_2.csv", INCREMENT[:2])

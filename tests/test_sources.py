@@ -13,7 +13,14 @@ from histload.functions.paths import with_paths
 from histload.sources import control
 from histload.sources.contracts import build_contracts, schema_for, with_contract
 from histload.sources.delimited import read_delimited, read_numbered
-from histload.sources.history import append_evolving, read_evolving, read_history, write_load
+from histload.sources.history import (
+    append_evolving,
+    read_evolving,
+    read_history,
+    read_open,
+    write_load,
+    write_parts,
+)
 from tests.fixtures import CONTRACT, CONTRACT_SCHEMA, FEEDS_SCHEMA
 
 
@@ -149,7 +156,7 @@ def test_history_parts(spark, tmp_path):
     path = str(tmp_path / "h")
     schema = "id int, startDate int, endDate int, date_loaded string"
     first = spark.createDataFrame([(1, 1, 2, "d1"), (1, 2, None, "d1"), (2, 1, None, "d1")], schema)
-    write_load(first, path, "l1", many_dates=False)
+    write_load(first, path, "l1")
     failed = spark.createDataFrame([(9, 9, 9, "d9")], schema)
     write_load(failed, path, "l2")
     second = spark.createDataFrame(
@@ -167,6 +174,22 @@ def test_history_parts(spark, tmp_path):
     assert read_history(spark, path, ["l1"]).count() == 3
 
 
+@pytest.mark.parametrize("in_place", [True, False])
+def test_parts_of_a_load(spark, tmp_path, in_place):
+    path = str(tmp_path / "h")
+    schema = "id int, startDate int, endDate int, date_loaded string"
+    kept = spark.createDataFrame([(i, 1, None, f"d{i % 5}") for i in range(40)], schema)
+    moved = spark.createDataFrame(
+        [(i, 1, 2, f"d{i % 5}", "x") for i in range(40, 50)] + [(40, 2, None, "d9", "y")],
+        schema + ", extra string",
+    )
+    write_parts(kept.repartition(4), moved.repartition(4), path, "l1", kept_in_place=in_place)
+    assert read_open(spark, path, "l1").count() == 41
+    assert read_history(spark, path, ["l1"]).count() == 51
+    closed_files = list((tmp_path / "h" / "load_id=l1" / "state=closed").rglob("*.parquet"))
+    assert len(closed_files) == 5  # one per date, whatever the number of tasks
+
+
 STEPS = "step_id string, file_process_id bigint, step_name string, step_status string, s int, e int"
 
 
