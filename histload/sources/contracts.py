@@ -7,6 +7,8 @@ target_table_partition``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -48,33 +50,31 @@ def build_contracts(columns: DataFrame, feeds: DataFrame) -> DataFrame:
     A feed's group is one table's column list; the rows are aggregated, never joined pairwise.
     """
     is_key = F.col("col_ordinal") == F.col("primary_key_pos")
+    ddl = type_ddl(F.col("col_datatype"))
+    quoted_name = F.concat(
+        F.lit("`"), F.replace("col_name", F.lit("`"), F.lit("``")), F.lit("` ")
+    )
     column = F.struct(
         F.col("col_ordinal").alias("ordinal"),
         F.col("col_name").alias("name"),
         F.col("col_datatype").alias("datatype"),
-        type_ddl(F.col("col_datatype")).alias("ddl"),
+        F.concat(quoted_name, ddl).alias("ddl"),
         F.coalesce(is_key, F.lit(False)).alias("is_key"),
         F.coalesce(F.col("is_defining_col") == "Y", F.lit(False)).alias("is_defining"),
         F.coalesce((F.col("is_audit_col") == "N") & ~is_key, F.lit(False)).alias("is_data"),
     )
-    per_feed = columns.groupBy("fp_id").agg(F.array_sort(F.collect_list(column)).alias("cols"))
+    per_feed = columns.groupBy("fp_id").agg(F.sort_array(F.collect_list(column)).alias("cols"))
 
-    def names(role: str) -> Column:
-        return F.transform(F.filter("cols", lambda c: c[role]), lambda c: c["name"])
+    def names(test: Callable[[Column], Column]) -> Column:
+        return F.filter("cols", test)["name"]
 
-    quoted_name = lambda c: F.concat(
-        F.lit("`"), F.replace(c["name"], F.lit("`"), F.lit("``")), F.lit("` ")
-    )
-    unknown = F.transform(F.filter("cols", lambda c: c["ddl"].isNull()), lambda c: c["name"])
+    unknown = names(lambda c: c["ddl"].isNull())
     roles = per_feed.select(
         "fp_id",
-        F.when(
-            F.size(unknown) == 0,
-            F.array_join(F.transform("cols", lambda c: F.concat(quoted_name(c), c["ddl"])), ", "),
-        ).alias("schema_ddl"),
-        names("is_key").alias("key_cols"),
-        names("is_defining").alias("defining_cols"),
-        names("is_data").alias("data_cols"),
+        F.when(F.size(unknown) == 0, F.array_join(F.col("cols")["ddl"], ", ")).alias("schema_ddl"),
+        names(lambda c: c["is_key"]).alias("key_cols"),
+        names(lambda c: c["is_defining"]).alias("defining_cols"),
+        names(lambda c: c["is_data"]).alias("data_cols"),
         F.array_join(unknown, ", ").alias("unknown_types"),
     )
     partitions = F.split("target_table_partition", ",")
