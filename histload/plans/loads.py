@@ -24,7 +24,7 @@ from histload.operators.fold import (
     fold_parts,
     with_chain,
 )
-from histload.operators.scd2 import ambiguous_keys, merge_parts
+from histload.operators.scd2 import ambiguous_keys, merge_open, merge_parts
 from histload.operators.skew import ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 from histload.sources.contracts import build_contracts, with_contract
 from histload.sources.control import (
@@ -117,8 +117,12 @@ def merge_load(
             raise AmbiguousBatch(_ambiguous(key, clash[key], clash["n"]))
         if hot is None:
             hot = find_hot_keys(group_sizes(batch, [key]))
-        kept, moved = merge_parts(open_rows, batch, key, hot)
-        write_parts(kept, moved, path, load_id, partition_col, kept_in_place=hot.small)
+        if hot.small:
+            kept, moved = merge_parts(open_rows, batch, key, hot)
+            write_parts(kept, moved, path, load_id, partition_col)
+        else:
+            rows = merge_open(open_rows, batch, key, hot)
+            write_load(rows, path, load_id, partition_col, many_dates=True)
     finally:
         batch.unpersist()
 
@@ -297,7 +301,11 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
                 batch_keys=census.select(quoted(key)),
                 partition_col=partition_col,
             )
-            write_parts(untouched, folded, target, load_id, partition_col, hot.small)
+            if hot.small:
+                write_parts(untouched, folded, target, load_id, partition_col)
+            else:
+                merged = untouched.unionByName(folded, allowMissingColumns=True)
+                write_load(merged, target, load_id, partition_col, many_dates=True)
         for _, file in kept:
             outcome = outcomes[file["file_process_id"]]
             outcome.status, outcome.load_id = SUCCESS, load_id

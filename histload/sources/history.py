@@ -48,9 +48,18 @@ def write_load(
     path: str,
     load_id: str,
     partition_col: str = DEFAULT_PARTITION,
+    many_dates: bool = False,
 ) -> None:
-    """Write what a load leaves, open and closed rows in one job."""
-    _with_state(rows).write.partitionBy(STATE, partition_col).parquet(_load_path(path, load_id))
+    """Write what a load leaves, open and closed rows in one job.
+
+    Former open rows keep the date they arrived on. With ``many_dates`` the rows are gathered per
+    date first - AQE splits large dates and joins small ones - so that the number of files does
+    not grow with tasks times dates.
+    """
+    rows = _with_state(rows)
+    if many_dates:
+        rows = _gathered(rows, partition_col)
+    rows.write.partitionBy(STATE, partition_col).parquet(_load_path(path, load_id))
 
 
 def write_parts(
@@ -59,25 +68,21 @@ def write_parts(
     path: str,
     load_id: str,
     partition_col: str = DEFAULT_PARTITION,
-    kept_in_place: bool = False,
 ) -> None:
-    """Write the two parts of ``merge_parts`` or ``fold_parts``.
+    """Write the parts of ``merge_parts`` or ``fold_parts`` of a small batch.
 
-    Former open rows keep the date they arrived on, so a load may write many dates. Rows are
-    gathered per date before the write - AQE splits large dates and joins small ones - so that
-    the number of files does not grow with tasks times dates. With ``kept_in_place`` the kept
-    rows come straight from the files of the last load, where they lie together by date already.
+    The kept rows come straight from the files of the last load, where they lie together by date,
+    and are written as they come; only the moved rows are gathered.
     """
-    kept, moved = _with_state(kept), _with_state(moved)
-    by_date = [F.col(STATE), F.col(quoted(partition_col))]
-    if kept_in_place:
-        moved = moved.hint("rebalance", *by_date)
-        rows = kept.unionByName(moved, allowMissingColumns=True)
-    else:
-        rows = kept.unionByName(moved, allowMissingColumns=True).hint("rebalance", *by_date)
+    moved = _gathered(_with_state(moved), partition_col)
+    rows = _with_state(kept).unionByName(moved, allowMissingColumns=True)
     rows.write.partitionBy(STATE, partition_col).parquet(_load_path(path, load_id))
 
 
+def _gathered(rows: DataFrame, partition_col: str) -> DataFrame:
+    return rows.hint("rebalance", F.col(STATE), F.col(quoted(partition_col)))
+
+
 def _with_state(rows: DataFrame) -> DataFrame:
     state = F.when(F.col(END).isNull(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
     return rows.withColumn(STATE, state)

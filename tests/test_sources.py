@@ -183,7 +183,12 @@ def test_parts_of_a_load(spark, tmp_path, in_place):
         [(i, 1, 2, f"d{i % 5}", "x") for i in range(40, 50)] + [(40, 2, None, "d9", "y")],
         schema + ", extra string",
     )
-    write_parts(kept.repartition(4), moved.repartition(4), path, "l1", kept_in_place=in_place)
+    kept, moved = kept.repartition(4), moved.repartition(4)
+    if in_place:
+        write_parts(kept, moved, path, "l1")
+    else:
+        rows = kept.unionByName(moved, allowMissingColumns=True)
+        write_load(rows, path, "l1", many_dates=True)
     assert read_open(spark, path, "l1").count() == 41
     assert read_history(spark, path, ["l1"]).count() == 51
     closed_files = list((tmp_path / "h" / "load_id=l1" / "state=closed").rglob("*.parquet"))
