@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from histload.names import END, HASH_DATA, MERGE_KEY, START, quoted
 from histload.operators.skew import HotKeys, find_hot_keys, group_sizes, join_on_key
@@ -26,6 +27,12 @@ def closed_rows(history: DataFrame) -> DataFrame:
     return history.where(F.col(END).isNotNull())
 
 
+def is_small(batch: DataFrame, hot: HotKeys) -> bool:
+    """Whether the batch, as one row (key, hash, start date) per key, is known to fit a broadcast.
+    Start dates kept as text have no bound."""
+    return hot.small and not isinstance(batch.schema[START].dataType, (BinaryType, StringType))
+
+
 def _open_hashes(
     history: DataFrame, batch: DataFrame, key: str, small: bool = False
 ) -> DataFrame:
@@ -145,7 +152,7 @@ def rows_to_insert(
 def _merge(open_rows, batch, key, hot) -> tuple[DataFrame, DataFrame]:
     if hot is None:
         hot = find_hot_keys(group_sizes(batch, [key]))
-    updated = closed_by_batch(open_rows, batch, key, hot.small)
+    updated = closed_by_batch(open_rows, batch, key, is_small(batch, hot))
     return updated, rows_to_insert(batch, open_rows, key, hot)
 
 

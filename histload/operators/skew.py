@@ -14,8 +14,10 @@ from histload.names import quoted
 
 ROWS_PER_SLICE = 2_000_000
 MAX_SLICES = 10_000
-# Up to this many batch rows, a batch's keys (with one hash and one date each) are broadcast.
+# A batch's keys, with one hash and one date each, are broadcast up to this many rows and bytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 256 * 1024 * 1024
+BYTES_BESIDE_KEY = 200
 
 
 @dataclass(frozen=True)
@@ -25,6 +27,7 @@ class HotKeys:
     rows: list[Row]
     limit: int
     total: int | None = None  # rows of all keys, if they were counted
+    widest: int = 0  # bytes of the longest key as text
 
     @property
     def slices(self) -> int:
@@ -32,7 +35,10 @@ class HotKeys:
 
     @property
     def small(self) -> bool:
-        return self.total is not None and self.total <= BROADCAST_ROWS
+        """Whether one narrow row per batch row is known to fit a broadcast."""
+        if self.total is None or self.total > BROADCAST_ROWS:
+            return False
+        return self.total * (self.widest + BYTES_BESIDE_KEY) <= BROADCAST_BYTES
 
 
 UNIQUE_KEYS = HotKeys([], ROWS_PER_SLICE)  # for rows known to be unique by key: nothing to count
@@ -44,12 +50,14 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def find_hot_keys(sizes: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> HotKeys:
     """Hot keys from a table of (key columns, ``n``). One small job, a second one if there are any."""
-    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    keys = [F.col(quoted(name)).cast("string") for name in sizes.columns if name != "n"]
+    width = F.octet_length(F.concat_ws("", *keys))
+    total, largest, widest = sizes.agg(F.sum("n"), F.max("n"), F.max(width)).first()
     if largest is None or largest <= rows_per_slice:
-        return HotKeys([], rows_per_slice, total or 0)
+        return HotKeys([], rows_per_slice, total or 0, widest or 0)
     # Fewer than MAX_SLICES keys can each hold more than total / MAX_SLICES rows.
     limit = max(rows_per_slice, total // MAX_SLICES)
-    return HotKeys(sizes.where(F.col("n") > limit).collect(), limit, total)
+    return HotKeys(sizes.where(F.col("n") > limit).collect(), limit, total, widest)
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> tuple[DataFrame, DataFrame]:
@@ -79,7 +87,7 @@ def join_on_key(
         return left.join(right, on_key, how)
     others, hot_rows = split_hot(left, [key], hot)
     renamed = HotKeys(
-        [Row(**{right_key: row[key], "n": row["n"]}) for row in hot.rows], hot.limit, hot.total
+        [Row(**{right_key: row[key], "n": row["n"]}) for row in hot.rows], hot.limit
     )
     _, of_hot_keys = split_hot(right, [right_key], renamed)
     return others.join(right, on_key, how).unionByName(hot_rows.join(of_hot_keys, on_key, how))

@@ -24,7 +24,7 @@ from histload.operators.fold import (
     fold_parts,
     with_chain,
 )
-from histload.operators.scd2 import ambiguous_keys, merge_open, merge_parts
+from histload.operators.scd2 import ambiguous_keys, is_small, merge_open, merge_parts
 from histload.operators.skew import ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 from histload.sources.contracts import build_contracts, with_contract
 from histload.sources.control import (
@@ -117,7 +117,7 @@ def merge_load(
             raise AmbiguousBatch(_ambiguous(key, clash[key], clash["n"]))
         if hot is None:
             hot = find_hot_keys(group_sizes(batch, [key]))
-        if hot.small:
+        if is_small(batch, hot):
             kept, moved = merge_parts(open_rows, batch, key, hot)
             write_parts(kept, moved, path, load_id, partition_col)
         else:
