@@ -8,6 +8,10 @@ END = "endDate"
 MERGE_KEY = "mergeKey"
 DEFAULT_PARTITION = "date_loaded"
 
+# Folder levels of a history table above the load date; no data column may have these names.
+LOAD_FOLDER = "history_load"
+STATE_FOLDER = "history_state"
+
 # Step names, step states and file format of the control tables.
 STEP_REGISTRATION = "File Registration"
 STEP_LOAD = "Data Loader"

@@ -9,7 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histload.functions.hashing import row_hash
-from histload.names import DEFAULT_PARTITION, END, HASH_DATA, HASH_KEY, START, quoted
+from histload.names import (
+    DEFAULT_PARTITION,
+    END,
+    HASH_DATA,
+    HASH_KEY,
+    LOAD_FOLDER,
+    START,
+    STATE_FOLDER,
+    quoted,
+)
 from histload.operators.ordered import ordered_rows
 from histload.operators.skew import ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 
@@ -22,7 +31,7 @@ def load_date_column(load_date: str | dt.date | None) -> Column:
 
 
 def _check_names(df: DataFrame, partition_col: str) -> None:
-    added = [HASH_KEY, HASH_DATA, START, END, partition_col]
+    added = [HASH_KEY, HASH_DATA, START, END, partition_col, LOAD_FOLDER, STATE_FOLDER]
     taken = {name.lower() for name in df.columns} & {name.lower() for name in added}
     if taken:
         raise ValueError(f"batch columns clash with audit columns: {sorted(taken)}")

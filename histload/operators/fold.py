@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from histload.names import DEFAULT_PARTITION, END, HASH_DATA, HASH_KEY, START, quoted
 from histload.operators.ordered import ordered_rows
 from histload.operators.scd2 import closed_rows, current_rows
-from histload.operators.skew import ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
+from histload.operators.skew import ROWS, ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 
 CHAIN = "__chain"
+UNDATED = "__undated"
 PRIOR = -1  # the place of a table's open rows, before every batch
 
 
@@ -114,21 +115,21 @@ def fold_next(
 def batch_census(batches: DataFrame, seq: str, key: str) -> DataFrame:
     """Rows per (batch, key): what row counts, hot keys and ambiguity are told from."""
     return batches.groupBy(quoted(seq), quoted(key)).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(START).isNull()).alias("n_undated"),
+        F.count(F.lit(1)).alias(ROWS),
+        F.count_if(F.col(START).isNull()).alias(UNDATED),
     )
 
 
 def ambiguous_batches(
     census: DataFrame, seq: str, key: str, open_keys: DataFrame | None = None
 ) -> DataFrame:
-    """(``seq``, ``key``, ``n``) where a batch has several rows for a key that is open by then.
+    """(``seq``, ``key``, ``__rows``) where a batch has several rows for a key that is open by then.
 
     With ``open_keys`` (one column): keys the table has an open row for. Without: keys that an
     earlier batch brought.
     """
     census = census.where(F.col(quoted(key)).isNotNull())
-    several = census.where(F.col("n") > 1).select(quoted(seq), quoted(key), "n")
+    several = census.where(F.col(ROWS) > 1).select(quoted(seq), quoted(key), ROWS)
     same_key = F.col(quoted(key)) == F.col("__key")
     if open_keys is not None:
         return several.join(open_keys.toDF("__key"), same_key, "left_semi")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from histload.names import END, HASH_DATA, MERGE_KEY, START, quoted
-from histload.operators.skew import HotKeys, find_hot_keys, group_sizes, join_on_key
+from histload.operators.skew import ROWS, HotKeys, find_hot_keys, group_sizes, join_on_key
 
 
 def current_rows(history: DataFrame) -> DataFrame:
@@ -87,13 +87,13 @@ def stage_updates(
 
 
 def ambiguous_keys(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
-    """Keys with an open row and several batch rows, as (``key``, ``n``): such a batch cannot be
+    """Keys with an open row and several batch rows, as (``key``, ``__rows``): such a batch cannot be
     merged, since two of its rows would update the same history row."""
     several = (
         batch.where(F.col(quoted(key)).isNotNull())
         .groupBy(quoted(key))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1)
+        .agg(F.count(F.lit(1)).alias(ROWS))
+        .where(F.col(ROWS) > 1)
     )
     open_keys = current_rows(history).select(F.col(quoted(key)).alias("__key"))
     return several.join(open_keys, F.col(quoted(key)) == F.col("__key"), "left_semi")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from histload.names import quoted
 
+ROWS = "__rows"  # row counts; a name no data column has
 ROWS_PER_SLICE = 2_000_000
 MAX_SLICES = 10_000
 # A batch's keys, with one hash and one date each, are broadcast up to this many rows and bytes.
@@ -31,7 +32,7 @@ class HotKeys:
 
     @property
     def slices(self) -> int:
-        return sum(ceil(row["n"] / self.limit) for row in self.rows)
+        return sum(ceil(row[ROWS] / self.limit) for row in self.rows)
 
     @property
     def small(self) -> bool:
@@ -45,19 +46,19 @@ UNIQUE_KEYS = HotKeys([], ROWS_PER_SLICE)  # for rows known to be unique by key:
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias(ROWS))
 
 
 def find_hot_keys(sizes: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> HotKeys:
-    """Hot keys from a table of (key columns, ``n``). One small job, a second one if there are any."""
-    keys = [F.col(quoted(name)).cast("string") for name in sizes.columns if name != "n"]
+    """Hot keys from a table of (key columns, ``__rows``). One small job, a second one if there are any."""
+    keys = [F.col(quoted(name)).cast("string") for name in sizes.columns if name != ROWS]
     width = F.octet_length(F.concat_ws("", *keys))
-    total, largest, widest = sizes.agg(F.sum("n"), F.max("n"), F.max(width)).first()
+    total, largest, widest = sizes.agg(F.sum(ROWS), F.max(ROWS), F.max(width)).first()
     if largest is None or largest <= rows_per_slice:
         return HotKeys([], rows_per_slice, total or 0, widest or 0)
     # Fewer than MAX_SLICES keys can each hold more than total / MAX_SLICES rows.
     limit = max(rows_per_slice, total // MAX_SLICES)
-    return HotKeys(sizes.where(F.col("n") > limit).collect(), limit, total, widest)
+    return HotKeys(sizes.where(F.col(ROWS) > limit).collect(), limit, total, widest)
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> tuple[DataFrame, DataFrame]:
@@ -87,7 +88,7 @@ def join_on_key(
         return left.join(right, on_key, how)
     others, hot_rows = split_hot(left, [key], hot)
     renamed = HotKeys(
-        [Row(**{right_key: row[key], "n": row["n"]}) for row in hot.rows], hot.limit
+        [Row(**{right_key: row[key], ROWS: row[ROWS]}) for row in hot.rows], hot.limit
     )
     _, of_hot_keys = split_hot(right, [right_key], renamed)
     return others.join(right, on_key, how).unionByName(hot_rows.join(of_hot_keys, on_key, how))

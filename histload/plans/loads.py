@@ -18,6 +18,7 @@ from histload.names import DEFAULT_PARTITION, FAILED, SUCCESS, quoted
 from histload.operators.audit import with_audit_columns, with_hashes
 from histload.operators.fold import (
     CHAIN,
+    UNDATED,
     ambiguous_batches,
     batch_census,
     fold_batches,
@@ -25,7 +26,7 @@ from histload.operators.fold import (
     with_chain,
 )
 from histload.operators.scd2 import ambiguous_keys, is_small, merge_open, merge_parts
-from histload.operators.skew import ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
+from histload.operators.skew import ROWS, ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 from histload.sources.contracts import build_contracts, with_contract
 from histload.sources.control import (
     FEEDS,
@@ -114,7 +115,7 @@ def merge_load(
     try:
         clash = None if checked else ambiguous_keys(batch, open_rows, key).first()
         if clash is not None:
-            raise AmbiguousBatch(_ambiguous(key, clash[key], clash["n"]))
+            raise AmbiguousBatch(_ambiguous(key, clash[key], clash[ROWS]))
         if hot is None:
             hot = find_hot_keys(group_sizes(batch, [key]))
         if is_small(batch, hot):
@@ -244,19 +245,19 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
     if open_rows is not None:
         open_census = group_sizes(_touched(open_rows, census, key), [key]).persist()
     try:
-        repeated = F.max(F.when(F.col(quoted(key)).isNotNull(), F.col("n"))) > 1
+        repeated = F.max(F.when(F.col(quoted(key)).isNotNull(), F.col(ROWS))) > 1
         totals = (
             census.groupBy(SEQ)
             .agg(
-                F.sum("n").alias("n"),
-                F.sum("n_undated").alias("n_undated"),
+                F.sum(ROWS).alias(ROWS),
+                F.sum(UNDATED).alias(UNDATED),
                 repeated.alias("repeated"),
             )
             .collect()
         )
         for row in totals:
             outcome = outcomes[files[row[SEQ]]["file_process_id"]]
-            outcome.count, outcome.undated = row["n"], row["n_undated"]
+            outcome.count, outcome.undated = row[ROWS], row[UNDATED]
         rejected = {}
         seen_before = open_census is not None or len(files) > 1
         if seen_before and any(row["repeated"] for row in totals):
@@ -273,16 +274,16 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
             return
 
         one_by_one = len(kept) == 1 or any(
-            row["n_undated"] for row in totals if row[SEQ] not in rejected
+            row[UNDATED] for row in totals if row[SEQ] not in rejected
         )
         if not one_by_one and open_census is not None:
-            one_by_one = open_census.where(F.col("n") > 1).first() is not None
+            one_by_one = open_census.where(F.col(ROWS) > 1).first() is not None
         if one_by_one:
             _load_singly(spark, kept, census, target, load_id, prior_loads, options, outcomes)
             return
 
         rows = _numbered_rows(spark, kept, options)
-        sizes = with_chain(census, SEQ, key).groupBy(quoted(key), CHAIN).agg(F.sum("n").alias("n"))
+        sizes = with_chain(census, SEQ, key).groupBy(quoted(key), CHAIN).agg(F.sum(ROWS).alias(ROWS))
         hot = find_hot_keys(sizes, options.rows_per_slice)
         tiebreak = options.tiebreak_of(rows)
         if open_rows is None:
@@ -375,12 +376,12 @@ def _ambiguous_files(census, key, open_census) -> dict[int, str]:
 
     def clashing(open_keys: DataFrame | None) -> list[Row]:
         left = census.where(~F.col(SEQ).isin(list(rejected))) if rejected else census
-        example = F.min_by(F.struct(F.col(quoted(key)).alias("key"), "n"), quoted(key))
+        example = F.min_by(F.struct(F.col(quoted(key)).alias("key"), ROWS), quoted(key))
         clashes = ambiguous_batches(left, SEQ, key, open_keys)
         return clashes.groupBy(SEQ).agg(example.alias("example")).orderBy(SEQ).collect()
 
     def reject(row: Row) -> None:
-        rejected[row[SEQ]] = _ambiguous(key, row["example"]["key"], row["example"]["n"])
+        rejected[row[SEQ]] = _ambiguous(key, row["example"]["key"], row["example"][ROWS])
 
     if open_census is not None:
         for row in clashing(open_census.select(quoted(key))):
@@ -400,7 +401,7 @@ def _load_singly(spark, kept, census, target, load_id, prior_loads, options, out
             rows = read_delimited(
                 spark, file["source_path"], feed.schema_ddl, options.check_header
             )
-            sizes = census.where(F.col(SEQ) == seq).select(quoted(feed.key_col), "n")
+            sizes = census.where(F.col(SEQ) == seq).select(quoted(feed.key_col), ROWS)
             hot = find_hot_keys(sizes, options.rows_per_slice)
             _load_rows(rows, feed, target, this_load, loads, options, hot, checked=True)
         except Exception as error:

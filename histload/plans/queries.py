@@ -13,7 +13,7 @@ from histload.names import DONE, ERROR, FAILED, STEP_LOAD, STEP_REGISTRATION, SU
 from histload.operators import scd2
 from histload.operators.audit import with_audit_columns, with_hashes
 from histload.operators.fold import ambiguous_batches, batch_census, fold_batches, fold_next
-from histload.operators.skew import UNIQUE_KEYS, HotKeys
+from histload.operators.skew import ROWS, UNIQUE_KEYS, HotKeys
 from histload.plans.loads import (
     Feed,
     LoadOptions,
@@ -206,7 +206,8 @@ def scd2_merge_evolving(spark, sf_dir):
 def ambiguous_keys(spark, sf_dir):
     events = table(spark, sf_dir, "events").where(F.col("ts") >= ntz(CUT_OVER))
     batch = with_hashes(events, "user_id", ["event_type"], "ts", load_date=LOAD_DATE)
-    return scd2.ambiguous_keys(batch, history_before(spark, sf_dir), "user_id")
+    clashes = scd2.ambiguous_keys(batch, history_before(spark, sf_dir), "user_id")
+    return clashes.withColumnRenamed(ROWS, "n")
 
 
 def ambiguous_batches_daily(spark, sf_dir):
@@ -216,7 +217,8 @@ def ambiguous_batches_daily(spark, sf_dir):
     rows = with_hashes(
         events.withColumn("day_no", day), "user_id", ["event_type"], "ts", load_date=LOAD_DATE
     )
-    return ambiguous_batches(batch_census(rows, "day_no", "user_id"), "day_no", "user_id")
+    clashes = ambiguous_batches(batch_census(rows, "day_no", "user_id"), "day_no", "user_id")
+    return clashes.withColumnRenamed(ROWS, "n")
 
 
 # --- folds -----------------------------------------------------------------------------------

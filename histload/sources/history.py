@@ -1,6 +1,6 @@
 """History tables on plain partitioned Parquet.
 
-Every load writes one folder, ``<table>/load_id=<id>/state=<open|closed>/<load date>=<date>``:
+Every load writes one folder, ``<table>/history_load=<id>/history_state=<open|closed>/<load date>=<date>``:
 all rows open after the load, and the rows closed in it. Nothing written before is touched, so
 a failed load leaves only a folder no reader asks for. The table after some loads is the open
 rows of the last one and the closed rows of all of them; which loads count is told by the step
@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from histload.names import DEFAULT_PARTITION, END, quoted
+from histload.names import DEFAULT_PARTITION, END, LOAD_FOLDER, STATE_FOLDER, quoted
 
-LOAD, STATE, OPEN, CLOSED = "load_id", "state", "open", "closed"
+LOAD, STATE, OPEN, CLOSED = LOAD_FOLDER, STATE_FOLDER, "open", "closed"
 
 
 def append_evolving(df: DataFrame, path: str, partition_col: str = DEFAULT_PARTITION) -> None:

@@ -263,6 +263,19 @@ def test_high_watermark_mode(landing):
     assert set(landing.run(mode="per_file")) == {2}
 
 
+def test_columns_named_like_internals(spark, tmp_path):
+    """A key called n, and data columns called state, load_id and rows."""
+    feed = Feed("n int, state string, load_id string, rows int, at date", "n", "at", ("state",))
+    target = str(tmp_path / "history")
+    for load, state in (("l1", "NY"), ("l2", "TX")):
+        path = tmp_path / f"{load}.csv"
+        path.write_text(f"n,state,load_id,rows,at\n1,{state},x,5,2024-01-01\n2,NY,y,6,2024-01-01\n")
+        load_batch(spark, str(path), feed, target, load, ["l1"] if load == "l2" else [], OPTIONS)
+    history = read_history(spark, target, ["l1", "l2"])
+    rows = history.select("n", "state", "load_id", "rows").collect()
+    assert sorted(map(tuple, rows)) == [(1, "NY", "x", 5), (1, "TX", "x", 5), (2, "NY", "y", 6)]
+
+
 def test_load_batch_on_its_own(spark, tmp_path):
     path, target = tmp_path / "full.csv", str(tmp_path / "history")
     lines = [HEADER, *(",".join(row) for row in FULL_LOAD)]

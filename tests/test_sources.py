@@ -191,7 +191,7 @@ def test_parts_of_a_load(spark, tmp_path, in_place):
         write_load(rows, path, "l1", many_dates=True)
     assert read_open(spark, path, "l1").count() == 41
     assert read_history(spark, path, ["l1"]).count() == 51
-    closed_files = list((tmp_path / "h" / "load_id=l1" / "state=closed").rglob("*.parquet"))
+    closed_files = list((tmp_path / "h" / "history_load=l1" / "history_state=closed").rglob("*.parquet"))
     assert len(closed_files) == 5  # one per date, whatever the number of tasks
 
 
