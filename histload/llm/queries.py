@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histload.llm import toxicity
+from histload.llm import ordered_minhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = ordered_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, labels))
@@ -28,6 +33,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_order_minhash": op4_order_minhash,
     "op10_toxicity": op10_toxicity,
 }
 

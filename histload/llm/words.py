@@ -117,3 +117,17 @@ def _slice_words(raw, first, last, offsets):
     sums = np.add.reduceat(values, starts)
     hashes = mixed(sums + (ends - starts).astype(np.uint64))
     return hashes, starts + first, ends + first
+
+
+def small_batches(
+    batches, name: str, limit: int = 4 << 20, rows: int = 4096
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of each have ``limit`` bytes or are one text."""
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(name))
+        first = 0
+        while first < batch.num_rows:
+            last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
+            last = min(max(last, first + 1), first + rows, batch.num_rows)
+            yield batch.slice(first, last - first)
+            first = last
