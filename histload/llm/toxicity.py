@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from histload.llm.words import find_words, text_bytes
 from histload.names import quoted
 
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 8_000
 FOLDS = 5
 BUCKETS = 1 << 20  # words are told apart by so many hash values
 MIN_DOCUMENTS = 3  # a word in fewer documents of the sample has no weight
