@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histload.llm import ordered_minhash, toxicity
+from histload.llm import decontamination, ordered_minhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,54 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP8_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), w AS (
+    SELECT DISTINCT item_id, words[p:p + 9] AS win
+    FROM b, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS t(p)
+    WHERE len(words) > 0
+), sizes AS (SELECT DISTINCT len(win) AS n FROM w
+), dw AS (
+    SELECT rid, p, n, words[p:p + n - 1] AS win
+    FROM d, sizes, unnest(range(1, len(words) - n + 2)) AS t(p)
+), hits AS (SELECT rid, p, n, item_id FROM dw JOIN w USING (win)
+), places AS (
+    SELECT rid, count(DISTINCT p + k) AS n_hit FROM hits, unnest(range(0, n)) AS t(k) GROUP BY rid
+), items AS (
+    SELECT rid, count(DISTINCT item_id) AS n_items,
+           string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+    FROM hits GROUP BY rid
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (rid) LEFT JOIN items USING (rid)
+"""
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, labels))
@@ -34,7 +82,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_order_minhash": op4_order_minhash,
+    "op8_decontamination": op8_decontamination,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_decontamination": OP8_SQL,
+}
