@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histload.llm import decontamination, ordered_minhash, toxicity
+from histload.llm import decontamination, ordered_minhash, token_files, toxicity
+from histload.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_files.read_documents(spark, path)
+
+
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = ordered_minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return classes.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
@@ -81,6 +88,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_planes": op1_token_planes,
     "op4_order_minhash": op4_order_minhash,
     "op8_decontamination": op8_decontamination,
     "op10_toxicity": op10_toxicity,
