@@ -7,10 +7,12 @@ candidates. They are linked if the longest common subsequence of their shingle s
 by alignment inside the band that a link allows, has THRESHOLD or more of their united number.
 Classes are the connected components of all links.
 
-A bucket of texts with one sketch is never paired out: rounds compare a leader with those of its
-bucket that are in no common class yet, each round with the bucket's next leader. Buckets that are
-still divided after ROUNDS leaders (texts that share a passage and no more) are split by a further
-sketch, which linked texts share as well, until nothing is left to compare.
+A bucket of texts with one sketch is not paired out: rounds compare its leaders, few at first, with
+those of its texts that are in another class so far, until a bucket is one class but for texts that
+have led. Links are thus found by the first leader nearly always; the later ones, taken from the
+smallest classes, show that what is left is not linked. Buckets too large for the leaders in
+LEADERS (texts that share a passage and no more) are split by a further sketch, which linked texts
+share as well, and so on until nothing is left to compare.
 
 Defined results: words as in ``words``. Texts with equal words are one text in all that follows, and
 texts without words (NULL, empty) are all equal. Texts of one to four words are one shingle.
@@ -26,7 +28,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histload.llm.components import components
@@ -35,7 +37,8 @@ from histload.llm.words import find_words, mixed, small_batches, text_bytes
 
 SHINGLE, THRESHOLD = 5, 0.8
 SKETCHES, LENGTH = 14, 3
-ROUNDS = 3
+# Leaders of a bucket in each round; what is then left in larger buckets is split.
+LEADERS = (1, 1, 16, 240)
 # Ids of texts to verify are broadcast to the scan up to this size, else joined by shuffle.
 ID_BYTES, BROADCAST_BYTES = 24, 64 << 20
 
@@ -129,7 +132,7 @@ def _sketch_rows(batches):
 
 
 def _shingle_rows(batches):
-    """(digest, shingle hashes) of the texts whose digest is the wanted one."""
+    """(node, shingle hashes) of the texts whose digest is the wanted one."""
     for batch in small_batches(batches, "text"):
         shingles = Shingles(batch.column("text"))
         raw = shingles.hashes.tobytes()
@@ -139,10 +142,10 @@ def _shingle_rows(batches):
         kept = [i for i, digest in enumerate(digests) if digest == wanted[i]]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([digests[i] for i in kept], pa.binary()),
+                batch.column("node").take(pa.array(kept, pa.int64())),
                 pa.array([raw[cuts[i] : cuts[i + 1]] for i in kept], pa.binary()),
             ],
-            names=["digest", "shingles"],
+            names=["node", "shingles"],
         )
 
 
@@ -214,118 +217,112 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         docs.mapInArrow(_sketch_rows, f"doc_id {id_type}, digest binary, sketches array<bigint>"),
         "sketches",
     )
-    texts = checkpointed(
-        rows.groupBy("digest").agg(
-            F.min("doc_id").alias("first_id"),
-            F.count(F.lit(1)).alias("copies"),
-            F.any_value("sketches").alias("sketches"),
-        )
+    texts = rows.groupBy("digest").agg(
+        F.min("doc_id").alias("first_id"),
+        F.count(F.lit(1)).alias("copies"),
+        F.first("sketches").alias("sketches"),
     )
-    every = texts.select("digest", F.explode("sketches").alias("bucket"))
+    texts = stored(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
+    every = texts.select("node", F.explode("sketches").alias("bucket"))
     shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
     shared = stored(shared.where(F.col("members") > 1), "buckets")
     total = shared.agg(F.sum("members")).first()[0] or 0
     buckets = stored(
         lookup(every, shared, ["bucket"], F.col("members"), total, "inner").select(
-            "bucket", "digest", F.array("bucket").alias("used")
+            "bucket", "node", F.array("bucket").alias("used")
         ),
         "members",
     )
     shingles = _candidate_shingles(docs, texts, buckets)
-    labels = _labels(spark, buckets, shingles, texts.select("digest", "sketches"))
+    labels = _labels(spark, buckets, shingles, texts.select("node", "sketches"))
     return _classes(rows, texts, labels)
 
 
 def _candidate_shingles(docs, texts, buckets) -> DataFrame:
     """Shingles of each text that shares a bucket."""
-    wanted = buckets.select("digest").distinct().join(texts, "digest")
-    wanted = checkpointed(wanted.select("digest", "first_id"))
+    wanted = buckets.select("node").distinct().join(texts, "node")
+    wanted = checkpointed(wanted.select("node", "digest", "first_id"))
     small = byte_size(wanted, F.lit(ID_BYTES)) <= BROADCAST_BYTES
     wanted = F.broadcast(wanted) if small else wanted
     found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first_id"]))
-    found = found.select("text", "digest").mapInArrow(_shingle_rows, "digest binary, shingles binary")
-    return stored(found.dropDuplicates(["digest"]), "shingles")
+    found = found.select("text", "node", "digest")
+    found = found.mapInArrow(_shingle_rows, "node bigint, shingles binary")
+    return stored(found.dropDuplicates(["node"]), "shingles")
 
 
 def _labels(spark, buckets, shingles, sketched) -> DataFrame:
     """(``node``, ``label``) of all texts with links, which are found in rounds (see above)."""
-    parts, rounds = [], ROUNDS
-    labels = spark.createDataFrame([], "node binary, label binary")
-    members = buckets.withColumn("label", F.col("digest"))
+    parts, labels, depth = [], None, 1
+    schedule = list(LEADERS)
+    members = buckets
     while True:
-        led = None
-        for _ in range(rounds):
-            led, pairs = _next_pairs(members, led)
-            if pairs.isEmpty():
-                return labels
-            # A round's links outlive it as files in the shared folder.
-            parts.append(stored(_verify(pairs, shingles), "links"))
-            labels = components(reduce(DataFrame.union, parts))
-            members = _divided(buckets, led, labels)
+        count = schedule.pop(0) if schedule else 4 * LEADERS[-1]
+        members = _divided(members, labels)
         if members.isEmpty():
-            return labels
-        buckets, rounds = _refined(members, sketched), rounds * 4  # so that it ends in any case
-        members = _divided(buckets, None, labels)
-
-
-def _divided(buckets: DataFrame, led: DataFrame | None, labels: DataFrame) -> DataFrame:
-    """Members, with the ``label`` of their class so far, of the buckets that have several classes
-    and a member that has not led."""
-    members = buckets.join(labels.withColumnRenamed("node", "digest"), "digest", "left")
-    members = members.withColumn("label", F.coalesce("label", "digest"))
-    ahead = F.lit(True)
-    if led is not None:
-        members = members.join(led.select("bucket", "leader"), "bucket")
-        ahead = F.max(F.col("digest") > F.col("leader"))
-    members = stored(members, "labelled")
-    still = members.groupBy("bucket").agg(
-        (F.min("label") != F.max("label")).alias("several"), ahead.alias("ahead")
-    )
-    still = still.where("several and ahead").select("bucket")
-    return checkpointed(members.join(still, "bucket"))
-
-
-def _next_pairs(members: DataFrame, led: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(``bucket``, ``leader``) of each bucket's next leader, and its pairs with other classes."""
-    waiting = members if led is None else members.where(F.col("digest") > F.col("leader"))
-    first = waiting.groupBy("bucket").agg(F.min(F.struct("digest", "label")).alias("first"))
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
-    leaders = checkpointed(
-        first.join(sizes, "bucket").select(
-            "bucket", F.col("first.digest").alias("leader"), F.col("first.label").alias("own"), "rows"
-        )
-    )
-    total = leaders.agg(F.sum("rows")).first()[0] or 0
-    paired = lookup(members.drop("leader"), leaders, ["bucket"], F.col("rows"), total, "inner")
-    paired = paired.where((F.col("digest") != F.col("leader")) & (F.col("label") != F.col("own")))
-    pairs = paired.select(
-        F.least("leader", "digest").alias("a"), F.greatest("leader", "digest").alias("b")
-    ).distinct()
-    return leaders.select("bucket", "leader"), checkpointed(pairs)
+            break
+        leaders = checkpointed(_leaders(members, count, labels is None))
+        pairs = members.join(leaders, "bucket").where(F.col("label") != F.col("own"))
+        pairs = pairs.select(
+            F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
+        ).distinct()
+        # A round's links outlive it as files in the shared folder.
+        links = stored(_verify(pairs, shingles), "links")
+        if labels is None or not links.isEmpty():
+            parts.append(links)
+            labels = components(reduce(DataFrame.union, parts))
+        # A leader has met its whole bucket.
+        met = leaders.select("bucket", F.col("leader").alias("node"))
+        members = members.drop("label").join(met, ["bucket", "node"], "left_anti")
+        if not schedule and depth < SKETCHES:
+            members, depth = _refined(_divided(members, labels), sketched), depth + 1
+            schedule = list(LEADERS[2:])
+    return labels if labels is not None else spark.createDataFrame([], "node bigint, label bigint")
+
+
+def _divided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members, with the ``label`` of their class so far, of the buckets with several classes."""
+    if labels is None:
+        return members.withColumn("label", F.col("node"))
+    members = members.join(labels, "node", "left")
+    members = stored(members.withColumn("label", F.coalesce("label", "node")), "labelled")
+    several = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    several = several.where("low != high").select("bucket")
+    return checkpointed(members.join(several, "bucket"))
+
+
+def _leaders(members: DataFrame, count: int, first: bool) -> DataFrame:
+    """(``bucket``, ``leader``, ``own``): members of each bucket's smallest classes. In the first
+    round every text is a class of its own, and one leads."""
+    if first:
+        lead = members.groupBy("bucket").agg(F.min("node").alias("leader"))
+        return lead.withColumn("own", F.col("leader"))
+    sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
+    order = Window.partitionBy("bucket").orderBy("size", "node")
+    ranked = members.join(sizes, ["bucket", "label"]).withColumn("place", F.row_number().over(order))
+    ranked = ranked.where(F.col("place") <= count)
+    return ranked.select("bucket", F.col("node").alias("leader"), F.col("label").alias("own"))
 
 
 def _verify(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
-    right = shingles.select(F.col("digest").alias("b"), F.col("shingles").alias("right_shingles"))
-    left = shingles.select(F.col("digest").alias("a"), F.col("shingles").alias("left_shingles"))
+    right = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right_shingles"))
+    left = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left_shingles"))
     # A leader of many pairs is one row of ``left``; AQE splits the other side of its join.
-    return pairs.join(right, "b").join(left, "a").mapInArrow(_verified, "a binary, b binary")
+    return pairs.join(right, "b").join(left, "a").mapInArrow(_verified, "a bigint, b bigint")
 
 
 def _refined(divided: DataFrame, sketched: DataFrame) -> DataFrame:
     """Buckets of texts that share one more sketch with others of their bucket."""
-    more = divided.select("used", "digest").join(sketched, "digest")
-    more = more.select("used", "digest", F.explode(F.array_except("sketches", "used")).alias("one"))
+    more = divided.select("used", "node").join(sketched, "node")
+    more = more.select("used", "node", F.explode(F.array_except("sketches", "used")).alias("one"))
     more = more.withColumn("used", F.array_sort(F.array_append("used", F.col("one"))))
-    more = more.select(F.xxhash64("used").alias("bucket"), "digest", "used").distinct()
+    more = more.select(F.xxhash64("used").alias("bucket"), "node", "used").distinct()
     sizes = more.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     return stored(more.join(sizes.select("bucket"), "bucket"), "refined")
 
 
 def _classes(rows: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
-    labelled = texts.select("digest", "first_id", "copies").join(
-        labels.withColumnRenamed("node", "digest"), "digest", "left"
-    )
-    labelled = labelled.withColumn("label", F.coalesce("label", "digest"))
+    labelled = texts.select("node", "digest", "first_id", "copies").join(labels, "node", "left")
+    labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     sums = labelled.groupBy("label").agg(
         F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"),
         F.count(F.lit(1)).alias("texts"),
