@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histload.llm import decontamination, ordered_minhash, token_files, toxicity
+from histload.llm import decontamination, mixing, ordered_minhash, token_files, toxicity
 from histload.session import scratch_path
 
 
@@ -24,6 +24,18 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mixed(docs).select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (F.col("mix_size") * F.size("mix_shards")).alias("taken"),
+        F.array_sort("mix_shards").alias("shards"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -90,6 +102,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_planes": op1_token_planes,
     "op4_order_minhash": op4_order_minhash,
+    "op6_mixing": op6_mixing,
     "op8_decontamination": op8_decontamination,
     "op10_toxicity": op10_toxicity,
 }
