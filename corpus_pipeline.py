@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histload.llm import decontamination, mixing, ordered_minhash, token_files, toxicity
+from histload.llm.tables import byte_size, checkpointed, maybe_broadcast
 from histload.session import scratch_path
 
+KEY_BYTES = 48  # of a document's id and the hash of its text, broadcast
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5, by a model of the labels."""
@@ -22,23 +25,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean.select(*docs.columns)
 
 
+def _of_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` semi- or anti-joined with different (doc_id, text_hash); broadcast if few."""
+    keys = keys.select(F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_hash"))
+    keys = maybe_broadcast(keys, byte_size(keys, F.lit(KEY_BYTES)))
+    same = docs["doc_id"].eqNullSafe(F.col("key_id")) & (F.xxhash64(docs["text"]) == F.col("key_hash"))
+    return docs.join(keys, same, how)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near-duplicates; of rows that share it,
-    one. Rows with a NULL id stay if their class has no other."""
-    classes = ordered_minhash.near_duplicates(docs)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    kept = kept.withColumnRenamed("doc_id", "kept_id")
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    """One document of each class of near-duplicates, that with the smallest id."""
+    kept = ordered_minhash.near_duplicates(docs).where("kept")
+    kept = checkpointed(kept.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")))
+    rows = _of_keys(docs, kept, "left_semi")
+    repeated = kept.where(F.col("rows") > 1)
+    if repeated.isEmpty():
+        return rows
+    once = _of_keys(docs, kept.where(F.col("rows") == 1), "left_semi")
+    return once.unionByName(_of_keys(rows, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.contaminated(docs, benchmark)
-    # Documents have different ids since the stage before.
-    hit = found.where(F.col("n_hit") > 0).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("hit_id")), "left_anti")
+    hit = decontamination.contaminated(docs, benchmark).where(F.col("n_hit") > 0)
+    return _of_keys(docs, checkpointed(hit.select("doc_id", "text_hash").distinct()), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

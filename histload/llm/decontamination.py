@@ -55,8 +55,9 @@ def contaminated(
     size: int = WINDOW,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(doc_id, n_words, n_hit, items): for every row of ``docs`` (doc_id, text) its words, those
-    inside a window of a ``benchmark`` item (item_id, text), and the items, sorted as text."""
+    """(doc_id, text_hash, n_words, n_hit, items): for every row of ``docs`` (doc_id, text) its words,
+    those inside a window of a ``benchmark`` item (item_id, text), and the items, sorted as text.
+    ``text_hash`` is ``xxhash64(text)``."""
     docs = docs.select("doc_id", "text")
     owners = stored(item_windows(benchmark, size), "windows")
     prefixes = checkpointed(_prefixes(docs, owners.select("win").distinct(), broadcast_bytes))
@@ -115,7 +116,7 @@ def _candidates(docs, prefixes, limit) -> DataFrame:
 
 
 def _verified(docs, found, limit) -> DataFrame:
-    """(doc_id, n_words, n_hit, same, windows); ``same`` tells apart the texts that have hits."""
+    """(doc_id, text_hash, n_words, n_hit, same, windows); ``same`` tells apart the texts that have hits."""
     width = F.aggregate("found", F.lit(64), lambda n, one: n + F.octet_length(one["win"]) + 48)
     size = byte_size(found, width)
     found = F.broadcast(found) if size <= limit else found
@@ -129,8 +130,9 @@ def _verified(docs, found, limit) -> DataFrame:
     def places(one):
         return F.sequence(one["begin"], one["begin"] + one["length"] - 1)
 
-    hits = keyed.select("doc_id", "text", "found", words_of(F.col("text")).alias("words")).select(
+    hits = keyed.select("doc_id", "key", "text", "found", words_of(F.col("text")).alias("words")).select(
         "doc_id",
+        F.col("key").alias("text_hash"),
         F.size("words").alias("n_words"),
         "text",
         F.when(F.col("found").isNotNull(), F.filter("found", is_there)).alias("hits"),
@@ -139,6 +141,7 @@ def _verified(docs, found, limit) -> DataFrame:
     hit = F.size(F.array_distinct(F.flatten(F.transform("hits", places))))
     return hits.select(
         "doc_id",
+        "text_hash",
         F.col("n_words").cast("long").alias("n_words"),
         F.when(some, hit).otherwise(0).cast("long").alias("n_hit"),
         F.when(some, F.sha2("text", 256)).alias("same"),
@@ -159,6 +162,6 @@ def _with_items(rows: DataFrame, owners: DataFrame) -> DataFrame:
     )
     total = items.agg(F.sum("copies")).first()[0] or 0
     known = lookup(hit.drop("windows"), items, ["same"], F.col("copies"), total, "inner")
-    names = ["doc_id", "n_words", "n_hit", "items"]
+    names = ["doc_id", "text_hash", "n_words", "n_hit", "items"]
     none = rows.where(F.col("same").isNull()).withColumn("items", F.array().cast("array<string>"))
     return none.select(*names).unionByName(known.select(*names))

@@ -31,7 +31,7 @@ from histload.llm.tables import stored
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, LIMIT = 1.5, 2.0  # words taken of all words; words taken of a source's at most
-SHARDS, BLOCKS_PER_SHARD = 40, 64
+SHARDS, BLOCKS_PER_SHARD, PARTS = 40, 64, 16
 SEED = 20240201
 WORD = r"[^\x20\x09-\x0D]+"
 TAKEN = {
@@ -243,10 +243,11 @@ def _cut_keys(narrow: DataFrame, sources: list[Source], cuts: list[tuple]) -> di
 
 
 def in_shards(rows: DataFrame, seed: int = SEED) -> DataFrame:
-    """A row for each copy that ``mixed`` takes, with its ``mix_shard``, sorted by shard and shuffled
-    inside it. Ranges of (shard, hash) are partitions, so a shard may have several."""
+    """A row for each copy that ``mixed`` takes, with its ``mix_shard``. A shard is dealt to PARTS
+    partitions by hash and shuffled inside them."""
     copies = rows.select("*", F.posexplode("mix_shards").alias("mix_copy", "mix_shard"))
     place = F.xxhash64(F.lit(seed + 1), "doc_id", "text", "mix_copy")
     copies = copies.withColumn("mix_place", place)
-    ordered = copies.repartitionByRange("mix_shard", "mix_place")
-    return ordered.sortWithinPartitions("mix_shard", "mix_place").drop("mix_copy", "mix_place", "mix_shards")
+    dealt = copies.repartition("mix_shard", F.pmod("mix_place", F.lit(PARTS)))
+    ordered = dealt.sortWithinPartitions("mix_shard", "mix_place")
+    return ordered.drop("mix_copy", "mix_place", "mix_shards")

@@ -127,7 +127,8 @@ def _sketch_rows(batches):
         )
         digests = pa.array(_digests(shingles.words), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), digests, lists], names=["doc_id", "digest", "sketches"]
+            [batch.column("doc_id"), batch.column("text_hash"), digests, lists],
+            names=["doc_id", "text_hash", "digest", "sketches"],
         )
 
 
@@ -209,16 +210,20 @@ def _verified(batches):
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, class_size): a row for every row of ``docs`` (doc_id, text)."""
+    """(doc_id, text_hash, class_id, class_size, kept): a row for every row of ``docs`` (doc_id, text).
+
+    ``text_hash`` is ``xxhash64(text)``. One document of each class is ``kept``; if the table has equal
+    rows of it, all of them are.
+    """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = stored(
-        docs.mapInArrow(_sketch_rows, f"doc_id {id_type}, digest binary, sketches array<bigint>"),
-        "sketches",
-    )
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    ddl = f"doc_id {id_type}, text_hash bigint, digest binary, sketches array<bigint>"
+    rows = stored(hashed.mapInArrow(_sketch_rows, ddl), "sketches")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
     texts = rows.groupBy("digest").agg(
-        F.min("doc_id").alias("first_id"),
+        first.alias("first"),
         F.count(F.lit(1)).alias("copies"),
         F.first("sketches").alias("sketches"),
     )
@@ -241,7 +246,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _candidate_shingles(docs, texts, buckets) -> DataFrame:
     """Shingles of each text that shares a bucket."""
     wanted = buckets.select("node").distinct().join(texts, "node")
-    wanted = checkpointed(wanted.select("node", "digest", "first_id"))
+    wanted = wanted.select("node", "digest", F.col("first.doc_id").alias("first_id"))
+    wanted = checkpointed(wanted)
     small = byte_size(wanted, F.lit(ID_BYTES)) <= BROADCAST_BYTES
     wanted = F.broadcast(wanted) if small else wanted
     found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first_id"]))
@@ -321,15 +327,19 @@ def _refined(divided: DataFrame, sketched: DataFrame) -> DataFrame:
 
 
 def _classes(rows: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
-    labelled = texts.select("node", "digest", "first_id", "copies").join(labels, "node", "left")
+    labelled = texts.select("node", "digest", "first", "copies").join(labels, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     sums = labelled.groupBy("label").agg(
-        F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"),
+        F.min("first").alias("lead"),
+        F.sum("copies").alias("class_size"),
         F.count(F.lit(1)).alias("texts"),
     )
     sums = checkpointed(sums)
     total = rows.count()
     per_text = lookup(labelled, sums, ["label"], F.col("texts"), total, "inner")
-    per_text = stored(per_text.select("digest", "copies", "class_id", "class_size"), "classes")
-    out = lookup(rows.select("doc_id", "digest"), per_text, ["digest"], F.col("copies"), total, "inner")
-    return out.select("doc_id", "class_id", "class_size")
+    per_text = stored(per_text.select("digest", "copies", "lead", "class_size"), "classes")
+    rows = rows.select("doc_id", "text_hash", "digest")
+    out = lookup(rows, per_text, ["digest"], F.col("copies"), total, "inner")
+    kept = F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("text_hash") == F.col("lead.text_hash"))
+    class_id = F.col("lead.doc_id").alias("class_id")
+    return out.select("doc_id", "text_hash", class_id, "class_size", kept.alias("kept"))

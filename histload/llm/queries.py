@@ -21,7 +21,7 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = ordered_minhash.near_duplicates(table(spark, sf_dir, "documents"))
-    return classes.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    return classes.select("doc_id", "class_id", "class_size", "kept")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
