@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histload.llm import decontamination, mixing, ordered_minhash, token_files, toxicity
+from histload.llm import (
+    decontamination,
+    exact_dedup,
+    mixing,
+    ordered_minhash,
+    packing,
+    secrets,
+    token_files,
+    toxicity,
+)
 from histload.session import scratch_path
 
 
@@ -19,6 +28,34 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "tokens",
+    )
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
+    FROM documents
+), g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
+       sha256(norm) AS text_sha256
+FROM d JOIN g USING (norm)
+"""
+
+
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = ordered_minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "class_size", "kept")
@@ -36,6 +73,29 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+    def written(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ","
+        )
+
+    def of_kind(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    return found.select(
+        "doc_id",
+        of_kind("assign").alias("n_assign"),
+        of_kind("access").alias("n_access"),
+        of_kind("hex").alias("n_hex"),
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+        of_kind("novel").alias("n_novel"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -101,12 +161,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_planes": op1_token_planes,
+    "op2_packing": op2_packing,
+    "op3_exact_dedup": op3_exact_dedup,
     "op4_order_minhash": op4_order_minhash,
     "op6_mixing": op6_mixing,
+    "op7_secrets": op7_secrets,
     "op8_decontamination": op8_decontamination,
     "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_exact_dedup": OP3_SQL,
     "op8_decontamination": OP8_SQL,
 }
