@@ -1,16 +1,16 @@
 """Shards of near-equal bytes, tokens and rows, by vector bin packing of groups of equal texts.
 
-A group is a vector (bytes, tokens, rows), in parts of the whole table. Groups larger than a parcel
-(1 / PARCELS of any of the three) are parcels of their own; those that no shard could balance are cut
-into pieces of a parcel by a hash of the doc_id. All smaller groups are gathered into PARCELS parcels
-by a hash of their text, whole. The parcels, largest first, then go each to the shard where the dot
-product of its vector with the shard's residual capacity is highest. Their number is bounded by
-PARCELS and the number of shards, whatever the table holds, so the packing is a small step on the
-driver; rows learn their shard from their parcel.
+A group is a vector (bytes, tokens, rows), in parts of the whole table. Groups larger than
+1 / (shards * parcels_per_shard) of any of the three are parcels of their own; only what exceeds half a
+shard is cut, by a hash of the doc_id. All smaller groups are gathered whole, by a hash of their text,
+into that many parcels. The parcels, largest first, then go each to the shard where the dot product
+of its vector with the shard's residual capacity is highest. Their number is bounded by the
+parameters, whatever the table holds, so the packing is a small step on the driver. Rows are numbered
+in cells, parts of a parcel of at most about its usual size, so no task sorts a large group.
 
-Defined results: a NULL text is empty, with no bytes and no tokens. Equal rows are in one parcel or
-piece. Slots follow doc_id (NULL first), then the text's hash, in each parcel; equal rows get
-different slots. An empty table gives no rows. Columns other than doc_id and text are not read.
+Defined results: a NULL text is empty, with no bytes and no tokens. Equal rows are in one cell.
+Slots follow doc_id (NULL first), then the text's hash, in each cell; equal rows get different
+slots. An empty table gives no rows. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ SHARDS = 40
 PARCELS_PER_SHARD = 64
 ROW_BYTES = 16
 BYTES_WEIGHT = 4.0  # of bytes in the dot product, against 1 of tokens and of rows
-PIECE = 4  # groups of over so many parcels are cut
+ROUNDS = 50  # of moves for each shard, at most
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -41,12 +41,38 @@ def pack(vectors: np.ndarray, shards: int, weights: np.ndarray) -> np.ndarray:
     return out
 
 
+def even_out(placed: np.ndarray, sizes: np.ndarray, shards: int) -> np.ndarray:
+    """Move or swap parcels between the largest and the smallest shard while that helps."""
+    placed, loads = placed.copy(), np.bincount(placed, sizes, minlength=shards)
+    for _ in range(ROUNDS * shards):
+        high, low = int(np.argmax(loads)), int(np.argmin(loads))
+        gap = loads[high] - loads[low]
+        ours, theirs = np.flatnonzero(placed == high), np.flatnonzero(placed == low)
+        theirs = theirs[np.argsort(sizes[theirs], kind="stable")]
+        theirs_sizes = np.concatenate(([0.0], sizes[theirs]))  # nothing, or one of theirs
+        near = np.searchsorted(theirs_sizes, sizes[ours] - gap / 2)
+        tries = [(ours, np.clip(near + step, 0, len(theirs))) for step in (-1, 0)]
+        moved = [sizes[a] - theirs_sizes[b] for a, b in tries]
+        gain = np.concatenate([np.minimum(m, gap - m) for m in moved])
+        if not len(gain) or gain.max() <= 1e-6 * loads.mean():
+            break
+        best = int(np.argmax(gain))
+        side, n = divmod(best, len(ours))
+        other = tries[side][1][n]
+        placed[ours[n]] = low
+        if other:
+            placed[theirs[other - 1]] = high
+        loads[high] -= moved[side][n]
+        loads[low] += moved[side][n]
+    return placed
+
+
 def packed(
     docs: DataFrame,
     shards: int = SHARDS,
     parcels_per_shard: int = PARCELS_PER_SHARD,
 ) -> DataFrame:
-    """(doc_id, size, text_crc32, tokens, parcel, shard, slot) for every row of ``docs`` (doc_id,
+    """(doc_id, size, text_crc32, tokens, shard, slot) for every row of ``docs`` (doc_id,
     text); ``size`` is the bytes of the text and ROW_BYTES, ``slot`` counts a shard's rows from 0."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
@@ -69,32 +95,41 @@ def packed(
     groups = rows.groupBy("digest").agg(*vector)
     share = F.greatest(*(F.col(c) / float(t) for c, t in zip(("size", "tokens", "rows"), totals)))
     large = groups.withColumn("share", share * parcels).where(F.col("share") > 1)
-    pieces = F.when(F.col("share") > PIECE, F.least(F.ceil("share"), F.col("rows"))).otherwise(1)
-    first = Window.orderBy("digest").rowsBetween(Window.unboundedPreceding, -1)
-    large = large.select("digest", pieces.cast("int").alias("pieces"))
-    large = stored(
-        large.withColumn("base", F.lit(parcels) + F.coalesce(F.sum("pieces").over(first), F.lit(0))), "large"
+    cells = F.least(F.ceil("share"), F.col("rows")).cast("int").alias("cells")
+    large = large.select("digest", cells).orderBy("digest").collect()
+    bases = (parcels + np.cumsum([0, *(row["cells"] for row in large)])).tolist()
+    cut = spark.createDataFrame(
+        [(row["digest"], base, row["cells"]) for row, base in zip(large, bases)],
+        "digest string, base int, cells int",
     )
 
     small = F.pmod(F.xxhash64("digest"), F.lit(parcels))
-    piece = F.col("base") + F.pmod(F.xxhash64("doc_id"), F.col("pieces"))
-    rows = rows.join(F.broadcast(large), "digest", "left")
-    rows = rows.withColumn("parcel", F.coalesce(piece, small).cast("int")).drop("base", "pieces")
+    cell = F.col("base") + F.pmod(F.xxhash64("doc_id"), F.col("cells"))
+    rows = rows.join(F.broadcast(cut), "digest", "left")
+    rows = rows.withColumn("cell", F.coalesce(cell, small).cast("int")).drop("base", "cells")
 
-    found = rows.groupBy("parcel").agg(*vector).orderBy("parcel").collect()
-    vectors = np.array([[r["size"], r["tokens"], r["rows"]] for r in found], float).reshape(-1, 3) / totals
-    placed = pack(vectors, shards, np.array([BYTES_WEIGHT, 1.0, 1.0]))
+    found = rows.groupBy("cell").agg(*vector).orderBy("cell").collect()
+    # Cells of a group are one parcel, up to half a shard; below ``parcels`` a cell is one.
+    numbers = np.array([row["cell"] for row in found], np.int64)
+    group = np.searchsorted(bases, numbers, "right") - 1
+    start = np.array([0, *bases])[group + 1]
+    together = np.where(group < 0, numbers, start + (numbers - start) // (parcels_per_shard // 2))
+    names, parcel = np.unique(together, return_inverse=True)
+    vectors = np.zeros((len(names), 3))
+    np.add.at(vectors, parcel, [[r["size"], r["tokens"], r["rows"]] for r in found] or np.zeros((0, 3)))
+    placed = pack(vectors / totals, shards, np.array([BYTES_WEIGHT, 1.0, 1.0]))
+    placed = even_out(placed, vectors[:, 0], shards)
     table, taken = [], [0] * shards
-    for row, shard in zip(found, placed.tolist()):
-        table.append((row["parcel"], shard, taken[shard]))
+    for row, shard in zip(found, placed[parcel].tolist()):
+        table.append((row["cell"], shard, taken[shard]))
         taken[shard] += row["rows"]
-    plan = spark.createDataFrame(table, "parcel int, shard int, before long")
-    order = Window.partitionBy("parcel").orderBy("doc_id", "digest")
+    plan = spark.createDataFrame(table, "cell int, shard int, before long")
+    order = Window.partitionBy("cell").orderBy("doc_id", "digest")
     return (
         rows.withColumn("place", F.row_number().over(order))
-        .join(F.broadcast(plan), "parcel")
+        .join(F.broadcast(plan), "cell")
         .select(
-            "doc_id", "size", "text_crc32", "tokens", "parcel", "shard",
+            "doc_id", "size", "text_crc32", "tokens", "shard",
             (F.col("before") + F.col("place") - 1).alias("slot"),
         )
     )

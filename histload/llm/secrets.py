@@ -38,6 +38,7 @@ _SENSITIVE = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=~-]{%d,%d}" % (SHORTEST, LONGEST))
+_MIXED = re.compile(r"[A-Za-z].*[0-9]|[0-9].*[A-Za-z]")
 REACH = 60  # characters between a sensitive word's begin and the candidate's
 
 _IDENTIFIERS = (
@@ -84,6 +85,8 @@ def novel_spans(text: str, taken: list[tuple[str, int, int]], novelty: Novelty):
             if begin > word.start() + REACH:
                 break
             last = max(last, end)
+            if not _MIXED.search(found[0]):
+                continue  # words, or a number such as an account's
             if begin and _CANDIDATE.fullmatch(text[begin - 1] * SHORTEST):
                 continue  # the rest of a string too long
             if any(begin < stop and start < end for _, start, stop in taken):
