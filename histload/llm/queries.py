@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from histload.llm import (
     chat,
     decontamination,
+    edit_counts,
     exact_dedup,
     mixing,
     ordered_minhash,
@@ -16,6 +17,7 @@ from histload.llm import (
     token_files,
     toxicity,
 )
+from histload.llm.tables import stored
 from histload.session import scratch_path
 
 
@@ -62,6 +64,32 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size", "kept")
 
 
+def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document before and after three edits: a third into the text some characters
+    are replaced, half-way some are cut out, and words are added at the end."""
+    state = stored(edit_counts.count_tokens(table(spark, sf_dir, "documents")), "token_trees")
+    size = F.length("text").cast("long")
+    third, half = F.floor(size / 3), F.floor(size / 2)
+
+    def edit(begin, end, new):
+        return F.struct(begin.alias("begin"), end.alias("end"), new.alias("replacement"))
+
+    edits = F.array(
+        edit(third, third + 7, F.concat(F.lit("an edit in "), "doc_id", F.lit(","))),
+        edit(half, half + 11, F.lit("")),
+        edit(size + 100, size + 100, F.lit(" and words at the end.")),
+    )
+    edited = edit_counts.apply_edits(state.withColumn("edits", edits))
+    return edited.select(
+        "doc_id",
+        F.col("n_before").alias("n_tokens"),
+        "n_edits",
+        F.col("n_tokens").alias("n_tokens_after"),
+        F.length("text").cast("long").alias("n_chars_after"),
+        "encoded_chars",
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mixed(docs).select(
@@ -239,6 +267,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_order_minhash": op4_order_minhash,
+    "op5_edit_counts": op5_edit_counts,
     "op6_mixing": op6_mixing,
     "op7_secrets": op7_secrets,
     "op8_decontamination": op8_decontamination,
