@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 KINDS = ("assign", "access", "hex", "novel")
 CONTEXT = 200
-NOVELTY = 0.6
+NOVELTY = 0.8
 SHORTEST, LONGEST = 16, 512  # characters of a candidate; longer strings are data, not keys
 
 # The patterns of base spans.
