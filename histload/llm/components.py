@@ -17,9 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = checkpointed(both.where(F.col("a") != F.col("b")).distinct())
-    labels = checkpointed(
-        both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label"))
-    )
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label"))
     while True:
         near = labels.select(F.col("node").alias("b"), F.col("label").alias("near"))
         lowest = both.join(near, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))

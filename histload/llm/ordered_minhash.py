@@ -37,8 +37,8 @@ from histload.llm.words import find_words, mixed, small_batches, text_bytes
 
 SHINGLE, THRESHOLD = 5, 0.8
 SKETCHES, LENGTH = 14, 3
-# Leaders of a bucket in each round; what is then left in larger buckets is split.
-LEADERS = (1, 1, 16, 240)
+# Leaders of a bucket in each round; larger buckets that are still divided then are split.
+LEADERS = (1, 64)
 # Ids of texts to verify are broadcast to the scan up to this size, else joined by shuffle.
 ID_BYTES, BROADCAST_BYTES = 24, 64 << 20
 
@@ -262,11 +262,15 @@ def _labels(spark, buckets, shingles, sketched) -> DataFrame:
     schedule = list(LEADERS)
     members = buckets
     while True:
-        count = schedule.pop(0) if schedule else 4 * LEADERS[-1]
         members = _divided(members, labels)
         if members.isEmpty():
             break
-        leaders = checkpointed(_leaders(members, count, labels is None))
+        if not schedule and depth < SKETCHES:
+            members, depth = _refined(members, sketched), depth + 1
+            schedule = list(LEADERS[1:])
+            continue
+        count = schedule.pop(0) if schedule else 16 * LEADERS[-1]
+        leaders = _leaders(members, count, labels is None)
         pairs = members.join(leaders, "bucket").where(F.col("label") != F.col("own"))
         pairs = pairs.select(
             F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
@@ -279,9 +283,6 @@ def _labels(spark, buckets, shingles, sketched) -> DataFrame:
         # A leader has met its whole bucket.
         met = leaders.select("bucket", F.col("leader").alias("node"))
         members = members.drop("label").join(met, ["bucket", "node"], "left_anti")
-        if not schedule and depth < SKETCHES:
-            members, depth = _refined(_divided(members, labels), sketched), depth + 1
-            schedule = list(LEADERS[2:])
     return labels if labels is not None else spark.createDataFrame([], "node bigint, label bigint")
 
 
@@ -289,8 +290,7 @@ def _divided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members, with the ``label`` of their class so far, of the buckets with several classes."""
     if labels is None:
         return members.withColumn("label", F.col("node"))
-    members = members.join(labels, "node", "left")
-    members = stored(members.withColumn("label", F.coalesce("label", "node")), "labelled")
+    members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     several = several.where("low != high").select("bucket")
     return checkpointed(members.join(several, "bucket"))

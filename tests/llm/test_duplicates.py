@@ -118,7 +118,7 @@ def families(seed=3):
     return [(n, " ".join(w)) for n, w in enumerate(out)]
 
 
-@pytest.mark.parametrize("leaders", [(1, 1, 16, 240), (1, 1, 1, 1)])
+@pytest.mark.parametrize("leaders", [(1, 64), (1, 1)])
 def test_near_classes(spark, monkeypatch, leaders):
     monkeypatch.setattr(ordered_minhash, "LEADERS", leaders)
     rows = families()
