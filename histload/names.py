@@ -12,9 +12,10 @@ DEFAULT_PARTITION = "date_loaded"
 LOAD_FOLDER = "history_load"
 STATE_FOLDER = "history_state"
 
-# Step names, step states and file format of the control tables.
+# The name of the load step; a log written by other loaders may have its own (LoadOptions.load_step).
+STEP_LOAD = "History Load"
+# Name of the registration step, step states and file format of the control tables.
 STEP_REGISTRATION = "File Registration"
-STEP_LOAD = "Data Loader"
 IN_PROGRESS = "IN-PROGRESS"
 DONE = "DONE"
 ERROR = "ERROR"

@@ -45,12 +45,16 @@ def with_hashes(
     partition_col: str = DEFAULT_PARTITION,
     load_date: str | dt.date | None = None,
     null_token: str | None = None,
+    hash_key_cols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Every audit column but the end of validity, which depends on the key's other rows."""
+    """Every audit column but the end of validity, which depends on the key's other rows.
+
+    ``hashKey`` is made of ``hash_key_cols``, of the key if they are not given.
+    """
     _check_names(df, partition_col)
     return df.withColumns(
         {
-            HASH_KEY: row_hash([key], null_token),
+            HASH_KEY: row_hash(hash_key_cols or [key], null_token),
             HASH_DATA: row_hash(data_cols, null_token),
             START: F.col(quoted(defining)),
             partition_col: load_date_column(load_date),
@@ -69,6 +73,7 @@ def with_audit_columns(
     null_token: str | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
     hot: HotKeys | None = None,
+    hash_key_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``hashKey``, ``hashData``, ``startDate``, ``endDate`` and the load-date column.
 
@@ -86,6 +91,8 @@ def with_audit_columns(
     rows = ordered_rows(df, [key], [defining, *tiebreak], hot)
     ended = "__end"
     rows = rows.with_next(ended, defining).result()
-    rows = with_hashes(rows, key, data_cols, defining, partition_col, load_date, null_token)
+    rows = with_hashes(
+        rows, key, data_cols, defining, partition_col, load_date, null_token, hash_key_cols
+    )
     columns = [*df.columns, HASH_KEY, HASH_DATA, START, END, partition_col]
     return rows.withColumnRenamed(ended, END).select(*map(quoted, columns))

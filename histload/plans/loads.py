@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from histload.functions.paths import SCHEME, with_paths
-from histload.names import DEFAULT_PARTITION, FAILED, SUCCESS, quoted
+from histload.names import DEFAULT_PARTITION, FAILED, STEP_LOAD, SUCCESS, quoted
 from histload.operators.audit import with_audit_columns, with_hashes
 from histload.operators.fold import (
     CHAIN,
@@ -26,7 +26,15 @@ from histload.operators.fold import (
     with_chain,
 )
 from histload.operators.scd2 import ambiguous_keys, is_small, merge_open, merge_parts
-from histload.operators.skew import ROWS, ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
+from histload.operators.skew import (
+    MAX_SLICES,
+    ROWS,
+    ROWS_PER_SLICE,
+    HotKeys,
+    find_hot_keys,
+    group_sizes,
+)
+from histload.session import shared_folder
 from histload.sources.contracts import build_contracts, with_contract
 from histload.sources.control import (
     FEEDS,
@@ -42,7 +50,14 @@ from histload.sources.control import (
     registered_at,
 )
 from histload.sources.delimited import read_delimited, read_numbered
-from histload.sources.history import read_history, read_open, write_load, write_parts
+from histload.sources.history import (
+    TableShape,
+    read_history,
+    read_open,
+    table_shape,
+    write_load,
+    write_parts,
+)
 
 SEQ = "__seq"
 
@@ -62,6 +77,7 @@ class Feed:
     defining_col: str
     data_cols: tuple[str, ...]
     partition_col: str = DEFAULT_PARTITION
+    hash_key_cols: tuple[str, ...] = ()  # of the key hash; the key if there are none
 
     @staticmethod
     def of(contract: Row) -> Feed:
@@ -76,18 +92,37 @@ class Feed:
 
 @dataclass(frozen=True)
 class LoadOptions:
-    """``tiebreak`` may name columns of several feeds; each feed uses those it has."""
+    """``tiebreak`` may name columns of several feeds; each feed uses those it has.
+
+    ``rows_per_slice`` and ``max_slices``: how keys with very many rows are cut. A batch of up to
+    ``broadcast_rows`` rows whose narrow rows, one a key, are within ``broadcast_bytes`` is broadcast to
+    the open rows; a larger one is joined by shuffle. ``load_step`` is the name of the load's steps
+    in the step log.
+    """
 
     load_date: str | dt.date | None = None
     tiebreak: tuple[str, ...] = ()
     null_token: str | None = None
     check_header: bool = False
     rows_per_slice: int = ROWS_PER_SLICE
+    max_slices: int = MAX_SLICES
+    broadcast_rows: int | None = None  # None: the defaults of ``operators.skew``
+    broadcast_bytes: int | None = None
+    load_step: str = STEP_LOAD
+
+    def hot_keys(self, sizes: DataFrame) -> HotKeys:
+        return find_hot_keys(
+            sizes, self.rows_per_slice, self.max_slices, self.broadcast_rows, self.broadcast_bytes
+        )
 
     def tiebreak_of(self, df: DataFrame) -> list[str]:
         return [name for name in self.tiebreak if name in df.columns]
 
 
+class MisfitBatch(ValueError):
+    """A batch's columns cannot be merged into the table."""
+
+
 class AmbiguousBatch(ValueError):
     """A batch has several rows for a key that already has an open row."""
 
@@ -143,10 +178,15 @@ def load_batch(
 ) -> int:
     """Read delimited files as one batch and load it; returns the number of rows read.
 
-    ``prior_loads`` are the table's loads so far, oldest first; none means a first load.
+    ``prior_loads`` are the table's loads so far, oldest first; none means a first load. A batch
+    that does not fit the table is refused before anything is read.
     """
+    if prior_loads:
+        misfit = table_shape(spark, target, prior_loads[-1]).misfit(feed)
+        if misfit:
+            raise MisfitBatch(misfit)
     rows = read_delimited(spark, paths, feed.schema_ddl, options.check_header)
-    hot = find_hot_keys(group_sizes(rows, [feed.key_col]), options.rows_per_slice)
+    hot = options.hot_keys(group_sizes(rows, [feed.key_col]))
     _load_rows(rows, feed, target, load_id, prior_loads, options, hot)
     return hot.total
 
@@ -162,6 +202,7 @@ def _load_rows(rows, feed, target, load_id, prior_loads, options, hot, checked=F
         options.tiebreak_of(rows),
         options.null_token,
         hot=hot,
+        hash_key_cols=feed.hash_key_cols,
     )
     if prior_loads:
         merge_load(
@@ -199,15 +240,11 @@ def load_files(
     """
     outcomes = {file["file_process_id"]: Outcome(message=file["problem"] or "") for file in files}
     files = [file for file in files if file["problem"] is None]
+    files = _readable(spark, files, outcomes)
+    shape = table_shape(spark, target, prior_loads[-1]) if prior_loads else TableShape()
     for file in files:
-        if Feed.of(file).key_col != Feed.of(files[0]).key_col or (
-            file["partition_col"] != files[0]["partition_col"]
-        ):
-            outcomes[file["file_process_id"]].message = (
-                "key or partition column differs from that of the table's other files"
-            )
+        outcomes[file["file_process_id"]].message = shape.misfit(Feed.of(file)) or ""
     files = [file for file in files if not outcomes[file["file_process_id"]].message]
-    files = _readable(spark, files, outcomes)
     if not files:
         return outcomes
     try:
@@ -215,13 +252,28 @@ def load_files(
     except Exception:
         sound = [file for file in files if _reads(spark, file, options, outcomes)]
         if len(sound) == len(files):
-            raise
-        if sound:
+            _load_apart(spark, files, target, load_id, prior_loads, options, outcomes)
+        elif sound:
             retry = f"{load_id}-retry"
             _load_group(spark, sound, target, retry, prior_loads, options, outcomes)
     return outcomes
 
 
+def _load_apart(spark, files, target, load_id, prior_loads, options, outcomes) -> None:
+    """Load files that failed together, though each can be read, one after another."""
+    loads = list(prior_loads)
+    for place, file in enumerate(files):
+        outcome = outcomes[file["file_process_id"]] = Outcome()
+        try:
+            _load_group(
+                spark, [file], target, f"{load_id}-apart-{place:06d}", loads, options, outcomes
+            )
+        except Exception as error:
+            outcome.status, outcome.message, outcome.count = FAILED, str(error), 0
+        if outcome.load_id:
+            loads.append(outcome.load_id)
+
+
 def _reads(spark, file, options, outcomes) -> bool:
     """Whether a file can be read to its end; asked for each file after a group has failed."""
     rows = read_delimited(spark, file["source_path"], file["schema_ddl"], options.check_header)
@@ -284,7 +336,7 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
 
         rows = _numbered_rows(spark, kept, options)
         sizes = with_chain(census, SEQ, key).groupBy(quoted(key), CHAIN).agg(F.sum(ROWS).alias(ROWS))
-        hot = find_hot_keys(sizes, options.rows_per_slice)
+        hot = options.hot_keys(sizes)
         tiebreak = options.tiebreak_of(rows)
         if open_rows is None:
             folded = fold_batches(
@@ -353,6 +405,7 @@ def _numbered_rows(spark, numbered, options) -> DataFrame:
                 feed.partition_col,
                 options.load_date,
                 options.null_token,
+                feed.hash_key_cols,
             )
         )
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -369,8 +422,9 @@ def _ambiguous_files(census, key, open_census) -> dict[int, str]:
     """Files that cannot be merged, by number.
 
     Those that clash with the table itself are found in one step. Of those that clash with an
-    earlier file, only the first is certain: without it, later ones may have nothing to clash
-    with. So it is taken out and the others are judged again.
+    earlier file, the first is certain, and so are all files before it, which stay; without it,
+    later ones may have nothing to clash with. So each round takes out every file that clashes with
+    one that stays, and judges the others again.
     """
     rejected: dict[int, str] = {}
 
@@ -387,7 +441,11 @@ def _ambiguous_files(census, key, open_census) -> dict[int, str]:
         for row in clashing(open_census.select(quoted(key))):
             reject(row)
     while found := clashing(None):
-        reject(found[0])
+        first = found[0][SEQ]
+        staying = census.where((F.col(SEQ) < first) & ~F.col(SEQ).isin(list(rejected)))
+        for row in clashing(staying.select(quoted(key)).distinct()):
+            if row[SEQ] >= first:
+                reject(row)
     return rejected
 
 
@@ -402,7 +460,7 @@ def _load_singly(spark, kept, census, target, load_id, prior_loads, options, out
                 spark, file["source_path"], feed.schema_ddl, options.check_header
             )
             sizes = census.where(F.col(SEQ) == seq).select(quoted(feed.key_col), ROWS)
-            hot = find_hot_keys(sizes, options.rows_per_slice)
+            hot = options.hot_keys(sizes)
             _load_rows(rows, feed, target, this_load, loads, options, hot, checked=True)
         except Exception as error:
             outcome.message, outcome.count = str(error), 0
@@ -426,9 +484,10 @@ def run_pending(
     at a time. Only file lists and contracts pass through the driver. Nothing is raised for a
     file that fails: its report row and its step-log row carry the message.
     """
-    steps = current_steps(store.table(STEP_LOG))
+    shared_folder(spark)
+    steps = current_steps(store.table(STEP_LOG)).checkpoint()  # asked five times below
     contracts = build_contracts(column_contracts(store), store.table(FEEDS))
-    pending = pending_files(store.table(FILE_LOG), steps, mode)
+    pending = pending_files(store.table(FILE_LOG), steps, mode, options.load_step)
     files = (
         with_contract(with_paths(pending, scheme), contracts)
         .join(registered_at(steps), "file_process_id", "left")
@@ -438,10 +497,9 @@ def run_pending(
     if not files:
         return spark.createDataFrame([], REPORT_SCHEMA)
     targets = with_paths(pending, scheme).select("target_path")
-    loads = defaultdict(list)
-    prior = done_loads(steps).join(targets, "target_path", "left_semi")
-    for row in prior.orderBy("load_id").collect():
-        loads[row["target_path"]].append(row["load_id"])
+    prior = done_loads(steps, options.load_step).join(targets, "target_path", "left_semi")
+    newest = prior.groupBy("target_path").agg(F.max("load_id").alias("load_id")).collect()
+    loads = defaultdict(list, {row["target_path"]: [row["load_id"]] for row in newest})
     run_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
     by_target = defaultdict(list)
@@ -472,14 +530,14 @@ def run_pending(
             )
             for file_id, outcome in outcomes.items()
         ]
-        store.append(STEP_LOG, log_finish(spark.createDataFrame(results, RESULT_SCHEMA)))
+        store.append(STEP_LOG, log_finish(spark.createDataFrame(results, RESULT_SCHEMA), options.load_step))
         return results
 
     opened = spark.createDataFrame(
         [(file["file_process_id"], file["target_path"]) for file in files],
         "file_process_id bigint, target_path string",
     )
-    store.append(STEP_LOG, log_start(opened, run_id))
+    store.append(STEP_LOG, log_start(opened, run_id, options.load_step))
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         results = [row for rows in pool.map(load_target, by_target.items()) for row in rows]
     report = spark.createDataFrame(results, RESULT_SCHEMA)
@@ -491,10 +549,11 @@ def table_history(
     store: ControlStore,
     target: str,
     partition_col: str = DEFAULT_PARTITION,
+    load_step: str = STEP_LOAD,
 ) -> DataFrame:
     """A history table as the step log's successful loads left it."""
     steps = current_steps(store.table(STEP_LOG))
-    rows = done_loads(steps).where(F.col("target_path") == target).orderBy("load_id").collect()
+    rows = done_loads(steps, load_step).where(F.col("target_path") == target).orderBy("load_id").collect()
     if not rows:
         raise ValueError(f"no successful load of {target}")
     return read_history(spark, target, [row["load_id"] for row in rows], partition_col)

@@ -84,7 +84,7 @@ STEPS = """
     select cast(event_id as varchar) as step_id, user_id as file_process_id,
            case when event_type = 'signup' then 'File Registration'
                 when event_type = 'purchase' and ts < timestamp '2024-01-15'
-                then 'Data Loader' end as step_name,
+                then 'History Load' end as step_name,
            case when value > {above} then 'DONE' else 'ERROR' end as step_status, ts
     from events"""
 FILES = "select user_id as file_process_id, max(event_id) as fp_id from events group by user_id"
@@ -154,6 +154,17 @@ ORACLE_SQL = {
     "documents_hash": """
         select doc_id, sha256(concat_ws('|', text, lang, source)) as "hashData" from documents""",
     "audit_columns": ORDERS,
+    "hash_key_columns": f"""
+        select l_orderkey, l_linenumber, l_suppkey,
+               sha256(l_orderkey || '|' || l_linenumber) as "hashKey",
+               sha256(l_returnflag || '|' || l_linestatus) as "hashData",
+               l_shipdate as "startDate", '{LOAD_DATE}' as date_loaded
+        from lineitem""",
+    "audit_columns_hot_key": _audited(
+        "select * from orders", "o_orderpriority", "o_orderdate", "o_orderstatus", ", o_orderkey",
+        LOAD_DATE,
+    ),
+    "scd2_merge_broadcast": MERGED_EVENTS,
     "current_rows": f'select * from ({ORDERS}) where "endDate" is null',
     "changed_rows": f"""
         with target as ({EVENTS_BEFORE}), batch as ({EVENTS_AFTER})
@@ -242,22 +253,27 @@ ORACLE_SQL = {
         from events left join contracts on contracts.fp_id = user_id * 100""",
     "pending_files": f"""
         with steps as ({STEPS.format(above=60)}), files as ({FILES})
-        select * from files where file_process_id in (
-            select file_process_id from steps
-            where step_name = 'File Registration' and step_status = 'DONE'
-              and ts > (select coalesce(max(ts), timestamp '1970-01-01') from steps
-                        where step_name = 'Data Loader' and step_status = 'DONE'))""",
+        , watermark as (
+            select max(ts) as since from steps
+            where step_status = 'DONE' and step_name = 'History Load'
+        ), ready as (
+            select file_process_id from steps cross join watermark
+            where step_status = 'DONE' and step_name = 'File Registration'
+            group by file_process_id, since
+            having since is null or max(ts) > since
+        )
+        select files.* from files join ready using (file_process_id)""",
     "pending_files_per_file": f"""
         with steps as ({STEPS.format(above=120)}), files as ({FILES})
         select * from files
         where exists (select 1 from steps where steps.file_process_id = files.file_process_id
                       and step_name = 'File Registration' and step_status = 'DONE')
           and not exists (select 1 from steps where steps.file_process_id = files.file_process_id
-                          and step_name = 'Data Loader' and step_status = 'DONE')""",
+                          and step_name = 'History Load' and step_status = 'DONE')""",
     "high_watermark": f"""
         with steps as ({STEPS.format(above=60)})
         select coalesce(max(ts), timestamp '1970-01-01') as since from steps
-        where step_name = 'Data Loader' and step_status = 'DONE'""",
+        where step_name = 'History Load' and step_status = 'DONE'""",
     "registered_at": f"""
         with steps as ({STEPS.format(above=60)})
         select file_process_id, max(ts) as registered_ts from steps
@@ -279,7 +295,7 @@ ORACLE_SQL = {
             from events)
         qualify row_number() over (partition by step_id order by upsert_ts desc) = 1""",
     "step_log_cycle": """
-        select 'run-' || o_orderkey as step_id, 'Data Loader' as step_name,
+        select 'run-' || o_orderkey as step_id, 'History Load' as step_name,
                case o_orderstatus when 'O' then 'IN-PROGRESS' when 'P' then 'ERROR'
                                   else 'DONE' end as step_status,
                case o_orderstatus when 'O' then 'running' when 'P' then 'partly shipped'
@@ -298,6 +314,22 @@ ORACLE_SQL = {
         union all
         select 'orders', o_custkey, "hashKey", "hashData", "startDate", "endDate", date_loaded
         from ({ORDERS})""",
+    "run_incompatible_file": f"""
+        with history as ({RUN_EVENTS})
+        select 1 as file_process_id, 'Success' as status, '' as message,
+               (select count(*) from events where ts < {CUT_OVER}) as count,
+               (select count(*) from history) as table_rows
+        union all
+        select 2, 'Success', '',
+               (select count(distinct user_id) from events where ts >= {CUT_OVER}),
+               (select count(*) from history)
+        union all
+        select 3, 'Success', '', (select count(*) from orders), (select count(*) from history)
+        union all
+        select 4, 'Failed', 'path', 0, (select count(*) from history)
+        union all
+        select 5, 'Failed', 'column value is string in the batch, double in the table', 0,
+               (select count(*) from history)""",
     "run_report": f"""
         select 1 as file_process_id, 'Success' as status, '' as error_class,
                (select count(*) from events where ts < {CUT_OVER}) as count,

@@ -13,7 +13,7 @@ from histload.names import DONE, ERROR, FAILED, STEP_LOAD, STEP_REGISTRATION, SU
 from histload.operators import scd2
 from histload.operators.audit import with_audit_columns, with_hashes
 from histload.operators.fold import ambiguous_batches, batch_census, fold_batches, fold_next
-from histload.operators.skew import ROWS, UNIQUE_KEYS, HotKeys
+from histload.operators.skew import ROWS, UNIQUE_KEYS, HotKeys, find_hot_keys, group_sizes
 from histload.plans.loads import (
     Feed,
     LoadOptions,
@@ -150,6 +150,34 @@ def audit_columns(spark, sf_dir):
     return audited_orders(spark, sf_dir)
 
 
+def hash_key_columns(spark, sf_dir):
+    """Key hashes of two columns, on rows these do not tell apart."""
+    rows = with_hashes(
+        table(spark, sf_dir, "lineitem"),
+        key="l_orderkey",
+        data_cols=["l_returnflag", "l_linestatus"],
+        defining="l_shipdate",
+        load_date=LOAD_DATE,
+        hash_key_cols=["l_orderkey", "l_linenumber"],
+    )
+    return rows.select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "hashKey", "hashData", "startDate", "date_loaded"
+    )
+
+
+def audit_columns_hot_key(spark, sf_dir):
+    """Five keys hold all rows, so each is cut into slices."""
+    return with_audit_columns(
+        table(spark, sf_dir, "orders"),
+        key="o_orderpriority",
+        data_cols=["o_orderstatus"],
+        defining="o_orderdate",
+        load_date=LOAD_DATE,
+        tiebreak=["o_orderkey"],
+        rows_per_slice=400,
+    )
+
+
 def current_rows(spark, sf_dir):
     return scd2.current_rows(audited_orders(spark, sf_dir))
 
@@ -174,6 +202,13 @@ def scd2_merge(spark, sf_dir):
     return scd2.merge_next(history, batch, "user_id", UNIQUE_KEYS)
 
 
+def scd2_merge_broadcast(spark, sf_dir):
+    """The same merge, with its keys counted: a small batch is broadcast to the open rows."""
+    history, batch = history_before(spark, sf_dir), batch_after(spark, sf_dir)
+    counted = find_hot_keys(group_sizes(batch, ["user_id"]))
+    return scd2.merge_next(history, batch, "user_id", counted)
+
+
 def scd2_merge_new_keys(spark, sf_dir):
     """The table knows every segment but one; the batch brings all customers, and the balances
     of another segment have changed."""
@@ -444,8 +479,11 @@ def done_loads(spark, sf_dir):
 # --- whole runs ------------------------------------------------------------------------------
 
 
-def _run(spark, sf_dir) -> tuple[control.FolderControl, str, DataFrame]:
-    """Three registered files, two of them of one table, and a run over them."""
+def _run(
+    spark, sf_dir, with_misfit: bool = False
+) -> tuple[control.FolderControl, str, DataFrame]:
+    """Three registered files, two of them of one table, and a run over them. ``with_misfit``: one
+    more file of that table, from a feed that has another type for a column."""
     root = scratch_path(spark, "run")
     bucket = f"{root}/landing"
     events, orders = table(spark, sf_dir, "events"), table(spark, sf_dir, "orders")
@@ -463,6 +501,9 @@ def _run(spark, sf_dir) -> tuple[control.FolderControl, str, DataFrame]:
         (3, 2, "in/orders_20240131.csv"),
         (4, 2, "in/orders_20240201.csv"),  # registered, but never arrived
     ]
+    if with_misfit:
+        write_csv(events, f"{bucket}/in/events_20240201.csv")
+        files.append((5, 3, "in/events_20240201.csv"))
     store.append(
         control.FILE_LOG,
         spark.createDataFrame(
@@ -482,7 +523,7 @@ def _run(spark, sf_dir) -> tuple[control.FolderControl, str, DataFrame]:
             F.lit("").alias("step_status_detail"),
             moment.alias("step_start_ts"),
             moment.alias("step_end_ts"),
-            F.lit("loader").alias("upsert_by"),
+            F.lit("registrar").alias("upsert_by"),
             moment.alias("upsert_ts"),
             F.lit(None).cast("string").alias("target_path"),
             F.lit(None).cast("string").alias("load_id"),
@@ -491,11 +532,15 @@ def _run(spark, sf_dir) -> tuple[control.FolderControl, str, DataFrame]:
     store.append(
         control.FEEDS,
         spark.createDataFrame(
-            [(1, "DELIMITED", "date_loaded"), (2, "DELIMITED", "date_loaded,region")],
+            [
+                (1, "DELIMITED", "date_loaded"),
+                (2, "DELIMITED", "date_loaded,region"),
+                (3, "DELIMITED", "date_loaded"),
+            ],
             "fp_id bigint, file_format string, target_table_partition string",
         ),
     )
-    ntz_type, key_pos = "TimestampNTZType", {1: 2, 2: 1}
+    ntz_type, key_pos = "TimestampNTZType", {1: 2, 2: 1, 3: 2}
     columns = {
         1: [
             ("event_id", "LongType", "Y"),
@@ -514,6 +559,10 @@ def _run(spark, sf_dir) -> tuple[control.FolderControl, str, DataFrame]:
             ("o_orderpriority", "StringType", "N"),
         ],
     }
+    columns[3] = [
+        (name, "StringType" if name == "value" else datatype, audit)
+        for name, datatype, audit in columns[1]
+    ]
     store.append(
         control.COLUMNS,
         spark.createDataFrame(
@@ -549,6 +598,20 @@ def run_pending_files(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+def run_incompatible_file(spark, sf_dir):
+    """Outcomes of a run with a file that does not fit its table, and the table's rows after it."""
+    store, raw, report = _run(spark, sf_dir, with_misfit=True)
+    rows = table_history(spark, store, f"{raw}/events.parquet").count()
+    no_path = F.col("message").startswith("[PATH_NOT_FOUND]")
+    return report.select(
+        "file_process_id",
+        "status",
+        F.when(no_path, "path").otherwise(F.col("message")).alias("message"),
+        "count",
+        F.lit(rows).cast("long").alias("table_rows"),
+    )
+
+
 def run_report(spark, sf_dir):
     """What became of each file of the run, from the report and from the step log."""
     store, _, report = _run(spark, sf_dir)
@@ -569,10 +632,13 @@ QUERIES = {
     "hash_columns": hash_columns,
     "documents_hash": documents_hash,
     "audit_columns": audit_columns,
+    "hash_key_columns": hash_key_columns,
+    "audit_columns_hot_key": audit_columns_hot_key,
     "current_rows": current_rows,
     "changed_rows": changed_rows,
     "staged_updates": staged_updates,
     "scd2_merge": scd2_merge,
+    "scd2_merge_broadcast": scd2_merge_broadcast,
     "scd2_merge_new_keys": scd2_merge_new_keys,
     "scd2_merge_evolving": scd2_merge_evolving,
     "ambiguous_keys": ambiguous_keys,
@@ -597,5 +663,6 @@ QUERIES = {
     "step_log_cycle": step_log_cycle,
     "done_loads": done_loads,
     "run_pending": run_pending_files,
+    "run_incompatible_file": run_incompatible_file,
     "run_report": run_report,
 }

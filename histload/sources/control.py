@@ -63,7 +63,12 @@ class FolderControl:
 
 @dataclass(frozen=True)
 class JdbcControl:
-    """Control tables in a database; its JDBC driver must be on Spark's class path."""
+    """Control tables in a database; its JDBC driver must be on Spark's class path.
+
+    The step log has to be a table with the columns of STEP_LOG_SCHEMA that allows several rows per
+    ``step_id``: rows are added, never updated. Tables are read in one task, as a plain JDBC read
+    is. No database was at hand to test this.
+    """
 
     spark: SparkSession
     url: str
@@ -94,16 +99,19 @@ def _ended(step_name: str) -> Column:
     return (F.col("step_name") == step_name) & (F.col("step_status") == DONE)
 
 
-def high_watermark(steps: DataFrame) -> DataFrame:
+def high_watermark(steps: DataFrame, load_step: str = STEP_LOAD) -> DataFrame:
     """One row ``since``: the latest start of a load that succeeded."""
-    loads = steps.where(_ended(STEP_LOAD))
+    loads = steps.where(_ended(load_step))
     start_type = steps.schema["step_start_ts"].dataType
     since = F.coalesce(F.max("step_start_ts"), F.lit(NEVER).cast(start_type))
     return loads.agg(since.alias("since"))
 
 
 def pending_files(
-    file_log: DataFrame, steps: DataFrame, mode: str = "high_watermark"
+    file_log: DataFrame,
+    steps: DataFrame,
+    mode: str = "high_watermark",
+    load_step: str = STEP_LOAD,
 ) -> DataFrame:
     """File-log rows still to be loaded.
 
@@ -113,11 +121,11 @@ def pending_files(
     """
     registered = steps.where(_ended(STEP_REGISTRATION))
     if mode == "high_watermark":
-        registered = registered.where(F.col("step_end_ts") > high_watermark(steps).scalar())
+        registered = registered.where(F.col("step_end_ts") > high_watermark(steps, load_step).scalar())
         return file_log.join(_file_ids(registered), "file_process_id", "left_semi")
     if mode == "per_file":
         waiting = file_log.join(_file_ids(registered), "file_process_id", "left_semi")
-        loaded = _file_ids(steps.where(_ended(STEP_LOAD)))
+        loaded = _file_ids(steps.where(_ended(load_step)))
         return waiting.join(loaded, "file_process_id", "left_anti")
     raise ValueError(f"unknown mode {mode!r}")
 
@@ -136,11 +144,12 @@ def registered_at(steps: DataFrame) -> DataFrame:
     )
 
 
-def log_start(files: DataFrame, run_id: str) -> DataFrame:
+def log_start(files: DataFrame, run_id: str, load_step: str = STEP_LOAD) -> DataFrame:
     """Step rows that open one load step per file (``file_process_id``, ``target_path``)."""
     now = F.current_timestamp()
     return _step_rows(
         files,
+        load_step,
         step_id=F.concat_ws("-", F.lit(run_id), "file_process_id"),
         step_status=F.lit(IN_PROGRESS),
         step_status_detail=F.lit(RUNNING_DETAIL),
@@ -150,12 +159,13 @@ def log_start(files: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def log_finish(results: DataFrame) -> DataFrame:
+def log_finish(results: DataFrame, load_step: str = STEP_LOAD) -> DataFrame:
     """Step rows that close the steps of ``results``: ``step_id, file_process_id, target_path,
     load_id, status, message, start, end``."""
     succeeded = F.col("status") == SUCCESS
     return _step_rows(
         results,
+        load_step,
         step_id=F.col("step_id"),
         step_status=F.when(succeeded, DONE).otherwise(ERROR),
         step_status_detail=F.when(succeeded, DONE_DETAIL).otherwise(F.col("message")),
@@ -165,11 +175,11 @@ def log_finish(results: DataFrame) -> DataFrame:
     )
 
 
-def _step_rows(df: DataFrame, **values: Column) -> DataFrame:
+def _step_rows(df: DataFrame, load_step: str, **values: Column) -> DataFrame:
     return df.select(
         values["step_id"].alias("step_id"),
         F.col("file_process_id").cast("bigint"),
-        F.lit(STEP_LOAD).alias("step_name"),
+        F.lit(load_step).alias("step_name"),
         values["step_status"].alias("step_status"),
         values["step_status_detail"].alias("step_status_detail"),
         values["step_start_ts"].alias("step_start_ts"),
@@ -181,7 +191,7 @@ def _step_rows(df: DataFrame, **values: Column) -> DataFrame:
     )
 
 
-def done_loads(steps: DataFrame) -> DataFrame:
+def done_loads(steps: DataFrame, load_step: str = STEP_LOAD) -> DataFrame:
     """(``target_path``, ``load_id``): the tables' successful loads. Ids sort by age."""
-    loads = steps.where(_ended(STEP_LOAD) & F.col("load_id").isNotNull())
+    loads = steps.where(_ended(load_step) & F.col("load_id").isNotNull())
     return loads.select("target_path", "load_id").distinct()

@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 
 from histload.names import quoted
 
+LOOKUP_BYTES = 64 << 20
+
 
 def read_delimited(
     spark: SparkSession,
@@ -40,7 +42,8 @@ def read_numbered(
     """One scan over (path, number) files; every row carries its file's number.
 
     A path may be a folder, as Spark writes one per data set. The numbers are looked up by the
-    file name Spark gives each row, in a table with one row per file of the scan.
+    file name Spark gives each row, in a broadcast table with one row per file of the scan. Its
+    size is known here; if it exceeds LOOKUP_BYTES, the files are read in several scans.
     """
     rows = read_delimited(spark, [path for path, _ in files], schema, check_header)
     numbers = {_plain(path): place for path, place in files}
@@ -49,7 +52,11 @@ def read_numbered(
         (re.sub("^file:/+", "file:/", file), _number_of(file, numbers))
         for file in rows.inputFiles()
     ]
-    lookup = spark.createDataFrame(located, f"__file string, {number} int")
+    if len(files) > 1 and sum(len(file) + 64 for file, _ in located) > LOOKUP_BYTES:
+        halves = files[: len(files) // 2], files[len(files) // 2 :]
+        parts = [read_numbered(spark, half, schema, number, check_header) for half in halves]
+        return parts[0].union(parts[1])
+    lookup = F.broadcast(spark.createDataFrame(located, f"__file string, {number} int"))
     unknown = F.raise_error(F.concat(F.lit("row of an unregistered file: "), "__file"))
     names = [quoted(name) for name in rows.columns]
     return (

@@ -10,16 +10,83 @@ log. A load costs the open rows and the batch, however long the history is.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from histload.names import DEFAULT_PARTITION, END, LOAD_FOLDER, STATE_FOLDER, quoted
+from histload.names import (
+    DEFAULT_PARTITION,
+    END,
+    HASH_DATA,
+    HASH_KEY,
+    LOAD_FOLDER,
+    START,
+    STATE_FOLDER,
+    quoted,
+)
 
 LOAD, STATE, OPEN, CLOSED = LOAD_FOLDER, STATE_FOLDER, "open", "closed"
 
 
+# What a column may change to: older files are then read as the new type.
+WIDENINGS = {
+    ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("tinyint", "double"),
+    ("smallint", "int"), ("smallint", "bigint"), ("smallint", "double"),
+    ("int", "bigint"), ("int", "double"), ("float", "double"),
+}
+
+
+@dataclass
+class TableShape:
+    """Column types, key and load-date column of a table, as far as they are known.
+
+    Files are checked in order; one that fits adds to what is known.
+    """
+
+    types: dict[str, str] = field(default_factory=dict)
+    partition_col: str | None = None
+    key_col: str | None = None
+
+    def misfit(self, feed) -> str | None:
+        """Why a batch with this feed's columns cannot be merged; None if it can. A column may be
+        new, of the same type, or of one that WIDENINGS allows, in either direction."""
+        if self.partition_col not in (None, feed.partition_col):
+            return f"the table's load-date column is {self.partition_col}, not {feed.partition_col}"
+        if self.key_col not in (None, feed.key_col):
+            return f"the table's key is {self.key_col}, not {feed.key_col}"
+        if self.types and feed.key_col not in self.types:
+            return f"the table has no key column {feed.key_col}"
+        own = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(feed.schema_ddl)}
+        own |= {HASH_KEY: "string", HASH_DATA: "string"}
+        if feed.defining_col in own:
+            own |= dict.fromkeys((START, END), own[feed.defining_col])
+        wider = {}
+        for name, kind in own.items():
+            known = self.types.get(name, kind)
+            if known != kind and not {(known, kind), (kind, known)} & WIDENINGS:
+                return f"column {name} is {kind} in the batch, {known} in the table"
+            wider[name] = kind if (known, kind) in WIDENINGS else known
+        self.types |= wider
+        self.partition_col, self.key_col = feed.partition_col, feed.key_col
+        return None
+
+
+def table_shape(spark: SparkSession, path: str, load_id: str) -> TableShape:
+    """The shape of a table after a load, from its files' schema; its key is not recorded there."""
+    folder = f"{_load_path(path, load_id)}/{STATE}={OPEN}"
+    stored = spark.read.parquet(folder)
+    partitions = [name for name in stored.columns if name not in _file_columns(spark, folder)]
+    types = {f.name: f.dataType.simpleString() for f in stored.schema if f.name not in partitions}
+    return TableShape(types, partitions[0] if partitions else None)
+
+
+def _file_columns(spark: SparkSession, folder: str) -> list[str]:
+    """Columns inside the files of a folder, without those in the folders' names."""
+    return spark.read.option("recursiveFileLookup", True).parquet(folder).columns
+
+
 def append_evolving(df: DataFrame, path: str, partition_col: str = DEFAULT_PARTITION) -> None:
     """Append to a partitioned table; the rows may have columns the table lacks so far."""
     df.write.mode("append").partitionBy(partition_col).parquet(path)

@@ -175,7 +175,7 @@ def test_bad_files_fail_alone_and_wait(landing):
     assert report[5]["message"] == "unknown feed"
     assert summary(landing.history()) == timed(AFTER_INCREMENT)
     steps = control.current_steps(landing.store.table(control.STEP_LOG)).where(
-        "step_name = 'Data Loader'"
+        "step_name = 'History Load'"
     )
     assert {r["file_process_id"]: r["step_status"] for r in steps.collect()} == {
         1: "DONE", 2: "ERROR", 3: "ERROR", 4: "ERROR", 5: "ERROR", 6: "DONE"

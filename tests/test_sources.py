@@ -218,7 +218,7 @@ def test_pending_files(spark):
         ("r3", 3, "File Registration", "ERROR", 10, 90),
         ("r4", 4, "File Registration", "DONE", 10, 50),
         ("r5", 5, "Other Step", "DONE", 10, 90),
-        ("l1", 1, "Data Loader", "ERROR", 60, 61),
+        ("l1", 1, "History Load", "ERROR", 60, 61),
     ]
     waiting = lambda rows, mode: [
         r[0] for r in plain(control.pending_files(files, steps(spark, rows), mode))
@@ -227,7 +227,7 @@ def test_pending_files(spark):
     assert waiting(log, "high_watermark") == [1, 2, 4]
     assert waiting(log, "per_file") == [1, 2, 4]
     # One success: only what was registered after its start; the failed file is passed over.
-    log.append(("l2", 2, "Data Loader", "DONE", 30, 31))
+    log.append(("l2", 2, "History Load", "DONE", 30, 31))
     assert waiting(log, "high_watermark") == [4]
     assert waiting(log, "per_file") == [1, 4]
     with pytest.raises(ValueError):
