@@ -11,7 +11,7 @@ if it is not given, they are found by counting, in a job of its own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
@@ -19,6 +19,9 @@ from histload.names import END, HASH_DATA, MERGE_KEY, START, quoted
 from histload.operators.skew import ROWS, HotKeys, find_hot_keys, group_sizes, join_on_key
 
 
+IS_NEW = "__is_new"  # a name no data column has
+
+
 def current_rows(history: DataFrame) -> DataFrame:
     return history.where(F.col(END).isNull())
 
@@ -174,12 +177,57 @@ def merge_open(
 ) -> DataFrame:
     """Both parts in one: the former open rows (now open or closed) and the new rows.
 
-    Columns only one side has are NULL on the other.
+    Columns only one side has are NULL on the other. A batch that is not broadcast and has no hot
+    keys meets the open rows in one shuffle by key; hot keys are joined apart.
     """
+    if hot is None:
+        hot = find_hot_keys(group_sizes(batch, [key]))
+    if not hot.rows and not is_small(batch, hot):
+        return _merge_in_one_shuffle(open_rows, batch, key)
     updated, inserted = _merge(open_rows, batch, key, hot)
     return updated.unionByName(inserted, allowMissingColumns=True)
 
 
+def _merge_in_one_shuffle(open_rows: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Open and batch rows of a key side by side in a window, which tells what becomes of each.
+
+    As a join would have it, a batch row is inserted once for each open row it differs from.
+    """
+    both = open_rows.withColumn(IS_NEW, F.lit(False)).unionByName(
+        batch.withColumn(IS_NEW, F.lit(True)), allowMissingColumns=True
+    )
+    columns = [quoted(name) for name in both.columns if name != IS_NEW]
+    has_key = F.col(quoted(key)).isNotNull()
+    of_key = Window.partitionBy(quoted(key))
+    new, own = F.col(IS_NEW), F.col(HASH_DATA)
+
+    def over(aggregate, value: Column, side: Column) -> Column:
+        return aggregate(F.when(side, value)).over(of_key)
+
+    rows = both.where(has_key).withColumns(
+        {
+            "__open": over(F.collect_list, own, ~new),
+            "__n": over(F.count, F.lit(1), new),
+            "__hash": over(F.max, own, new),
+            "__start": over(F.max, F.col(START), new),
+        }
+    )
+    message = F.concat(
+        F.lit(f"several batch rows for one open key, {key} = "),
+        F.col(quoted(key)).cast("string"),
+    )
+    end = (
+        F.when(new, F.col(END))
+        .when(F.col("__n") > 1, F.raise_error(message))
+        .when(F.col("__hash") != own, F.col("__start"))
+        .otherwise(F.col(END))
+    )
+    differing = F.size(F.filter("__open", lambda other: other != F.col(HASH_DATA)))
+    copies = F.when(~new | (F.size("__open") == 0), 1).otherwise(differing)
+    rows = rows.withColumn(END, end).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies)))
+    return rows.select(*columns).unionByName(both.where(~has_key).select(*columns))
+
+
 def merge_next(
     history: DataFrame, batch: DataFrame, key: str, hot: HotKeys | None = None
 ) -> DataFrame:

@@ -3,7 +3,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from histload.functions.hashing import row_hash
-from histload.operators.audit import with_audit_columns
+from histload.names import END
+from histload.operators import scd2
+from histload.operators.audit import with_audit_columns, with_hashes
 from histload.operators.scd2 import (
     ambiguous_keys,
     changed_rows,
@@ -11,6 +13,7 @@ from histload.operators.scd2 import (
     merge_next,
     stage_updates,
 )
+from histload.operators.skew import UNIQUE_KEYS
 from tests.fixtures import (
     AFTER_FULL_LOAD,
     AFTER_INCREMENT,
@@ -152,3 +155,22 @@ def test_load_date_defaults_to_today(spark):
     out = with_audit_columns(df, "customerId", ["address", "city"], "createdOn")
     today = F.date_format(F.current_date(), "yyyy-MM-dd")
     assert out.where(F.col("date_loaded") != today).count() == 0
+
+
+def test_large_merges_shuffle_once(spark):
+    """The plan of a merge without a broadcast has one exchange over both inputs, and its rows are
+    those of the joins."""
+    batch_rows = [(1, "x", "2024-02-01"), (2, "b", "2024-02-01"), (5, "new", "2024-02-01"), (None, "n", "2024-02-01")]
+    open_rows = [(1, "a", "2024-01-01"), (2, "b", "2024-01-01"), (3, "c", "2024-01-01"), (None, "o", "2024-01-01"), (1, "z", "2024-01-02")]
+
+    def audited(rows, date):
+        df = spark.createDataFrame(rows, "k int, v string, at string")
+        return with_hashes(df, "k", ["v"], "at", load_date=date).withColumn(END, F.lit(None).cast("string"))
+
+    history, batch = audited(open_rows, "2024-01-03"), audited(batch_rows, "2024-02-02")
+    one = scd2.merge_open(history, batch, "k", UNIQUE_KEYS)
+    updated, inserted = scd2._merge(history, batch, "k", UNIQUE_KEYS)
+    two = updated.unionByName(inserted)
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.select(*one.columns).collect()))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
