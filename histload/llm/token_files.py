@@ -45,14 +45,11 @@ def pack(ids: np.ndarray, unit: int = 1) -> list[bytes]:
 
     compressor = zstandard.ZstdCompressor(level=LEVEL)
     width = max(1, int(ids.max()).bit_length()) if len(ids) else 0
-    planes = []
-    for shift in range(0, width, unit):
-        if unit == 8:
-            plane = ((ids >> np.uint32(shift)) & np.uint32(255)).astype(np.uint8)
-        else:
-            plane = np.packbits(((ids >> np.uint32(shift)) & np.uint32(1)).astype(np.uint8))
-        planes.append(compressor.compress(plane.tobytes()))
-    return planes
+    own = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    if unit == 8:
+        return [compressor.compress(own[n].tobytes()) for n in range((width + 7) // 8)]
+    bits = (np.packbits(own[n // 8] & np.uint8(1 << n % 8)) for n in range(width))
+    return [compressor.compress(plane.tobytes()) for plane in bits]
 
 
 def unpack(planes: list[bytes], count: int, unit: int = 1) -> np.ndarray:
@@ -60,12 +57,14 @@ def unpack(planes: list[bytes], count: int, unit: int = 1) -> np.ndarray:
     import zstandard
 
     decompressor = zstandard.ZstdDecompressor()
-    ids = np.zeros(count, np.uint32)
+    own = np.zeros((4, count), np.uint8)
     for n, plane in enumerate(planes):
         raw = np.frombuffer(decompressor.decompress(plane), np.uint8)
-        values = raw if unit == 8 else np.unpackbits(raw, count=count)
-        ids |= values.astype(np.uint32) << np.uint32(n * unit)
-    return ids
+        if unit == 8:
+            own[n] = raw
+        else:
+            own[n // 8] |= np.unpackbits(raw, count=count) << np.uint8(n % 8)
+    return np.ascontiguousarray(own.T).view("<u4").ravel()
 
 
 class _Writer:
