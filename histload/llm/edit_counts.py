@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histload.llm.encoding import encoder
+from histload.llm.tables import small_arrow_batches
 from histload.llm.words import small_batches
 
 LEAF = 128
@@ -165,6 +166,7 @@ def _edited(text: str, tree: Tree, edits: list[dict], count: Callable[[str], int
 
 def count_tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """(doc_id, text, n_tokens, tree) for every row of ``docs`` (doc_id, text)."""
+    small_arrow_batches(docs.sparkSession)
     ddl = _STATE.format(id_type=docs.schema["doc_id"].dataType.simpleString())
     return docs.select("doc_id", "text").mapInArrow(_Counts(tokenizer), ddl)
 
@@ -183,6 +185,7 @@ def with_edits(state: DataFrame, edits: DataFrame) -> DataFrame:
 def apply_edits(state: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """The state after its column ``edits``, with the tokens before (``n_before``), the number of
     edits and the characters that were encoded again."""
+    small_arrow_batches(state.sparkSession)
     ddl = _STATE.format(id_type=state.schema["doc_id"].dataType.simpleString())
     ddl += ", n_before bigint, n_edits bigint, encoded_chars bigint"
     columns = ["doc_id", "text", "n_tokens", "tree", F.col("edits").cast(EDITS).alias("edits")]

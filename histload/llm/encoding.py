@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_PIECES = 300_000  # the cache is emptied beyond this many pieces
+CACHE_PIECES = 200_000  # the cache is emptied beyond this many pieces
 CACHE_BYTES = 64  # longer pieces are not kept
 
 # Characters whose normal form and lower case need no context, and the words made of them.

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histload.llm.components import components
-from histload.llm.tables import byte_size, checkpointed, lookup, stored
+from histload.llm.tables import byte_size, checkpointed, lookup, small_arrow_batches, stored
 from histload.llm.words import find_words, mixed, small_batches, text_bytes
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -216,6 +216,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows of it, all of them are.
     """
     spark = docs.sparkSession
+    small_arrow_batches(spark)
     docs = docs.select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))

@@ -20,6 +20,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from histload.llm.tables import small_arrow_batches
+
 KINDS = ("assign", "access", "hex", "novel")
 CONTEXT = 200
 NOVELTY = 0.8
@@ -116,6 +118,7 @@ def _spans(batches):
 def secret_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, spans): for every row of ``docs`` (doc_id, text) its spans as (kind, begin, end), by
     begin, then by kind in the order of KINDS."""
+    small_arrow_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     ddl = f"doc_id {id_type}, spans array<struct<kind: string, begin: bigint, end: bigint>>"
     return docs.select("doc_id", "text").mapInArrow(_spans, ddl)

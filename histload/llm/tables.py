@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histload.session import scratch_path, shared_folder
 
 SHARES = 1000  # keys with more than one in so many rows are joined apart; there are fewer of them
 BROADCAST_BYTES = 32 << 20
+ARROW_SETTING, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
+def small_arrow_batches(spark: SparkSession) -> None:
+    """Let Python get ARROW_ROWS rows at a time from now on: texts are long, and Spark's usual 10,000
+    of them take hundreds of MB in the JVM and in Python. A smaller setting of the session stays."""
+    rows = int(spark.conf.get(ARROW_SETTING))
+    if rows <= 0 or rows > ARROW_ROWS:
+        spark.conf.set(ARROW_SETTING, ARROW_ROWS)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

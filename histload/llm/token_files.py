@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histload.llm.encoding import encoder
+from histload.llm.tables import small_arrow_batches
 from histload.llm.words import small_batches, text_bytes
 
 END_ID = 2
@@ -121,6 +122,7 @@ def write_tokens(
 ) -> None:
     """Encode and write ``docs`` (doc_id, text). ``tokenizer``: a file on every executor."""
     spark = docs.sparkSession
+    small_arrow_batches(spark)
     ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # The text's hash parts rows of one id, should an id have very many.
     ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from histload.llm.tables import small_arrow_batches
 from histload.llm.words import find_words, small_batches, text_bytes
 from histload.names import quoted
 
@@ -109,6 +110,7 @@ def fit(
 
     ``keep_out``: documents that ``held_out`` names are not learned from.
     """
+    small_arrow_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     if keep_out:
         known = known.where(~held_out(F.col("doc_id")))
@@ -182,6 +184,7 @@ def _learn(rows: pa.Table) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (text and any other columns) with SCORE_COLUMNS: the document's score, its number
     of sentences and of offensive ones, and the worst sentence as a range of code points."""
+    small_arrow_batches(docs.sparkSession)
     others = [name for name in docs.columns if name != "text"]
     taken = {part.split()[0] for part in SCORE_COLUMNS.split(", ")} & {n.lower() for n in docs.columns}
     if taken:
