@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_local: list[tempfile.TemporaryDirectory] = []  # removed when this process ends
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a temporary folder only in local mode."""
@@ -17,7 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="histload-"))
+    _local.append(tempfile.TemporaryDirectory(prefix="histload-", ignore_cleanup_errors=True))
+    spark.sparkContext.setCheckpointDir(_local[-1].name)
     return spark.sparkContext.getCheckpointDir()
 
 
