@@ -29,7 +29,7 @@ from histload.llm.tables import small_arrow_batches
 from histload.llm.words import find_words, small_batches, text_bytes
 from histload.names import quoted
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 FOLDS = 5
 BUCKETS = 1 << 20  # words are told apart by so many hash values
 MIN_DOCUMENTS = 3  # a word in fewer documents of the sample has no weight
@@ -128,35 +128,46 @@ def fit(
     return _learn(rows.toArrow())
 
 
+def _batch_words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document in the batch, hash value, sentence in the document) of each word of a batch."""
+    features, places = batch.column("features"), batch.column("places")
+    sizes = features.value_lengths().to_numpy(zero_copy_only=False)
+    document = np.repeat(np.arange(batch.num_rows), sizes)
+    return document, features.flatten().to_numpy(), places.flatten().to_numpy()
+
+
 def _learn(rows: pa.Table) -> Model:
     toxic = rows.column("toxic").to_numpy().astype(float)
     none = Model(np.zeros(0, np.int64), np.zeros(0), 0.0, (toxic.sum() + 0.5) / (len(toxic) + 2))
     if not 0 < toxic.sum() < len(toxic):
         return none
-    features = rows.column("features").combine_chunks()
-    document = np.repeat(np.arange(len(toxic)), np.diff(features.offsets.to_numpy()))
     sentences = rows.column("sentences").to_numpy()
     first = np.concatenate(([0], np.cumsum(sentences)))
-    places = rows.column("places").combine_chunks().flatten().to_numpy()
-    sentence = first[document] + places
-    feature = features.flatten().to_numpy()
 
-    # Words that enough documents have, numbered.
-    in_document = np.unique(document * BUCKETS + feature)
-    support = np.bincount(in_document % BUCKETS, minlength=BUCKETS)
+    # Words that enough documents have, numbered; batch by batch, to spare the driver's memory.
+    support, hits, begin = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS), 0
+    for batch in rows.to_batches():
+        document, feature, _ = _batch_words(batch)
+        pairs = np.unique(document * BUCKETS + feature)
+        support += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
+        hits += np.bincount(pairs % BUCKETS, toxic[begin + pairs // BUCKETS], minlength=BUCKETS)
+        begin += batch.num_rows
     kept = np.flatnonzero(support >= MIN_DOCUMENTS)
     if not len(kept):
         return none
-    number = np.full(BUCKETS, -1)
+    number = np.full(BUCKETS, -1, np.int32)
     number[kept] = np.arange(len(kept))
-    known = number[feature] >= 0
-    feature, sentence = number[feature[known]], sentence[known]
+    parts, begin = [], 0
+    for batch in rows.to_batches():
+        document, feature, place = _batch_words(batch)
+        own = number[feature]
+        known = own >= 0
+        parts.append((own[known], (first[begin + document] + place)[known].astype(np.int32)))
+        begin += batch.num_rows
+    feature, sentence = (np.concatenate(column) for column in zip(*parts))
 
     # A start by each word's log-odds among documents, only where toxic documents prefer it.
-    in_document = in_document[number[in_document % BUCKETS] >= 0]
-    hits = np.bincount(
-        number[in_document % BUCKETS], toxic[in_document // BUCKETS], minlength=len(kept)
-    )
+    hits = hits[kept]
     rest = support[kept] - hits
     odds = np.log((hits + 0.5) / (toxic.sum() + 1)) - np.log((rest + 0.5) / (len(toxic) - toxic.sum() + 1))
     weights = np.where((odds > 0) & (hits >= 2), odds, 0.0)
