@@ -29,7 +29,7 @@ from histload.llm.tables import small_arrow_batches
 from histload.llm.words import find_words, small_batches, text_bytes
 from histload.names import quoted
 
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 10_000
 FOLDS = 5
 BUCKETS = 1 << 20  # words are told apart by so many hash values
 MIN_DOCUMENTS = 3  # a word in fewer documents of the sample has no weight
