@@ -40,7 +40,7 @@ SKETCHES, LENGTH = 14, 3
 # Leaders of a bucket in each round; larger buckets that are still divided then are split.
 LEADERS = (1, 64)
 # Ids of texts to verify are broadcast to the scan up to this size, else joined by shuffle.
-ID_BYTES, BROADCAST_BYTES = 24, 64 << 20
+ID_BYTES, BROADCAST_BYTES = 48, 64 << 20
 
 _LAST = np.uint64(2**64 - 1)
 _SALTS = np.random.default_rng(77).integers(1, 2**63, 64, dtype=np.uint64) * 2 + 1
@@ -247,11 +247,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _candidate_shingles(docs, texts, buckets) -> DataFrame:
     """Shingles of each text that shares a bucket."""
     wanted = buckets.select("node").distinct().join(texts, "node")
-    wanted = wanted.select("node", "digest", F.col("first.doc_id").alias("first_id"))
-    wanted = checkpointed(wanted)
+    wanted = checkpointed(wanted.select("node", "digest", "first.doc_id", "first.text_hash"))
     small = byte_size(wanted, F.lit(ID_BYTES)) <= BROADCAST_BYTES
     wanted = F.broadcast(wanted) if small else wanted
-    found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first_id"]))
+    # The hash as well as the id: many rows may have no id.
+    same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (F.xxhash64(docs["text"]) == wanted["text_hash"])
+    found = docs.join(wanted, same)
     found = found.select("text", "node", "digest")
     found = found.mapInArrow(_shingle_rows, "node bigint, shingles binary")
     return stored(found.dropDuplicates(["node"]), "shingles")
