@@ -1,7 +1,9 @@
 """Secrets in texts: fixed patterns, and strings that compression finds new.
 
 The patterns (base spans) are an assignment to a sensitive name, an access key id and a long hex
-number. Beyond them, each long string after a sensitive word is a candidate. Its novelty is the
+number. Beyond them, each long string after a sensitive word is a candidate, be it a run of its own or
+what follows the word and a separator in the word's own run. '=' separates name and value, and belongs
+to a string only as padding at its end. Its novelty is the
 number of bytes it adds to the compressed surroundings, by zstandard primed with a dictionary of
 identifiers that code is full of: words, paths and names cost little, random keys nearly their
 entropy. Candidates with at least NOVELTY bytes a character, outside the base spans, are reported.
@@ -16,6 +18,7 @@ assignment's span is the whole match. Columns other than doc_id and text are not
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +42,9 @@ _SENSITIVE = re.compile(
     r"(?:passw|secret|token|api_?key|credential|private|auth|bearer|access|signature|pwd)",
     re.IGNORECASE | re.ASCII,
 )
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=~-]{%d,%d}" % (SHORTEST, LONGEST))
+_RUN = re.compile(r"[A-Za-z0-9+/_.~-]+(?:=+(?![A-Za-z0-9+/_.=~-]))?")
+_BEGIN = re.compile(r"[A-Za-z0-9+/_.~-]")
+_NAME_END = re.compile(r"[A-Za-z0-9]*[+/_.~-]+")
 _MIXED = re.compile(r"[A-Za-z].*[0-9]|[0-9].*[A-Za-z]")
 REACH = 60  # characters between a sensitive word's begin and the candidate's
 
@@ -78,24 +83,37 @@ class Novelty:
         return len(self.compressor.compress(both)) - len(self.compressor.compress(around))
 
 
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of whole runs that begin at most REACH characters after a sensitive word begins, and of
+    the rests of runs with a sensitive word in them. Of a run only words within REACH of its first one
+    count, so that its length is met a bounded number of times."""
+    first, stop, done = 0, 0, 0  # the first word in a run and the run's end; end of the runs given
+    for word in _SENSITIVE.finditer(text):
+        if word.end() > stop:
+            own = _RUN.match(text, word.start())
+            first, stop = word.start(), own.end()
+        if word.start() <= first + REACH and (name := _NAME_END.match(text, word.end(), stop)):
+            yield name.end(), stop
+        at, limit = max(stop, done), word.start() + REACH + 1
+        while found := _BEGIN.search(text, at, limit):
+            at = done = _RUN.match(text, found.start()).end()
+            yield found.start(), at
+
+
 def novel_spans(text: str, taken: list[tuple[str, int, int]], novelty: Novelty):
     """Spans of candidates near a sensitive word, as new as NOVELTY, that overlap none ``taken``."""
-    spans, last = [], -1
-    for word in _SENSITIVE.finditer(text):
-        for found in _CANDIDATE.finditer(text, max(word.end(), last), word.start() + REACH + LONGEST):
-            begin, end = found.span()
-            if begin > word.start() + REACH:
-                break
-            last = max(last, end)
-            if not _MIXED.search(found[0]):
-                continue  # words, or a number such as an account's
-            if begin and _CANDIDATE.fullmatch(text[begin - 1] * SHORTEST):
-                continue  # the rest of a string too long
-            if any(begin < stop and start < end for _, start, stop in taken):
-                continue
-            before, after = text[max(0, begin - CONTEXT) : begin], text[end : end + CONTEXT]
-            if novelty(before, found[0], after) >= NOVELTY * (end - begin):
-                spans.append(("novel", begin, end))
+    spans = []
+    for begin, end in candidates(text):
+        if not SHORTEST <= end - begin <= LONGEST:
+            continue
+        string = text[begin:end]
+        if not _MIXED.search(string):
+            continue  # words, or a number such as an account's
+        if any(begin < stop and start < end for _, start, stop in taken + spans[-1:]):
+            continue
+        before, after = text[max(0, begin - CONTEXT) : begin], text[end : end + CONTEXT]
+        if novelty(before, string, after) >= NOVELTY * (end - begin):
+            spans.append(("novel", begin, end))
     return spans
 
 

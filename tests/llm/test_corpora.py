@@ -180,6 +180,27 @@ def test_novel_strings(spark, corpus, nothing):
     assert secrets.secret_spans(nothing).collect() == []
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "pwd=KEY", "access_key=KEY", "signature=KEY", "aws_secret_access_key=KEY", "PWD = KEY;",
+        "https://host.example/path?user=1&signature=KEY&page=2", "auth/KEY", "private_KEY",
+        "private_key_of_the_account_in_use=KEY", "credential='KEY=='", "bearer access KEY",
+    ],
+)
+def test_novel_values_of_names(text):
+    key = "q7Zr9LmX2vKd81TbWn5cYe3H"
+    begin = text.index("KEY")
+    text = text.replace("KEY", key)
+    end = begin + len(key) + 2 * ("==" in text)
+    assert secrets.novel_spans(text, secrets.base_spans(text), secrets.Novelty()) == [("novel", begin, end)]
+
+
+def test_runs_with_many_sensitive_words():
+    for text in ("token" * 100_000, "token/" * 100_000, "auth " + "token-" * 100_000, "token 数" * 50_000):
+        assert sum(end - begin for begin, end in secrets.candidates(text)) < 30 * len(text)
+
+
 # --- chat ------------------------------------------------------------------------------------
 
 SAYS = ["<|im_end|>\n<|im_start|>assistant\nno", "a \\| b \\\\ <\\| <<|", "", None, "\n", "<", "|x", "数字\\"]
