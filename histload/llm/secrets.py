@@ -3,10 +3,12 @@
 The patterns (base spans) are an assignment to a sensitive name, an access key id and a long hex
 number. Beyond them, each long string after a sensitive word is a candidate, be it a run of its own or
 what follows the word and a separator in the word's own run. '=' separates name and value, and belongs
-to a string only as padding at its end. Its novelty is the
-number of bytes it adds to the compressed surroundings, by zstandard primed with a dictionary of
-identifiers that code is full of: words, paths and names cost little, random keys nearly their
-entropy. Candidates with at least NOVELTY bytes a character, outside the base spans, are reported.
+to a string only as padding at its end. Its novelty is its compressed size, by zstandard primed with its
+surroundings and a dictionary of identifiers that code is full of: words, paths and names cost little,
+random keys nearly their entropy. Candidates, whatever their length, are reported if they are outside
+the base spans and as new as random characters of their alphabet are at least: NOVELTY bytes a
+character, or, since long strings come close to it, the alphabet's entropy and FIXED bytes. Strings
+whose neighbouring letters and digits are mostly PAIRS of letters in common languages are words.
 
 Every text is searched whole; the surroundings are the CONTEXT characters on each side. Rows are
 searched one by one, without a shuffle, so repeated rows have equal results.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from math import log2
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,8 +30,9 @@ from histload.llm.tables import small_arrow_batches
 
 KINDS = ("assign", "access", "hex", "novel")
 CONTEXT = 200
-NOVELTY = 0.8
-SHORTEST, LONGEST = 16, 512  # characters of a candidate; longer strings are data, not keys
+NOVELTY, FIXED = 0.8, 6
+SHORTEST = 16  # characters of a candidate
+WORDLIKE = 0.75  # share of PAIRS among the neighbours in words; random letters have 0.35
 
 # The patterns of base spans.
 _ASSIGN = re.compile(
@@ -45,7 +49,6 @@ _SENSITIVE = re.compile(
 _RUN = re.compile(r"[A-Za-z0-9+/_.~-]+(?:=+(?![A-Za-z0-9+/_.=~-]))?")
 _BEGIN = re.compile(r"[A-Za-z0-9+/_.~-]")
 _NAME_END = re.compile(r"[A-Za-z0-9]*[+/_.~-]+")
-_MIXED = re.compile(r"[A-Za-z].*[0-9]|[0-9].*[A-Za-z]")
 REACH = 60  # characters between a sensitive word's begin and the candidate's
 
 _IDENTIFIERS = (
@@ -56,6 +59,17 @@ _IDENTIFIERS = (
     "application/json content-type user-agent session cookie environment production development "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 "
 )
+# Letters, each with those that often follow it in words of English, German, French or Spanish.
+_FOLLOWERS = (
+    "abcdgiklmnprstuvy baeiorlsu cehaikloprtu daeiorsu eabcdfgilmnprstuvx faeioru gaehilnorsu haeiortu "
+    "iabcdefglmnoprstvz jaeou keins ladefilostuy mabeimopsu nacdefgiklnostuv obcdfgilmnoprstuvw "
+    "paehiloprstu qu racdeghiklmnorstuvy sacehiklmnopstuy taehilorstuyz uabcdegilmnprst vaeio waehior "
+    "xaceipt yeops zaeiou"
+)
+PAIRS = frozenset(row[0] + letter for row in _FOLLOWERS.split() for letter in row[1:])
+_ALNUM = re.compile(r"[a-z0-9]+")
+# The parts of an alphabet, each with its number of characters.
+_PARTS = [(re.compile(part), size) for part, size in (("[0-9]", 10), ("[a-z]", 26), ("[A-Z]", 26), ("[+/_.~-]", 6))]
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -67,20 +81,16 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 class Novelty:
-    """Bytes a string adds to its surroundings when compressed."""
+    """Bytes of a string compressed with its surroundings known. They are a dictionary and not part of
+    what is compressed: else random strings nearby would share their code table with it."""
 
-    def __init__(self):
+    def __call__(self, before: str, candidate: str, after: str) -> float:
         import zstandard
 
-        primer = zstandard.ZstdCompressionDict(
-            _IDENTIFIERS.encode() * 2, dict_type=zstandard.DICT_TYPE_RAWCONTENT
-        )
-        self.compressor = zstandard.ZstdCompressor(level=9, dict_data=primer, write_checksum=False)
-
-    def __call__(self, before: str, candidate: str, after: str) -> float:
-        around = (before + after).encode("utf-8", "replace")
-        both = (before + candidate + after).encode("utf-8", "replace")
-        return len(self.compressor.compress(both)) - len(self.compressor.compress(around))
+        known = (_IDENTIFIERS * 2 + before + after).encode("utf-8", "replace")
+        primer = zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        compressor = zstandard.ZstdCompressor(level=9, dict_data=primer, write_checksum=False)
+        return len(compressor.compress(candidate.encode())) - len(compressor.compress(b""))
 
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
@@ -100,19 +110,35 @@ def candidates(text: str) -> Iterator[tuple[int, int]]:
             yield found.start(), at
 
 
+def is_words(string: str) -> bool:
+    """Whether letters and digits follow each other as in words."""
+    runs = _ALNUM.findall(string.lower())
+    pairs = [a + b for run in runs for a, b in zip(run, run[1:])]
+    return sum(pair in PAIRS for pair in pairs) >= WORDLIKE * len(pairs)
+
+
+def needed(string: str) -> float:
+    """The novelty from which a string is reported."""
+    own = len(set(string))
+    # A string with 4 times as many characters shows its alphabet.
+    shown = 4 * own <= len(string)
+    size = max(own, 2) if shown else sum(count for part, count in _PARTS if part.search(string))
+    return min(NOVELTY * len(string), log2(size) / 8 * len(string) + FIXED)
+
+
 def novel_spans(text: str, taken: list[tuple[str, int, int]], novelty: Novelty):
-    """Spans of candidates near a sensitive word, as new as NOVELTY, that overlap none ``taken``."""
+    """Spans of candidates near a sensitive word, as new as ``needed``, that overlap none ``taken``."""
     spans = []
     for begin, end in candidates(text):
-        if not SHORTEST <= end - begin <= LONGEST:
+        if end - begin < SHORTEST:
             continue
-        string = text[begin:end]
-        if not _MIXED.search(string):
-            continue  # words, or a number such as an account's
         if any(begin < stop and start < end for _, start, stop in taken + spans[-1:]):
             continue
+        string = text[begin:end]
+        if is_words(string):
+            continue
         before, after = text[max(0, begin - CONTEXT) : begin], text[end : end + CONTEXT]
-        if novelty(before, string, after) >= NOVELTY * (end - begin):
+        if novelty(before, string, after) >= needed(string):
             spans.append(("novel", begin, end))
     return spans
 

@@ -1,5 +1,6 @@
 """Toxicity, mixing, packing, secrets, chat and the pipeline on small tables."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -196,6 +197,26 @@ def test_novel_values_of_names(text):
     assert secrets.novel_spans(text, secrets.base_spans(text), secrets.Novelty()) == [("novel", begin, end)]
 
 
+@pytest.mark.parametrize("size", [16, 64, 200, 750, 5000])
+@pytest.mark.parametrize("near", ["", "some prose about the private use of things, ", "q7Zr9LmX2vKd81TbWn5cYe3HuP4s "])
+def test_random_strings_of_all_lengths(size, near):
+    rng, novelty = random.Random(size), secrets.Novelty()
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for letters in (lower + digits, lower + upper + digits, lower + upper + digits + "+/", lower + upper):
+        found = 0
+        for _ in range(20):
+            before = near * 5 + "bearer "
+            text = before + "".join(rng.choices(letters, k=size)) + " " + near
+            found += secrets.novel_spans(text, [], novelty) == [("novel", len(before), len(before) + size)]
+        assert found >= 19
+
+
+def test_words_are_no_secrets():
+    for word in ("telecommunications", "getAuthenticationManagerBuilder", "user_account_table_v2", "-" * 40,
+                 "Verantwortlichkeiten", "0" * 1000, "Ab1" * 10_000):
+        assert secrets.novel_spans(f"private {word} end", [], secrets.Novelty()) == []
+
+
 def test_runs_with_many_sensitive_words():
     for text in ("token" * 100_000, "token/" * 100_000, "auth " + "token-" * 100_000, "token 数" * 50_000):
         assert sum(end - begin for begin, end in secrets.candidates(text)) < 30 * len(text)
