@@ -10,9 +10,12 @@ Classes are the connected components of all links.
 A bucket of texts with one sketch is not paired out: rounds compare its leaders, few at first, with
 those of its texts that are in another class so far, until a bucket is one class but for texts that
 have led. Links are thus found by the first leader nearly always; the later ones, taken from the
-smallest classes, show that what is left is not linked. Buckets too large for the leaders in
-LEADERS (texts that share a passage and no more) are split by a further sketch, which linked texts
-share as well, and so on until nothing is left to compare.
+smallest classes, show that what is left is not linked. Buckets with more texts than LEADERS has in a
+round that are still divided after the first one (texts that share a passage and no more) are split
+first, by an exact bound: linked texts share THRESHOLD of the shingles of either, so also one of the
+first ones of each, short of that share, in any order common to all. Frequent shingles come last in it,
+so a passage brings few texts together. The new buckets have leaders until every pair of them is in
+one class or compared; no pair of a bucket is left out otherwise.
 
 Defined results: words as in ``words``. Texts with equal words are one text in all that follows, and
 texts without words (NULL, empty) are all equal. Texts of one to four words are one shingle.
@@ -37,7 +40,7 @@ from histload.llm.words import find_words, mixed, small_batches, text_bytes
 
 SHINGLE, THRESHOLD = 5, 0.8
 SKETCHES, LENGTH = 14, 3
-# Leaders of a bucket in each round; larger buckets that are still divided then are split.
+# Leaders of a bucket in each round; larger buckets that are divided after the first one are split.
 LEADERS = (1, 64)
 # Ids of texts to verify are broadcast to the scan up to this size, else joined by shuffle.
 ID_BYTES, BROADCAST_BYTES = 48, 64 << 20
@@ -66,16 +69,20 @@ class Shingles:
 
     def labelled(self) -> np.ndarray:
         """Hashes in which the n-th occurrence of a shingle in its text differs from the others."""
-        owner = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds)).astype(np.uint64)
-        keys = mixed(self.hashes + owner * _SALTS[8])
-        order = np.argsort(keys, kind="stable")
-        ranked = keys[order]
-        opens = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(keys) else np.zeros(0, bool)
-        runs = np.flatnonzero(opens)
-        number = np.arange(len(keys)) - np.repeat(runs, np.diff(np.append(runs, len(keys))))
-        occurrence = np.empty(len(keys), np.uint64)
-        occurrence[order] = number.astype(np.uint64)
-        return np.where(occurrence == 0, self.hashes, mixed(self.hashes + occurrence * _SALTS[9]))
+        return _labelled(self.hashes, self.bounds)
+
+
+def _labelled(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)).astype(np.uint64)
+    keys = mixed(hashes + owner * _SALTS[8])
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    opens = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(keys) else np.zeros(0, bool)
+    runs = np.flatnonzero(opens)
+    number = np.arange(len(keys)) - np.repeat(runs, np.diff(np.append(runs, len(keys))))
+    occurrence = np.empty(len(keys), np.uint64)
+    occurrence[order] = number.astype(np.uint64)
+    return np.where(occurrence == 0, hashes, mixed(hashes + occurrence * _SALTS[9]))
 
 
 def sketches(shingles: Shingles) -> tuple[np.ndarray, np.ndarray]:
@@ -234,13 +241,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = stored(shared.where(F.col("members") > 1), "buckets")
     total = shared.agg(F.sum("members")).first()[0] or 0
     buckets = stored(
-        lookup(every, shared, ["bucket"], F.col("members"), total, "inner").select(
-            "bucket", "node", F.array("bucket").alias("used")
-        ),
+        lookup(every, shared, ["bucket"], F.col("members"), total, "inner").select("bucket", "node"),
         "members",
     )
     shingles = _candidate_shingles(docs, texts, buckets)
-    labels = _labels(spark, buckets, shingles, texts.select("node", "sketches"))
+    labels = _labels(spark, buckets, shingles)
     return _classes(rows, texts, labels)
 
 
@@ -258,18 +263,17 @@ def _candidate_shingles(docs, texts, buckets) -> DataFrame:
     return stored(found.dropDuplicates(["node"]), "shingles")
 
 
-def _labels(spark, buckets, shingles, sketched) -> DataFrame:
+def _labels(spark, buckets, shingles) -> DataFrame:
     """(``node``, ``label``) of all texts with links, which are found in rounds (see above)."""
-    parts, labels, depth = [], None, 1
+    parts, labels, whole = [], None, True
     schedule = list(LEADERS)
     members = buckets
     while True:
         members = _divided(members, labels)
         if members.isEmpty():
             break
-        if not schedule and depth < SKETCHES:
-            members, depth = _refined(members, sketched), depth + 1
-            schedule = list(LEADERS[1:])
+        if whole and labels is not None:
+            members, whole = _split(members, shingles, LEADERS[-1]), False
             continue
         count = schedule.pop(0) if schedule else 16 * LEADERS[-1]
         leaders = _leaders(members, count, labels is None)
@@ -284,7 +288,7 @@ def _labels(spark, buckets, shingles, sketched) -> DataFrame:
             labels = components(reduce(DataFrame.union, parts))
         # A leader has met its whole bucket.
         met = leaders.select("bucket", F.col("leader").alias("node"))
-        members = members.drop("label").join(met, ["bucket", "node"], "left_anti")
+        members = members.select("bucket", "node").join(met, ["bucket", "node"], "left_anti")
     return labels if labels is not None else spark.createDataFrame([], "node bigint, label bigint")
 
 
@@ -292,7 +296,7 @@ def _divided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members, with the ``label`` of their class so far, of the buckets with several classes."""
     if labels is None:
         return members.withColumn("label", F.col("node"))
-    members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    members = members.select("bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     several = several.where("low != high").select("bucket")
     return checkpointed(members.join(several, "bucket"))
@@ -318,14 +322,40 @@ def _verify(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").mapInArrow(_verified, "a bigint, b bigint")
 
 
-def _refined(divided: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Buckets of texts that share one more sketch with others of their bucket."""
-    more = divided.select("used", "node").join(sketched, "node")
-    more = more.select("used", "node", F.explode(F.array_except("sketches", "used")).alias("one"))
-    more = more.withColumn("used", F.array_sort(F.array_append("used", F.col("one"))))
-    more = more.select(F.xxhash64("used").alias("bucket"), "node", "used").distinct()
-    sizes = more.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    return stored(more.join(sizes.select("bucket"), "bucket"), "refined")
+def _split(divided: DataFrame, shingles: DataFrame, limit: int) -> DataFrame:
+    """Buckets with up to ``limit`` members, and for all others those of their texts' first shingles."""
+    sizes = divided.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
+    large = checkpointed(sizes.where(F.col("members") > limit).select("bucket"))
+    small = divided.join(large, "bucket", "left_anti").select("bucket", "node")
+    nodes = divided.join(large, "bucket", "left_semi").select("node").distinct()
+    ones = nodes.join(shingles, "node").mapInArrow(_single_rows, "node bigint, size int, shingle bigint")
+    ones = stored(ones, "single")
+    shared = ones.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    shared = stored(shared, "shared")
+    total = shared.agg(F.sum("texts")).first()[0] or 0
+    ones = lookup(ones, shared, ["shingle"], F.col("texts"), total, "inner")
+    # Shingles that no other text has come first; they bring nothing together.
+    own = Window.partitionBy("node")
+    ones = ones.withColumn("place", F.row_number().over(own.orderBy("texts", "shingle")))
+    ones = ones.withColumn("count", F.count(F.lit(1)).over(own))
+    short = F.ceil(F.col("size") * F.lit(THRESHOLD) - 1e-9) - 1
+    first = ones.where(F.col("place") <= F.col("count") - short).select("shingle", "node")
+    first = stored(first.withColumnRenamed("shingle", "bucket"), "first")
+    several = first.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    return stored(small.union(first.join(several.select("bucket"), "bucket")), "split")
+
+
+def _single_rows(batches):
+    """(node, number of its shingles, shingle) for each shingle."""
+    for batch in batches:
+        for node, raw in zip(batch.column("node").to_pylist(), batch.column("shingles")):
+            hashes = np.frombuffer(raw.as_buffer(), np.uint64)
+            size = len(hashes)
+            labelled = _labelled(hashes, np.array([0, size])).view(np.int64)
+            columns = [np.full(size, node), np.full(size, size, np.int32), labelled]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column) for column in columns], names=["node", "size", "shingle"]
+            )
 
 
 def _classes(rows: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:

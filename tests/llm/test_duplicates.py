@@ -132,6 +132,30 @@ def test_near_classes(spark, monkeypatch, leaders):
         assert row["class_size"] == sum(c == row["class_id"] for c in wanted.values())
 
 
+def test_split_keeps_all_similar_pairs(spark):
+    rng, rows = random.Random(8), []
+    base = [rng.randint(0, 1 << 40) for _ in range(60)]
+    for _ in range(120):  # pairs about as similar as the threshold
+        own = list(base)
+        for place in rng.sample(range(60), rng.randint(2, 8)):
+            own[place] = rng.choice([rng.randint(0, 1 << 40), base[0]])
+        rows.append(own)
+    rows += [base[:20] + [rng.randint(0, 1 << 40) for _ in range(40)] for _ in range(40)]
+    arrays = [np.array(own, np.uint64) for own in rows]
+    table = [(n, bytearray(own.tobytes())) for n, own in enumerate(arrays)]
+    shingles = spark.createDataFrame(table, "node bigint, shingles binary")
+    divided = shingles.selectExpr("7L AS bucket", "node", "node AS label")
+    found = {}
+    for row in ordered_minhash._split(divided, shingles, 64).collect():
+        found.setdefault(row["bucket"], set()).add(row["node"])
+    met = {(a, b) for own in found.values() for a in own for b in own if a < b}
+    similar = [
+        (a, b) for b in range(160) for a in range(b) if ordered_minhash.similar(arrays[a], arrays[b])
+    ]
+    assert len(similar) > 500 and met.issuperset(similar)
+    assert not any(b >= 120 for _, b in met)
+
+
 def test_near_classes_of_odd_rows(corpus, nothing):
     found = ordered_minhash.near_duplicates(corpus).collect()
     assert len(found) == corpus.count()
