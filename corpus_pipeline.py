@@ -12,17 +12,25 @@ from pyspark.sql import functions as F
 
 from histload.llm import decontamination, mixing, ordered_minhash, token_files, toxicity
 from histload.llm.tables import byte_size, checkpointed, maybe_broadcast
+from histload.names import quoted
 from histload.session import scratch_path
 
 KEY_BYTES = 48  # of a document's id and the hash of its text, broadcast
 
 
+def _with_free_names(docs: DataFrame, step) -> DataFrame:
+    """``step`` of ``docs``, whose columns it does not read have names that clash with none of its own."""
+    read = ("doc_id", "text", "source")
+    free = {n: n if n in read else f"passed_{i}" for i, n in enumerate(docs.columns)}
+    out = step(docs.select(*(F.col(quoted(n)).alias(name) for n, name in free.items())))
+    return out.select(*(F.col(name).alias(n) for n, name in free.items()))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5, by a model of the labels."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels)
-    clean = toxicity.score(docs, model).where(F.col("score") < 0.5)
-    return clean.select(*docs.columns)
+    return _with_free_names(docs, lambda rows: toxicity.score(rows, model).where(F.col("score") < 0.5))
 
 
 def _of_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
@@ -54,7 +62,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for every time the mix takes a document, in the order of the output shards."""
-    return mixing.in_shards(mixing.mixed(docs)).select(*docs.columns)
+    return _with_free_names(docs, lambda rows: mixing.in_shards(mixing.mixed(rows)))
 
 
 def write_token_blocks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -291,6 +291,16 @@ def test_stages_take_effect(spark):
     assert blocks.count() == rows.count()
 
 
+def test_stages_of_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20)
+    docs = docs.selectExpr("*", "1 AS Score", "2 AS n_sentences", "3 AS mix_size", "4 AS mix_shard", "5 AS `a.b`")
+    steps = dict(corpus_pipeline.STAGES)
+    for name in ("toxicity", "mixing"):
+        out = steps[name](spark, docs, SMALL)
+        assert out.columns == docs.columns
+        assert {tuple(row)[-5:] for row in out.collect()} == {(1, 2, 3, 4, 5)}
+
+
 def test_stages_of_no_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("1 = 0")
     for _, stage in corpus_pipeline.STAGES:
