@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from histload.llm import (
     chat,
+    collocations,
     decontamination,
     edit_counts,
     exact_dedup,
@@ -14,8 +15,10 @@ from histload.llm import (
     ordered_minhash,
     packing,
     secrets,
+    spelling,
     token_files,
     toxicity,
+    warc,
 )
 from histload.llm.tables import stored
 from histload.session import scratch_path
@@ -262,6 +265,73 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+    FROM documents, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS t(piece)
+), g AS (
+    SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM p, unnest([1, 2, 3]) AS o(k), unnest(range(1, len(words) - k + 2)) AS t(i)
+    GROUP BY ALL
+), t AS (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang
+), c AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k > 1 AND f >= 10
+), inside AS (
+    SELECT lang, phrase, max(a) AS longer
+    FROM (SELECT lang, a, array_to_string(w[1:2], ' ') AS phrase FROM c WHERE k = 3
+          UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM c WHERE k = 3)
+    GROUP BY ALL
+), kept AS (
+    SELECT c.* FROM c LEFT JOIN inside i ON k = 2 AND i.lang = c.lang AND i.phrase = c.phrase
+    WHERE i.longer IS NULL OR 100 * i.longer < 50 * a
+), cuts AS (
+    SELECT kept.lang, kept.phrase, a, x.f AS l, y.f AS r, cut,
+           CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+    FROM kept, unnest(range(1, kept.k)) AS s(cut)
+    JOIN g x ON x.lang = kept.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+    JOIN g y ON y.lang = kept.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM ranked JOIN t USING (lang) WHERE rank <= 2000
+"""
+
+
+def op12_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_bundles(table(spark, sf_dir, "pages"), path)
+    return warc.resolved(warc.read_records(spark, path, with_payload=False)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP12_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages
+), g AS (SELECT body, max(page_id) AS lead FROM p GROUP BY body)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + (((16 * (instr('0123456789abcdef', substr(hex, 5 * i // 4 + 1, 1)) - 1)
+                  + instr('0123456789abcdef', substr(hex, 5 * i // 4 + 2, 1)) - 1)
+                 >> (3 - 5 * i % 4)) & 31)::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM lead THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM lead THEN lead END AS refers_to
+FROM p JOIN g USING (body)
+"""
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_planes": op1_token_planes,
     "op2_packing": op2_packing,
@@ -273,10 +343,15 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_chat": op9_chat,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
+    "op12_warc_bundles": op12_warc_bundles,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op8_decontamination": OP8_SQL,
     "op9_chat": OP9_SQL,
+    "op11_collocations": OP11_SQL,
+    "op12_warc_bundles": OP12_SQL,
 }
