@@ -8,8 +8,9 @@ their own texts, cut by leading bits into buckets, and sorted filters of a bucke
 A frequent n-gram is one counter a filter, so no n-gram is hot.
 
 Ids are hashes. That no two words share one is checked over all words of the table, else another salt is taken.
-N-grams of three words are counted where both of their pairs are frequent, told by bits of a fixed bound that are
-broadcast (a bit may be set by another pair; then the n-gram is counted in vain and dropped).
+A phrase is no more frequent than its parts, so pairs are counted of frequent words, and triples where both of
+their pairs are frequent. That is told by bits of a fixed bound that are broadcast (a bit may be set by another
+word or pair; then an n-gram is counted in vain and dropped).
 
 Defined results: A-Z are lower-cased, texts cut into pieces at ``.,;:!?`` and line ends, pieces into words at blanks
 and tabs. A NULL language is ``und``, a NULL text has no words, repeated rows are counted each. Ties are ranked by
@@ -19,6 +20,7 @@ phrase in byte order. An empty table has no rows. Columns other than text and la
 from __future__ import annotations
 
 import struct
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +37,17 @@ NO_LANG = "und"
 QUOTIENT = 24  # bits of the quotient; 40 bits of the first id remain
 BUCKETS_PER_TASK, MOST_BUCKETS = 4, 1 << 20
 LOCAL_BITS = 21  # of a word's number inside a task
-SLICE = 1 << 20  # words counted at a time
-HELD = 4 << 20  # n-grams a task keeps before it merges them, and hands them on when half are different
-BITS_PER_PAIR, MOST_BITS = 16, 1 << 29
+SLICE = 1 << 18  # words counted at a time
+WORDS_HELD = 200_000  # words a task counts, or numbers, before it hands on what it has
+HELD = 2 << 20  # n-grams a task keeps before it merges them, and hands them on when half are different
+BITS_PER_ENTRY, MOST_BITS = 16, 1 << 29
 
 # Piece ends become a full stop, which no word has, and tabs blanks.
 _CUTS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"." * 10 + b" ")
 _KEYS = np.random.default_rng(41).integers(1, 2**63, 16, dtype=np.uint64) * 2 + 1
 _LOW = np.uint64((1 << (64 - QUOTIENT)) - 1)
 
-_ROWS = "lang string, word string, id long, n long, bucket int, filter binary"
+Bits = tuple[bytes, int]  # a table of bits and the number of leading bits of a number that tell its place
 
 
 def permuted(columns: list[np.ndarray], back: bool = False) -> list[np.ndarray]:
@@ -134,64 +137,110 @@ def merged(filters: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.
     return [column[starts] for column in columns], np.add.reduceat(counts, starts)
 
 
+def word_id(lang: str, word: bytes, salt: int) -> int:
+    import xxhash
+
+    lang = lang.encode()
+    return xxhash.xxh64_intdigest(b"%d:%b%b" % (len(lang), lang, word), salt)
+
+
+def _tokens(batches):
+    """(lang, words of its texts in a batch, a full stop at the end of each piece)."""
+    for batch in small_batches(batches, "text"):
+        by_lang: dict[str, list[bytes]] = {}
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            by_lang.setdefault(lang, []).append(text.encode())
+        for lang, texts in by_lang.items():
+            data = b".".join(texts).lower().translate(_CUTS)
+            yield lang, data.replace(b".", b" . ").split()
+
+
+def _count_words(batches):
+    """Texts to (lang, word, n), counted by task."""
+    counts: dict[str, Counter] = {}
+    for lang, tokens in _tokens(batches):
+        counts.setdefault(lang, Counter()).update(tokens)
+        if sum(map(len, counts.values())) > WORDS_HELD:
+            yield from _word_rows(counts)
+            counts = {}
+    yield from _word_rows(counts)
+
+
+def _word_rows(counts: dict[str, Counter]):
+    for lang, own in counts.items():
+        own.pop(b".", None)
+        words = list(own)
+        for first in range(0, len(words), 50_000):
+            part = words[first : first + 50_000]
+            columns = [
+                pa.array([lang] * len(part), pa.string()),
+                pa.array([word.decode() for word in part], pa.string()),
+                pa.array([own[word] for word in part], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
+
+
+class _WithIds:
+    """(lang, word, f) with the word's id."""
+
+    def __init__(self, salt: int):
+        self.salt = salt
+
+    def __call__(self, batches):
+        for batch in batches:
+            rows = zip(batch.column("lang").to_pylist(), batch.column("word").to_pylist())
+            ids = np.array([word_id(lang, word.encode(), self.salt) for lang, word in rows], np.uint64)
+            columns = [pa.array(ids.view(np.int64)), *(batch.column(c) for c in ("lang", "word", "f"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "lang", "word", "f"])
+
+
 class _Numbers(dict):
-    """Words of a language to their numbers in a task; a piece's end is 0."""
+    """Frequent words of a language to their numbers in a task; a piece's end and other words are 0."""
 
-    def __init__(self, lang: str, names: list):
+    def __init__(self, lang: str, ids: list[int], salt: int, bits: Bits):
         super().__init__({b".": 0})
-        self.lang, self.names = lang, names
+        self.lang, self.ids, self.salt, (self.bits, width) = lang, ids, salt, bits
+        self.shift = 64 - width
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.names)
-        self.names.append((self.lang, word))
+        own = word_id(self.lang, word, self.salt)
+        at = own >> self.shift
+        if not self.bits[at >> 3] >> (at & 7) & 1:
+            return 0  # and is not kept
+        number = self[word] = len(self.ids)
+        self.ids.append(own)
         return number
 
 
-def word_id(lang: str, word: bytes, salt: int) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(lang.encode() + b"\0" + word, salt)
-
-
 class _Filler:
-    """Texts to rows of words with counts (if ``order`` is 2) and of filters of n-grams."""
+    """Texts to rows of filters of their n-grams, by bucket."""
 
-    def __init__(self, order: int, salt: int, bucket_bits: int, pairs: tuple[np.ndarray, int] | None = None):
-        self.order, self.salt, self.bucket_bits, self.pairs = order, salt, bucket_bits, pairs
+    def __init__(self, order: int, salt: int, bucket_bits: int, words: Bits, pairs: Bits | None = None):
+        self.order, self.salt, self.bucket_bits = order, salt, bucket_bits
+        self.word_bits, self.pair_bits = words, pairs
 
     def __call__(self, batches):
         self._reset()
-        for batch in small_batches(batches, "text"):
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                by_lang.setdefault(lang, []).append(text.encode())
-            for lang, texts in by_lang.items():
-                data = b".".join(texts).lower().translate(_CUTS)
-                tokens = data.replace(b".", b" . ").split()
-                for first in range(0, len(tokens), SLICE):
-                    if len(self.names) + SLICE + self.order > 1 << LOCAL_BITS or self.held > HELD // 2:
-                        yield from self._rows()
-                        self._reset()
-                    self._count(lang, tokens[first : first + SLICE + self.order - 1], first + SLICE < len(tokens))
+        for lang, tokens in _tokens(batches):
+            for first in range(0, len(tokens), SLICE):
+                if len(self.ids) > WORDS_HELD or self.held > HELD // 2:
+                    yield from self._rows()
+                    self._reset()
+                # The first words of the next slice end n-grams that begin in this one.
+                self._count(lang, tokens[first : first + SLICE + self.order - 1])
         yield from self._rows()
 
     def _reset(self) -> None:
-        self.names: list = [None]
+        self.ids: list[int] = [0]
         self.numbers: dict[str, _Numbers] = {}
-        self.words = np.zeros(1, np.int64)
         self.pending: list[np.ndarray] = []
         self.waiting = self.held = 0
         self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-    def _count(self, lang: str, tokens: list[bytes], goes_on: bool) -> None:
+    def _count(self, lang: str, tokens: list[bytes]) -> None:
         if lang not in self.numbers:
-            self.numbers[lang] = _Numbers(lang, self.names)
+            self.numbers[lang] = _Numbers(lang, self.ids, self.salt, self.word_bits)
         numbers = np.fromiter(map(self.numbers[lang].__getitem__, tokens), np.uint64, len(tokens))
-        # Words that start in this slice; the last ones are seen again in the next.
-        own = numbers[: SLICE if goes_on else len(numbers)].astype(np.int64)
-        words = np.bincount(own, minlength=len(self.names))
-        words[: len(self.words)] += self.words
-        self.words = words
         size = len(numbers) - self.order + 1
         if size <= 0:
             return
@@ -208,58 +257,36 @@ class _Filler:
     def _merge(self) -> None:
         if self.pending:
             keys, counts = np.unique(np.concatenate(self.pending), return_counts=True)
-            (self.keys,), self.counts = merged([([self.keys], self.counts), ([keys], counts)])
             self.pending, self.waiting = [], 0
+            (self.keys,), self.counts = merged([([self.keys], self.counts), ([keys], counts)])
         self.held = len(self.keys)
 
     def _rows(self):
         self._merge()
-        ids = np.zeros(len(self.names), np.uint64)
-        ids[1:] = [word_id(lang, word, self.salt) for lang, word in self.names[1:]]
-        if self.order == 2:
-            yield from self._word_rows(ids)
+        ids = np.array(self.ids, np.uint64)
         mask = np.uint64((1 << LOCAL_BITS) - 1)
         shifts = [np.uint64(LOCAL_BITS * (self.order - 1 - k)) for k in range(self.order)]
         parts = [(self.keys >> shift) & mask for shift in shifts]
         counts = self.counts
-        if self.pairs is not None:
+        if self.pair_bits is not None:
             frequent = self._are_frequent(ids, parts[0], parts[1]) & self._are_frequent(ids, parts[1], parts[2])
             parts, counts = [part[frequent] for part in parts], counts[frequent]
-        columns = permuted([ids[part] for part in parts])
-        columns, counts = merged([(columns, counts)])
+        columns, counts = merged([(permuted([ids[part] for part in parts]), counts)])
         buckets = (columns[0] >> np.uint64(64 - self.bucket_bits)).astype(np.int64)
         cuts = np.flatnonzero(np.diff(buckets, prepend=-1))
         for first, last in zip(cuts, [*cuts[1:], len(buckets)]):
             raw = pack_filter([column[first:last] for column in columns], counts[first:last])
-            yield _row_batch([None], [None], [None], [None], [int(buckets[first])], [raw])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([buckets[first]], pa.int32()), pa.array([raw], pa.binary())], names=["bucket", "filter"]
+            )
 
     def _are_frequent(self, ids, left, right) -> np.ndarray:
         pairs, back = np.unique(left << np.uint64(LOCAL_BITS) | right, return_inverse=True)
         left, right = pairs >> np.uint64(LOCAL_BITS), pairs & np.uint64((1 << LOCAL_BITS) - 1)
-        bits, width = self.pairs
+        raw, width = self.pair_bits
         at = permuted([ids[left], ids[right]])[0] >> np.uint64(64 - width)
-        return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)[back]
-
-    def _word_rows(self, ids):
-        for first in range(1, len(self.names), 50_000):
-            part = self.names[first : first + 50_000]
-            n, none = len(part), [None] * len(part)
-            yield _row_batch(
-                [lang for lang, _ in part],
-                [word.decode() for _, word in part],
-                ids[first : first + n].view(np.int64),
-                self.words[first : first + n],
-                none,
-                none,
-            )
-
-
-def _row_batch(*columns) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column, kind) for column, kind in zip(columns, kinds)],
-        names=["lang", "word", "id", "n", "bucket", "filter"],
-    )
+        bits = np.frombuffer(raw, np.uint8)[at >> np.uint64(3)]
+        return (bits >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)[back]
 
 
 class _Merger:
@@ -294,56 +321,58 @@ class _Merger:
         )
 
 
-def _merge_filters(rows: DataFrame, order: int, least: int, name: str) -> DataFrame:
+def _merge_filters(filters: DataFrame, order: int, least: int, name: str) -> DataFrame:
     ddl = ", ".join(f"{c} long" for c in ["a", "b", "c"][:order]) + ", f long"
-    filters = rows.where(F.col("filter").isNotNull()).select("bucket", "filter")
     filters = filters.repartition("bucket").sortWithinPartitions("bucket")
     return stored(filters.mapInArrow(_Merger(order, least), ddl), name)
 
 
-def _pair_bits(pairs: DataFrame) -> tuple[np.ndarray, int]:
-    """(bits, width): a bit is set for each pair, at the first ``width`` bits of its permuted number. The
-    number of bits grows with that of the pairs, to MOST_BITS (64 MB) at most."""
-    width = max(15, min(MOST_BITS, BITS_PER_PAIR * max(1, pairs.count())).bit_length() - 1)
+def _bits(rows: DataFrame, columns: list[str]) -> Bits:
+    """A bit for each row, at the first bits of its number: a word's id, or a pair's permuted ids. The number
+    of bits grows with that of the rows, to MOST_BITS (64 MB) at most."""
+    width = max(15, min(MOST_BITS, BITS_PER_ENTRY * max(1, rows.count())).bit_length() - 1)
 
     def places(batches):
         for batch in batches:
-            ids = [batch.column(c).to_numpy().view(np.uint64) for c in ("a", "b")]
-            at = (permuted(ids)[0] >> np.uint64(64 - width)).astype(np.int64)
+            ids = [batch.column(c).to_numpy().view(np.uint64) for c in columns]
+            first = permuted(ids)[0] if len(ids) > 1 else ids[0]
+            at = (first >> np.uint64(64 - width)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at)], names=["at"])
 
-    at = pairs.mapInArrow(places, "at long")
-    # Buckets of Spark's bitmaps count from 1, their bits from 0.
-    shares = at.select((F.col("at") + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("share"))
-    bits = np.zeros(1 << (width - 3), np.uint8)
+    at = rows.select(*columns).mapInArrow(places, "at long")
+    # Spark's bitmaps count their buckets from 1, for the positions from 1 on.
+    at = at.select((F.col("at") + 1).alias("at"))
+    shares = at.groupBy(F.bitmap_bucket_number("at").alias("share"))
+    bits = bytearray(1 << (width - 3))
     for row in shares.agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).toLocalIterator():
-        part = np.frombuffer(row["bits"], np.uint8)
-        first = (row["share"] - 1) * len(part)
-        bits[first : first + len(part)] = part
-    return bits, width
+        first = (row["share"] - 1) * len(row["bits"])
+        bits[first : first + len(row["bits"])] = row["bits"]
+    return bytes(bits), width
 
 
 def _counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(vocabulary (id, lang, word, f), words per language (lang, n), pairs (a, b, f), triples (a, b, c, f)):
-    all words, and pairs and triples with ``least`` occurrences."""
-    spark = docs.sparkSession
-    small_arrow_batches(spark)
+    """(words (id, lang, word, f), words per language (lang, n), pairs (a, b, f), triples (a, b, c, f)): those
+    with ``least`` occurrences."""
+    small_arrow_batches(docs.sparkSession)
     texts = docs.select("text", F.coalesce("lang", F.lit(NO_LANG)).alias("lang")).where(F.col("text").isNotNull())
-    tasks = texts.rdd.getNumPartitions()  # from the plan; nothing runs
-    bucket_bits = min(MOST_BUCKETS, max(64, BUCKETS_PER_TASK * tasks)).bit_length()
+    found = texts.mapInArrow(_count_words, "lang string, word string, n long")
+    words = stored(found.groupBy("lang", "word").agg(F.sum("n").alias("f")), "words")
+    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     for salt in range(64):
-        rows = stored(texts.mapInArrow(_Filler(2, salt, bucket_bits), _ROWS), "words_and_pairs")
-        found = rows.where(F.col("filter").isNull()).groupBy("id", "lang", "word").agg(F.sum("n").alias("f"))
-        words = stored(found, "words")
-        if words.groupBy("id").agg(F.count(F.lit(1)).alias("words")).where("words > 1").isEmpty():
+        with_ids = words.mapInArrow(_WithIds(salt), "id long, lang string, word string, f long")
+        if with_ids.groupBy("id").agg(F.count(F.lit(1)).alias("words")).where("words > 1").isEmpty():
             break
     else:
         raise ValueError("two words share an id under every salt")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    pairs = _merge_filters(rows, 2, least, "pairs")
-    filler = _Filler(3, salt, bucket_bits, _pair_bits(pairs))
-    triples = stored(texts.mapInArrow(filler, _ROWS), "triple_filters")
-    return words.where(F.col("f") >= least), totals, pairs, _merge_filters(triples, 3, least, "triples")
+    words = words.where(F.col("f") >= least).mapInArrow(_WithIds(salt), "id long, lang string, word string, f long")
+    words = stored(words, "frequent_words")
+    tasks = texts.rdd.getNumPartitions()  # from the plan; nothing runs
+    bucket_bits = min(MOST_BUCKETS, max(64, BUCKETS_PER_TASK * tasks)).bit_length()
+    ddl, word_bits = "bucket int, filter binary", _bits(words, ["id"])
+    filters = texts.mapInArrow(_Filler(2, salt, bucket_bits, word_bits), ddl)
+    pairs = _merge_filters(filters, 2, least, "pairs")
+    filters = texts.mapInArrow(_Filler(3, salt, bucket_bits, word_bits, _bits(pairs, ["a", "b"])), ddl)
+    return words, totals, pairs, _merge_filters(filters, 3, least, "triples")
 
 
 def _score(left: str, right: str):
@@ -360,7 +389,6 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: i
     the lowest score; ``n``: words of the language.
     """
     words, totals, pairs, triples = _counts(docs, least)
-    words = stored(words, "frequent_words")
     words = maybe_broadcast(words, byte_size(words, 48 + F.octet_length("word") + F.octet_length("lang")))
     few_pairs = maybe_broadcast(pairs, 48 * pairs.count())
     totals = stored(totals, "totals")
