@@ -207,7 +207,7 @@ def _halves(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("part", F.explode(F.array(first, last))).select("word", "n", "s", "part.*")
     ends = F.concat_ws(
         ":",
-        *("s", "lo", "hi"),
+        *("s", "lo", "hi", "below"),  # one list may be reached on two ways
         F.expr("substring(word, 1, lo)"),
         F.expr("if(hi = 0, '', right(word, hi))"),
     )
