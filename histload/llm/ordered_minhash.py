@@ -7,15 +7,15 @@ candidates. They are linked if the longest common subsequence of their shingle s
 by alignment inside the band that a link allows, has THRESHOLD or more of their united number.
 Classes are the connected components of all links.
 
-A bucket of texts with one sketch is not paired out: rounds compare its leaders, few at first, with
-those of its texts that are in another class so far, until a bucket is one class but for texts that
-have led. Links are thus found by the first leader nearly always; the later ones, taken from the
-smallest classes, show that what is left is not linked. Buckets with more texts than LEADERS has in a
-round that are still divided after the first one (texts that share a passage and no more) are split
-first, by an exact bound: linked texts share THRESHOLD of the shingles of either, so also one of the
-first ones of each, short of that share, in any order common to all. Frequent shingles come last in it,
-so a passage brings few texts together. The new buckets have leaders until every pair of them is in
-one class or compared; no pair of a bucket is left out otherwise.
+A bucket of texts with one sketch is not paired out. One of its texts, the leader, is compared with all others;
+nearly all links are found so. The texts of buckets that are still divided into several classes (texts that share
+a passage and no more, copies with more edits than a link allows) then meet in other buckets, by an exact bound:
+linked texts share THRESHOLD of the shingles of either, so also one of the first ones of each, short of that share, in
+any order common to all. Rare shingles come first in it, so a passage brings few texts together. Shingles of one text
+alone cannot be shared: the number of the others from the place on bounds the size of a text that may be linked, so
+that texts with too many edits of their own, or at a late place, leave their buckets before any pair is made. What
+is left is mostly linked. Rounds of leaders, one a bucket at first and then twice as many, compare them until every
+pair of a bucket is in one class, compared or beyond the bound; none is left out otherwise.
 
 Defined results: words as in ``words``. Texts with equal words are one text in all that follows, and
 texts without words (NULL, empty) are all equal. Texts of one to four words are one shingle.
@@ -40,10 +40,11 @@ from histload.llm.words import find_words, mixed, small_batches, text_bytes
 
 SHINGLE, THRESHOLD = 5, 0.8
 SKETCHES, LENGTH = 14, 3
-# Leaders of a bucket in each round; larger buckets that are divided after the first one are split.
-LEADERS = (1, 64)
+# Leaders of a bucket in each round, the first one being of sketches; later ones have twice as many.
+LEADERS = (1, 1, 2)
+SPLIT_OVER = 1  # texts of a divided bucket of one sketch that is split
 # Ids of texts to verify are broadcast to the scan up to this size, else joined by shuffle.
-ID_BYTES, BROADCAST_BYTES = 48, 64 << 20
+ID_BYTES, BROADCAST_BYTES = 64, 64 << 20
 
 _LAST = np.uint64(2**64 - 1)
 _SALTS = np.random.default_rng(77).integers(1, 2**63, 64, dtype=np.uint64) * 2 + 1
@@ -253,7 +254,8 @@ def _candidate_shingles(docs, texts, buckets) -> DataFrame:
     """Shingles of each text that shares a bucket."""
     wanted = buckets.select("node").distinct().join(texts, "node")
     wanted = checkpointed(wanted.select("node", "digest", "first.doc_id", "first.text_hash"))
-    small = byte_size(wanted, F.lit(ID_BYTES)) <= BROADCAST_BYTES
+    width = F.lit(ID_BYTES) + F.coalesce(F.octet_length(F.col("doc_id").cast("string")), F.lit(0))
+    small = byte_size(wanted, width) <= BROADCAST_BYTES
     wanted = F.broadcast(wanted) if small else wanted
     # The hash as well as the id: many rows may have no id.
     same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (F.xxhash64(docs["text"]) == wanted["text_hash"])
@@ -265,54 +267,74 @@ def _candidate_shingles(docs, texts, buckets) -> DataFrame:
 
 def _labels(spark, buckets, shingles) -> DataFrame:
     """(``node``, ``label``) of all texts with links, which are found in rounds (see above)."""
-    parts, labels, whole = [], None, True
+    parts, labels = [], None
     schedule = list(LEADERS)
-    members = buckets
+    members = _bounded(buckets)
     while True:
         members = _divided(members, labels)
         if members.isEmpty():
             break
-        if whole and labels is not None:
-            members, whole = _split(members, shingles, LEADERS[-1]), False
-            continue
-        count = schedule.pop(0) if schedule else 16 * LEADERS[-1]
+        if len(parts) == 1:
+            members = _divided(_split(members, shingles, SPLIT_OVER), labels)
+        count = schedule.pop(0) if schedule else 2 * count
         leaders = _leaders(members, count, labels is None)
-        pairs = members.join(leaders, "bucket").where(F.col("label") != F.col("own"))
+        pairs = members.join(leaders, "bucket").where(
+            (F.col("label") != F.col("own"))
+            & (F.col("size") <= F.col("leader_reach"))
+            & (F.col("leader_size") <= F.col("reach"))
+        )
         pairs = pairs.select(
             F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
         ).distinct()
         # A round's links outlive it as files in the shared folder.
         links = stored(_verify(pairs, shingles), "links")
         if labels is None or not links.isEmpty():
-            parts.append(links)
-            labels = components(reduce(DataFrame.union, parts))
+            labels = components(reduce(DataFrame.union, [*parts, links]))
+        parts.append(links)
         # A leader has met its whole bucket.
         met = leaders.select("bucket", F.col("leader").alias("node"))
-        members = members.select("bucket", "node").join(met, ["bucket", "node"], "left_anti")
+        members = members.join(met, ["bucket", "node"], "left_anti")
     return labels if labels is not None else spark.createDataFrame([], "node bigint, label bigint")
 
 
+def _bounded(members: DataFrame) -> DataFrame:
+    """Members (bucket, node) with a ``size`` and a ``reach`` that bound nothing."""
+    return members.select("bucket", "node", F.lit(0).alias("size"), F.lit(2**31 - 1).alias("reach"))
+
+
 def _divided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members, with the ``label`` of their class so far, of the buckets with several classes."""
+    """Members, with the ``label`` of their class so far, of the buckets with several classes, without those
+    whose ``reach`` is below every size in their bucket."""
+    columns = ("bucket", "node", "size", "reach")
     if labels is None:
-        return members.withColumn("label", F.col("node"))
-    members = members.select("bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    several = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    several = several.where("low != high").select("bucket")
-    return checkpointed(members.join(several, "bucket"))
+        return members.select(*columns, F.col("node").alias("label"))
+    members = members.select(*columns).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    for _ in range(2):  # what goes first may leave a bucket undivided
+        several = members.groupBy("bucket").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"),
+            F.min("size").alias("least"), F.max("reach").alias("most"),
+        )
+        several = several.where("low != high").drop("low", "high")
+        inside = (F.col("reach") >= F.col("least")) & (F.col("size") <= F.col("most"))
+        members = checkpointed(members.join(several, "bucket").where(inside).drop("least", "most"))
+    return members
 
 
 def _leaders(members: DataFrame, count: int, first: bool) -> DataFrame:
-    """(``bucket``, ``leader``, ``own``): members of each bucket's smallest classes. In the first
-    round every text is a class of its own, and one leads."""
+    """(``bucket``, ``leader``, ``own``, ``leader_size``, ``leader_reach``): members of each bucket's smallest
+    classes. In the first round every text is a class of its own, and one leads."""
     if first:
-        lead = members.groupBy("bucket").agg(F.min("node").alias("leader"))
-        return lead.withColumn("own", F.col("leader"))
-    sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
-    order = Window.partitionBy("bucket").orderBy("size", "node")
-    ranked = members.join(sizes, ["bucket", "label"]).withColumn("place", F.row_number().over(order))
-    ranked = ranked.where(F.col("place") <= count)
-    return ranked.select("bucket", F.col("node").alias("leader"), F.col("label").alias("own"))
+        lead = members.groupBy("bucket").agg(F.min(F.struct("node", "label", "size", "reach")).alias("lead"))
+        ranked = lead.select("bucket", "lead.*")
+    else:
+        sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("texts"))
+        order = Window.partitionBy("bucket").orderBy("texts", "node")
+        ranked = members.join(sizes, ["bucket", "label"]).withColumn("place", F.row_number().over(order))
+        ranked = ranked.where(F.col("place") <= count)
+    return ranked.select(
+        "bucket", F.col("node").alias("leader"), F.col("label").alias("own"),
+        F.col("size").alias("leader_size"), F.col("reach").alias("leader_reach"),
+    )
 
 
 def _verify(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
@@ -323,10 +345,11 @@ def _verify(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
 
 
 def _split(divided: DataFrame, shingles: DataFrame, limit: int) -> DataFrame:
-    """Buckets with up to ``limit`` members, and for all others those of their texts' first shingles."""
+    """(bucket, node, size, reach): buckets with up to ``limit`` members as they are, and for all others
+    those of their texts' first shingles. ``reach`` bounds the size of texts linked by way of a bucket."""
     sizes = divided.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
     large = checkpointed(sizes.where(F.col("members") > limit).select("bucket"))
-    small = divided.join(large, "bucket", "left_anti").select("bucket", "node")
+    small = _bounded(divided.join(large, "bucket", "left_anti"))
     nodes = divided.join(large, "bucket", "left_semi").select("node").distinct()
     ones = nodes.join(shingles, "node").mapInArrow(_single_rows, "node bigint, size int, shingle bigint")
     ones = stored(ones, "single")
@@ -334,13 +357,15 @@ def _split(divided: DataFrame, shingles: DataFrame, limit: int) -> DataFrame:
     shared = stored(shared, "shared")
     total = shared.agg(F.sum("texts")).first()[0] or 0
     ones = lookup(ones, shared, ["shingle"], F.col("texts"), total, "inner")
-    # Shingles that no other text has come first; they bring nothing together.
+    # Shingles that no other text has come first; they bring nothing together and cannot be shared.
     own = Window.partitionBy("node")
     ones = ones.withColumn("place", F.row_number().over(own.orderBy("texts", "shingle")))
-    ones = ones.withColumn("count", F.count(F.lit(1)).over(own))
-    short = F.ceil(F.col("size") * F.lit(THRESHOLD) - 1e-9) - 1
-    first = ones.where(F.col("place") <= F.col("count") - short).select("shingle", "node")
-    first = stored(first.withColumnRenamed("shingle", "bucket"), "first")
+    ones = ones.withColumn("left", F.count(F.lit(1)).over(own) - F.col("place") + 1)
+    # Texts of sizes m and n are linked if they share THRESHOLD / (1 + THRESHOLD) of m + n.
+    reach = F.floor(F.col("left") * F.lit((1 + THRESHOLD) / THRESHOLD) - F.col("size") + 1e-6)
+    first = ones.where(F.col("left") >= F.col("size") * F.lit(THRESHOLD) - 1e-9)
+    first = first.select(F.col("shingle").alias("bucket"), "node", "size", reach.cast("int").alias("reach"))
+    first = stored(first, "first")
     several = first.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     return stored(small.union(first.join(several.select("bucket"), "bucket")), "split")
 
