@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import os
 import re
+from struct import pack
 
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_PIECES = 200_000  # the cache is emptied beyond this many pieces
+CACHE_PIECES, CACHE_WORDS = 250_000, 150_000  # of the younger generation of a cache
 CACHE_BYTES = 64  # longer pieces are not kept
 
 # Characters whose normal form and lower case need no context, and the words made of them.
@@ -48,55 +49,77 @@ def encoder(path: str | None = None) -> Encoder:
 
 
 class Encoder:
+    """Ids of pieces, kept in two generations: a piece met again moves to the younger one, and when that is
+    full, the older one goes. So frequent pieces stay, however many are met once."""
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.pieces: tuple[dict[bytes, bytes], dict[bytes, bytes]] = ({}, {})
+        self.words: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.long: list[bytes] = []
 
     def ids(self, text: bytes) -> bytes:
         """The ids of a UTF-8 text, as little-endian unsigned 32-bit numbers."""
-        return b"".join(self._looked_up(text.split()))
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each of some texts. New pieces of all of them are encoded together."""
+        parts = [text.split() for text in texts]
+        known = self._known({piece for part in parts for piece in part})
+        out = [b"".join([known[piece] for piece in part]) for part in parts]
+        self._age()
+        return out
 
     def counts(self, pieces: list[bytes]) -> list[int]:
         """The number of ids of each piece; pieces hold no ASCII white space."""
-        return [len(ids) >> 2 for ids in self._looked_up(pieces)]
-
-    def _looked_up(self, pieces: list[bytes]) -> list[bytes]:
-        if len(self.known) > CACHE_PIECES:  # keep the older half: frequent pieces come early
-            self.known = dict(list(self.known.items())[: CACHE_PIECES // 2])
-        if len(self.words) > CACHE_PIECES:
-            self.words = dict(list(self.words.items())[: CACHE_PIECES // 2])
-        known = self.known
-        try:
-            return [known[piece] for piece in pieces]
-        except KeyError:
-            own = self._encoded({piece for piece in pieces if piece not in known})
-        return [known[piece] if piece in known else own[piece] for piece in pieces]
-
-    def _encoded(self, pieces: set[bytes]) -> dict[bytes, bytes]:
-        """Encode new pieces; the short ones are added to the cache as well."""
-        own, others = {}, []
-        for piece in pieces:
-            text = piece.decode("utf-8", "replace")
-            if _PLAIN.fullmatch(text) and "<|" not in text:
-                own[piece] = b"".join([self._word(w) for w in _WORDS.findall(text.lower())])
-            else:
-                others.append((piece, text))
+        known = self._known(set(pieces))
+        out = [len(known[piece]) >> 2 for piece in pieces]
+        self._age()
+        return out
+
+    def _age(self) -> None:
+        for piece in self.long:
+            self.pieces[0].pop(piece, None)
+        self.long = []
+        if len(self.pieces[0]) > CACHE_PIECES:
+            self.pieces = ({}, self.pieces[0])
+        if len(self.words[0]) > CACHE_WORDS:
+            self.words = ({}, self.words[0])
+
+    def _known(self, wanted: set[bytes]) -> dict[bytes, bytes]:
+        """The younger generation, in which all ``wanted`` pieces are now."""
+        young, old = self.pieces
+        new, others = wanted.difference(young), []
+        for piece in new:
+            ids = old.get(piece)
+            if ids is None:
+                if piece.isalpha():  # of ASCII letters alone
+                    ids = self._word(piece.lower().decode())
+                else:
+                    text = piece.decode("utf-8", "replace")
+                    if _PLAIN.fullmatch(text) and "<|" not in text:
+                        ids = b"".join([self._word(w) for w in _WORDS.findall(text.lower())])
+                    else:
+                        others.append((piece, text))
+                        continue
+            young[piece] = ids
         if others:
-            own.update(self._by_tokenizer(others))
-        self.known.update((piece, ids) for piece, ids in own.items() if len(piece) <= CACHE_BYTES)
-        return own
+            young.update(self._by_tokenizer(others))
+        self.long = [piece for piece in new if len(piece) > CACHE_BYTES]
+        return young
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
+        young, old = self.words
+        ids = young.get(word) or old.get(word)
         if ids is None:
             letters = word if word.isascii() else "".join(_LETTERS[b] for b in word.encode())
-            ids = np.array([one.id for one in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
-            if len(word) <= CACHE_BYTES:
-                self.words[word] = ids
+            found = self.tokenizer.model.tokenize(letters)
+            ids = pack(f"<{len(found)}I", *[one.id for one in found])
+        if len(word) <= CACHE_BYTES:
+            young[word] = ids
         return ids
 
     def _by_tokenizer(self, pieces: list[tuple[bytes, str]]) -> dict[bytes, bytes]:

@@ -1,8 +1,8 @@
 """Token ids in files of bit-plane-shuffled blocks.
 
-Documents are sorted by id over the whole table; the sorted partitions are the shards. A shard's
-ids, each document's closed by an end id, are cut into blocks of BLOCK ids (the last may be
-shorter). A block is transposed: all lowest bits, then all next bits, and so on (or bytes), each
+Documents are sorted by id over the whole table, or by columns that give another order; the sorted
+partitions are the shards. A shard's ids, each document's closed by an end id, are cut into blocks of
+BLOCK ids (the last may be shorter). A block is transposed: all lowest bits, then all next bits, and so on (or bytes), each
 plane compressed with zstandard on its own. Constant planes, as the high bits often are, shrink to
 almost nothing.
 
@@ -18,6 +18,7 @@ occur. An empty table gives files without rows. Columns other than doc_id and te
 from __future__ import annotations
 
 import zlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from histload.llm.encoding import encoder
 from histload.llm.tables import small_arrow_batches
 from histload.llm.words import small_batches, text_bytes
+from histload.names import quoted
 
 END_ID = 2
 BLOCK = 1 << 16
@@ -76,7 +78,7 @@ class _Writer:
         self.schema = schema
 
     def __call__(self, batches):
-        encode = encoder(self.tokenizer).ids
+        encode = encoder(self.tokenizer).ids_of
         end = np.array([self.end_id], "<u4").tobytes()
         size = 4 * self.block
         shard = TaskContext.get().partitionId()
@@ -96,10 +98,11 @@ class _Writer:
         for batch in small_batches(batches, "text"):
             raw, offsets = text_bytes(batch.column("text"))
             data, ids = raw.tobytes(), batch.column("doc_id").to_pylist()
-            for n, doc_id in enumerate(ids):
+            encoded = encode([data[a:b] for a, b in zip(offsets[:-1], offsets[1:])])
+            for doc_id, own in zip(ids, encoded):
                 doc_ids.append(doc_id)
                 starts.append(len(waiting))
-                waiting += encode(data[offsets[n] : offsets[n + 1]])
+                waiting += own
                 waiting += end
                 while len(waiting) >= size:
                     # A block is open if its last document goes on in the next.
@@ -119,15 +122,17 @@ def write_tokens(
     end_id: int = END_ID,
     block: int = BLOCK,
     unit: int = 1,
+    order: Sequence[str] = (),
 ) -> None:
-    """Encode and write ``docs`` (doc_id, text). ``tokenizer``: a file on every executor."""
+    """Encode and write ``docs`` (doc_id, text). ``tokenizer``: a file on every executor. ``order``: columns
+    by which the documents are written (in ascending order, ties by id); by id alone if there are none."""
     spark = docs.sparkSession
     small_arrow_batches(spark)
-    ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    first = [F.col(quoted(name)).alias(f"order_{n}") for n, name in enumerate(order)]
+    ordered = docs.select(*first, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # The text's hash parts rows of one id, should an id have very many.
-    ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(
-        "doc_id", F.xxhash64("text"), "text"
-    )
+    by = [*(f"order_{n}" for n in range(len(first))), "doc_id", F.xxhash64("text")]
+    ordered = ordered.repartitionByRange(*by).sortWithinPartitions(*by, "text").select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType
     ddl = _BLOCKS.format(id_type=id_type.simpleString())
     schema = _arrow_schema(spark, ddl)
