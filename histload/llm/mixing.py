@@ -13,8 +13,8 @@ one more per source at most. What a row gets depends on the row, its block and i
 tasks that run again agree, and so do reruns.
 
 Defined results: sources are ordered by code point, NULL last; a NULL text has size 0. Rows of size
-0 belong to their blocks like others. Equal rows share a place in the permutation and are taken
-alike. A source without words has target 0. An empty table gives no rows. Other columns, whatever
+0 belong to their blocks like others. Equal rows are numbered, and each has a place of its own in the
+permutation. A source without words has target 0. An empty table gives no rows. Other columns, whatever
 their names, are passed on, except for those named in TAKEN, which must not be there.
 """
 
@@ -27,16 +27,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histload.llm.tables import stored
+from histload.llm.tables import byte_size, maybe_broadcast, stored, with_repeat, with_row_id
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, LIMIT = 1.5, 2.0  # words taken of all words; words taken of a source's at most
-SHARDS, BLOCKS_PER_SHARD, PARTS = 40, 64, 16
+SHARDS, BLOCKS_PER_SHARD = 40, 64
 SEED = 20240201
 WORD = r"[^\x20\x09-\x0D]+"
 TAKEN = {
     "mix_size", "mix_key", "mix_block", "mix_blocks", "mix_shards", "mix_source",
-    "mix_source_size", "mix_target",
+    "mix_source_size", "mix_target", "mix_row", "mix_number", "mix_again", "mix_rows",
 }
 
 
@@ -95,6 +95,27 @@ def _keyed(docs: DataFrame, seed: int) -> DataFrame:
     return docs.withColumns({"mix_size": word_count(F.col("text")), "mix_key": key})
 
 
+def _of(rows: DataFrame, again: DataFrame, how: str) -> DataFrame:
+    """``rows`` semi- or anti-joined with (source, mix_key)."""
+    keys = again.select(F.col("source").alias("mix_source"), F.col("mix_key").alias("mix_again"))
+    width = F.lit(64) + F.coalesce(F.octet_length("mix_source"), F.lit(0))
+    keys = maybe_broadcast(keys, byte_size(keys, width))
+    same = F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_key") == F.col("mix_again"))
+    return rows.join(keys, same, how)
+
+
+def _told_apart(rows: DataFrame, again: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(``rows`` in which equal ones have places of their own, those among them). Only rows that occur several
+    times are written, to be numbered."""
+    repeated = with_row_id(_of(rows, again, "left_semi"), "mix_again", "mix_row")
+    repeated = with_repeat(repeated, ["source", "mix_key"], "mix_number", "mix_row")
+    own = F.xxhash64(F.lit(seed), F.col("mix_key"), F.col("mix_number"))
+    key = F.when(F.col("mix_number") > 0, own).otherwise(F.col("mix_key"))
+    repeated = repeated.withColumn("mix_key", key).drop("mix_row", "mix_number")
+    repeated = stored(repeated, "mix_apart")
+    return _of(rows, again, "left_anti").unionByName(repeated), repeated
+
+
 def _block(blocks: Column) -> Column:
     place = F.col("mix_key") / F.lit(2.0**64) + 0.5
     return F.least(F.floor(place * blocks).cast("int"), blocks - 1)
@@ -119,17 +140,24 @@ def mixed(
     blocks_per_shard: int = BLOCKS_PER_SHARD,
     seed: int = SEED,
 ) -> DataFrame:
-    """``docs`` (doc_id, text, source and others) with ``mix_size``, ``mix_source_size``,
-    ``mix_target`` and ``mix_shards``: the shard of every copy the mix takes of the row."""
+    """``docs`` (doc_id, text, source and others) with ``mix_size``, ``mix_key`` (its place among its source's),
+    ``mix_source_size``, ``mix_target`` and ``mix_shards``: the shard of every copy the mix takes of the row."""
     taken = {name.lower() for name in docs.columns} & TAKEN
     if taken:
         raise ValueError(f"columns clash with those of the mix: {sorted(taken)}")
-    narrow = stored(
-        _keyed(docs.select("doc_id", "text", "source"), seed).select("source", "mix_size", "mix_key"), "mix"
-    )
+    rows = _keyed(docs, seed)
+    columns = ("source", "mix_size", "mix_key")
+    narrow = stored(_keyed(docs.select("doc_id", "text", "source"), seed).select(*columns), "mix")
+    again = narrow.groupBy("source", "mix_key").agg(F.count(F.lit(1)).alias("mix_rows"))
+    again = stored(again.where(F.col("mix_rows") > 1).select("source", "mix_key"), "mix_repeats")
+    if not again.isEmpty():
+        rows, repeated = _told_apart(rows, again, seed)
+        narrow = stored(
+            _of(narrow, again, "left_anti").unionByName(repeated.select(*columns)), "mix"
+        )
     sums = narrow.groupBy("source").agg(F.sum("mix_size").alias("size")).collect()
     if not sums:
-        columns = "mix_size bigint, mix_source_size bigint, mix_target double, mix_shards array<int>"
+        columns = "mix_size bigint, mix_key bigint, mix_source_size bigint, mix_target double, mix_shards array<int>"
         nothing = [F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in columns.split(", ")]
         return docs.select("*", *nothing)
     sums.sort(key=lambda row: (row["source"] is None, row["source"] or ""))
@@ -141,7 +169,7 @@ def mixed(
         for row, target in zip(sums, wanted)
     ]
     plan = _draw(narrow, sources, shards, seed)
-    rows = _with_sources(_keyed(docs, seed), sources)
+    rows = _with_sources(rows, sources)
     same = F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("mix_block") == F.col("plan_block"))
     rows = rows.join(F.broadcast(plan), same, "left")
     part = (F.col("mix_key") <= F.col("cut_key")) & (F.col("mix_size") <= F.col("cut_size"))
@@ -149,7 +177,7 @@ def mixed(
     none = F.array().cast("array<int>")
     in_part = F.when(part & F.col("cut_shard").isNotNull(), F.array("cut_shard")).otherwise(none)
     rows = rows.withColumn("mix_shards", F.concat(F.coalesce("plan_shards", none), in_part))
-    return rows.select(*docs.columns, "mix_size", "mix_source_size", "mix_target", "mix_shards")
+    return rows.select(*docs.columns, "mix_size", "mix_key", "mix_source_size", "mix_target", "mix_shards")
 
 
 def _draw(narrow: DataFrame, sources: list[Source], shards: int, seed: int) -> DataFrame:
@@ -243,11 +271,11 @@ def _cut_keys(narrow: DataFrame, sources: list[Source], cuts: list[tuple]) -> di
 
 
 def in_shards(rows: DataFrame, seed: int = SEED) -> DataFrame:
-    """A row for each copy that ``mixed`` takes, with its ``mix_shard``. A shard is dealt to PARTS
-    partitions by hash and shuffled inside them."""
+    """A row for each copy that ``mixed`` takes, with its ``mix_shard``: shard by shard over the partitions,
+    in an order of its own inside each. AQE takes the number of partitions from their size."""
     copies = rows.select("*", F.posexplode("mix_shards").alias("mix_copy", "mix_shard"))
-    place = F.xxhash64(F.lit(seed + 1), "doc_id", "text", "mix_copy")
+    place = F.xxhash64(F.lit(seed + 1), "mix_key", "mix_copy")
     copies = copies.withColumn("mix_place", place)
-    dealt = copies.repartition("mix_shard", F.pmod("mix_place", F.lit(PARTS)))
+    dealt = copies.repartitionByRange("mix_shard", "mix_place")
     ordered = dealt.sortWithinPartitions("mix_shard", "mix_place")
-    return ordered.drop("mix_copy", "mix_place", "mix_shards")
+    return ordered.drop("mix_copy", "mix_place", "mix_shards", "mix_key")

@@ -2,14 +2,15 @@
 
 A group is a vector (bytes, tokens, rows), in parts of the whole table. Groups larger than
 1 / (shards * parcels_per_shard) of any of the three are parcels of their own; only what exceeds half a
-shard is cut, by a hash of the doc_id. All smaller groups are gathered whole, by a hash of their text,
+shard is cut, by a hash of the doc_id and the number of a row among equal ones. All smaller groups are gathered whole, by a hash of their text,
 into that many parcels. The parcels, largest first, then go each to the shard where the dot product
 of its vector with the shard's residual capacity is highest. Their number is bounded by the
-parameters, whatever the table holds, so the packing is a small step on the driver. Rows are numbered
+parameters, whatever the table holds, so the packing is a small step on the driver. At its end parcels are
+moved or swapped between shards to even out bytes, where neither tokens nor rows get worse by it. Rows are numbered
 in cells, parts of a parcel of at most about its usual size, so no task sorts a large group.
 
-Defined results: a NULL text is empty, with no bytes and no tokens. Equal rows are in one cell.
-Slots follow doc_id (NULL first), then the text's hash, in each cell; equal rows get different
+Defined results: a NULL text is empty, with no bytes and no tokens. Equal rows of a group that is cut are
+dealt out over its cells. Slots follow doc_id (NULL first), then the text's hash, in each cell; equal rows get different
 slots. An empty table gives no rows. Columns other than doc_id and text are not read.
 """
 
@@ -19,13 +20,14 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from histload.llm.tables import stored
+from histload.llm.tables import with_repeat, with_row_id
 
 SHARDS = 40
 PARCELS_PER_SHARD = 64
 ROW_BYTES = 16
 BYTES_WEIGHT = 4.0  # of bytes in the dot product, against 1 of tokens and of rows
 ROUNDS = 50  # of moves for each shard, at most
+TRIED = 8  # smaller shards that the largest one tries to move to
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -41,32 +43,53 @@ def pack(vectors: np.ndarray, shards: int, weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def even_out(placed: np.ndarray, sizes: np.ndarray, shards: int) -> np.ndarray:
-    """Move or swap parcels between the largest and the smallest shard while that helps."""
-    placed, loads = placed.copy(), np.bincount(placed, sizes, minlength=shards)
+def even_out(placed: np.ndarray, vectors: np.ndarray, shards: int) -> np.ndarray:
+    """Move or swap parcels between the largest shard and a smaller one, by the first column of ``vectors``,
+    while that helps and leaves no other column's larger load of the two above both its mean and itself."""
+    placed, sizes = placed.copy(), vectors[:, 0]
+    loads = np.zeros((shards, vectors.shape[1]))
+    np.add.at(loads, placed, vectors)
+    mean = loads.mean(axis=0)
     for _ in range(ROUNDS * shards):
-        high, low = int(np.argmax(loads)), int(np.argmin(loads))
-        gap = loads[high] - loads[low]
-        ours, theirs = np.flatnonzero(placed == high), np.flatnonzero(placed == low)
-        theirs = theirs[np.argsort(sizes[theirs], kind="stable")]
-        theirs_sizes = np.concatenate(([0.0], sizes[theirs]))  # nothing, or one of theirs
-        near = np.searchsorted(theirs_sizes, sizes[ours] - gap / 2)
-        tries = [(ours, np.clip(near + step, 0, len(theirs))) for step in (-1, 0)]
-        moved = [sizes[a] - theirs_sizes[b] for a, b in tries]
-        gain = np.concatenate([np.minimum(m, gap - m) for m in moved])
-        if not len(gain) or gain.max() <= 1e-6 * loads.mean():
+        high = int(np.argmax(loads[:, 0]))
+        move = next(
+            (found for low in np.argsort(loads[:, 0], kind="stable")[: TRIED] if low != high
+             and (found := _best_move(placed, vectors, sizes, loads, mean, high, int(low)))), None
+        )
+        if move is None:
             break
-        best = int(np.argmax(gain))
-        side, n = divmod(best, len(ours))
-        other = tries[side][1][n]
-        placed[ours[n]] = low
-        if other:
-            placed[theirs[other - 1]] = high
-        loads[high] -= moved[side][n]
-        loads[low] += moved[side][n]
+        low, ours, theirs = move
+        for parcel, shard in ((ours, low), *(((theirs, high),) if theirs is not None else ())):
+            loads[placed[parcel]] -= vectors[parcel]
+            loads[shard] += vectors[parcel]
+            placed[parcel] = shard
     return placed
 
 
+def _best_move(placed, vectors, sizes, loads, mean, high, low):
+    """(low, parcel of the larger shard, one of the smaller for it or None) that evens most, or None."""
+    gap = loads[high, 0] - loads[low, 0]
+    ours, theirs = np.flatnonzero(placed == high), np.flatnonzero(placed == low)
+    if gap <= 1e-6 * mean[0] or not len(ours):
+        return None
+    theirs = theirs[np.argsort(sizes[theirs], kind="stable")]
+    other = np.vstack((np.zeros(vectors.shape[1]), vectors[theirs]))  # nothing, or one of theirs
+    near = np.searchsorted(other[:, 0], sizes[ours] - gap / 2)
+    best, gained = None, 1e-6 * mean[0]
+    most = np.maximum(np.maximum(loads[high], loads[low]), mean)[1:] * (1 + 1e-9)
+    for step in (-2, -1, 0, 1):
+        tried = np.clip(near + step, 0, len(theirs))
+        moved = vectors[ours] - other[tried]
+        gain = np.minimum(moved[:, 0], gap - moved[:, 0])
+        worse = (np.maximum(loads[high] - moved, loads[low] + moved)[:, 1:] > most).any(axis=1)
+        gain[worse] = -1
+        n = int(np.argmax(gain))
+        if gain[n] > gained:
+            gained = gain[n]
+            best = (low, ours[n], theirs[tried[n] - 1] if tried[n] else None)
+    return best
+
+
 def packed(
     docs: DataFrame,
     shards: int = SHARDS,
@@ -76,7 +99,7 @@ def packed(
     text); ``size`` is the bytes of the text and ROW_BYTES, ``slot`` counts a shard's rows from 0."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
-    rows = stored(
+    rows = with_row_id(
         docs.select(
             "doc_id",
             (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
@@ -104,9 +127,13 @@ def packed(
     )
 
     small = F.pmod(F.xxhash64("digest"), F.lit(parcels))
-    cell = F.col("base") + F.pmod(F.xxhash64("doc_id"), F.col("cells"))
     rows = rows.join(F.broadcast(cut), "digest", "left")
-    rows = rows.withColumn("cell", F.coalesce(cell, small).cast("int")).drop("base", "cells")
+    whole = rows.where(F.col("base").isNull()).withColumn("cell", small.cast("int"))
+    # Rows of a cut group, with the number of each among equal ones.
+    parts = with_repeat(rows.where(F.col("base").isNotNull()), ["digest", "doc_id"], "again")
+    cell = F.col("base") + F.pmod(F.xxhash64("doc_id") + F.col("again"), F.col("cells"))
+    parts = parts.withColumn("cell", cell.cast("int")).drop("again")
+    rows = (whole.unionByName(parts) if large else whole).drop("base", "cells")
 
     found = rows.groupBy("cell").agg(*vector).orderBy("cell").collect()
     # Cells of a group are one parcel, up to half a shard; below ``parcels`` a cell is one.
@@ -118,7 +145,7 @@ def packed(
     vectors = np.zeros((len(names), 3))
     np.add.at(vectors, parcel, [[r["size"], r["tokens"], r["rows"]] for r in found] or np.zeros((0, 3)))
     placed = pack(vectors / totals, shards, np.array([BYTES_WEIGHT, 1.0, 1.0]))
-    placed = even_out(placed, vectors[:, 0], shards)
+    placed = even_out(placed, vectors / totals, shards)
     table, taken = [], [0] * shards
     for row, shard in zip(found, placed[parcel].tolist()):
         table.append((row["cell"], shard, taken[shard]))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from histload.names import quoted
 from histload.session import scratch_path, shared_folder
 
 SHARES = 1000  # keys with more than one in so many rows are joined apart; there are fewer of them
@@ -70,3 +71,36 @@ def byte_size(df: DataFrame, width: Column) -> int:
 def maybe_broadcast(df: DataFrame, size: int) -> DataFrame:
     """Broadcast ``df`` if its counted size allows it; else left to a join by shuffle."""
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def with_row_id(df: DataFrame, name: str, row_id: str = "row_id") -> DataFrame:
+    """``df`` written to the shared folder with a number of each row, which tells the writing task."""
+    return stored(df.withColumn(row_id, F.monotonically_increasing_id()), name)
+
+
+def with_repeat(rows: DataFrame, keys: Sequence[str], name: str, row_id: str = "row_id") -> DataFrame:
+    """``rows`` of ``with_row_id`` with ``name``: 0, 1, ... among the rows of equal ``keys`` (NULL equals NULL).
+
+    Rows are numbered inside each task's part of the table, which is bounded, and the counts of earlier
+    parts are added; so no task meets all rows of one key, however many it has.
+    """
+    part = F.shiftright(row_id, 33).alias("__repeat_part")  # the writing task, by Spark's definition of the number
+    rows = rows.withColumn("__repeat_part", part)
+    keyed = {f"__repeat_{n}": F.col(key) for n, key in enumerate(keys)}
+    counts = rows.groupBy("__repeat_part", *(column.alias(n) for n, column in keyed.items())).agg(
+        F.count(F.lit(1)).alias("__repeat_rows")
+    )
+    before = Window.partitionBy(*keyed).orderBy("__repeat_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__repeat_before", F.coalesce(F.sum("__repeat_rows").over(before), F.lit(0)))
+    counts = stored(counts.where(F.col("__repeat_before") > 0).drop("__repeat_rows"), "repeats")
+    width = F.lit(64)
+    for column in keyed:
+        width = width + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
+    inside = Window.partitionBy("__repeat_part", *keys).orderBy(row_id)
+    numbered = rows.withColumn("__repeat_place", F.row_number().over(inside) - 1)
+    same = numbered["__repeat_part"] == counts["__repeat_part"]
+    for n, key in enumerate(keys):
+        same &= numbered[key].eqNullSafe(counts[f"__repeat_{n}"])
+    joined = numbered.join(maybe_broadcast(counts, byte_size(counts, width)), same, "left")
+    number = F.col("__repeat_place") + F.coalesce("__repeat_before", F.lit(0))
+    return joined.select(*(numbered[quoted(c)] for c in rows.columns if c != "__repeat_part"), number.cast("long").alias(name))
