@@ -29,7 +29,7 @@ from histload.llm.tables import small_arrow_batches
 from histload.llm.words import small_batches
 
 LEAF = 128
-GROWN = 8  # a tree is built anew if edits leave a leaf of so many times LEAF
+GROWN = 8  # a leaf that edits leave with so many times LEAF is cut, and the sums above it are built anew
 EDITS = "array<struct<begin: bigint, end: bigint, replacement: string>>"
 _STATE = "doc_id {id_type}, text string, n_tokens bigint, tree binary"
 _SPACE = re.compile("[ \t\n\r\x0b\x0c]")
@@ -49,16 +49,7 @@ class Tree:
             end = found.end() if found else len(text)
             parts.append((end - begin, count(text[begin:end])))
             begin = end
-        size = 1
-        while size < len(parts):
-            size *= 2
-        sums = np.zeros((2, 2 * size), np.int64)
-        if parts:
-            sums[:, size : size + len(parts)] = np.array(parts).T
-        while size > 1:
-            sums[:, size // 2 : size] = sums[:, size : 2 * size : 2] + sums[:, size + 1 : 2 * size : 2]
-            size //= 2
-        return cls(sums)
+        return cls(_sums(np.array(parts, np.int64).reshape(-1, 2).T))
 
     @classmethod
     def from_bytes(cls, raw: bytes) -> Tree:
@@ -104,12 +95,33 @@ class Tree:
             cut = found.end() if found else len(region)
             parts.append((cut - place, count(region[place:cut])))
             place = cut
-        if parts[-1][0] > GROWN * LEAF:
-            self.sums = Tree.of(edited, count).sums
-            return edited, len(edited)
-        self.replace(first, last, parts)
+        cuts = _SPACE.search(region, place - parts[-1][0] + LEAF - 1) if parts[-1][0] > GROWN * LEAF else None
+        if cuts and cuts.end() < len(region):
+            # More leaves than before: those of the region are cut, all others keep their counts.
+            inner = Tree.of(region, count).leaves()
+            half = self.sums.shape[1] // 2
+            self.sums = _sums(np.hstack((self.sums[:, half:first], inner, self.sums[:, last + 1 :])))
+        else:
+            self.replace(first, last, parts)
         return edited, len(region)
 
+    def leaves(self) -> np.ndarray:
+        return self.sums[:, self.sums.shape[1] // 2 :]
+
+
+def _sums(leaves: np.ndarray) -> np.ndarray:
+    """The sums of a tree over leaves (characters, tokens); empty ones are left out."""
+    leaves = leaves[:, leaves[0] > 0]
+    size = 1
+    while size < leaves.shape[1]:
+        size *= 2
+    sums = np.zeros((2, 2 * size), np.int64)
+    sums[:, size : size + leaves.shape[1]] = leaves
+    while size > 1:
+        sums[:, size // 2 : size] = sums[:, size : 2 * size : 2] + sums[:, size + 1 : 2 * size : 2]
+        size //= 2
+    return sums
+
 
 def _counter(tokenizer: str | None) -> Callable[[str], int]:
     encode = encoder(tokenizer).ids

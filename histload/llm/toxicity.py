@@ -4,9 +4,10 @@ A sentence has a logistic score over its words; noisy-or combines the scores,
 P(document) = 1 - prod(1 - p(sentence)). The weights are learned from document labels alone, by
 gradient ascent on the documents' likelihood. The sentence scores then tell where the offence is.
 
-The model is fitted on a bounded sample of labelled documents (``sample_rows``, those with the
-smallest hash of their id; whole texts), of which only word and sentence numbers reach the
-driver. Scoring is one pass over the texts, without a shuffle.
+The model is fitted on a bounded sample of labelled documents (``sample_rows`` different ones with the
+smallest hash of id and text, and of these the first ``sample_bytes`` of whole texts), of which only word and
+sentence numbers reach the driver. A row that occurs several times is one with so much weight, so no
+document, however often it is repeated, fills the sample. Scoring is one pass over the texts, without a shuffle.
 
 Defined results: a NULL or empty text is one empty sentence, whose score is that of the bias.
 Rows are scored one by one, so repeated rows score alike. Several labels of one document: the
@@ -29,7 +30,7 @@ from histload.llm.tables import small_arrow_batches
 from histload.llm.words import find_words, small_batches, text_bytes
 from histload.names import quoted
 
-SAMPLE_ROWS = 10_000
+SAMPLE_ROWS, SAMPLE_BYTES = 10_000, 64 << 20
 FOLDS = 5
 BUCKETS = 1 << 20  # words are told apart by so many hash values
 MIN_DOCUMENTS = 3  # a word in fewer documents of the sample has no weight
@@ -95,8 +96,9 @@ def _sample_features(batches):
                 pa.ListArray.from_arrays(bounds, pa.array(inside, pa.int32())),
                 pa.array(np.diff(found.first), pa.int32()),
                 batch.column("toxic"),
+                batch.column("repeats"),
             ],
-            names=["features", "places", "sentences", "toxic"],
+            names=["features", "places", "sentences", "toxic", "repeats"],
         )
 
 
@@ -105,27 +107,34 @@ def fit(
     labels: DataFrame,
     sample_rows: int = SAMPLE_ROWS,
     keep_out: bool = True,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> Model:
     """Learn from ``labels`` (doc_id, toxic) of ``docs`` (doc_id, text).
 
     ``keep_out``: documents that ``held_out`` names are not learned from.
     """
-    small_arrow_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_arrow_batches(spark)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     if keep_out:
         known = known.where(~held_out(F.col("doc_id")))
-    sample = (
-        known.groupBy("doc_id")
-        .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample_rows)
-    )
-    # At most sample_rows pairs of numbers. A repeated document is learned from each time.
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = texts.select("text", "toxic").mapInArrow(
-        _sample_features, "features array<int>, places array<int>, sentences int, toxic int"
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    size = F.coalesce(F.max(F.octet_length("text")), F.lit(0))
+    each = texts.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("repeats"), size.alias("size"))
+    sample = each.join(known, "doc_id").orderBy(F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash")
+    sample = sample.limit(sample_rows).select("doc_id", "text_hash", "toxic", "repeats", "size")
+    rows = sample.collect()  # sample_rows narrow rows at most
+    ends = np.cumsum([row["size"] for row in rows])
+    chosen = rows[: max(1, int(np.searchsorted(ends, sample_bytes, "right")))]
+    chosen = spark.createDataFrame([tuple(row)[:4] for row in chosen], sample.drop("size").schema)
+    found = texts.join(F.broadcast(chosen), ["doc_id", "text_hash"])
+    if any(row["repeats"] > 1 for row in rows):
+        found = found.dropDuplicates(["doc_id", "text_hash"])
+    found = found.select("text", "toxic", "repeats").mapInArrow(
+        _sample_features, "features array<int>, places array<int>, sentences int, toxic int, repeats long"
     )
-    return _learn(rows.toArrow())
+    return _learn(found.toArrow())
 
 
 def _batch_words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,19 +147,22 @@ def _batch_words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 def _learn(rows: pa.Table) -> Model:
     toxic = rows.column("toxic").to_numpy().astype(float)
-    none = Model(np.zeros(0, np.int64), np.zeros(0), 0.0, (toxic.sum() + 0.5) / (len(toxic) + 2))
+    times = rows.column("repeats").to_numpy().astype(float)
+    total, toxic_total = times.sum(), times @ toxic
+    none = Model(np.zeros(0, np.int64), np.zeros(0), 0.0, (toxic_total + 0.5) / (total + 2))
     if not 0 < toxic.sum() < len(toxic):
         return none
     sentences = rows.column("sentences").to_numpy()
     first = np.concatenate(([0], np.cumsum(sentences)))
 
     # Words that enough documents have, numbered; batch by batch, to spare the driver's memory.
-    support, hits, begin = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS), 0
+    support, hits, begin = np.zeros(BUCKETS), np.zeros(BUCKETS), 0
     for batch in rows.to_batches():
         document, feature, _ = _batch_words(batch)
         pairs = np.unique(document * BUCKETS + feature)
-        support += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
-        hits += np.bincount(pairs % BUCKETS, toxic[begin + pairs // BUCKETS], minlength=BUCKETS)
+        own = begin + pairs // BUCKETS
+        support += np.bincount(pairs % BUCKETS, times[own], minlength=BUCKETS)
+        hits += np.bincount(pairs % BUCKETS, (times * toxic)[own], minlength=BUCKETS)
         begin += batch.num_rows
     kept = np.flatnonzero(support >= MIN_DOCUMENTS)
     if not len(kept):
@@ -169,7 +181,7 @@ def _learn(rows: pa.Table) -> Model:
     # A start by each word's log-odds among documents, only where toxic documents prefer it.
     hits = hits[kept]
     rest = support[kept] - hits
-    odds = np.log((hits + 0.5) / (toxic.sum() + 1)) - np.log((rest + 0.5) / (len(toxic) - toxic.sum() + 1))
+    odds = np.log((hits + 0.5) / (toxic_total + 1)) - np.log((rest + 0.5) / (total - toxic_total + 1))
     weights = np.where((odds > 0) & (hits >= 2), odds, 0.0)
     bias = -6.0
     owner = np.repeat(np.arange(len(toxic)), sentences)
@@ -180,10 +192,10 @@ def _learn(rows: pa.Table) -> Model:
         log_clean = np.add.reduceat(np.log1p(-np.minimum(score, 1 - 1e-12)), first[:-1])
         clean = np.exp(log_clean)
         # d log P(label) / d margin: for clean documents -p, for toxic ones p * clean / (1 - clean).
-        pull = np.where(toxic > 0, clean / np.maximum(1 - clean, 1e-9), -1.0)
+        pull = np.where(toxic > 0, clean / np.maximum(1 - clean, 1e-9), -1.0) * times
         push = score * pull[owner]
         slope = np.bincount(feature, push[sentence], minlength=len(kept))
-        slope = np.append(slope - PENALTY * np.sign(weights), push.sum()) / len(toxic)
+        slope = np.append(slope - PENALTY * np.sign(weights), push.sum()) / total
         moment = 0.9 * moment + 0.1 * slope
         spread = 0.99 * spread + 0.01 * slope**2
         change = RATE * (moment / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-6)
