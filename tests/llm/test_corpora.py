@@ -104,9 +104,99 @@ def test_mix_of_odd_rows(corpus, nothing):
         mixing.mixed(corpus.withColumn("mix_key", F.lit(1)))
 
 
+def test_secrets_written_twice_and_often():
+    key = "q7Zr9LmX2vKd81TbWn5cYe3H"
+    novelty = secrets.Novelty()
+    text = f"my bearer {key} and once more the bearer {key} of it"
+    found = secrets.novel_spans(text, [], novelty)
+    assert [text[begin:end] for _, begin, end in found] == [key, key]
+    often = f"bearer {key} " * 8
+    assert secrets.novel_spans(often, [], novelty) == []
+    # Spans that patterns have found, many of them, are passed once.
+    many = "".join(f"token = AbCd{n:08d}xyz; bearer {n:x}Zq9LmX2vKd81TbWn5{n}; " for n in range(3000))
+    base = secrets.base_spans(many)
+    found = secrets.novel_spans(many, base, lambda *parts: 1e9)
+    assert len(base) == 3000 and 3000 <= len(found) <= 6000
+    assert all(b[2] <= f[1] or f[2] <= b[1] for b, f in zip(base, found) if f[0] == "novel" and b[0] == "novel")
+
+
+def test_secrets_by_other_parameters():
+    search = secrets.Search(shortest=8, reach=200)
+    text = "private " + "some words " * 8 + "k7Zr9LmX2v"
+    assert secrets.novel_spans(text, [], secrets.Novelty()) == []
+    assert secrets.novel_spans(text, [], secrets.Novelty(), search) == [("novel", len(text) - 10, len(text))]
+
+
 # --- packing ---------------------------------------------------------------------------------
 
 
+def repeated(spark, count, rows, shards):
+    """``count`` equal rows without id, and others."""
+    same = spark.range(count).selectExpr("cast(NULL AS bigint) AS doc_id", "'a text that repeats' AS text", "'s' AS source")
+    other = spark.range(rows).selectExpr("id AS doc_id", "concat('text number ', id, ' of many') AS text", "if(id % 3 = 0, 's', 't') AS source")
+    return same.union(other).repartition(5)
+
+
+def test_equal_rows_are_dealt_out(spark):
+    rows = packing.packed(repeated(spark, 2000, 2000, 8), shards=8)
+    sums = rows.groupBy("shard").agg(F.sum("size"), F.sum("tokens"), F.count("*")).collect()
+    for column in (1, 2, 3):
+        loads = [row[column] for row in sums]
+        assert len(loads) == 8 and max(loads) <= 1.02 * min(loads)
+    slots = rows.groupBy("shard").agg(F.array_sort(F.collect_list("slot")).alias("slots")).collect()
+    assert all(row["slots"] == list(range(len(row["slots"]))) for row in slots)
+
+
+def test_shards_balance_bytes_tokens_and_rows(spark):
+    rows = packing.packed(spark.read.parquet(f"{MIDDLE}/documents.parquet"))
+    sums = rows.groupBy("shard").agg(F.sum("size"), F.sum("tokens"), F.count("*")).collect()
+    for column, most in ((1, 1.05), (2, 1.15), (3, 1.15)):
+        loads = [row[column] for row in sums]
+        assert max(loads) <= most * min(loads)
+
+
+def test_moves_worsen_no_other_load():
+    rng = np.random.default_rng(3)
+    vectors = rng.random((200, 3)) ** 3
+    vectors /= vectors.sum(axis=0)
+    placed = packing.pack(vectors, 6, np.array([4.0, 1, 1]))
+    loads = [np.bincount(placed, vectors[:, k], minlength=6) for k in range(3)]
+    moved = packing.even_out(placed, vectors, 6)
+    after = [np.bincount(moved, vectors[:, k], minlength=6) for k in range(3)]
+    assert np.ptp(after[0]) <= np.ptp(loads[0])
+    assert all(b.max() <= max(a.max(), 1 / 6) + 1e-9 for a, b in zip(loads[1:], after[1:]))
+
+
+def test_equal_rows_are_mixed_to_the_target(spark):
+    rows = mixing.mixed(repeated(spark, 2000, 2000, 8))
+    found = rows.groupBy("source").agg(
+        F.sum(F.col("mix_size") * F.size("mix_shards")).alias("taken"), F.first("mix_target").alias("target"),
+        F.sum("mix_size").alias("size"), F.max(F.size("mix_shards")).alias("most"),
+    ).collect()
+    sizes = {row["source"]: row["size"] for row in found}
+    # Weights 3 and 1 of 1.5 times all words, at most twice a source's words; by hand, not by ``targets``.
+    total = 1.5 * sum(sizes.values())
+    first = min(0.75 * total, 2 * sizes["s"])
+    wanted = {"s": first, "t": min(total - first, 2 * sizes["t"])}
+    for row in found:
+        assert row["target"] == pytest.approx(wanted[row["source"]]) and row["most"] <= 2
+        assert abs(row["taken"] - row["target"]) <= 0.02 * row["target"]
+    copies = mixing.in_shards(rows)
+    assert copies.count() == rows.agg(F.sum(F.size("mix_shards"))).first()[0]
+    again = mixing.mixed(repeated(spark, 2000, 2000, 8).repartition(3))
+    assert sorted(map(str, again.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_numbers_of_equal_rows(spark):
+    from histload.llm.tables import with_repeat, with_row_id
+
+    df = spark.range(300).selectExpr("if(id % 7 = 0, NULL, id % 3) AS k", "id % 2 AS g", "id AS `a.b`").repartition(4)
+    rows = with_repeat(with_row_id(df, "numbered"), ["k", "g"], "again")
+    assert set(rows.columns) == {"k", "g", "a.b", "row_id", "again"}
+    found = rows.groupBy("k", "g").agg(F.array_sort(F.collect_list("again")).alias("n")).collect()
+    assert len(found) == 8 and all(row["n"] == list(range(len(row["n"]))) for row in found)
+
+
 def test_shards_are_near_equal(spark):
     rows = queries.op2_packing(spark, MIDDLE).collect()
     texts = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "text").collect()
@@ -291,6 +381,37 @@ def test_stages_take_effect(spark):
     assert blocks.count() == rows.count()
 
 
+def test_all_stages_of_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20)
+    names = "key_id key_hash text_hash node bucket score mix_key mix_place part file row order_0 ids shard _metadata"
+    clashes = [F.lit(n).alias(name) for n, name in enumerate(names.split())]
+    docs = docs.select("*", *clashes, F.lit(99).alias("a.b"))
+    wanted = (*range(len(clashes)), 99)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SMALL)
+        if name != "token_blocks":
+            assert out.columns == docs.columns
+            assert {tuple(row)[5:] for row in out.collect()} == {wanted}
+        else:
+            assert out.count() == docs.count()
+
+
+def test_blocks_follow_the_mix(spark, tmp_path):
+    """The last stage writes documents shard by shard, in each shard's order, so copies lie apart."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    steps = dict(corpus_pipeline.STAGES)
+    rows = mixing.mixed(docs)
+    wanted = [row["doc_id"] for row in mixing.in_shards(rows).collect()]
+    shards = [row["mix_shard"] for row in mixing.in_shards(rows).collect()]
+    assert shards == sorted(shards) and len(set(shards)) > 30
+    path = str(tmp_path / "mixed")
+    steps["mixing"](spark, docs, SMALL).write.parquet(path)
+    blocks = steps["token_blocks"](spark, spark.read.parquet(path), SMALL).orderBy("start").collect()
+    order = [row["doc_id"] for row in blocks]
+    assert order == wanted
+    assert sum(a == b for a, b in zip(order, order[1:])) < 0.05 * len(order)
+
+
 def test_stages_of_clashing_columns(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20)
     docs = docs.selectExpr("*", "1 AS Score", "2 AS n_sentences", "3 AS mix_size", "4 AS mix_shard", "5 AS `a.b`")

@@ -127,3 +127,24 @@ def test_words_of_slices(monkeypatch):
     batch = pa.RecordBatch.from_arrays([column], names=["text"])
     parts = list(small_batches([batch], "text", limit=10))
     assert pa.concat_arrays([part.column("text") for part in parts]).equals(column)
+
+
+def test_a_long_word_changes_alone(whole):
+    """An edit inside a long word encodes its leaf again, whatever the document's size; a leaf that
+    grows is cut, and all sums stay right."""
+    count = edit_counts._counter(None)
+    text = "some words here " * 2000 + "x" * 2000 + " more words follow" * 2000
+    tree = edit_counts.Tree.of(text, count)
+    place = text.index("xxxx") + 1000
+    edited, encoded = tree.edit(text, place, place + 1, "y", count)
+    assert encoded < 3000 and tree.tokens == len(whole(edited))
+    grown, encoded = tree.edit(edited, 5, 5, "and many more words " * 300, count)
+    assert encoded < 7000 and tree.tokens == len(whole(grown))
+    assert tree.leaves()[0].max() < 3000 and tree.sums[0, 1] == len(grown)
+    rng = random.Random(6)
+    for _ in range(40):
+        begin = rng.randrange(len(grown))
+        new = rng.choice(["", " ", "z" * 1500, "word " * 400, "a b"])
+        grown, encoded = tree.edit(grown, begin, begin + rng.choice([0, 3, 900]), new, count)
+        assert encoded < len(grown) / 4 and tree.sums[0, 1] == len(grown)
+    assert tree.tokens == len(whole(grown))
