@@ -7,6 +7,7 @@ and the rest is encoded and written as bit-plane blocks of token ids.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from histload.llm.tables import byte_size, checkpointed, maybe_broadcast
 from histload.names import quoted
 from histload.session import scratch_path
 
-KEY_BYTES = 48  # of a document's id and the hash of its text, broadcast
+KEY_BYTES = 48  # of the hash of a document's text and what a broadcast row holds beside the id
 
 
 def _with_free_names(docs: DataFrame, step) -> DataFrame:
@@ -36,7 +37,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _of_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """``docs`` semi- or anti-joined with different (doc_id, text_hash); broadcast if few."""
     keys = keys.select(F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_hash"))
-    keys = maybe_broadcast(keys, byte_size(keys, F.lit(KEY_BYTES)))
+    width = F.lit(KEY_BYTES) + F.coalesce(F.octet_length(F.col("key_id").cast("string")), F.lit(0))
+    keys = maybe_broadcast(keys, byte_size(keys, width))
     same = docs["doc_id"].eqNullSafe(F.col("key_id")) & (F.xxhash64(docs["text"]) == F.col("key_hash"))
     return docs.join(keys, same, how)
 
@@ -45,30 +47,53 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each class of near-duplicates, that with the smallest id."""
     kept = ordered_minhash.near_duplicates(docs).where("kept")
     kept = checkpointed(kept.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")))
-    rows = _of_keys(docs, kept, "left_semi")
     repeated = kept.where(F.col("rows") > 1)
-    if repeated.isEmpty():
-        return rows
-    once = _of_keys(docs, kept.where(F.col("rows") == 1), "left_semi")
-    return once.unionByName(_of_keys(rows, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+    def of_kept(rows: DataFrame) -> DataFrame:
+        if repeated.isEmpty():
+            return _of_keys(rows, kept, "left_semi")
+        once = _of_keys(rows, kept.where(F.col("rows") == 1), "left_semi")
+        return once.unionByName(_of_keys(rows, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+    return _with_free_names(docs, of_kept)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hit = decontamination.contaminated(docs, benchmark).where(F.col("n_hit") > 0)
-    return _of_keys(docs, checkpointed(hit.select("doc_id", "text_hash").distinct()), "left_anti")
+    hit = checkpointed(hit.select("doc_id", "text_hash").distinct())
+    return _with_free_names(docs, lambda rows: _of_keys(rows, hit, "left_anti"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for every time the mix takes a document, in the order of the output shards."""
+    """A row for every time the mix takes a document, shard by shard, shuffled inside each."""
     return _with_free_names(docs, lambda rows: mixing.in_shards(mixing.mixed(rows)))
 
 
+def _in_file_order(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` (doc_id, text) with columns that give the order in which its files hold them: number of the
+    partition that wrote the file, name of the file, row. Rows that come from no files have no such order."""
+    try:
+        place = docs.metadataColumn("_metadata")
+        name = place["file_name"]
+        rows = docs.select(
+            "doc_id",
+            "text",
+            F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long").alias("part"),
+            name.alias("file"),
+            place["row_index"].alias("row"),
+        )
+        return rows, ["part", "file", "row"]
+    except AnalysisException:
+        return docs.select("doc_id", "text"), []
+
+
 def write_token_blocks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of all rows, written to files; the rows are what the files hold."""
+    """Token ids of all rows, written to files in the order of the mix; the rows are what the files hold."""
     path = scratch_path(spark, "pipeline_tokens")
-    token_files.write_tokens(docs, path)
+    rows, order = _in_file_order(docs)
+    token_files.write_tokens(rows, path, order=order)
     return token_files.read_documents(spark, path)
 
 
