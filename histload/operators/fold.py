@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from histload.names import DEFAULT_PARTITION, END, HASH_DATA, HASH_KEY, START, quoted
 from histload.operators.ordered import ordered_rows
-from histload.operators.scd2 import closed_rows, current_rows
+from histload.operators.scd2 import PRIOR_ROW, closed_rows, current_rows
 from histload.operators.skew import ROWS, ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 
 CHAIN = "__chain"
@@ -54,6 +54,16 @@ def fold_batches(
     return kept.with_next(END, START).result().drop(CHAIN, "__first", "__hash_before")
 
 
+def touched_rows(
+    open_rows: DataFrame, batch_keys: DataFrame, key: str, small: bool = False, how: str = "left_semi"
+) -> DataFrame:
+    """The open rows whose key is among ``batch_keys`` (one column, repeats allowed), or by ``left_anti``
+    the others. ``small``: the keys are broadcast, and the open rows not shuffled."""
+    keys = batch_keys.toDF("__key").where(F.col("__key").isNotNull()).distinct()
+    keys = F.broadcast(keys) if small else keys
+    return open_rows.join(keys, F.col(quoted(key)) == F.col("__key"), how)
+
+
 def fold_parts(
     open_rows: DataFrame,
     batches: DataFrame,
@@ -64,29 +74,48 @@ def fold_parts(
     hot: HotKeys | None = None,
     batch_keys: DataFrame | None = None,
     partition_col: str = DEFAULT_PARTITION,
+    touched: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """What folding the batches onto a table's open rows writes, as (open rows whose key is in no
     batch, all rows of the batches' keys).
 
     Only the second part enters the fold; for small batches the first is passed on without a
     shuffle. ``batch_keys`` (one column, the batches' keys, repeats allowed) spares a pass over
-    the batches to find them.
+    the batches to find them, ``touched`` (the open rows of these keys) one over the open rows.
     """
     if hot is None:
         sizes = group_sizes(with_chain(batches, seq, key), [key, CHAIN])
         hot = find_hot_keys(sizes, rows_per_slice)
     if batch_keys is None:
         batch_keys = batches.select(quoted(key))
-    keys = batch_keys.toDF("__key").where(F.col("__key").isNotNull()).distinct()
-    keys = F.broadcast(keys) if hot.small else keys
-    same_key = F.col(quoted(key)) == F.col("__key")
-    touched = open_rows.join(keys, same_key, "left_semi").drop(END)
-    untouched = open_rows.join(keys, same_key, "left_anti")
-    rows = touched.withColumn(seq, F.lit(PRIOR)).unionByName(batches, allowMissingColumns=True)
-    folded = fold_batches(rows, seq, key, tiebreak, rows_per_slice, hot, partition_col)
+    if touched is None:
+        touched = touched_rows(open_rows, batch_keys, key, hot.small)
+    untouched = touched_rows(open_rows, batch_keys, key, hot.small, "left_anti")
+    folded = _fold_onto(touched, batches, seq, key, tiebreak, rows_per_slice, hot, partition_col)
     return untouched, folded.drop(seq)
 
 
+def fold_changes(
+    touched: DataFrame,
+    batches: DataFrame,
+    seq: str,
+    key: str,
+    tiebreak: Sequence[str] = (),
+    rows_per_slice: int = ROWS_PER_SLICE,
+    hot: HotKeys | None = None,
+    partition_col: str = DEFAULT_PARTITION,
+) -> DataFrame:
+    """What folding the batches onto the open rows of their keys (``touched_rows``) changes: the rows they
+    bring, and the touched rows with PRIOR_ROW set and their end dates, if they have one now."""
+    folded = _fold_onto(touched, batches, seq, key, tiebreak, rows_per_slice, hot, partition_col)
+    return folded.withColumn(PRIOR_ROW, F.col(quoted(seq)) == PRIOR).drop(seq)
+
+
+def _fold_onto(touched, batches, seq, key, tiebreak, rows_per_slice, hot, partition_col) -> DataFrame:
+    rows = touched.drop(END).withColumn(seq, F.lit(PRIOR)).unionByName(batches, allowMissingColumns=True)
+    return fold_batches(rows, seq, key, tiebreak, rows_per_slice, hot, partition_col)
+
+
 def fold_next(
     history: DataFrame,
     batches: DataFrame,

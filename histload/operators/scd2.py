@@ -16,10 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from histload.names import END, HASH_DATA, MERGE_KEY, START, quoted
+from histload.operators.bitmap import MOST_BITS, bits_for, common_type, key_bits, with_may_match
 from histload.operators.skew import ROWS, HotKeys, find_hot_keys, group_sizes, join_on_key
+from histload.session import shared_folder
 
-
-IS_NEW = "__is_new"  # a name no data column has
+# Names no data column has.
+IS_NEW, MAY_MATCH, PRIOR_ROW = "__is_new", "__may_match", "__prior"
+# The bits of a batch's keys are worth a look at the open rows if these are so many times the batch's.
+MORE_OPEN_ROWS = 4
 
 
 def current_rows(history: DataFrame) -> DataFrame:
@@ -36,28 +40,41 @@ def is_small(batch: DataFrame, hot: HotKeys) -> bool:
     return hot.small and not isinstance(batch.schema[START].dataType, (BinaryType, StringType))
 
 
-def _open_hashes(
-    history: DataFrame, batch: DataFrame, key: str, small: bool = False
-) -> DataFrame:
+def _open_hashes(history: DataFrame, batch: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     """(``__key``, ``__hash``) of the open rows whose key occurs in the batch.
 
-    The semi join keeps this no larger than the batch needs: with a ``small`` batch, the open
-    rows are filtered where they are read and never shuffled.
+    The semi join keeps this no larger than the batch needs: with a small batch, the open
+    rows are filtered where they are read and never shuffled. Else those are left out first that the
+    bits of the batch's keys tell to have no partner.
     """
-    hashes = current_rows(history).select(
-        F.col(quoted(key)).alias("__key"), F.col(HASH_DATA).alias("__hash")
-    )
+    open_rows = current_rows(history).select(quoted(key), HASH_DATA)
+    if not hot.small:
+        marked = _with_may_match(open_rows, batch, key, hot.total)
+        open_rows = open_rows if marked is None else marked.where(MAY_MATCH)
+    hashes = open_rows.select(F.col(quoted(key)).alias("__key"), F.col(HASH_DATA).alias("__hash"))
     keys = batch.select(F.col(quoted(key)).alias("__batch_key")).distinct()
-    keys = F.broadcast(keys) if small else keys
+    keys = F.broadcast(keys) if hot.small else keys
     return hashes.join(keys, F.col("__key") == F.col("__batch_key"), "left_semi")
 
 
+def _with_may_match(
+    open_rows: DataFrame, batch: DataFrame, key: str, batch_rows: int | None = None
+) -> DataFrame | None:
+    """``open_rows`` with MAY_MATCH, by the bits of the batch's keys; None where these would tell little,
+    because the batch has nearly as many rows or more than the bits. Parquet tells its rows unread."""
+    batch_rows = batch.count() if batch_rows is None else batch_rows
+    if 4 * batch_rows > MOST_BITS or open_rows.count() < MORE_OPEN_ROWS * batch_rows:
+        return None
+    kind, size = common_type(open_rows, batch, key), bits_for(batch_rows)
+    return with_may_match(open_rows, key_bits(batch, key, kind, size), key, kind, size, MAY_MATCH)
+
+
 def _with_open_hash(
     batch: DataFrame, history: DataFrame, key: str, how: str, hot: HotKeys | None
 ) -> DataFrame:
     if hot is None:
         hot = find_hot_keys(group_sizes(batch, [key]))
-    hashes = _open_hashes(history, batch, key, hot.small)
+    hashes = _open_hashes(history, batch, key, hot)
     return join_on_key(batch, hashes, key, "__key", how, hot)
 
 
@@ -102,6 +119,20 @@ def ambiguous_keys(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
     return several.join(open_keys, F.col(quoted(key)) == F.col("__key"), "left_semi")
 
 
+def _per_key(batch: DataFrame, key: str) -> DataFrame:
+    """One narrow row per key of the batch."""
+    keyed = batch.where(F.col(quoted(key)).isNotNull()).groupBy(F.col(quoted(key)).alias("__key"))
+    return keyed.agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.max(HASH_DATA).alias("__hash"),
+        F.max(START).alias("__start"),
+    )
+
+
+def _several(key: str, value: Column) -> Column:
+    return F.concat(F.lit(f"several batch rows for one open key, {key} = "), value.cast("string"))
+
+
 def closed_by_batch(
     open_rows: DataFrame, batch: DataFrame, key: str, small: bool = False
 ) -> DataFrame:
@@ -110,22 +141,10 @@ def closed_by_batch(
     The batch is reduced to one narrow row per key before the join, and broadcast if it is
     ``small``. Several batch rows for an open key fail the job.
     """
-    per_key = (
-        batch.where(F.col(quoted(key)).isNotNull())
-        .groupBy(F.col(quoted(key)).alias("__key"))
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.max(HASH_DATA).alias("__hash"),
-            F.max(START).alias("__start"),
-        )
-    )
+    per_key = _per_key(batch, key)
     per_key = F.broadcast(per_key) if small else per_key
-    message = F.concat(
-        F.lit(f"several batch rows for one open key, {key} = "),
-        F.col(quoted(key)).cast("string"),
-    )
     end = (
-        F.when(F.col("__n") > 1, F.raise_error(message))
+        F.when(F.col("__n") > 1, F.raise_error(_several(key, F.col(quoted(key)))))
         .when(F.col("__hash") != F.col(HASH_DATA), F.col("__start"))
         .otherwise(F.col(END))
     )
@@ -143,33 +162,67 @@ def rows_to_insert(
     batch: DataFrame, history: DataFrame, key: str, hot: HotKeys | None = None
 ) -> DataFrame:
     """Batch rows that become history rows: new keys, NULL keys and changed data."""
+    if hot is None:
+        hot = find_hot_keys(group_sizes(batch, [key]))
+    return _new_rows(batch, _open_hashes(history, batch, key, hot), key, hot)
+
+
+def _new_rows(batch: DataFrame, hashes: DataFrame, key: str, hot: HotKeys) -> DataFrame:
+    """``rows_to_insert`` by the open rows' (``__key``, ``__hash``)."""
     has_key = F.col(quoted(key)).isNotNull()
     keyed = (
-        _with_open_hash(batch.where(has_key), history, key, "left", hot)
+        join_on_key(batch.where(has_key), hashes, key, "__key", "left", hot)
         .where(F.col("__key").isNull() | (F.col("__hash") != F.col(HASH_DATA)))
         .select(*map(quoted, batch.columns))
     )
     return keyed.unionByName(batch.where(~has_key))
 
 
-def _merge(open_rows, batch, key, hot) -> tuple[DataFrame, DataFrame]:
-    if hot is None:
-        hot = find_hot_keys(group_sizes(batch, [key]))
-    updated = closed_by_batch(open_rows, batch, key, is_small(batch, hot))
-    return updated, rows_to_insert(batch, open_rows, key, hot)
+def _touched_hashes(open_rows: DataFrame, batch: DataFrame, key: str, hot: HotKeys) -> DataFrame:
+    """``_open_hashes`` computed once: two narrow columns of the open rows are read, and no more is kept
+    than the batch needs."""
+    shared_folder(batch.sparkSession)
+    return _open_hashes(open_rows, batch, key, hot).checkpoint()
 
 
 def merge_parts(
     open_rows: DataFrame, batch: DataFrame, key: str, hot: HotKeys | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """What one load writes, as (rows that stay open, rows closed or brought by the batch).
+    """What one load writes, as (the former open rows, now open or closed; rows brought by the batch).
 
-    The second part is no larger than the batch needs. For a small batch the first part is read,
-    joined and passed on without a shuffle.
+    The open rows are read twice: key and hash, to tell what the batch brings, then whole, to pass them on. For
+    a small batch neither shuffles them.
     """
-    updated, inserted = _merge(open_rows, batch, key, hot)
-    moved = closed_rows(updated).unionByName(inserted, allowMissingColumns=True)
-    return current_rows(updated), moved
+    if hot is None:
+        hot = find_hot_keys(group_sizes(batch, [key]))
+    hashes = _touched_hashes(open_rows, batch, key, hot)
+    updated = closed_by_batch(open_rows, batch, key, is_small(batch, hot))
+    return updated, _new_rows(batch, hashes, key, hot)
+
+
+def merge_changes(
+    open_rows: DataFrame, batch: DataFrame, key: str, hot: HotKeys | None = None
+) -> DataFrame:
+    """What one merge changes: the batch's new rows, and key, data hash and end date of the open rows it
+    closes, with PRIOR_ROW set. Of the open rows only key and hash are read, once."""
+    if hot is None:
+        hot = find_hot_keys(group_sizes(batch, [key]))
+    hashes = _touched_hashes(open_rows, batch, key, hot)
+    per_key = _per_key(batch, key).withColumnsRenamed({"__key": "__batch_key", "__hash": "__batch_hash"})
+    per_key = F.broadcast(per_key) if is_small(batch, hot) else per_key
+    start = F.when(
+        F.col("__n") > 1, F.raise_error(_several(key, F.col("__key"))).cast(batch.schema[START].dataType)
+    ).otherwise(F.col("__start"))
+    met = hashes.distinct().join(per_key, F.col("__key") == F.col("__batch_key")).withColumn("__start", start)
+    closed = met.where((F.col("__batch_hash") != F.col("__hash")) & F.col("__start").isNotNull())
+    closed = closed.select(
+        F.col("__key").alias(key),
+        F.col("__hash").alias(HASH_DATA),
+        F.col("__start").alias(END),
+        F.lit(True).alias(PRIOR_ROW),
+    )
+    new = _new_rows(batch, hashes, key, hot).withColumn(PRIOR_ROW, F.lit(False))
+    return new.unionByName(closed, allowMissingColumns=True)
 
 
 def merge_open(
@@ -178,13 +231,19 @@ def merge_open(
     """Both parts in one: the former open rows (now open or closed) and the new rows.
 
     Columns only one side has are NULL on the other. A batch that is not broadcast and has no hot
-    keys meets the open rows in one shuffle by key; hot keys are joined apart.
+    keys meets the open rows in one shuffle by key, which those that the bits of its keys tell to have no
+    partner do not enter; hot keys are joined apart.
     """
     if hot is None:
         hot = find_hot_keys(group_sizes(batch, [key]))
     if not hot.rows and not is_small(batch, hot):
-        return _merge_in_one_shuffle(open_rows, batch, key)
-    updated, inserted = _merge(open_rows, batch, key, hot)
+        marked = _with_may_match(open_rows, batch, key, hot.total)
+        if marked is None:
+            return _merge_in_one_shuffle(open_rows, batch, key)
+        rest = marked.where(~F.col(MAY_MATCH)).drop(MAY_MATCH)
+        merged = _merge_in_one_shuffle(marked.where(MAY_MATCH).drop(MAY_MATCH), batch, key)
+        return merged.unionByName(rest, allowMissingColumns=True)
+    updated, inserted = merge_parts(open_rows, batch, key, hot)
     return updated.unionByName(inserted, allowMissingColumns=True)
 
 
@@ -212,13 +271,9 @@ def _merge_in_one_shuffle(open_rows: DataFrame, batch: DataFrame, key: str) -> D
             "__start": over(F.max, F.col(START), new),
         }
     )
-    message = F.concat(
-        F.lit(f"several batch rows for one open key, {key} = "),
-        F.col(quoted(key)).cast("string"),
-    )
     end = (
         F.when(new, F.col(END))
-        .when(F.col("__n") > 1, F.raise_error(message))
+        .when(F.col("__n") > 1, F.raise_error(_several(key, F.col(quoted(key)))))
         .when(F.col("__hash") != own, F.col("__start"))
         .otherwise(F.col(END))
     )

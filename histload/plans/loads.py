@@ -22,10 +22,12 @@ from histload.operators.fold import (
     ambiguous_batches,
     batch_census,
     fold_batches,
+    fold_changes,
     fold_parts,
+    touched_rows,
     with_chain,
 )
-from histload.operators.scd2 import ambiguous_keys, is_small, merge_open, merge_parts
+from histload.operators.scd2 import ambiguous_keys, is_small, merge_changes, merge_open, merge_parts
 from histload.operators.skew import (
     MAX_SLICES,
     ROWS,
@@ -50,10 +52,17 @@ from histload.sources.control import (
     registered_at,
 )
 from histload.sources.delimited import read_delimited, read_numbered
+from histload.sources.differences import (
+    read_open_rows,
+    read_table,
+    rebase_rows,
+    since_base,
+    write_difference,
+)
 from histload.sources.history import (
+    DIFFERENCE,
     TableShape,
-    read_history,
-    read_open,
+    is_difference,
     table_shape,
     write_load,
     write_parts,
@@ -97,7 +106,8 @@ class LoadOptions:
     ``rows_per_slice`` and ``max_slices``: how keys with very many rows are cut. A batch of up to
     ``broadcast_rows`` rows whose narrow rows, one a key, are within ``broadcast_bytes`` is broadcast to
     the open rows; a larger one is joined by shuffle. ``load_step`` is the name of the load's steps
-    in the step log.
+    in the step log. ``differences``: so many loads in a row write new rows and closings only
+    (``sources.differences``); the next one writes the whole open part again. 0: every load does.
     """
 
     load_date: str | dt.date | None = None
@@ -109,6 +119,10 @@ class LoadOptions:
     broadcast_rows: int | None = None  # None: the defaults of ``operators.skew``
     broadcast_bytes: int | None = None
     load_step: str = STEP_LOAD
+    differences: int = 0
+
+    def writes_difference(self, prior_loads: Sequence[str]) -> bool:
+        return bool(prior_loads) and len(since_base(prior_loads)) <= self.differences
 
     def hot_keys(self, sizes: DataFrame) -> HotKeys:
         return find_hot_keys(
@@ -144,8 +158,12 @@ def merge_load(
     hot: HotKeys | None = None,
     checked: bool = False,
 ) -> None:
-    """Merge an audited batch into a history table. ``checked``: it is known not to be ambiguous."""
-    open_rows = read_open(df.sparkSession, path, prior_loads[-1], partition_col)
+    """Merge an audited batch into a history table. ``checked``: it is known not to be ambiguous.
+
+    A ``load_id`` that ends in ``-difference`` writes what changes, any other one the whole open part.
+    """
+    spark = df.sparkSession
+    open_rows = read_open_rows(spark, path, prior_loads, key, partition_col)
     batch = df.persist()  # read by each side of the merge
     try:
         clash = None if checked else ambiguous_keys(batch, open_rows, key).first()
@@ -153,16 +171,25 @@ def merge_load(
             raise AmbiguousBatch(_ambiguous(key, clash[key], clash[ROWS]))
         if hot is None:
             hot = find_hot_keys(group_sizes(batch, [key]))
+        if is_difference(load_id):
+            changes = merge_changes(open_rows, batch, key, hot)
+            write_difference(changes, path, load_id, key, open_rows.schema, partition_col)
+            return
+        ended = rebase_rows(spark, path, prior_loads, key, partition_col)
         if is_small(batch, hot):
             kept, moved = merge_parts(open_rows, batch, key, hot)
-            write_parts(kept, moved, path, load_id, partition_col)
+            write_parts(kept, _with_rows(moved, ended), path, load_id, partition_col)
         else:
             rows = merge_open(open_rows, batch, key, hot)
-            write_load(rows, path, load_id, partition_col, many_dates=True)
+            write_load(_with_rows(rows, ended), path, load_id, partition_col, many_dates=True)
     finally:
         batch.unpersist()
 
 
+def _with_rows(rows: DataFrame, more: DataFrame | None) -> DataFrame:
+    return rows if more is None else rows.unionByName(more, allowMissingColumns=True)
+
+
 def _ambiguous(key: str, value, rows: int) -> str:
     return f"{rows} rows for the open key {key} = {value}"
 
@@ -179,7 +206,8 @@ def load_batch(
     """Read delimited files as one batch and load it; returns the number of rows read.
 
     ``prior_loads`` are the table's loads so far, oldest first; none means a first load. A batch
-    that does not fit the table is refused before anything is read.
+    that does not fit the table is refused before anything is read. A ``load_id`` that ends in
+    ``-difference`` writes what changes.
     """
     if prior_loads:
         misfit = table_shape(spark, target, prior_loads[-1]).misfit(feed)
@@ -239,23 +267,40 @@ def load_files(
     the order of single merges matter.
     """
     outcomes = {file["file_process_id"]: Outcome(message=file["problem"] or "") for file in files}
-    files = [file for file in files if file["problem"] is None]
-    files = _readable(spark, files, outcomes)
-    shape = table_shape(spark, target, prior_loads[-1]) if prior_loads else TableShape()
-    for file in files:
-        outcomes[file["file_process_id"]].message = shape.misfit(Feed.of(file)) or ""
-    files = [file for file in files if not outcomes[file["file_process_id"]].message]
-    if not files:
-        return outcomes
-    try:
-        _load_group(spark, files, target, load_id, prior_loads, options, outcomes)
-    except Exception:
-        sound = [file for file in files if _reads(spark, file, options, outcomes)]
-        if len(sound) == len(files):
-            _load_apart(spark, files, target, load_id, prior_loads, options, outcomes)
-        elif sound:
-            retry = f"{load_id}-retry"
-            _load_group(spark, sound, target, retry, prior_loads, options, outcomes)
+    waiting = _readable(spark, [file for file in files if file["problem"] is None], outcomes)
+    loads = list(prior_loads)
+    shape = table_shape(spark, target, loads[-1]) if loads else TableShape()
+    for attempt in range(2 * len(files)):
+        # Files of the first types met; which ones count is known once they are loaded.
+        trial, group, misfits = shape.copy(), [], []
+        for file in waiting:
+            outcome = outcomes[file["file_process_id"]]
+            outcome.message = trial.misfit(Feed.of(file)) or ""
+            (misfits if outcome.message else group).append(file)
+        if not group:
+            break
+        # Names sort in the order of the loads: those of later attempts after all of earlier ones.
+        this_load = load_id if attempt == 0 else f"{load_id}-z{attempt:03d}"
+        args = (spark, group, target, this_load, loads, options, outcomes)
+        try:
+            rejected = _load_group(*args, bool(misfits))
+        except Exception:
+            unsound = [file for file in group if not _reads(spark, file, options, outcomes)]
+            if unsound:
+                waiting = [file for file in waiting if file not in unsound]
+                continue
+            _load_apart(*args)
+            rejected = []
+        if rejected:
+            waiting = [file for file in waiting if file not in rejected]
+            continue
+        for file in group:
+            outcome = outcomes[file["file_process_id"]]
+            if outcome.status == SUCCESS:
+                shape.misfit(Feed.of(file))
+                if outcome.load_id and outcome.load_id not in loads:
+                    loads.append(outcome.load_id)
+        waiting = misfits
     return outcomes
 
 
@@ -285,17 +330,23 @@ def _reads(spark, file, options, outcomes) -> bool:
         return False
 
 
-def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -> None:
-    """Load files known to exist, with one key and one partition column."""
+def _load_group(
+    spark, files, target, load_id, prior_loads, options, outcomes, only_if_whole=False
+) -> list[Row]:
+    """Load files known to exist, with one key and one partition column. Ambiguous files are left out; with
+    ``only_if_whole`` nothing is loaded if there are any, and they are returned."""
     key = files[0]["key_col"]
     partition_col = files[0]["partition_col"]
     numbered = list(enumerate(files))
     rows = _numbered_rows(spark, numbered, options)
     census = batch_census(rows, SEQ, key).persist()
-    open_rows = read_open(spark, target, prior_loads[-1], partition_col) if prior_loads else None
-    open_census = None
-    if open_rows is not None:
-        open_census = group_sizes(_touched(open_rows, census, key), [key]).persist()
+    open_rows = touched = open_census = None
+    if prior_loads:
+        open_rows = read_open_rows(spark, target, prior_loads, key, partition_col)
+        small = options.hot_keys(census.groupBy(quoted(key)).agg(F.sum(ROWS).alias(ROWS))).small
+        touched = touched_rows(open_rows, census.select(quoted(key)), key, small).persist()
+        open_census = group_sizes(touched, [key]).persist()
+    difference = options.writes_difference(prior_loads)
     try:
         repeated = F.max(F.when(F.col(quoted(key)).isNotNull(), F.col(ROWS))) > 1
         totals = (
@@ -317,13 +368,15 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
         for seq, message in rejected.items():
             outcome = outcomes[files[seq]["file_process_id"]]
             outcome.message, outcome.count = message, 0
+        if rejected and only_if_whole:
+            return [files[seq] for seq in rejected]
         with_rows = {row[SEQ] for row in totals}
         for seq, file in numbered:
             if seq not in with_rows:  # nothing to load, and so no load folder
                 outcomes[file["file_process_id"]].status = SUCCESS
         kept = [(s, file) for s, file in numbered if s in with_rows and s not in rejected]
         if not kept:
-            return
+            return []
 
         one_by_one = len(kept) == 1 or any(
             row[UNDATED] for row in totals if row[SEQ] not in rejected
@@ -332,7 +385,7 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
             one_by_one = open_census.where(F.col(ROWS) > 1).first() is not None
         if one_by_one:
             _load_singly(spark, kept, census, target, load_id, prior_loads, options, outcomes)
-            return
+            return []
 
         rows = _numbered_rows(spark, kept, options)
         sizes = with_chain(census, SEQ, key).groupBy(quoted(key), CHAIN).agg(F.sum(ROWS).alias(ROWS))
@@ -343,7 +396,12 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
                 rows, SEQ, key, tiebreak, hot=hot, partition_col=partition_col
             )
             write_load(folded.drop(SEQ), target, load_id, partition_col)
+        elif difference:
+            load_id += DIFFERENCE
+            changes = fold_changes(touched, rows, SEQ, key, tiebreak, hot=hot, partition_col=partition_col)
+            write_difference(changes, target, load_id, key, open_rows.schema, partition_col)
         else:
+            ended = rebase_rows(spark, target, prior_loads, key, partition_col)
             untouched, folded = fold_parts(
                 open_rows,
                 rows,
@@ -353,7 +411,9 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
                 hot=hot,
                 batch_keys=census.select(quoted(key)),
                 partition_col=partition_col,
+                touched=touched,
             )
+            folded = _with_rows(folded, ended)
             if hot.small:
                 write_parts(untouched, folded, target, load_id, partition_col)
             else:
@@ -362,10 +422,11 @@ def _load_group(spark, files, target, load_id, prior_loads, options, outcomes) -
         for _, file in kept:
             outcome = outcomes[file["file_process_id"]]
             outcome.status, outcome.load_id = SUCCESS, load_id
+        return []
     finally:
-        census.unpersist()
-        if open_census is not None:
-            open_census.unpersist()
+        for held in (census, touched, open_census):
+            if held is not None:
+                held.unpersist()
 
 
 def _readable(spark, files, outcomes) -> list[Row]:
@@ -411,13 +472,6 @@ def _numbered_rows(spark, numbered, options) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _touched(open_rows: DataFrame, census: DataFrame, key: str) -> DataFrame:
-    keys = census.select(F.col(quoted(key)).alias("__key")).distinct()
-    return open_rows.select(quoted(key)).join(
-        keys, F.col(quoted(key)) == F.col("__key"), "left_semi"
-    )
-
-
 def _ambiguous_files(census, key, open_census) -> dict[int, str]:
     """Files that cannot be merged, by number.
 
@@ -454,6 +508,8 @@ def _load_singly(spark, kept, census, target, load_id, prior_loads, options, out
     for seq, file in kept:
         outcome = outcomes[file["file_process_id"]]
         this_load = f"{load_id}-{seq:06d}"
+        if options.writes_difference(loads):
+            this_load += DIFFERENCE
         feed = Feed.of(file)
         try:
             rows = read_delimited(
@@ -498,8 +554,7 @@ def run_pending(
         return spark.createDataFrame([], REPORT_SCHEMA)
     targets = with_paths(pending, scheme).select("target_path")
     prior = done_loads(steps, options.load_step).join(targets, "target_path", "left_semi")
-    newest = prior.groupBy("target_path").agg(F.max("load_id").alias("load_id")).collect()
-    loads = defaultdict(list, {row["target_path"]: [row["load_id"]] for row in newest})
+    loads = defaultdict(list, {row["target_path"]: row["loads"] for row in _chains(prior).collect()})
     run_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
     by_target = defaultdict(list)
@@ -544,16 +599,29 @@ def run_pending(
     return report.drop("step_id", "target_path", "load_id")
 
 
+def _chains(done: DataFrame) -> DataFrame:
+    """(target_path, loads): each table's last full load and the difference loads since."""
+    full = ~F.col("load_id").endswith(DIFFERENCE)
+    bases = done.where(full).groupBy("target_path").agg(F.max("load_id").alias("base"))
+    chain = done.join(bases, "target_path").where(F.col("load_id") >= F.col("base"))
+    return chain.groupBy("target_path").agg(F.array_sort(F.collect_set("load_id")).alias("loads"))
+
+
 def table_history(
     spark: SparkSession,
     store: ControlStore,
     target: str,
     partition_col: str = DEFAULT_PARTITION,
     load_step: str = STEP_LOAD,
+    key: str | None = None,
 ) -> DataFrame:
-    """A history table as the step log's successful loads left it."""
+    """A history table as the step log's successful loads left it. ``key``: the merge key, needed where the
+    last loads are differences."""
     steps = current_steps(store.table(STEP_LOG))
     rows = done_loads(steps, load_step).where(F.col("target_path") == target).orderBy("load_id").collect()
     if not rows:
         raise ValueError(f"no successful load of {target}")
-    return read_history(spark, target, [row["load_id"] for row in rows], partition_col)
+    loads = [row["load_id"] for row in rows]
+    if len(since_base(loads)) > 1 and key is None:
+        raise ValueError("the last loads are differences; name the table's key")
+    return read_table(spark, target, loads, key, partition_col)

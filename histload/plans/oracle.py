@@ -145,6 +145,41 @@ RUN_EVENTS = _merged(
     EVENT_COLUMNS,
 )
 
+ORDERS_BY_PRIORITY = ("o_orderpriority", "o_orderdate", "o_orderstatus", ", o_orderkey", LOAD_DATE)
+URGENT_BATCH = """
+    select * from orders where o_orderpriority = '1-URGENT'
+    union all
+    select * replace ('X' as o_orderstatus, timestamp '1999-01-01' as o_orderdate) from (
+        select * from orders where o_orderpriority <> '1-URGENT'
+        qualify row_number() over (
+            partition by o_orderpriority order by o_orderdate desc, o_orderkey desc) = 1)"""
+
+# The loads of six days each, merged one after another: a chain of each user's rows, as in a fold.
+DIFFERENCES = f"""
+    with target as ({EVENTS_BEFORE}),
+    loads as (
+        select *, date_diff('day', date '2024-01-16', cast(ts as date)) // 6 as load_no
+        from events where ts >= {CUT_OVER}),
+    batches as (
+        select *, sha256(cast(user_id as varchar)) as "hashKey", sha256(event_type) as "hashData",
+               ts as "startDate", '{LOAD_DATE}' as date_loaded
+        from loads where load_no < 3
+        qualify row_number() over (
+            partition by user_id, load_no order by ts desc, event_id desc) = 1),
+    chain as (
+        select -1 as load_no, * exclude ("endDate") from target where "endDate" is null
+        union all by name select * from batches),
+    kept as (
+        select * from chain
+        qualify "hashData" is distinct from
+                lag("hashData") over (partition by user_id order by load_no)),
+    history as (
+        select * from target where "endDate" is not null
+        union all by name
+        select * exclude (load_no),
+               lead("startDate") over (partition by user_id order by load_no) as "endDate"
+        from kept)"""
+
 ORACLE_SQL = {
     "hash_columns": """
         select o_orderkey, sha256(cast(o_custkey as varchar)) as "hashKey",
@@ -191,6 +226,48 @@ ORACLE_SQL = {
         EVENT_COLUMNS,
         ", value_band",
     ),
+    "scd2_merge_key_bits": _merged(
+        _audited_customers(CUSTOMERS),
+        _audited_customers("""
+            select * replace (c_acctbal + 100.5 as c_acctbal), timestamp '2024-02-01' as "asOf"
+            from customer where c_nationkey < 3"""),
+        "c_custkey",
+        f'c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, "asOf", {AUDIT}',
+    ),
+    "scd2_merge_hot_key": _merged(
+        _audited("select * from orders where o_orderpriority <> '1-URGENT'", *ORDERS_BY_PRIORITY),
+        _audited(URGENT_BATCH, *ORDERS_BY_PRIORITY),
+        "o_orderpriority",
+        f"o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, {AUDIT}",
+    ),
+    "scd2_fold_hot_keys": f"""
+        with rows_in as (
+            select *, cast(0 as integer) as day_no from events where ts < {CUT_OVER}
+            union all
+            select * from (
+                select *, cast(date_diff('day', date '2024-01-01', cast(ts as date)) as integer)
+                              as day_no
+                from events where ts >= {CUT_OVER})
+            qualify row_number() over (
+                partition by event_type, day_no order by ts desc, event_id desc) = 1),
+        hashed as (
+            select *, sha256(event_type) as "hashKey", sha256(cast(user_id as varchar)) as "hashData",
+                   ts as "startDate", '{LOAD_DATE}' as date_loaded
+            from rows_in),
+        compared as (
+            select *, min(day_no) over (partition by event_type) as first_day,
+                   lag("hashData") over (
+                       partition by event_type order by day_no, ts, event_id) as before
+            from hashed),
+        kept as (
+            select * exclude (first_day, before) from compared
+            where day_no = first_day or "hashData" <> before)
+        select *, lead("startDate") over (
+                      partition by event_type order by day_no, ts, event_id) as "endDate"
+        from kept""",
+    "difference_loads": f"{DIFFERENCES} select * from history",
+    "difference_loads_open": f'{DIFFERENCES} select * from history where "endDate" is null',
+    "difference_loads_rebased": f"{DIFFERENCES} select * from history",
     "ambiguous_keys": f"""
         select user_id, count(*) as n from events
         where ts >= {CUT_OVER} and user_id in (select user_id from events where ts < {CUT_OVER})

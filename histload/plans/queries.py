@@ -27,6 +27,7 @@ from histload.session import scratch_path
 from histload.sources import control
 from histload.sources.contracts import build_contracts, with_contract
 from histload.sources.delimited import read_delimited
+from histload.sources.differences import read_open_rows, read_table, rebase
 from histload.sources.history import append_evolving, read_evolving, read_history, read_open
 
 # Fixed values, the same in the SQL: load date and cut-over day of the test loads.
@@ -238,6 +239,47 @@ def scd2_merge_evolving(spark, sf_dir):
     return scd2.merge_next(history_before(spark, sf_dir), batch, "user_id", UNIQUE_KEYS)
 
 
+def scd2_merge_key_bits(spark, sf_dir):
+    """A batch of some nations' customers that is not broadcast: the bits of its keys tell which of the
+    open rows have to meet it in the shuffle."""
+    customers = table(spark, sf_dir, "customer").withColumn("asOf", ntz("2024-01-01"))
+    some = customers.where(F.col("c_nationkey") < 3)
+    later = some.withColumns({"c_acctbal": F.col("c_acctbal") + 100.5, "asOf": ntz("2024-02-01")})
+    known, batch = (
+        stored(
+            with_audit_columns(
+                df, "c_custkey", ["c_acctbal", "c_mktsegment"], "asOf", load_date=LOAD_DATE, hot=UNIQUE_KEYS
+            )
+        )
+        for df in (customers, later)
+    )
+    sizes = group_sizes(batch, ["c_custkey"])
+    return scd2.merge_next(known, batch, "c_custkey", find_hot_keys(sizes, broadcast_rows=0))
+
+
+def _urgent_orders(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(history of the orders by priority without the urgent ones, batch with all urgent ones and another last
+    order of each other priority). One key of the batch has nearly all its rows."""
+    orders = table(spark, sf_dir, "orders")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    latest = Window.partitionBy("o_orderpriority").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey"))
+    last = orders.where(~urgent).withColumn("rank", F.row_number().over(latest)).where("rank = 1").drop("rank")
+    last = last.withColumns({"o_orderstatus": F.lit("X"), "o_orderdate": ntz("1999-01-01")})
+
+    def audited(df):
+        return with_audit_columns(
+            df, "o_orderpriority", ["o_orderstatus"], "o_orderdate", load_date=LOAD_DATE, tiebreak=["o_orderkey"]
+        )
+
+    return stored(audited(orders.where(~urgent))), stored(audited(orders.where(urgent).unionByName(last)))
+
+
+def scd2_merge_hot_key(spark, sf_dir):
+    history, batch = _urgent_orders(spark, sf_dir)
+    hot = find_hot_keys(group_sizes(batch, ["o_orderpriority"]), rows_per_slice=400)
+    return scd2.merge_next(history, batch, "o_orderpriority", hot)
+
+
 def ambiguous_keys(spark, sf_dir):
     events = table(spark, sf_dir, "events").where(F.col("ts") >= ntz(CUT_OVER))
     batch = with_hashes(events, "user_id", ["event_type"], "ts", load_date=LOAD_DATE)
@@ -268,6 +310,18 @@ def scd2_fold_onto_history(spark, sf_dir):
     return fold_next(history_before(spark, sf_dir), daily, "day_no", "user_id").drop("day_no")
 
 
+def scd2_fold_hot_keys(spark, sf_dir):
+    """Kinds of events as keys: all events before the cut-over are the first batch, then each day's last
+    event of a kind is one. Five keys hold all rows and are cut into slices."""
+    events = table(spark, sf_dir, "events")
+    before = events.where(F.col("ts") < ntz(CUT_OVER)).withColumn("day_no", F.lit(0))
+    after = events.where(F.col("ts") >= ntz(CUT_OVER))
+    day = F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    after = _last_per(after.withColumn("day_no", day), "event_type", "day_no")
+    rows = with_hashes(before.unionByName(after), "event_type", ["user_id"], "ts", load_date=LOAD_DATE)
+    return fold_batches(rows, "day_no", "event_type", ["event_id"], rows_per_slice=400)
+
+
 # --- sources and tables ----------------------------------------------------------------------
 
 
@@ -315,6 +369,38 @@ def open_rows_after_merge(spark, sf_dir):
     return read_open(spark, path, "load-2")
 
 
+def _difference_loads(spark, sf_dir) -> tuple[str, list[str]]:
+    """Events before the cut-over, then three loads of six days each that write what they change."""
+    path, loads = scratch_path(spark, "events_differences"), ["load-0"]
+    first_load(events_before(spark, sf_dir), path, "load-0")
+    events = table(spark, sf_dir, "events").where(F.col("ts") >= ntz(CUT_OVER))
+    day = F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-16").cast("date"))
+    for n in range(3):
+        days = events.where((day >= 6 * n) & (day < 6 * n + 6))
+        batch = _audited_events(_last_per(days, "user_id"), hot=UNIQUE_KEYS)
+        load_id = f"load-{n + 1}-difference"
+        merge_load(batch, path, "user_id", load_id, loads)
+        loads.append(load_id)
+    return path, loads
+
+
+def difference_loads(spark, sf_dir):
+    path, loads = _difference_loads(spark, sf_dir)
+    return read_table(spark, path, loads, "user_id")
+
+
+def difference_loads_open(spark, sf_dir):
+    path, loads = _difference_loads(spark, sf_dir)
+    return read_open_rows(spark, path, loads, "user_id")
+
+
+def difference_loads_rebased(spark, sf_dir):
+    """The same table after a full load without new rows."""
+    path, loads = _difference_loads(spark, sf_dir)
+    rebase(spark, path, loads, "load-4", "user_id")
+    return read_history(spark, path, [*loads, "load-4"])
+
+
 def csv_load_batch(spark, sf_dir):
     """Events from delimited files: a first load and a merge."""
     events = table(spark, sf_dir, "events")
@@ -641,16 +727,22 @@ QUERIES = {
     "scd2_merge_broadcast": scd2_merge_broadcast,
     "scd2_merge_new_keys": scd2_merge_new_keys,
     "scd2_merge_evolving": scd2_merge_evolving,
+    "scd2_merge_key_bits": scd2_merge_key_bits,
+    "scd2_merge_hot_key": scd2_merge_hot_key,
     "ambiguous_keys": ambiguous_keys,
     "ambiguous_batches_daily": ambiguous_batches_daily,
     "scd2_fold_daily": scd2_fold_daily,
     "scd2_fold_onto_history": scd2_fold_onto_history,
+    "scd2_fold_hot_keys": scd2_fold_hot_keys,
     "csv_scan": csv_scan,
     "batch_count": batch_count,
     "append_evolving": append_evolved,
     "first_load_roundtrip": first_load_roundtrip,
     "merge_load_roundtrip": merge_load_roundtrip,
     "open_rows_after_merge": open_rows_after_merge,
+    "difference_loads": difference_loads,
+    "difference_loads_open": difference_loads_open,
+    "difference_loads_rebased": difference_loads_rebased,
     "csv_load_batch": csv_load_batch,
     "contracts": contracts,
     "files_with_contract": files_with_contract,

@@ -28,6 +28,8 @@ from histload.names import (
 )
 
 LOAD, STATE, OPEN, CLOSED = LOAD_FOLDER, STATE_FOLDER, "open", "closed"
+# Loads of this ending hold differences; their columns are told by the state CONTRACT (``differences``).
+DIFFERENCE, CONTRACT = "-difference", "contract"
 
 
 # What a column may change to: older files are then read as the new type.
@@ -49,6 +51,9 @@ class TableShape:
     partition_col: str | None = None
     key_col: str | None = None
 
+    def copy(self) -> TableShape:
+        return TableShape(dict(self.types), self.partition_col, self.key_col)
+
     def misfit(self, feed) -> str | None:
         """Why a batch with this feed's columns cannot be merged; None if it can. A column may be
         new, of the same type, or of one that WIDENINGS allows, in either direction."""
@@ -75,7 +80,8 @@ class TableShape:
 
 def table_shape(spark: SparkSession, path: str, load_id: str) -> TableShape:
     """The shape of a table after a load, from its files' schema; its key is not recorded there."""
-    folder = f"{_load_path(path, load_id)}/{STATE}={OPEN}"
+    state = CONTRACT if is_difference(load_id) else OPEN
+    folder = f"{load_path(path, load_id)}/{STATE}={state}"
     stored = spark.read.parquet(folder)
     partitions = [name for name in stored.columns if name not in _file_columns(spark, folder)]
     types = {f.name: f.dataType.simpleString() for f in stored.schema if f.name not in partitions}
@@ -97,10 +103,10 @@ def read_evolving(
 ) -> DataFrame:
     """A table of ``append_evolving``: all columns ever written, NULL where a row had none."""
     merged = spark.read.option("mergeSchema", True).parquet(path).schema
-    return spark.read.schema(_as_text(merged, partition_col)).parquet(path)
+    return spark.read.schema(as_text(merged, partition_col)).parquet(path)
 
 
-def _as_text(schema: StructType, *names: str) -> StructType:
+def as_text(schema: StructType, *names: str) -> StructType:
     """Partition values stay text; Spark would read them back as dates or numbers."""
     return StructType(
         [
@@ -126,7 +132,7 @@ def write_load(
     rows = _with_state(rows)
     if many_dates:
         rows = _gathered(rows, partition_col)
-    rows.write.partitionBy(STATE, partition_col).parquet(_load_path(path, load_id))
+    rows.write.partitionBy(STATE, partition_col).parquet(load_path(path, load_id))
 
 
 def write_parts(
@@ -138,12 +144,12 @@ def write_parts(
 ) -> None:
     """Write the parts of ``merge_parts`` or ``fold_parts`` of a small batch.
 
-    The kept rows come straight from the files of the last load, where they lie together by date,
-    and are written as they come; only the moved rows are gathered.
+    The first part, of the former open rows, comes straight from the files of the last load, where they lie together by date,
+    and is written as it comes; only the rows of the second are gathered.
     """
     moved = _gathered(_with_state(moved), partition_col)
     rows = _with_state(kept).unionByName(moved, allowMissingColumns=True)
-    rows.write.partitionBy(STATE, partition_col).parquet(_load_path(path, load_id))
+    rows.write.partitionBy(STATE, partition_col).parquet(load_path(path, load_id))
 
 
 def _gathered(rows: DataFrame, partition_col: str) -> DataFrame:
@@ -155,7 +161,11 @@ def _with_state(rows: DataFrame) -> DataFrame:
     return rows.withColumn(STATE, state)
 
 
-def _load_path(path: str, load_id: str) -> str:
+def is_difference(load_id: str) -> bool:
+    return load_id.endswith(DIFFERENCE)
+
+
+def load_path(path: str, load_id: str) -> str:
     return f"{path.rstrip('/')}/{LOAD}={load_id}"
 
 
@@ -163,9 +173,9 @@ def read_open(
     spark: SparkSession, path: str, load_id: str, partition_col: str = DEFAULT_PARTITION
 ) -> DataFrame:
     """The open rows after one load."""
-    folder = f"{_load_path(path, load_id)}/{STATE}={OPEN}"
+    folder = f"{load_path(path, load_id)}/{STATE}={OPEN}"
     # Each load carries the former open rows along, so its files have every column so far.
-    schema = _as_text(spark.read.parquet(folder).schema, partition_col)
+    schema = as_text(spark.read.parquet(folder).schema, partition_col)
     return spark.read.schema(schema).parquet(folder)
 
 
@@ -182,7 +192,7 @@ def read_history(
     rows = (
         spark.read.schema(schema)
         .option("basePath", path)
-        .parquet(*[_load_path(path, load_id) for load_id in loads])
+        .parquet(*[load_path(path, load_id) for load_id in loads])
     )
     wanted = (F.col(STATE) == CLOSED) | (F.col(LOAD) == loads[-1])
     return rows.where(wanted).select(*map(quoted, current.columns))
