@@ -14,8 +14,9 @@ linked texts share THRESHOLD of the shingles of either, so also one of the first
 any order common to all. Rare shingles come first in it, so a passage brings few texts together. Shingles of one text
 alone cannot be shared: the number of the others from the place on bounds the size of a text that may be linked, so
 that texts with too many edits of their own, or at a late place, leave their buckets before any pair is made. What
-is left is mostly linked. Rounds of leaders, one a bucket at first and then twice as many, compare them until every
-pair of a bucket is in one class, compared or beyond the bound; none is left out otherwise.
+is left is mostly linked. Rounds of leaders, one a bucket at first and then more and more, compare them, and the rest
+at once when that is no more than PAIRS pairs for each member. So in the end every pair of a bucket is in one class,
+compared or beyond the bound; none is left out otherwise, and no round grows with the square of a bucket.
 
 Defined results: words as in ``words``. Texts with equal words are one text in all that follows, and
 texts without words (NULL, empty) are all equal. Texts of one to four words are one shingle.
@@ -40,8 +41,9 @@ from histload.llm.words import find_words, mixed, small_batches, text_bytes
 
 SHINGLE, THRESHOLD = 5, 0.8
 SKETCHES, LENGTH = 14, 3
-# Leaders of a bucket in each round, the first one being of sketches; later ones have twice as many.
-LEADERS = (1, 1, 2)
+# Leaders of a bucket in each round, the first one being of sketches; later ones have MORE times as many.
+LEADERS, MORE = (1, 1, 8), 8
+PAIRS = 16  # for each member of a bucket, at which all that is left is compared
 SPLIT_OVER = 1  # texts of a divided bucket of one sketch that is split
 # Ids of texts to verify are broadcast to the scan up to this size, else joined by shuffle.
 ID_BYTES, BROADCAST_BYTES = 64, 64 << 20
@@ -276,13 +278,17 @@ def _labels(spark, buckets, shingles) -> DataFrame:
             break
         if len(parts) == 1:
             members = _divided(_split(members, shingles, SPLIT_OVER), labels)
-        count = schedule.pop(0) if schedule else 2 * count
-        leaders = _leaders(members, count, labels is None)
+        count = schedule.pop(0) if schedule else MORE * count
+        # What is left is compared at once if that is so many pairs a member at most.
+        last = bool(parts) and _few_pairs(members)
+        leaders = _all_members(members) if last else _leaders(members, count, labels is None)
         pairs = members.join(leaders, "bucket").where(
             (F.col("label") != F.col("own"))
             & (F.col("size") <= F.col("leader_reach"))
             & (F.col("leader_size") <= F.col("reach"))
         )
+        if last:
+            pairs = pairs.where(F.col("leader") < F.col("node"))
         pairs = pairs.select(
             F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
         ).distinct()
@@ -291,12 +297,23 @@ def _labels(spark, buckets, shingles) -> DataFrame:
         if labels is None or not links.isEmpty():
             labels = components(reduce(DataFrame.union, [*parts, links]))
         parts.append(links)
+        if last:
+            break
         # A leader has met its whole bucket.
         met = leaders.select("bucket", F.col("leader").alias("node"))
         members = members.join(met, ["bucket", "node"], "left_anti")
     return labels if labels is not None else spark.createDataFrame([], "node bigint, label bigint")
 
 
+def _few_pairs(members: DataFrame) -> bool:
+    """Whether the pairs of different classes in all buckets are PAIRS a member at most."""
+    classes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("texts"))
+    texts = F.col("texts").cast("double")
+    buckets = classes.groupBy("bucket").agg(F.sum(texts).alias("texts"), F.sum(texts * texts).alias("same"))
+    row = buckets.agg(F.sum("texts").alias("members"), F.sum((texts * texts - F.col("same")) / 2).alias("pairs")).first()
+    return (row["pairs"] or 0) <= PAIRS * (row["members"] or 0)
+
+
 def _bounded(members: DataFrame) -> DataFrame:
     """Members (bucket, node) with a ``size`` and a ``reach`` that bound nothing."""
     return members.select("bucket", "node", F.lit(0).alias("size"), F.lit(2**31 - 1).alias("reach"))
@@ -331,7 +348,11 @@ def _leaders(members: DataFrame, count: int, first: bool) -> DataFrame:
         order = Window.partitionBy("bucket").orderBy("texts", "node")
         ranked = members.join(sizes, ["bucket", "label"]).withColumn("place", F.row_number().over(order))
         ranked = ranked.where(F.col("place") <= count)
-    return ranked.select(
+    return _all_members(ranked)
+
+
+def _all_members(members: DataFrame) -> DataFrame:
+    return members.select(
         "bucket", F.col("node").alias("leader"), F.col("label").alias("own"),
         F.col("size").alias("leader_size"), F.col("reach").alias("leader_reach"),
     )
