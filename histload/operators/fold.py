@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histload.names import DEFAULT_PARTITION, END, HASH_DATA, HASH_KEY, START, quoted
+from histload.operators.chains import fold_chains, opening_rows
 from histload.operators.ordered import ordered_rows
 from histload.operators.scd2 import PRIOR_ROW, closed_rows, current_rows
 from histload.operators.skew import ROWS, ROWS_PER_SLICE, HotKeys, find_hot_keys, group_sizes
 
 CHAIN = "__chain"
 UNDATED = "__undated"
+EARLIER = "__earlier"
 PRIOR = -1  # the place of a table's open rows, before every batch
 
 
@@ -75,6 +77,7 @@ def fold_parts(
     batch_keys: DataFrame | None = None,
     partition_col: str = DEFAULT_PARTITION,
     touched: DataFrame | None = None,
+    odd_keys: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """What folding the batches onto a table's open rows writes, as (open rows whose key is in no
     batch, all rows of the batches' keys).
@@ -82,6 +85,7 @@ def fold_parts(
     Only the second part enters the fold; for small batches the first is passed on without a
     shuffle. ``batch_keys`` (one column, the batches' keys, repeats allowed) spares a pass over
     the batches to find them, ``touched`` (the open rows of these keys) one over the open rows.
+    ``odd_keys``: see ``fold_odd_batches``.
     """
     if hot is None:
         sizes = group_sizes(with_chain(batches, seq, key), [key, CHAIN])
@@ -91,7 +95,7 @@ def fold_parts(
     if touched is None:
         touched = touched_rows(open_rows, batch_keys, key, hot.small)
     untouched = touched_rows(open_rows, batch_keys, key, hot.small, "left_anti")
-    folded = _fold_onto(touched, batches, seq, key, tiebreak, rows_per_slice, hot, partition_col)
+    folded = fold_odd_batches(touched, batches, seq, key, tiebreak, rows_per_slice, hot, partition_col, odd_keys)
     return untouched, folded.drop(seq)
 
 
@@ -104,16 +108,56 @@ def fold_changes(
     rows_per_slice: int = ROWS_PER_SLICE,
     hot: HotKeys | None = None,
     partition_col: str = DEFAULT_PARTITION,
+    odd_keys: DataFrame | None = None,
 ) -> DataFrame:
     """What folding the batches onto the open rows of their keys (``touched_rows``) changes: the rows they
     bring, and the touched rows with PRIOR_ROW set and their end dates, if they have one now."""
-    folded = _fold_onto(touched, batches, seq, key, tiebreak, rows_per_slice, hot, partition_col)
+    folded = fold_odd_batches(touched, batches, seq, key, tiebreak, rows_per_slice, hot, partition_col, odd_keys)
     return folded.withColumn(PRIOR_ROW, F.col(quoted(seq)) == PRIOR).drop(seq)
 
 
-def _fold_onto(touched, batches, seq, key, tiebreak, rows_per_slice, hot, partition_col) -> DataFrame:
-    rows = touched.drop(END).withColumn(seq, F.lit(PRIOR)).unionByName(batches, allowMissingColumns=True)
-    return fold_batches(rows, seq, key, tiebreak, rows_per_slice, hot, partition_col)
+def fold_odd_batches(
+    touched: DataFrame | None,
+    batches: DataFrame,
+    seq: str,
+    key: str,
+    tiebreak: Sequence[str] = (),
+    rows_per_slice: int = ROWS_PER_SLICE,
+    hot: HotKeys | None = None,
+    partition_col: str = DEFAULT_PARTITION,
+    odd_keys: DataFrame | None = None,
+) -> DataFrame:
+    """``fold_batches`` onto open rows, whose ``seq`` is PRIOR in the result.
+
+    ``odd_keys`` (one column, repeats allowed): keys with several open rows, or with a row without a date
+    in the batches. They are folded as chains, apart from all others; without them there must be none.
+    """
+    if touched is not None:
+        touched = touched.drop(END).withColumn(seq, F.lit(PRIOR))
+
+    def folded(prior, rows):
+        rows = rows if prior is None else prior.unionByName(rows, allowMissingColumns=True)
+        return fold_batches(rows, seq, key, tiebreak, rows_per_slice, hot, partition_col)
+
+    if odd_keys is None:
+        return folded(touched, batches)
+    odd = odd_keys.toDF("__odd").where(F.col("__odd").isNotNull()).distinct()
+    odd = F.broadcast(odd) if hot is not None and hot.small else odd
+
+    def of(rows, how):
+        return None if rows is None else rows.join(odd, F.col(quoted(key)) == F.col("__odd"), how)
+
+    rest = folded(of(touched, "left_anti"), of(batches, "left_anti"))
+    prior, rows = of(touched, "left_semi"), of(batches, "left_semi")
+    open_keys = rows.where(F.lit(False)) if prior is None else prior
+    opening, later = opening_rows(rows, open_keys.select(quoted(key)), seq, key)
+    opened = fold_batches(opening, seq, key, tiebreak, rows_per_slice, hot, partition_col)
+    heads = opened.where(F.col(END).isNull()).drop(END)
+    heads = heads if prior is None else heads.unionByName(prior, allowMissingColumns=True)
+    chains = fold_chains(heads, later, seq, key).unionByName(
+        opened.where(F.col(END).isNotNull()), allowMissingColumns=True
+    )
+    return rest.unionByName(chains, allowMissingColumns=True)
 
 
 def fold_next(
@@ -167,3 +211,13 @@ def ambiguous_batches(
     )
     earlier = F.col("__first") < F.col(quoted(seq))
     return several.join(first, same_key & earlier, "left_semi")
+
+
+def clashing_batches(census: DataFrame, seq: str, key: str) -> DataFrame:
+    """(``seq``, ``key``, ``__rows``, ``__earlier``): each batch with several rows of a key, with every earlier
+    batch that brings this key."""
+    census = census.where(F.col(quoted(key)).isNotNull())
+    several = census.where(F.col(ROWS) > 1).select(quoted(seq), quoted(key), ROWS)
+    brought = census.select(F.col(quoted(key)).alias("__key"), F.col(quoted(seq)).alias(EARLIER))
+    earlier = (F.col(quoted(key)) == F.col("__key")) & (F.col(EARLIER) < F.col(quoted(seq)))
+    return several.join(brought, earlier).drop("__key")

@@ -14,15 +14,17 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from histload.functions.paths import SCHEME, with_paths
-from histload.names import DEFAULT_PARTITION, FAILED, STEP_LOAD, SUCCESS, quoted
+from histload.names import DEFAULT_PARTITION, FAILED, LOAD_FOLDER, STEP_LOAD, SUCCESS, quoted
 from histload.operators.audit import with_audit_columns, with_hashes
 from histload.operators.fold import (
     CHAIN,
+    EARLIER,
     UNDATED,
     ambiguous_batches,
     batch_census,
-    fold_batches,
+    clashing_batches,
     fold_changes,
+    fold_odd_batches,
     fold_parts,
     touched_rows,
     with_chain,
@@ -70,9 +72,11 @@ from histload.sources.history import (
 
 SEQ = "__seq"
 
+UNPARSABLE = "__unparsable"  # the line of a row with text that fits no type
+
 REPORT_SCHEMA = (
     "file_process_id bigint, status string, message string, count bigint, undated bigint, "
-    "start timestamp, end timestamp"
+    "unparsable bigint, start timestamp, end timestamp"
 )
 RESULT_SCHEMA = REPORT_SCHEMA + ", step_id string, target_path string, load_id string"
 
@@ -108,6 +112,8 @@ class LoadOptions:
     the open rows; a larger one is joined by shuffle. ``load_step`` is the name of the load's steps
     in the step log. ``differences``: so many loads in a row write new rows and closings only
     (``sources.differences``); the next one writes the whole open part again. 0: every load does.
+    ``quarantine``: a folder for lines with text that fits no type, or with too few or too many fields. They
+    are left out of the load and counted in the report (``quarantined_lines`` reads them). Without it such text is NULL.
     """
 
     load_date: str | dt.date | None = None
@@ -120,6 +126,7 @@ class LoadOptions:
     broadcast_bytes: int | None = None
     load_step: str = STEP_LOAD
     differences: int = 0
+    quarantine: str | None = None
 
     def writes_difference(self, prior_loads: Sequence[str]) -> bool:
         return bool(prior_loads) and len(since_base(prior_loads)) <= self.differences
@@ -248,6 +255,7 @@ class Outcome:
     message: str = ""
     count: int = 0
     undated: int = 0  # rows whose defining value is NULL
+    unparsable: int = 0  # lines put into quarantine
     load_id: str | None = None
 
 
@@ -338,6 +346,8 @@ def _load_group(
     key = files[0]["key_col"]
     partition_col = files[0]["partition_col"]
     numbered = list(enumerate(files))
+    if options.quarantine:
+        _put_aside(spark, numbered, options, load_id, outcomes)
     rows = _numbered_rows(spark, numbered, options)
     census = batch_census(rows, SEQ, key).persist()
     open_rows = touched = open_census = None
@@ -378,27 +388,26 @@ def _load_group(
         if not kept:
             return []
 
-        one_by_one = len(kept) == 1 or any(
-            row[UNDATED] for row in totals if row[SEQ] not in rejected
-        )
-        if not one_by_one and open_census is not None:
-            one_by_one = open_census.where(F.col(ROWS) > 1).first() is not None
-        if one_by_one:
+        if len(kept) == 1:
             _load_singly(spark, kept, census, target, load_id, prior_loads, options, outcomes)
             return []
 
+        undated = any(row[UNDATED] for row in totals if row[SEQ] not in rejected)
+        odd_keys = _odd_keys(census, open_census, key, undated)
         rows = _numbered_rows(spark, kept, options)
         sizes = with_chain(census, SEQ, key).groupBy(quoted(key), CHAIN).agg(F.sum(ROWS).alias(ROWS))
         hot = options.hot_keys(sizes)
         tiebreak = options.tiebreak_of(rows)
         if open_rows is None:
-            folded = fold_batches(
-                rows, SEQ, key, tiebreak, hot=hot, partition_col=partition_col
+            folded = fold_odd_batches(
+                None, rows, SEQ, key, tiebreak, hot=hot, partition_col=partition_col, odd_keys=odd_keys
             )
             write_load(folded.drop(SEQ), target, load_id, partition_col)
         elif difference:
             load_id += DIFFERENCE
-            changes = fold_changes(touched, rows, SEQ, key, tiebreak, hot=hot, partition_col=partition_col)
+            changes = fold_changes(
+                touched, rows, SEQ, key, tiebreak, hot=hot, partition_col=partition_col, odd_keys=odd_keys
+            )
             write_difference(changes, target, load_id, key, open_rows.schema, partition_col)
         else:
             ended = rebase_rows(spark, target, prior_loads, key, partition_col)
@@ -412,6 +421,7 @@ def _load_group(
                 batch_keys=census.select(quoted(key)),
                 partition_col=partition_col,
                 touched=touched,
+                odd_keys=odd_keys,
             )
             folded = _with_rows(folded, ended)
             if hot.small:
@@ -429,6 +439,19 @@ def _load_group(
                 held.unpersist()
 
 
+def _odd_keys(census, open_census, key: str, undated: bool) -> DataFrame | None:
+    """Keys that are folded as chains (``operators.chains``); None if there are none."""
+    parts = []
+    if undated:
+        parts.append(census.where(F.col(UNDATED) > 0))
+    if open_census is not None:
+        several = open_census.where(F.col(ROWS) > 1)
+        if not several.isEmpty():
+            parts.append(several)
+    keys = [part.select(quoted(key)).where(F.col(quoted(key)).isNotNull()) for part in parts]
+    return reduce(DataFrame.union, keys) if keys else None
+
+
 def _readable(spark, files, outcomes) -> list[Row]:
     """Drop the files whose path does not exist. All are tried at once; one by one on failure."""
     by_schema = defaultdict(list)
@@ -449,14 +472,56 @@ def _readable(spark, files, outcomes) -> list[Row]:
     return [file for file in files if file["file_process_id"] in good]
 
 
-def _numbered_rows(spark, numbered, options) -> DataFrame:
-    """Hashed rows of all files, one scan per contract, each row with its file's number."""
+def _sound(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col(UNPARSABLE).isNull()).drop(UNPARSABLE) if UNPARSABLE in rows.columns else rows
+
+
+def _by_feed(spark, numbered, options) -> list[tuple[Feed, DataFrame]]:
+    """The rows of all files, one scan per contract, with the file's number and, if there is a quarantine,
+    the lines that belong there."""
     by_feed = defaultdict(list)
     for seq, file in numbered:
         by_feed[Feed.of(file)].append((file["source_path"], seq))
+    name = UNPARSABLE if options.quarantine else None
+    return [
+        (feed, read_numbered(spark, paths, feed.schema_ddl, SEQ, options.check_header, name))
+        for feed, paths in by_feed.items()
+    ]
+
+
+def _put_aside(spark, numbered, options, load_id, outcomes) -> None:
+    """Write the lines that fit no type, with their file's id, to a folder of the load; count them."""
+    ids = spark.createDataFrame(
+        [(seq, file["file_process_id"]) for seq, file in numbered], f"{SEQ} int, file_process_id bigint"
+    )
+    lines = reduce(
+        DataFrame.union,
+        (
+            rows.where(F.col(UNPARSABLE).isNotNull()).select(
+                SEQ, F.col(quoted(feed.key_col)).cast("string").alias("key"), F.col(UNPARSABLE).alias("line")
+            )
+            for feed, rows in _by_feed(spark, numbered, options)
+        ),
+    )
+    folder = f"{options.quarantine.rstrip('/')}/{LOAD_FOLDER}={load_id}"
+    lines = lines.join(F.broadcast(ids), SEQ).select("file_process_id", "key", "line")
+    lines.write.mode("overwrite").parquet(folder)
+    for row in spark.read.schema(lines.schema).parquet(folder).groupBy("file_process_id").count().collect():
+        outcomes[row["file_process_id"]].unparsable = row["count"]
+
+
+def quarantined_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(file_process_id, key, line, history_load): what loads have put aside, each with the load's name; the
+    key is NULL where it fits no type itself."""
+    ddl = f"file_process_id bigint, key string, line string, {LOAD_FOLDER} string"
+    return spark.read.schema(ddl).parquet(folder)
+
+
+def _numbered_rows(spark, numbered, options) -> DataFrame:
+    """Hashed rows of all files, one scan per contract, each row with its file's number."""
     parts = []
-    for feed, paths in by_feed.items():
-        rows = read_numbered(spark, paths, feed.schema_ddl, SEQ, options.check_header)
+    for feed, rows in _by_feed(spark, numbered, options):
+        rows = _sound(rows)
         parts.append(
             with_hashes(
                 rows,
@@ -473,33 +538,30 @@ def _numbered_rows(spark, numbered, options) -> DataFrame:
 
 
 def _ambiguous_files(census, key, open_census) -> dict[int, str]:
-    """Files that cannot be merged, by number.
+    """Files that cannot be merged, by number: those with several rows of a key that is open by then, in the
+    table or by an earlier file that is not rejected itself.
 
-    Those that clash with the table itself are found in one step. Of those that clash with an
-    earlier file, the first is certain, and so are all files before it, which stay; without it,
-    later ones may have nothing to clash with. So each round takes out every file that clashes with
-    one that stays, and judges the others again.
+    Who clashes with whom is asked once, as pairs of files with an example; which of them stay is then told
+    in the order of the files.
     """
+    example = F.min_by(F.struct(F.col(quoted(key)).alias("key"), ROWS), quoted(key))
     rejected: dict[int, str] = {}
 
-    def clashing(open_keys: DataFrame | None) -> list[Row]:
-        left = census.where(~F.col(SEQ).isin(list(rejected))) if rejected else census
-        example = F.min_by(F.struct(F.col(quoted(key)).alias("key"), ROWS), quoted(key))
-        clashes = ambiguous_batches(left, SEQ, key, open_keys)
-        return clashes.groupBy(SEQ).agg(example.alias("example")).orderBy(SEQ).collect()
-
-    def reject(row: Row) -> None:
-        rejected[row[SEQ]] = _ambiguous(key, row["example"]["key"], row["example"][ROWS])
+    def reject(seq: int, clash: Row) -> None:
+        rejected[seq] = _ambiguous(key, clash["key"], clash[ROWS])
 
     if open_census is not None:
-        for row in clashing(open_census.select(quoted(key))):
-            reject(row)
-    while found := clashing(None):
-        first = found[0][SEQ]
-        staying = census.where((F.col(SEQ) < first) & ~F.col(SEQ).isin(list(rejected)))
-        for row in clashing(staying.select(quoted(key)).distinct()):
-            if row[SEQ] >= first:
-                reject(row)
+        clashes = ambiguous_batches(census, SEQ, key, open_census.select(quoted(key)))
+        for row in clashes.groupBy(SEQ).agg(example.alias("example")).collect():
+            reject(row[SEQ], row["example"])
+    edges = clashing_batches(census, SEQ, key).groupBy(SEQ, EARLIER).agg(example.alias("example"))
+    by_file = defaultdict(list)
+    for row in edges.collect():  # at most one for two files
+        by_file[row[SEQ]].append(row)
+    for seq in sorted(by_file):
+        staying = [row["example"] for row in by_file[seq] if row[EARLIER] not in rejected]
+        if staying and seq not in rejected:
+            reject(seq, min(staying, key=lambda clash: clash["key"]))
     return rejected
 
 
@@ -512,8 +574,9 @@ def _load_singly(spark, kept, census, target, load_id, prior_loads, options, out
             this_load += DIFFERENCE
         feed = Feed.of(file)
         try:
-            rows = read_delimited(
-                spark, file["source_path"], feed.schema_ddl, options.check_header
+            name = UNPARSABLE if options.quarantine else None
+            rows = _sound(
+                read_delimited(spark, file["source_path"], feed.schema_ddl, options.check_header, name)
             )
             sizes = census.where(F.col(SEQ) == seq).select(quoted(feed.key_col), ROWS)
             hot = options.hot_keys(sizes)
@@ -577,6 +640,7 @@ def run_pending(
                 outcome.message,
                 outcome.count,
                 outcome.undated,
+                outcome.unparsable,
                 start,
                 end,
                 f"{run_id}-{file_id}",

@@ -265,6 +265,36 @@ ORACLE_SQL = {
         select *, lead("startDate") over (
                       partition by event_type order by day_no, ts, event_id) as "endDate"
         from kept""",
+    "fold_undated_rows": f"""
+        with recursive daily as (
+            select * replace (case when event_id % 11 <> 0 then "startDate" end as "startDate"),
+                   case when event_id % 11 <> 0 then ts end as seen_at,
+                   lag(day_no) over (partition by user_id order by day_no) as day_before,
+                   max(day_no) over (partition by user_id) as last_day
+            from ({DAILY})),
+        -- Each open row from day to day of its user: it is closed, stays, and meets the day's row.
+        chains as (
+            select user_id, event_id, "hashData", day_no, true as is_open,
+                   cast(null as timestamp) as ended
+            from daily where day_before is null
+            union all
+            select user_id,
+                   case when nth = 1 then old_id else new_id end,
+                   case when nth = 1 then old_hash else new_hash end,
+                   day_no,
+                   not (nth = 1 and differs and since is not null),
+                   case when nth = 1 and differs then since end
+            from (
+                select c.user_id, c.event_id as old_id, c."hashData" as old_hash,
+                       d.event_id as new_id, d."hashData" as new_hash, d.day_no,
+                       d."startDate" as since, c."hashData" <> d."hashData" as differs
+                from chains c join daily d on d.user_id = c.user_id and d.day_before = c.day_no
+                where c.is_open) as met
+            cross join (values (1), (2)) as nths(nth)
+            where nth = 1 or differs)
+        select d.* exclude (day_before, last_day), c.ended as "endDate"
+        from chains c join daily d on d.event_id = c.event_id and d.user_id = c.user_id
+        where not c.is_open or c.day_no = d.last_day""",
     "difference_loads": f"{DIFFERENCES} select * from history",
     "difference_loads_open": f'{DIFFERENCES} select * from history where "endDate" is null',
     "difference_loads_rebased": f"{DIFFERENCES} select * from history",
@@ -322,6 +352,12 @@ ORACLE_SQL = {
     "merge_load_roundtrip": MERGED_EVENTS,
     "open_rows_after_merge": f'select * from ({MERGED_EVENTS}) where "endDate" is null',
     "csv_load_batch": MERGED_EVENTS,
+    "quarantine_lines": """
+        select case when o_orderkey % 50 = 0 then 'aside' else 'loaded' end as state, o_orderkey,
+               o_orderkey % 50 = 0 as no_price,
+               (select count(*) from orders where o_orderkey % 50 <> 0) as n_loaded,
+               (select count(*) from orders where o_orderkey % 50 = 0) as n_aside
+        from orders""",
     "contracts": f"{CONTRACTS} select * from contracts",
     "files_with_contract": f"""{CONTRACTS}
         select event_id as file_process_id, user_id * 100 as fp_id, key_col, defining_col,

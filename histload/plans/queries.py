@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histload.functions.hashing import row_hash
@@ -12,14 +12,22 @@ from histload.functions.paths import with_paths
 from histload.names import DONE, ERROR, FAILED, STEP_LOAD, STEP_REGISTRATION, SUCCESS
 from histload.operators import scd2
 from histload.operators.audit import with_audit_columns, with_hashes
-from histload.operators.fold import ambiguous_batches, batch_census, fold_batches, fold_next
+from histload.operators.fold import (
+    ambiguous_batches,
+    batch_census,
+    fold_batches,
+    fold_next,
+    fold_odd_batches,
+)
 from histload.operators.skew import ROWS, UNIQUE_KEYS, HotKeys, find_hot_keys, group_sizes
 from histload.plans.loads import (
     Feed,
     LoadOptions,
     first_load,
     load_batch,
+    load_files,
     merge_load,
+    quarantined_lines,
     run_pending,
     table_history,
 )
@@ -322,6 +330,17 @@ def scd2_fold_hot_keys(spark, sf_dir):
     return fold_batches(rows, "day_no", "event_type", ["event_id"], rows_per_slice=400)
 
 
+def fold_undated_rows(spark, sf_dir):
+    """Each day's last event of a user as a batch; some have no date, and stay open beside what they met."""
+    events = table(spark, sf_dir, "events")
+    day = F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    last = _last_per(events.withColumn("day_no", day), "user_id", "day_no")
+    last = last.withColumn("seen_at", F.when(F.col("event_id") % 11 != 0, F.col("ts")))
+    rows = stored(with_hashes(last, "user_id", ["event_type"], "seen_at", load_date=LOAD_DATE))
+    odd = rows.where(F.col("seen_at").isNull()).select("user_id")
+    return fold_odd_batches(None, rows, "day_no", "user_id", odd_keys=odd)
+
+
 # --- sources and tables ----------------------------------------------------------------------
 
 
@@ -418,6 +437,32 @@ def csv_load_batch(spark, sf_dir):
     return read_history(spark, target, ["load-1", "load-2"])
 
 
+def quarantine_lines(spark, sf_dir):
+    """Orders from a file in which some prices are no numbers: the rows loaded, and the lines put aside."""
+    orders, root = table(spark, sf_dir, "orders"), scratch_path(spark, "quarantine")
+    text = F.when(F.col("o_orderkey") % 50 != 0, F.col("o_totalprice").cast("string")).otherwise("n/a")
+    path = write_csv(orders.withColumn("o_totalprice", text), f"{root}/in")
+    feed = dict(
+        schema_ddl=ORDERS_DDL, key_col="o_custkey", defining_col="o_orderdate", partition_col="date_loaded",
+        data_cols=["o_orderstatus", "o_orderpriority"],
+    )
+    file = Row(file_process_id=7, source_path=path, problem=None, **feed)
+    options = LoadOptions(LOAD_DATE, tiebreak=("o_orderkey",), quarantine=f"{root}/aside")
+    outcome = load_files(spark, [file], f"{root}/table", "load-1", (), options)[7]
+    rows = read_history(spark, f"{root}/table", [outcome.load_id]).select(
+        F.lit("loaded").alias("state"), "o_orderkey", F.col("o_totalprice").isNull().alias("no_price")
+    )
+    line = F.split("line", ",")
+    aside = quarantined_lines(spark, options.quarantine).select(
+        F.lit("aside").alias("state"), line[0].cast("long").alias("o_orderkey"), (line[3] == "n/a").alias("no_price")
+    )
+    both = rows.union(aside)
+    return both.withColumns({"n_loaded": F.lit(outcome.count), "n_aside": F.lit(outcome.unparsable)}).select(
+        "state", "o_orderkey", "no_price",
+        F.col("n_loaded").cast("long").alias("n_loaded"), F.col("n_aside").cast("long").alias("n_aside"),
+    )
+
+
 # --- contracts -------------------------------------------------------------------------------
 
 
@@ -734,6 +779,7 @@ QUERIES = {
     "scd2_fold_daily": scd2_fold_daily,
     "scd2_fold_onto_history": scd2_fold_onto_history,
     "scd2_fold_hot_keys": scd2_fold_hot_keys,
+    "fold_undated_rows": fold_undated_rows,
     "csv_scan": csv_scan,
     "batch_count": batch_count,
     "append_evolving": append_evolved,
@@ -744,6 +790,7 @@ QUERIES = {
     "difference_loads_open": difference_loads_open,
     "difference_loads_rebased": difference_loads_rebased,
     "csv_load_batch": csv_load_batch,
+    "quarantine_lines": quarantine_lines,
     "contracts": contracts,
     "files_with_contract": files_with_contract,
     "pending_files": pending_files,

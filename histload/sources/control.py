@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histload.names import (
@@ -22,6 +22,7 @@ from histload.names import (
     STEP_LOAD,
     STEP_REGISTRATION,
     SUCCESS,
+    quoted,
 )
 
 FILE_LOG = "file_process_log"
@@ -87,12 +88,14 @@ def column_contracts(store: ControlStore) -> DataFrame:
 
 
 def current_steps(step_log: DataFrame) -> DataFrame:
-    """The newest row of every step; of two rows written at once, the one that ends it."""
-    newest = Window.partitionBy("step_id").orderBy(
-        F.desc("upsert_ts"), F.col("step_status") == IN_PROGRESS
-    )
-    ranked = step_log.withColumn("__rank", F.row_number().over(newest))
-    return ranked.where(F.col("__rank") == 1).drop("__rank")
+    """The newest row of every step; of two rows written at once, the one that ends it.
+
+    An aggregate, so each task hands on one row of a step at most, however long the log is.
+    """
+    names = [quoted(name) for name in step_log.columns]
+    newest = F.struct(F.col("upsert_ts"), F.coalesce(F.col("step_status") != IN_PROGRESS, F.lit(True)))
+    rows = step_log.groupBy("step_id").agg(F.max_by(F.struct(*names), newest).alias("__row"))
+    return rows.select(*(F.col(f"__row.{name}") for name in names))
 
 
 def _ended(step_name: str) -> Column:

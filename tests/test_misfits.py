@@ -127,6 +127,33 @@ def test_clashing_files_are_rejected_in_few_rounds(spark, monkeypatch):
     assert len(calls) <= 5
 
 
+def rejected_by_rounds(rows, open_keys):
+    """Files one after another: rejected if a key they have several rows of is open by then."""
+    is_open, out = set(open_keys), {}
+    for seq in sorted({row[0] for row in rows}):
+        own = {k: n for s, k, n, _ in rows if s == seq}
+        table = sorted(k for k, n in own.items() if n > 1 and k in open_keys)
+        clash = sorted(k for k, n in own.items() if n > 1 and k in is_open)
+        if clash:
+            k = (table or clash)[0]
+            out[seq] = f"{own[k]} rows for the open key k = {k}"
+        else:
+            is_open |= set(own)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_clashes_told_at_once_are_those_of_single_loads(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    rows = [(s, k, rng.choice([1, 1, 2, 3]), 0) for s in range(12) for k in rng.sample(range(15), rng.randint(1, 4))]
+    open_keys = rng.sample(range(15), 2) if seed > 2 else []
+    census = spark.createDataFrame(rows, f"{SEQ} int, k int, {ROWS} bigint, {UNDATED} bigint")
+    table = spark.createDataFrame([(k, 1) for k in open_keys], f"k int, {ROWS} bigint") if open_keys else None
+    assert loads._ambiguous_files(census, "k", table) == rejected_by_rounds(rows, open_keys)
+
+
 def test_slices_above_the_bound_are_told(spark):
     sizes = spark.createDataFrame([(1, 90), (2, 10)], f"k int, {ROWS} bigint")
     assert len(find_hot_keys(sizes, rows_per_slice=5).rows) == 2
@@ -142,3 +169,26 @@ def test_key_hash_of_several_columns(spark):
     one = with_hashes(df, "a", ["c"], "c", load_date="2024-01-01", hash_key_cols=["a", "b"])
     wanted = df.select(F.sha2(F.lit("1|2"), 256)).first()[0]
     assert one.first()["hashKey"] == wanted
+
+
+def test_lines_that_do_not_fit_are_put_aside(spark, tmp_path, files):
+    types, options = "k int, v date, at timestamp", loads.LoadOptions("2024-01-01", quarantine=str(tmp_path / "aside"))
+    group = [
+        contract(1, files("a.csv", "1,2024-01-01,2024-01-01 00:00:00", "2,no date,2024-01-01 00:00:00"), types),
+        contract(2, files("b.csv", "3,2024-01-01,2024-01-02 00:00:00", "4,2024-01-01", "x,2024-01-01,2024-01-02 00:00:00"), types),
+        contract(3, files("c.csv", "5,2024-01-01,2024-01-03 00:00:00"), types),
+    ]
+    target = str(tmp_path / "table")
+    outcomes = load_files(spark, group, target, "load-1", (), options)
+    assert [(n, o.status, o.count, o.unparsable) for n, o in outcomes.items()] == [
+        (1, "Success", 1, 1), (2, "Success", 1, 2), (3, "Success", 1, 0),
+    ]
+    assert sorted(row["k"] for row in read_history(spark, target, [outcomes[1].load_id]).collect()) == [1, 3, 5]
+    lines = loads.quarantined_lines(spark, options.quarantine).orderBy("line").collect()
+    assert [(row["file_process_id"], row["line"]) for row in lines] == [
+        (1, "2,no date,2024-01-01 00:00:00"), (2, "4,2024-01-01"), (2, "x,2024-01-01,2024-01-02 00:00:00"),
+    ]
+    alone = load_files(spark, group[1:2], str(tmp_path / "other"), "load-2", (), options)
+    assert (alone[2].count, alone[2].unparsable) == (1, 2)
+    plain = load_files(spark, group[:1], str(tmp_path / "third"), "load-1")
+    assert (plain[1].count, plain[1].unparsable) == (2, 0)
