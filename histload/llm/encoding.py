@@ -16,7 +16,7 @@ from struct import pack
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_PIECES, CACHE_WORDS = 250_000, 150_000  # of the younger generation of a cache
+CACHE_PIECES, CACHE_WORDS = 400_000, 250_000  # of the younger generation of a cache
 CACHE_BYTES = 64  # longer pieces are not kept
 
 # Characters whose normal form and lower case need no context, and the words made of them.
@@ -92,16 +92,19 @@ class Encoder:
     def _known(self, wanted: set[bytes]) -> dict[bytes, bytes]:
         """The younger generation, in which all ``wanted`` pieces are now."""
         young, old = self.pieces
+        words, word_ids = self.words[0].get, self._word
         new, others = wanted.difference(young), []
         for piece in new:
             ids = old.get(piece)
             if ids is None:
                 if piece.isalpha():  # of ASCII letters alone
-                    ids = self._word(piece.lower().decode())
+                    word = piece.lower().decode()
+                    ids = words(word) or word_ids(word)
                 else:
                     text = piece.decode("utf-8", "replace")
-                    if _PLAIN.fullmatch(text) and "<|" not in text:
-                        ids = b"".join([self._word(w) for w in _WORDS.findall(text.lower())])
+                    if "<|" not in text and _PLAIN.fullmatch(text):
+                        found = _WORDS.findall(text.lower())
+                        ids = b"".join([words(word) or word_ids(word) for word in found])
                     else:
                         others.append((piece, text))
                         continue
@@ -112,8 +115,9 @@ class Encoder:
         return young
 
     def _word(self, word: str) -> bytes:
+        """The ids of a word that the younger generation does not have."""
         young, old = self.words
-        ids = young.get(word) or old.get(word)
+        ids = old.get(word)
         if ids is None:
             letters = word if word.isascii() else "".join(_LETTERS[b] for b in word.encode())
             found = self.tokenizer.model.tokenize(letters)
