@@ -185,6 +185,12 @@ def _touched_hashes(open_rows: DataFrame, batch: DataFrame, key: str, hot: HotKe
     return _open_hashes(open_rows, batch, key, hot).checkpoint()
 
 
+def _merge(open_rows, batch, key, hot) -> tuple[DataFrame, DataFrame]:
+    hashes = _touched_hashes(open_rows, batch, key, hot)
+    updated = closed_by_batch(open_rows, batch, key, is_small(batch, hot))
+    return updated, _new_rows(batch, hashes, key, hot)
+
+
 def merge_parts(
     open_rows: DataFrame, batch: DataFrame, key: str, hot: HotKeys | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -195,9 +201,7 @@ def merge_parts(
     """
     if hot is None:
         hot = find_hot_keys(group_sizes(batch, [key]))
-    hashes = _touched_hashes(open_rows, batch, key, hot)
-    updated = closed_by_batch(open_rows, batch, key, is_small(batch, hot))
-    return updated, _new_rows(batch, hashes, key, hot)
+    return _merge(open_rows, batch, key, hot)
 
 
 def merge_changes(
@@ -243,7 +247,7 @@ def merge_open(
         rest = marked.where(~F.col(MAY_MATCH)).drop(MAY_MATCH)
         merged = _merge_in_one_shuffle(marked.where(MAY_MATCH).drop(MAY_MATCH), batch, key)
         return merged.unionByName(rest, allowMissingColumns=True)
-    updated, inserted = merge_parts(open_rows, batch, key, hot)
+    updated, inserted = _merge(open_rows, batch, key, hot)
     return updated.unionByName(inserted, allowMissingColumns=True)
 
 
