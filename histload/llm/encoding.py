@@ -16,7 +16,7 @@ from struct import pack
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_PIECES, CACHE_WORDS = 400_000, 250_000  # of the younger generation of a cache
+CACHE_PIECES = 250_000  # of the younger generation of the cache
 CACHE_BYTES = 64  # longer pieces are not kept
 
 # Characters whose normal form and lower case need no context, and the words made of them.
@@ -49,8 +49,9 @@ def encoder(path: str | None = None) -> Encoder:
 
 
 class Encoder:
-    """Ids of pieces, kept in two generations: a piece met again moves to the younger one, and when that is
-    full, the older one goes. So frequent pieces stay, however many are met once."""
+    """Ids of pieces and of the words in them, kept in two generations: one that is met again moves to the
+    younger, and when that is full, the older one goes. So frequent pieces stay, however many are met once.
+    A word is kept as the piece it would be by itself."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on each core
@@ -58,7 +59,6 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces: tuple[dict[bytes, bytes], dict[bytes, bytes]] = ({}, {})
-        self.words: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         self.long: list[bytes] = []
 
     def ids(self, text: bytes) -> bytes:
@@ -86,25 +86,20 @@ class Encoder:
         self.long = []
         if len(self.pieces[0]) > CACHE_PIECES:
             self.pieces = ({}, self.pieces[0])
-        if len(self.words[0]) > CACHE_WORDS:
-            self.words = ({}, self.words[0])
 
     def _known(self, wanted: set[bytes]) -> dict[bytes, bytes]:
         """The younger generation, in which all ``wanted`` pieces are now."""
         young, old = self.pieces
-        words, word_ids = self.words[0].get, self._word
         new, others = wanted.difference(young), []
         for piece in new:
             ids = old.get(piece)
             if ids is None:
                 if piece.isalpha():  # of ASCII letters alone
-                    word = piece.lower().decode()
-                    ids = words(word) or word_ids(word)
+                    ids = self._word(piece.lower())
                 else:
                     text = piece.decode("utf-8", "replace")
                     if "<|" not in text and _PLAIN.fullmatch(text):
-                        found = _WORDS.findall(text.lower())
-                        ids = b"".join([words(word) or word_ids(word) for word in found])
+                        ids = b"".join([self._word(word.encode()) for word in _WORDS.findall(text.lower())])
                     else:
                         others.append((piece, text))
                         continue
@@ -114,12 +109,15 @@ class Encoder:
         self.long = [piece for piece in new if len(piece) > CACHE_BYTES]
         return young
 
-    def _word(self, word: str) -> bytes:
-        """The ids of a word that the younger generation does not have."""
-        young, old = self.words
+    def _word(self, word: bytes) -> bytes:
+        """The ids of one of the tokenizer's words, in lower case."""
+        young, old = self.pieces
+        ids = young.get(word)
+        if ids is not None:
+            return ids
         ids = old.get(word)
         if ids is None:
-            letters = word if word.isascii() else "".join(_LETTERS[b] for b in word.encode())
+            letters = word.decode() if word.isascii() else "".join([_LETTERS[byte] for byte in word])
             found = self.tokenizer.model.tokenize(letters)
             ids = pack(f"<{len(found)}I", *[one.id for one in found])
         if len(word) <= CACHE_BYTES:
