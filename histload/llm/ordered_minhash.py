@@ -14,8 +14,8 @@ linked texts share THRESHOLD of the shingles of either, so also one of the first
 any order common to all. Rare shingles come first in it, so a passage brings few texts together. Shingles of one text
 alone cannot be shared: the number of the others from the place on bounds the size of a text that may be linked, so
 that texts with too many edits of their own, or at a late place, leave their buckets before any pair is made. What
-is left is mostly linked. Rounds of leaders, one a bucket at first and then more and more, compare them, and the rest
-at once when that is no more than PAIRS pairs for each member. So in the end every pair of a bucket is in one class,
+is left is mostly linked. Rounds of leaders, a few of each bucket's largest class, meet the texts of the others, and the
+rest is compared at once when that is PAIRS pairs for each member at most. So in the end every pair of a bucket is in one class,
 compared or beyond the bound; none is left out otherwise, and no round grows with the square of a bucket.
 
 Defined results: words as in ``words``. Texts with equal words are one text in all that follows, and
@@ -42,7 +42,7 @@ from histload.llm.words import find_words, mixed, small_batches, text_bytes
 SHINGLE, THRESHOLD = 5, 0.8
 SKETCHES, LENGTH = 14, 3
 # Leaders of a bucket in each round, the first one being of sketches; later ones have MORE times as many.
-LEADERS, MORE = (1, 1, 8), 8
+LEADERS, MORE = (1, 4, 16), 4
 PAIRS = 16  # for each member of a bucket, at which all that is left is compared
 SPLIT_OVER = 1  # texts of a divided bucket of one sketch that is split
 # Ids of texts to verify are broadcast to the scan up to this size, else joined by shuffle.
@@ -281,14 +281,12 @@ def _labels(spark, buckets, shingles) -> DataFrame:
         count = schedule.pop(0) if schedule else MORE * count
         # What is left is compared at once if that is so many pairs a member at most.
         last = bool(parts) and _few_pairs(members)
-        leaders = _all_members(members) if last else _leaders(members, count, labels is None)
+        leaders = _of_smaller_classes(members) if last else _leaders(members, count, labels is None)
         pairs = members.join(leaders, "bucket").where(
             (F.col("label") != F.col("own"))
             & (F.col("size") <= F.col("leader_reach"))
             & (F.col("leader_size") <= F.col("reach"))
         )
-        if last:
-            pairs = pairs.where(F.col("leader") < F.col("node"))
         pairs = pairs.select(
             F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
         ).distinct()
@@ -338,20 +336,26 @@ def _divided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _leaders(members: DataFrame, count: int, first: bool) -> DataFrame:
-    """(``bucket``, ``leader``, ``own``, ``leader_size``, ``leader_reach``): members of each bucket's smallest
-    classes. In the first round every text is a class of its own, and one leads."""
+    """(``bucket``, ``leader``, ``own``, ``leader_size``, ``leader_reach``): members of each bucket's largest
+    classes, which meet those of all others. In the first round every text is a class of its own, and one leads."""
     if first:
         lead = members.groupBy("bucket").agg(F.min(F.struct("node", "label", "size", "reach")).alias("lead"))
-        ranked = lead.select("bucket", "lead.*")
-    else:
-        sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("texts"))
-        order = Window.partitionBy("bucket").orderBy("texts", "node")
-        ranked = members.join(sizes, ["bucket", "label"]).withColumn("place", F.row_number().over(order))
-        ranked = ranked.where(F.col("place") <= count)
-    return _all_members(ranked)
+        return _as_leaders(lead.select("bucket", "lead.*"))
+    sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("texts"))
+    order = Window.partitionBy("bucket").orderBy(F.desc("texts"), F.xxhash64("node"), "node")
+    ranked = members.join(sizes, ["bucket", "label"]).withColumn("place", F.row_number().over(order))
+    return _as_leaders(ranked.where(F.col("place") <= count))
+
+
+def _of_smaller_classes(members: DataFrame) -> DataFrame:
+    """All members but those of each bucket's largest class, as leaders: every pair of different classes has one
+    of them, and they meet no more than twice the members of other classes."""
+    sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("texts"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("texts", "label")).alias("largest"))
+    return _as_leaders(members.join(largest, "bucket").where(F.col("label") != F.col("largest")))
 
 
-def _all_members(members: DataFrame) -> DataFrame:
+def _as_leaders(members: DataFrame) -> DataFrame:
     return members.select(
         "bucket", F.col("node").alias("leader"), F.col("label").alias("own"),
         F.col("size").alias("leader_size"), F.col("reach").alias("leader_reach"),
