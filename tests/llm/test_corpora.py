@@ -104,6 +104,47 @@ def test_mix_of_odd_rows(corpus, nothing):
         mixing.mixed(corpus.withColumn("mix_key", F.lit(1)))
 
 
+def test_scores_are_noisy_or_of_sentences(spark):
+    """Sentence scores and noisy-or computed word by word."""
+    import math
+
+    import pyarrow as pa
+
+    vocabulary = [f"w{n}" for n in range(30)]
+    number = {w: int(toxicity.Sentences(pa.array([w])).features[0]) for w in vocabulary}
+    rng = random.Random(12)
+    weights = {w: rng.uniform(-2, 5) for w in vocabulary[:12]}
+    known = sorted((number[w], weight) for w, weight in weights.items())
+    model = toxicity.Model(np.array([n for n, _ in known]), np.array([w for _, w in known]), -4.0)
+    rows = []
+    for n in range(60):
+        sentences = [[rng.choice(vocabulary) for _ in range(rng.randint(1, 9))] for _ in range(rng.randint(1, 5))]
+        rows.append((n, sentences, rng.choice([". ", "! ", "? ", "\n"]).join(" ".join(s) for s in sentences)))
+    df = spark.createDataFrame([(n, text) for n, _, text in rows], "doc_id bigint, text string")
+    found = {row["doc_id"]: row for row in toxicity.score(df, model).collect()}
+    for n, sentences, text in rows:
+        each = [1 / (1 + math.exp(4.0 - sum(weights.get(w, 0) for w in set(s)))) for s in sentences]
+        clean = math.prod(1 - p for p in each)
+        assert found[n]["score"] == pytest.approx(1 - clean, abs=1e-9)
+        assert found[n]["n_offensive"] == sum(p >= 0.5 for p in each)
+
+
+def test_the_sample_is_bounded_in_rows_and_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "_learn", lambda rows: seen.append(rows))
+    same = spark.range(500).selectExpr("1L AS doc_id", "'one text of a document' AS text")
+    versions = spark.range(400).selectExpr("2L AS doc_id", "concat('version ', id, repeat(' and', 20)) AS text")
+    docs = same.union(versions).union(spark.range(3, 50).selectExpr("id AS doc_id", "CAST(NULL AS string) AS text"))
+    labels = spark.range(60).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    toxicity.fit(docs, labels, 1000, keep_out=False)
+    toxicity.fit(docs, labels, 30, keep_out=False)
+    toxicity.fit(docs, labels, 1000, keep_out=False, sample_bytes=2000)
+    every, few, small = seen
+    repeats = sorted(every.column("repeats").to_pylist())
+    assert every.num_rows == 1 + 400 + 47 and repeats[-1] == 500 and repeats[-2] == 1
+    assert few.num_rows == 30 and 5 <= small.num_rows <= 60
+
+
 def test_secrets_written_twice_and_often():
     key = "q7Zr9LmX2vKd81TbWn5cYe3H"
     novelty = secrets.Novelty()
