@@ -15,8 +15,11 @@ any order common to all. Rare shingles come first in it, so a passage brings few
 alone cannot be shared: the number of the others from the place on bounds the size of a text that may be linked, so
 that texts with too many edits of their own, or at a late place, leave their buckets before any pair is made. What
 is left is mostly linked. Rounds of leaders, a few of each bucket's largest class, meet the texts of the others, and the
-rest is compared at once when that is PAIRS pairs for each member at most. So in the end every pair of a bucket is in one class,
-compared or beyond the bound; none is left out otherwise, and no round grows with the square of a bucket.
+rest meets at once when that is COMPARED pairs for each member at most. Before a pair is made, a second exact bound
+is asked: every shingle flips one of BITS bits of its text, so texts differ in at least as many shingles as in bits, and
+linked texts differ in few. Copies with many edits each, of which few pairs are linked, are told apart by it without
+their shingles. So in the end every pair of a bucket is in one class, compared or beyond a bound; none is left out
+otherwise, and no round makes pairs with the square of a bucket, but of linked texts of different classes.
 
 Defined results: words as in ``words``. Texts with equal words are one text in all that follows, and
 texts without words (NULL, empty) are all equal. Texts of one to four words are one shingle.
@@ -32,18 +35,20 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histload.llm.components import components
-from histload.llm.tables import byte_size, checkpointed, lookup, small_arrow_batches, stored
+from histload.llm.components import LABEL_BYTES, counted_components
+from histload.llm.tables import byte_size, checkpointed, lookup, maybe_broadcast, small_arrow_batches, stored
 from histload.llm.words import find_words, mixed, small_batches, text_bytes
 
 SHINGLE, THRESHOLD = 5, 0.8
 SKETCHES, LENGTH = 14, 3
 # Leaders of a bucket in each round, the first one being of sketches; later ones have MORE times as many.
 LEADERS, MORE = (1, 4, 16), 4
-PAIRS = 16  # for each member of a bucket, at which all that is left is compared
+COMPARED = 512  # pairs for each member of a bucket, at which the bits of all that is left are compared
+BITS = 1024  # a text's parity bits, in columns of 64
+PARITY_BYTES = 64 + BITS // 8  # of a text's bits in a broadcast
 SPLIT_OVER = 1  # texts of a divided bucket of one sketch that is split
 # Ids of texts to verify are broadcast to the scan up to this size, else joined by shuffle.
 ID_BYTES, BROADCAST_BYTES = 64, 64 << 20
@@ -142,8 +147,23 @@ def _sketch_rows(batches):
         )
 
 
+_PARITY = [f"parity_{n}" for n in range(BITS // 64)]
+
+
+def parity(shingles: Shingles) -> np.ndarray:
+    """BITS bits of each text as rows of 64-bit numbers: each of its shingles flips one. The texts have at least as
+    many shingles that are not common to both, by number of occurrence, as they differ in bits."""
+    values = mixed(shingles.labelled() ^ _SALTS[11])
+    columns = BITS // 64
+    out = np.zeros((len(shingles.bounds) - 1, columns), np.uint64)
+    owner = np.repeat(np.arange(len(out)), np.diff(shingles.bounds))
+    place = owner * columns + ((values >> np.uint64(6)) % np.uint64(columns)).astype(np.int64)
+    np.bitwise_xor.at(out.ravel(), place, np.uint64(1) << (values & np.uint64(63)))
+    return out
+
+
 def _shingle_rows(batches):
-    """(node, shingle hashes) of the texts whose digest is the wanted one."""
+    """(node, shingle hashes, their number, parity) of the texts whose digest is the wanted one."""
     for batch in small_batches(batches, "text"):
         shingles = Shingles(batch.column("text"))
         raw = shingles.hashes.tobytes()
@@ -151,12 +171,15 @@ def _shingle_rows(batches):
         digests = _digests(shingles.words)
         wanted = batch.column("digest").to_pylist()
         kept = [i for i, digest in enumerate(digests) if digest == wanted[i]]
+        bits = parity(shingles).view(np.int64)[kept]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("node").take(pa.array(kept, pa.int64())),
                 pa.array([raw[cuts[i] : cuts[i + 1]] for i in kept], pa.binary()),
+                pa.array(np.diff(shingles.bounds)[kept].astype(np.int32)),
+                *(pa.array(np.ascontiguousarray(column)) for column in bits.T),
             ],
-            names=["node", "shingles"],
+            names=["node", "shingles", "total", *_PARITY],
         )
 
 
@@ -263,29 +286,33 @@ def _candidate_shingles(docs, texts, buckets) -> DataFrame:
     same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (F.xxhash64(docs["text"]) == wanted["text_hash"])
     found = docs.join(wanted, same)
     found = found.select("text", "node", "digest")
-    found = found.mapInArrow(_shingle_rows, "node bigint, shingles binary")
+    ddl = "node bigint, shingles binary, total int, " + ", ".join(f"{name} bigint" for name in _PARITY)
+    found = found.mapInArrow(_shingle_rows, ddl)
     return stored(found.dropDuplicates(["node"]), "shingles")
 
 
 def _labels(spark, buckets, shingles) -> DataFrame:
     """(``node``, ``label``) of all texts with links, which are found in rounds (see above)."""
-    parts, labels = [], None
+    parts, labels, rows = [], None, 0
+    texts = byte_size(shingles, F.lit(PARITY_BYTES))
     schedule = list(LEADERS)
     members = _bounded(buckets)
     while True:
-        members = _divided(members, labels)
+        members = _divided(members, labels, rows)
         if members.isEmpty():
             break
         if len(parts) == 1:
-            members = _divided(_split(members, shingles, SPLIT_OVER), labels)
+            members = _divided(_split(members, shingles, SPLIT_OVER), labels, rows)
         count = schedule.pop(0) if schedule else MORE * count
-        # What is left is compared at once if that is so many pairs a member at most.
-        last = bool(parts) and _few_pairs(members)
+        # What is left meets at once if that is so many pairs a member at most; leaders have linked most by then.
+        last = len(parts) > 1 and _few_pairs(members)
         leaders = _of_smaller_classes(members) if last else _leaders(members, count, labels is None)
-        pairs = members.join(leaders, "bucket").where(
+        met = _with_parity(members, shingles, texts, "")
+        pairs = met.join(_with_parity(leaders, shingles, texts, "leader_"), "bucket").where(
             (F.col("label") != F.col("own"))
             & (F.col("size") <= F.col("leader_reach"))
             & (F.col("leader_size") <= F.col("reach"))
+            & _may_be_linked("", "leader_")
         )
         pairs = pairs.select(
             F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
@@ -293,7 +320,7 @@ def _labels(spark, buckets, shingles) -> DataFrame:
         # A round's links outlive it as files in the shared folder.
         links = stored(_verify(pairs, shingles), "links")
         if labels is None or not links.isEmpty():
-            labels = components(reduce(DataFrame.union, [*parts, links]))
+            labels, rows = counted_components(reduce(DataFrame.union, [*parts, links]))
         parts.append(links)
         if last:
             break
@@ -303,13 +330,33 @@ def _labels(spark, buckets, shingles) -> DataFrame:
     return labels if labels is not None else spark.createDataFrame([], "node bigint, label bigint")
 
 
+def _with_parity(rows: DataFrame, shingles: DataFrame, size: int, prefix: str) -> DataFrame:
+    """``rows`` (with ``node``, or ``leader``) with the number of shingles and the parity of each text; these are
+    broadcast if their ``size`` allows it."""
+    names = {name: f"{prefix}{name}" for name in ("total", *_PARITY)}
+    node = "leader" if prefix else "node"
+    bits = shingles.select(F.col("node").alias(node), *names).withColumnsRenamed(names)
+    return rows.join(maybe_broadcast(bits, size), node)
+
+
+def _may_be_linked(left: str, right: str) -> Column:
+    """Whether the bits of two texts allow them to have THRESHOLD of their shingles in common."""
+    differ = reduce(
+        lambda a, b: a + b,
+        (F.bit_count(F.col(f"{left}{name}").bitwiseXOR(F.col(f"{right}{name}"))) for name in _PARITY),
+    )
+    both = F.col(f"{left}total") + F.col(f"{right}total")
+    # Linked texts of m and n shingles share THRESHOLD / (1 + THRESHOLD) of m + n.
+    return differ <= both * F.lit((1 - THRESHOLD) / (1 + THRESHOLD)) + 1e-6
+
+
 def _few_pairs(members: DataFrame) -> bool:
-    """Whether the pairs of different classes in all buckets are PAIRS a member at most."""
+    """Whether the pairs of different classes in all buckets are COMPARED a member at most."""
     classes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("texts"))
     texts = F.col("texts").cast("double")
     buckets = classes.groupBy("bucket").agg(F.sum(texts).alias("texts"), F.sum(texts * texts).alias("same"))
     row = buckets.agg(F.sum("texts").alias("members"), F.sum((texts * texts - F.col("same")) / 2).alias("pairs")).first()
-    return (row["pairs"] or 0) <= PAIRS * (row["members"] or 0)
+    return (row["pairs"] or 0) <= COMPARED * (row["members"] or 0)
 
 
 def _bounded(members: DataFrame) -> DataFrame:
@@ -317,12 +364,13 @@ def _bounded(members: DataFrame) -> DataFrame:
     return members.select("bucket", "node", F.lit(0).alias("size"), F.lit(2**31 - 1).alias("reach"))
 
 
-def _divided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _divided(members: DataFrame, labels: DataFrame | None, rows: int = 0) -> DataFrame:
     """Members, with the ``label`` of their class so far, of the buckets with several classes, without those
-    whose ``reach`` is below every size in their bucket."""
+    whose ``reach`` is below every size in their bucket. ``labels`` has ``rows`` rows."""
     columns = ("bucket", "node", "size", "reach")
     if labels is None:
         return members.select(*columns, F.col("node").alias("label"))
+    labels = maybe_broadcast(labels, rows * LABEL_BYTES)
     members = members.select(*columns).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     for _ in range(2):  # what goes first may leave a bucket undivided
         several = members.groupBy("bucket").agg(
@@ -376,7 +424,7 @@ def _split(divided: DataFrame, shingles: DataFrame, limit: int) -> DataFrame:
     large = checkpointed(sizes.where(F.col("members") > limit).select("bucket"))
     small = _bounded(divided.join(large, "bucket", "left_anti"))
     nodes = divided.join(large, "bucket", "left_semi").select("node").distinct()
-    ones = nodes.join(shingles, "node").mapInArrow(_single_rows, "node bigint, size int, shingle bigint")
+    ones = nodes.join(shingles.select("node", "shingles"), "node").mapInArrow(_single_rows, "node bigint, size int, shingle bigint")
     ones = stored(ones, "single")
     shared = ones.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
     shared = stored(shared, "shared")

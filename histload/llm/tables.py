@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histload.names import quoted
@@ -35,6 +35,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def checkpointed_with(df: DataFrame, **sums: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``df`` checkpointed, and aggregates of its rows that are taken as they are written, without a shuffle."""
+    seen = Observation()
+    rows = checkpointed(df.observe(seen, *(column.alias(name) for name, column in sums.items())))
+    return rows, seen.get
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,

@@ -5,6 +5,7 @@ import re
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +157,49 @@ def test_split_keeps_all_similar_pairs(spark):
     assert not any(b >= 120 for _, b in met)
 
 
+def test_few_alignments_of_copies_with_many_edits(spark, monkeypatch):
+    rng, made = random.Random(5), []
+    base = [f"w{rng.randint(0, 1 << 30)}" for _ in range(140)]
+    rows = []
+    for n in range(160):
+        copy = list(base)
+        for place in rng.sample(range(140), rng.choice([1, 2, 5, 6, 7])):
+            copy[place] = rng.choice([f"e{rng.randint(0, 4)}", f"w{rng.randint(0, 1 << 30)}"])
+        rows.append((n, " ".join(copy)))
+    verify = ordered_minhash._verify
+
+    def counted(pairs, shingles):
+        made.append(pairs.count())
+        return verify(pairs, shingles)
+
+    monkeypatch.setattr(ordered_minhash, "_verify", counted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {row["doc_id"]: row["class_id"] for row in ordered_minhash.near_duplicates(df).collect()}
+    assert got == dict(zip(range(160), classes_by_force(rows)))
+    assert sum(made) < 6 * len(rows)
+
+
+def test_parity_bounds_what_is_common():
+    rng, texts = random.Random(6), []
+    for size in (1, 5, 40, 40, 300, 3000):
+        base = [f"w{rng.randint(0, size)}" for _ in range(size)]
+        for edits in (0, size // 40, size // 8):
+            copy = list(base)
+            for place in rng.sample(range(size), edits):
+                copy[place] = f"e{rng.randint(0, 9)}"
+            texts.append(" ".join(copy))
+    own = ordered_minhash.Shingles(pa.array([*texts, ""]))
+    bits = ordered_minhash.parity(own)
+    sizes = np.diff(own.bounds)
+    sets = [set(own.labelled()[a:b].tolist()) for a, b in zip(own.bounds[:-1], own.bounds[1:])]
+    for i in range(len(sizes)):
+        for j in range(i):
+            differ = int(np.bitwise_count(bits[i] ^ bits[j]).sum())
+            assert differ <= len(sets[i] ^ sets[j])
+            assert differ > 0 or sets[i] == sets[j] or len(sets[i] ^ sets[j]) > 9
+    assert sizes[-1] == 0 and not bits[-1].any()
+
+
 def test_near_classes_of_odd_rows(corpus, nothing):
     found = ordered_minhash.near_duplicates(corpus).collect()
     assert len(found) == corpus.count()
