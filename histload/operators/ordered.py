@@ -1,7 +1,8 @@
 """Row-to-row lookups along each key's order, safe for keys that hold a large share of the rows.
 
 A plain window puts all rows of one key in one task. Keys above a row limit are therefore cut
-into slices: their rows are range-partitioned by (key, order), every range is one slice, and the
+into slices: their rows are range-partitioned by (key, order) into RANGES ranges at most, whose borders
+the driver draws from a sample; every range is cut into slices where it lies, and the
 window runs per (key, slice). What a slice's first or last row needs from the neighbouring slice
 comes from a small table with one row per (key, slice). Other keys take the plain window.
 """
@@ -20,6 +21,8 @@ from histload.session import shared_folder
 
 SLICE, COPY, ROW = "__slice", "__copy", "__row"
 NOT_SLICED = -1
+# Of all hot keys together. The driver samples some rows of each and hears of each task that reads one.
+RANGES = 500
 
 
 @dataclass(frozen=True)
@@ -115,11 +118,18 @@ def ordered_rows(
     shared_folder(df.sparkSession)
     others, hot_rows = split_hot(rows, keys, hot)
     order = (*order, COPY)
-    slices = (
-        hot_rows.withColumn(COPY, F.monotonically_increasing_id())
-        .repartitionByRange(hot.slices, *map(quoted, (*keys, *order)))
-        .withColumn(SLICE, F.spark_partition_id())
-        .checkpoint()
-    )
-    others = others.withColumn(COPY, F.lit(0).cast("long")).withColumn(SLICE, F.lit(NOT_SLICED))
+    ranges = min(hot.slices, RANGES)
+    by = [*map(quoted, (*keys, *order))]
+    slices = hot_rows.withColumn(COPY, F.monotonically_increasing_id()).repartitionByRange(ranges, *by)
+    if hot.slices > ranges:
+        # Rows of a range in order: its number, and the row's place in it above the limit of a slice.
+        place = F.monotonically_increasing_id()
+        inside = F.floor(place.bitwiseAND(2**33 - 1) / hot.limit)
+        slices = slices.sortWithinPartitions(*by).withColumn(
+            SLICE, F.spark_partition_id().cast("long") * 2**33 + inside
+        )
+    else:
+        slices = slices.withColumn(SLICE, F.spark_partition_id().cast("long"))
+    slices = slices.checkpoint()
+    others = others.withColumn(COPY, F.lit(0).cast("long")).withColumn(SLICE, F.lit(NOT_SLICED).cast("long"))
     return OrderedRows(others.unionByName(slices), tuple(keys), order, sliced=True)

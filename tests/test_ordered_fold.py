@@ -32,6 +32,24 @@ def skewed(spark):
     return spark.createDataFrame(rows, SCHEMA).repartition(5).persist()
 
 
+def test_many_slices_in_few_ranges(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([1, None]), rng.choice("abc"), rng.choice([None, *range(900)])) for _ in range(2400)]
+    df = spark.createDataFrame([*rows, *rows[:300]], SCHEMA).repartition(3)
+    hot = find_hot_keys(group_sizes(df, ["id"]), rows_per_slice=2)
+    assert hot.slices > 1300
+    cut = ordered_rows(df, ["id"], ["d", "v"], hot)
+    assert cut.df.rdd.getNumPartitions() < 600  # each range is a task and a sample on the driver
+    sizes = cut.df.groupBy("id", "__slice").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 2 and sizes[1] > 1300
+    got = cut.with_next("n", "d").with_previous("p", "v").with_first("low", "d").result()
+    w = Window.partitionBy("id").orderBy("d", "v")
+    wanted = df.withColumns(
+        {"n": F.lead("d").over(w), "p": F.lag("v").over(w), "low": F.first("d").over(w)}
+    )
+    assert plain(got) == plain(wanted)
+
+
 def test_slices_agree_with_plain_windows(skewed):
     hot = find_hot_keys(group_sizes(skewed, ["id"]), rows_per_slice=50)
     assert sorted(str(r["id"]) for r in hot.rows) == ["7", "None"]
