@@ -7,7 +7,9 @@ and a row without a date starts a chain more for each chain it differs from at i
 
 Chains are built in generations: those of the rows open at first, then those that rows without a date have
 started in them, and so on. There are as many generations as a chain of such rows is long, whatever
-the number of batches; each has the rows of the keys concerned alone.
+the number of batches; each has the rows of the keys concerned alone. A row may be in many chains before those it
+does not change are left, so chains are made of row numbers, keys, dates and numbers of the data hash; the rows
+themselves are joined to what is kept.
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ from pyspark.sql import functions as F
 from histload.names import END, HASH_DATA, START, quoted
 from histload.session import shared_folder
 
-_CHAIN_ROW, _STARTS = "__chain_row", "__starts"  # names no data column has
+# Names no data column has.
+_CHAIN_ROW, _STARTS = "__chain_row", "__starts"
+_ROW, _KEY, _SEQ, _DATE, _HASH, _END = "__whole_row", "__key", "__seq_of", "__date", "__hash_no", "__chain_end"
 
 
 def fold_chains(open_rows: DataFrame, later: DataFrame, seq: str, key: str) -> DataFrame:
@@ -28,28 +32,35 @@ def fold_chains(open_rows: DataFrame, later: DataFrame, seq: str, key: str) -> D
     the rows of ``later`` batches that they make. Keys are not NULL, and a batch has one row of a key at most
     that was open before it."""
     shared_folder(later.sparkSession)
-    later = later.checkpoint()
-    number, own_key = F.col(quoted(seq)), F.col(quoted(key))
-    dated = F.col(START).isNotNull()
-    along = Window.partitionBy(_CHAIN_ROW).orderBy(number)
-    heads, done = open_rows, []
+    whole = open_rows.withColumn(_STARTS, F.lit(True)).unionByName(
+        later.withColumn(_STARTS, F.lit(False)), allowMissingColumns=True
+    )
+    # A number of its own for each row; fixed by the checkpoint, before anything is joined to it.
+    whole = whole.withColumn(_ROW, F.monotonically_increasing_id()).checkpoint()
+    hashes = Window.partitionBy(quoted(key)).orderBy(HASH_DATA)
+    narrow = whole.select(
+        _ROW, F.col(quoted(key)).alias(_KEY), F.col(quoted(seq)).alias(_SEQ), F.col(START).alias(_DATE),
+        F.when(F.col(HASH_DATA).isNotNull(), F.dense_rank().over(hashes)).alias(_HASH), _STARTS,
+    ).checkpoint()
+    dated = F.col(_DATE).isNotNull()
+    along = Window.partitionBy(_CHAIN_ROW).orderBy(_SEQ)
+    heads, later, done = narrow.where(_STARTS), narrow.where(~F.col(_STARTS)), []
     while True:
-        # A number of its own for each head; fixed by the checkpoint, before anything is joined to it.
         heads = heads.withColumns({_CHAIN_ROW: F.monotonically_increasing_id(), _STARTS: F.lit(True)}).checkpoint()
-        after = heads.select(own_key.alias("__key"), number.alias("__from"), _CHAIN_ROW)
-        members = later.join(after, (own_key == F.col("__key")) & (number > F.col("__from")))
-        members = members.drop("__key", "__from").withColumn(_STARTS, F.lit(False))
-        rows = heads.unionByName(members, allowMissingColumns=True)
+        after = heads.select(F.col(_KEY).alias("__of"), F.col(_SEQ).alias("__from"), _CHAIN_ROW)
+        members = later.join(after, (F.col(_KEY) == F.col("__of")) & (F.col(_SEQ) > F.col("__from")))
+        rows = heads.unionByName(members.drop("__of", "__from"))
         # Rows without a date leave the chain as it is.
-        state = F.last(F.when(F.col(_STARTS) | dated, F.col(HASH_DATA)), ignorenulls=True)
+        state = F.last(F.when(F.col(_STARTS) | dated, F.col(_HASH)), ignorenulls=True)
         before = state.over(along.rowsBetween(Window.unboundedPreceding, -1))
         rows = rows.withColumn("__before", before)
-        rows = rows.where(F.col(_STARTS) | (F.col(HASH_DATA) != F.col("__before"))).drop("__before").checkpoint()
-        chain = rows.where(F.col(_STARTS) | dated).withColumn(END, F.lead(START).over(along))
-        done.append(chain.drop(_CHAIN_ROW, _STARTS))
-        heads = rows.where(~F.col(_STARTS) & ~dated).drop(_CHAIN_ROW, _STARTS)
+        rows = rows.where(F.col(_STARTS) | (F.col(_HASH) != F.col("__before"))).drop("__before").checkpoint()
+        chain = rows.where(F.col(_STARTS) | dated).withColumn(_END, F.lead(_DATE).over(along))
+        done.append(chain.select(_ROW, _END))
+        heads = rows.where(~F.col(_STARTS) & ~dated).drop(_CHAIN_ROW)
         if heads.isEmpty():
-            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), done)
+            ends = reduce(DataFrame.union, done)
+            return whole.join(ends, _ROW).drop(_ROW, _STARTS).withColumnRenamed(_END, END)
 
 
 def opening_rows(batches: DataFrame, open_keys: DataFrame, seq: str, key: str) -> tuple[DataFrame, DataFrame]:

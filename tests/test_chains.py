@@ -107,3 +107,21 @@ def test_files_with_undated_rows_are_folded(spark, tmp_path, monkeypatch, differ
     history = read_table(spark, target, done, "k")
     assert plain(history) == plain(merged_one_by_one(spark, batches))
     assert history.where(F.col(END).isNull()).count() > 10
+
+
+def test_chains_are_made_of_narrow_rows(spark, monkeypatch):
+    held, kind = [], type(spark.range(0))
+    checkpoint = kind.checkpoint
+
+    def noted(df, *args):
+        held.append(df.columns)
+        return checkpoint(df, *args)
+
+    rows = numbered(spark, [[(1, "a", 1)], [(1, "b", None)], [(1, "c", None)], [(1, "d", 2)], [(1, "e", None)]])
+    monkeypatch.setattr(kind, "checkpoint", noted)
+    odd = rows.where("at IS NULL").select("k")
+    found = fold_odd_batches(None, rows, "no", "k", hot=UNIQUE_KEYS, odd_keys=odd)
+    ended = sorted((row["v"], str(row["endDate"])[:10]) for row in found.collect())
+    assert ended == [("a", "2024-01-02"), *[("b", "2024-01-02")], *[("c", "2024-01-02")] * 2, *[("d", "None")] * 4,
+                     *[("e", "None")] * 4]
+    assert sum("v" in columns for columns in held) == 1 and len(held) > 4
