@@ -53,6 +53,8 @@ SPLIT_OVER = 1  # texts of a divided bucket of one sketch that is split
 # Ids of texts to verify are broadcast to the scan up to this size, else joined by shuffle.
 ID_BYTES, BROADCAST_BYTES = 64, 64 << 20
 
+BATCH_BYTES = 1 << 20  # of text at once: a worker keeps what numpy took for its largest batch
+
 _LAST = np.uint64(2**64 - 1)
 _SALTS = np.random.default_rng(77).integers(1, 2**63, 64, dtype=np.uint64) * 2 + 1
 
@@ -131,7 +133,7 @@ def _digests(words) -> list[bytes]:
 
 
 def _sketch_rows(batches):
-    for batch in small_batches(batches, "text"):
+    for batch in small_batches(batches, "text", BATCH_BYTES):
         shingles = Shingles(batch.column("text"))
         texts, values = sketches(shingles)
         sizes = np.zeros(batch.num_rows, np.int64)
@@ -164,7 +166,7 @@ def parity(shingles: Shingles) -> np.ndarray:
 
 def _shingle_rows(batches):
     """(node, shingle hashes, their number, parity) of the texts whose digest is the wanted one."""
-    for batch in small_batches(batches, "text"):
+    for batch in small_batches(batches, "text", BATCH_BYTES):
         shingles = Shingles(batch.column("text"))
         raw = shingles.hashes.tobytes()
         cuts = shingles.bounds * 8
