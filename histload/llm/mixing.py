@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histload.llm.tables import byte_size, maybe_broadcast, stored, with_repeat, with_row_id
+from histload.llm.tables import byte_size, local_rows, maybe_broadcast, stored, with_repeat, with_row_id
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, LIMIT = 1.5, 2.0  # words taken of all words; words taken of a source's at most
@@ -123,7 +123,8 @@ def _block(blocks: Column) -> Column:
 
 def _with_sources(rows: DataFrame, sources: list[Source]) -> DataFrame:
     spark = rows.sparkSession
-    table = spark.createDataFrame(
+    table = local_rows(
+        spark,
         [(s.name, s.size, s.target, s.blocks) for s in sources],
         "mix_source string, mix_source_size bigint, mix_target double, mix_blocks int",
     )
@@ -225,7 +226,8 @@ def _draw(narrow: DataFrame, sources: list[Source], shards: int, seed: int) -> D
                     floor(cuts[n][2]) if block == divided else None, cut[1],
                 )
             )
-    return narrow.sparkSession.createDataFrame(
+    return local_rows(
+        narrow.sparkSession,
         rows,
         "plan_source string, plan_block int, plan_shards array<int>, cut_shard int, "
         "cut_key bigint, cut_size bigint, extra_key bigint",
@@ -238,7 +240,8 @@ def _cut_keys(narrow: DataFrame, sources: list[Source], cuts: list[tuple]) -> di
     if not cuts:
         return {}
     spark = narrow.sparkSession
-    wanted = spark.createDataFrame(
+    wanted = local_rows(
+        spark,
         [(name, block, floor(rest)) for name, block, rest in cuts],
         "cut_source string, cut_block int, rest bigint",
     )
@@ -257,7 +260,8 @@ def _cut_keys(narrow: DataFrame, sources: list[Source], cuts: list[tuple]) -> di
         F.max("mix_key").alias("key"), F.max("upto").alias("upto")
     )
     begun = {row["source"]: (row["key"], row["upto"]) for row in taken.collect()}
-    missing = spark.createDataFrame(
+    missing = local_rows(
+        spark,
         [(name, floor(rest) - begun.get(name, (None, 0))[1]) for name, _, rest in cuts],
         "cut_source string, missing bigint",
     )

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from histload.names import quoted
 from histload.session import scratch_path, shared_folder
@@ -23,6 +26,14 @@ def small_arrow_batches(spark: SparkSession) -> None:
         spark.conf.set(ARROW_SETTING, ARROW_ROWS)
 
 
+def local_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A few ``rows`` of the driver as a table. They go as Arrow: from plain Python rows, Spark makes a table by
+    Python workers of their own kind, which executors keep beside those of the operators."""
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+    columns = [pa.array([row[n] for row in rows], field.type) for n, field in enumerate(schema)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=schema), ddl)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again: computed once, safe to lose tasks."""
     path = scratch_path(df.sparkSession, name)

@@ -23,14 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histload.llm.tables import small_arrow_batches
+from histload.llm.tables import checkpointed, small_arrow_batches
 from histload.llm.words import find_words, small_batches, text_bytes
 from histload.names import quoted
 
 SAMPLE_ROWS, SAMPLE_BYTES = 10_000, 64 << 20
+BATCH_BYTES = 1 << 20  # of text at once: a worker keeps what numpy took for its largest batch
 FOLDS = 5
 BUCKETS = 1 << 20  # words are told apart by so many hash values
 MIN_DOCUMENTS = 3  # a word in fewer documents of the sample has no weight
@@ -84,7 +85,7 @@ class Sentences:
 
 def _sample_features(batches):
     """A row for each text: its different (sentence, word) pairs, and its number of sentences."""
-    for batch in small_batches(batches, "text"):
+    for batch in small_batches(batches, "text", BATCH_BYTES):
         found = Sentences(batch.column("text"))
         pairs = np.unique(found.sentence * BUCKETS + found.features)
         cuts = np.searchsorted(pairs, found.first * BUCKETS)
@@ -122,14 +123,17 @@ def fit(
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     size = F.coalesce(F.max(F.octet_length("text")), F.lit(0))
     each = texts.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("repeats"), size.alias("size"))
-    sample = each.join(known, "doc_id").orderBy(F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash")
-    sample = sample.limit(sample_rows).select("doc_id", "text_hash", "toxic", "repeats", "size")
-    rows = sample.collect()  # sample_rows narrow rows at most
-    ends = np.cumsum([row["size"] for row in rows])
-    chosen = rows[: max(1, int(np.searchsorted(ends, sample_bytes, "right")))]
-    chosen = spark.createDataFrame([tuple(row)[:4] for row in chosen], sample.drop("size").schema)
+    order = (F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash")
+    sample = each.join(known, "doc_id").orderBy(*order).limit(sample_rows)
+    # sample_rows narrow rows at most, so one task may add up their sizes.
+    along = Window.orderBy(*order)
+    sample = sample.withColumns(
+        {"place": F.row_number().over(along), "end": F.sum("size").over(along.rowsBetween(Window.unboundedPreceding, 0))}
+    )
+    sample = checkpointed(sample.select("doc_id", "text_hash", "toxic", "repeats", "place", "end"))
+    chosen = sample.where((F.col("end") <= sample_bytes) | (F.col("place") == 1)).drop("place", "end")
     found = texts.join(F.broadcast(chosen), ["doc_id", "text_hash"])
-    if any(row["repeats"] > 1 for row in rows):
+    if not sample.where("repeats > 1").isEmpty():
         found = found.dropDuplicates(["doc_id", "text_hash"])
     found = found.select("text", "toxic", "repeats").mapInArrow(
         _sample_features, "features array<int>, places array<int>, sentences int, toxic int, repeats long"
@@ -227,7 +231,7 @@ class _Scorer:
     def __call__(self, batches):
         weights = np.zeros(BUCKETS)
         weights[self.model.features] = self.model.weights
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", BATCH_BYTES):
             columns = self._scores(batch.column(0), weights)
             names = [*batch.schema.names, *(c.split()[0] for c in SCORE_COLUMNS.split(", "))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=names)

@@ -467,3 +467,29 @@ def test_stages_of_no_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("1 = 0")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SMALL).collect() == []
+
+
+def test_stages_make_no_table_from_rows_in_python_workers(spark, monkeypatch):
+    """Toxicity and mixing of documents and labels start Python workers for their texts alone."""
+    from pyspark import RDD
+
+    def refused(*_, **__):
+        raise AssertionError("rows of the driver go through Python workers")
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(200).cache()
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    monkeypatch.setattr(RDD, "map", refused)
+    assert toxicity.toxic_scores(docs, labels).count() == 200
+    assert mixing.mixed(docs, shards=3).count() == 200
+
+
+def test_texts_are_scored_in_small_batches(monkeypatch):
+    import pyarrow as pa
+
+    sizes = []
+    real = toxicity.Sentences
+    monkeypatch.setattr(toxicity, "Sentences", lambda column: sizes.append(column.nbytes) or real(column))
+    texts = pa.RecordBatch.from_arrays([pa.array(["some words. " * 200] * 2000)], names=["text"])
+    model = toxicity.Model(np.array([1]), np.array([1.0]), -1.0)
+    assert sum(out.num_rows for out in toxicity._Scorer(model)([texts])) == 2000
+    assert len(sizes) > 4 and max(sizes) < 1.1 * 2**20
